@@ -1,7 +1,7 @@
 """Every operator as a runnable query over the given tables.
 
 ``QUERIES[name]`` takes (spark, sf_dir). Results are published in one form: doubles rounded to
-six digits, times as zone-less timestamps in UTC.
+six digits (three for the large part prices), times as zone-less timestamps in UTC.
 """
 
 from __future__ import annotations
@@ -31,13 +31,13 @@ NUDGE = 1.7e-8
 AFTER_ALL = datetime(2030, 1, 1, tzinfo=timezone.utc)
 
 
-def publish(df: DataFrame) -> DataFrame:
+def publish(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for field in df.schema.fields:
         c = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
             # the nudge keeps exact ties (x.xxxxxx5) from depending on the last bit of a sum
-            c = F.round(c + NUDGE, 6) + F.lit(0.0)  # + 0.0: no negative zero
+            c = F.round(c + NUDGE, digits) + F.lit(0.0)  # + 0.0: no negative zero
         elif isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.IntegerType):
@@ -46,9 +46,9 @@ def publish(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str):
+def query(name: str, digits: int = 6):
     def register(build: Callable[[Fixtures], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: publish(build(Fixtures(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: publish(build(Fixtures(spark, sf_dir)), digits)
         return build
 
     return register
@@ -375,13 +375,13 @@ def _(f):
     return views.technical(f.gold(), interval="1h", time_range="all").select("coin_id", "window_start", *_PANEL)
 
 
-@query("technical_panel_parts")
+@query("technical_panel_parts", digits=3)
 def _(f):
     rows = indicators.technical_panel(f.parts(), PARTS)
     return rows.select("coin_id", "ts", "l_orderkey", "l_linenumber", *_PANEL)
 
 
-@query("technical_summary")
+@query("technical_summary", digits=3)
 def _(f):
     return signals.technical_summary(f.parts(), PARTS)
 
@@ -449,7 +449,7 @@ def _(f):
     return forecast.forecast_ar(f.series(), by=SERIES_SEQ)
 
 
-@query("forecast_ar_parts")
+@query("forecast_ar_parts", digits=3)
 def _(f):
     return forecast.forecast_ar(f.parts(), by=PARTS)
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from tickloom.schemas import KNOWN_COINS
 
 
-def r(expression: str, name: str | None = None) -> str:
+def r(expression: str, name: str | None = None, digits: int = 6) -> str:
     """Published form of a double."""
-    return f"round({expression} + 1.7e-8, 6) + 0.0 AS {name or expression}"
+    return f"round({expression} + 1.7e-8, {digits}) + 0.0 AS {name or expression}"
 
 
-def rs(*names: str) -> str:
-    return ", ".join(r(n) for n in names)
+def rs(*names: str, digits: int = 6) -> str:
+    return ", ".join(r(n, digits=digits) for n in names)
 
 
 _GOLD_AGGREGATES = """avg(price_usd) AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
@@ -130,7 +130,9 @@ _GOLD_DOUBLES = ("avg_price", "min_price", "max_price", "avg_volume", "avg_chang
 _GOLD_OUT = f"coin_id, window_start, window_end, {rs(*_GOLD_DOUBLES)}, record_count"
 _BIN_OUT = f"coin_id, window_start, {rs(*_GOLD_DOUBLES)}, record_count"
 _SERIES_OUT = f"coin_id, ts, {rs('value', 'volume', 'change', 'high', 'low')}, seq"
-_PANEL_OUT = f"{rs('open', 'close', 'candle_high', 'candle_low', 'sma_10', 'sma_20', 'bb_middle', 'bb_upper', 'bb_lower', 'rsi_14')}, volume_direction"
+_PANEL_DOUBLES = ("open", "close", "candle_high", "candle_low", "sma_10", "sma_20", "bb_middle", "bb_upper", "bb_lower", "rsi_14")
+_PANEL_OUT = f"{rs(*_PANEL_DOUBLES)}, volume_direction"
+_PANEL_OUT_3 = f"{rs(*_PANEL_DOUBLES, digits=3)}, volume_direction"
 _SIGNAL_OUT = """coin_id, rsi_signal, bb_signal, ma_signal, CAST(rsi_score AS BIGINT) AS rsi_score, CAST(bb_score AS BIGINT) AS bb_score,
  CAST(ma_score AS BIGINT) AS ma_score, CAST(total_score AS BIGINT) AS total_score, recommendation"""
 _BY_SEQ = _indicators("series", "value", "ts, seq")
@@ -205,6 +207,7 @@ def _forecast_ar(source: str, order: str) -> dict[str, str]:
 
 
 _FORECAST_OUT = f"coin_id, CAST(step AS BIGINT) AS step, window_start, {r('predicted_price')}, method"
+_FORECAST_OUT_3 = f"coin_id, CAST(step AS BIGINT) AS step, window_start, {r('predicted_price', digits=3)}, method"
 _LINE = _forecast_linear("hourly", "avg_price", "window_start", "window_start")
 _SESSION = "TIMESTAMP '2024-01-30 12:00:00'"
 
@@ -296,10 +299,10 @@ ORACLES: dict[str, str] = {
         shown=f"""SELECT *, greatest(max_price, open, close) AS candle_high, least(min_price, open, close) AS candle_low,
  {_UP.format('avg_change_pct')} AS volume_direction FROM panel WHERE total >= 5"""),
     "technical_panel_parts": sql(
-        f"SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {_PANEL_OUT} FROM shown", **_BY_PART,
+        f"SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {_PANEL_OUT_3} FROM shown", **_BY_PART,
         shown=f"""SELECT *, greatest(open, close) AS candle_high, least(open, close) AS candle_low,
  {_UP.format('change')} AS volume_direction FROM panel WHERE total >= 5"""),
-    "technical_summary": sql(f"SELECT coin_id, {r('last_value', 'current')}, {r('rsi')}, rsi_zone, {rs('bb_width', 'period_change_pct')} FROM labelled", **_BY_PART),
+    "technical_summary": sql(f"SELECT coin_id, {r('last_value', 'current', 3)}, {r('rsi', digits=3)}, rsi_zone, {rs('bb_width', 'period_change_pct', digits=3)} FROM labelled", **_BY_PART),
     "signals": sql(f"SELECT {_SIGNAL_OUT} FROM rated", **_BY_PART),
     "signals_hourly": sql(f"SELECT {_SIGNAL_OUT}, rsi_zone, {rs('bb_width', 'period_change_pct')} FROM rated", **_BY_HOUR),
     "alerts_fired": sql("SELECT id, '12:00:00' AS time, coin, type, message FROM fired"),
@@ -313,7 +316,7 @@ ORACLES: dict[str, str] = {
     "forecast_linear": sql(f"SELECT {_FORECAST_OUT} FROM line", **_LINE),
     "forecast_ar": sql(f"SELECT {_FORECAST_OUT} FROM path", **_forecast_linear("series", "value", "ts", "ts, seq"), **_forecast_ar("series", "ts, seq")),
     "forecast_ar_parts": sql(
-        f"SELECT {_FORECAST_OUT} FROM (SELECT * FROM path UNION ALL SELECT * FROM line)",
+        f"SELECT {_FORECAST_OUT_3} FROM (SELECT * FROM path UNION ALL SELECT * FROM line)",
         **_forecast_linear("parts", "value", "ts", "ts, l_orderkey, l_linenumber", "n < 10"),
         **_forecast_ar("parts", "ts, l_orderkey, l_linenumber")),
     "forecast_summary": sql(f"""SELECT coin_id, {rs('last_actual', 'last_forecast')}, {r('(last_forecast - last_actual) / nullif(last_actual, 0) * 100', 'change_pct')}
