@@ -140,42 +140,57 @@ def volume_total(df: DataFrame, by: Series = SERIES) -> DataFrame:
     return total.where(F.col("total_volume").isNotNull())
 
 
+def _box(grouped, value: str) -> DataFrame:
+    """Box statistics of bounded groups in one aggregate."""
+    q = F.percentile(value, list(QUARTILES.values())).alias("_q")
+    out = grouped.agg(*box_statistics(value), q)
+    return out.withColumns({name: F.col("_q")[i] for i, name in enumerate(QUARTILES)}).drop("_q")
+
+
 def distribution(
     df: DataFrame, value: str, key: str = "coin_id", size: KeyProfile | None = None
 ) -> DataFrame:
     """Box statistics per key: n, mean, sd, min, max and interpolated quartiles."""
-    size = size or profile(df, key)
+    size = size or profile(df, Series(key=key))
     rows = df.where(F.col(value).isNotNull())
+    if not size.hot:
+        return _box(rows.groupBy(key), value)
     return rows.groupBy(key).agg(*box_statistics(value)).join(
         exact_quantiles(rows, value, QUARTILES, key, size), key
     )
 
 
-def returns_distribution(
-    returns: DataFrame, by: Series = SERIES, last: int = 50
-) -> DataFrame:
+def returns_distribution(returns: DataFrame, by: Series = SERIES, last: int = 50) -> DataFrame:
     """Box statistics over the newest ``last`` returns of every key (a bounded group)."""
-    recent = last_n_per_key(returns, last, by)
-    q = F.percentile("return_pct", list(QUARTILES.values()))
-    out = recent.groupBy(by.key).agg(*box_statistics("return_pct"), q.alias("_q"))
-    names = ["n", "mean", "sd", "min", "max"]
-    return out.select(by.key, *names, *[F.col("_q")[i].alias(n) for i, n in enumerate(QUARTILES)])
+    return _box(last_n_per_key(returns, last, by).groupBy(by.key), "return_pct")
 
 
-def sampling_interval(
-    df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None
-) -> DataFrame:
-    """Median step between consecutive rows in microseconds; one minute for a single row."""
-    size = size or profile(df, by.key)
+def horizon(df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None) -> DataFrame:
+    """Per key: ``last_micros``, and ``step_micros``, the median step between its rows.
 
-    def step(rows: DataFrame, part: list[str]) -> DataFrame:
-        at = micros(by.ts)
-        return rows.withColumn("_step", at - F.lag(at).over(ordered(part, by)))
+    A key with a single row counts as sampled once a minute.
+    """
+    size = size or profile(df, by)
 
-    steps = over_rows(df.select(by.key, *by.order), step, 1, by, size)
-    medians = exact_quantiles(steps, "_step", {"_median": 0.5}, by.key, size)
+    def step(rows: DataFrame, part: list[str]) -> DataFrame:
+        return rows.withColumn("_step", F.col("_at") - F.lag("_at").over(ordered(part, by)))
+
+    timed = df.select(by.key, *by.order, micros(by.ts).alias("_at"))
+    steps = over_rows(timed, step, 1, by, size)
+    last = F.max("_at").alias("last_micros")
+    if not size.hot:
+        ends = steps.groupBy(by.key).agg(last, F.percentile("_step", 0.5).alias("_median"))
+    else:
+        medians = exact_quantiles(steps, "_step", {"_median": 0.5}, by.key, size)
+        ends = timed.groupBy(by.key).agg(last).join(medians, by.key, "left")
     known = F.floor("_median").cast("bigint")
-    return (
-        df.groupBy(by.key).agg(F.count(F.lit(1)).alias("_rows")).join(medians, by.key, "left")
-        .select(by.key, F.coalesce(known, F.lit(DEFAULT_STEP_MICROS)).alias("step_micros"))
+    return ends.select(
+        by.key, "last_micros", F.coalesce(known, F.lit(DEFAULT_STEP_MICROS)).alias("step_micros")
     )
+
+
+def sampling_interval(
+    df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None
+) -> DataFrame:
+    """Median step between consecutive rows of a key in microseconds."""
+    return horizon(df, by, size).select(by.key, "step_micros")

@@ -24,7 +24,7 @@ KEYS_PER_BLOCK = 1_000
 
 def normalized(df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None) -> DataFrame:
     """Value relative to the key's first value, base 100. One-row keys and base 0 are left out."""
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     base = df.groupBy(by.key).agg(
         earliest_of(by.value, by).alias("_base"), F.count(F.lit(1)).alias("_n")
     ).where("_n >= 2 AND _base <> 0").select(by.key, "_base")
@@ -37,7 +37,7 @@ def returns(df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None)
 
     The first row of a key, and rows after a value of 0, have no return and are dropped.
     """
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
 
     def step(rows: DataFrame, part: list[str]) -> DataFrame:
         before = F.lag(by.value).over(ordered(part, by))
@@ -105,7 +105,7 @@ def _pair_sums(cells: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"coin_a": a[i], "coin_b": b[j], **{k: v[i, j] for k, v in sums.items()}})
 
 
-def _chunked_correlation(cells: DataFrame, keys: int, rows: int) -> DataFrame:
+def _chunked_correlation(cells: DataFrame, keys: int, rows: int, unique: bool) -> DataFrame:
     """Any number of keys: a blocked matrix product.
 
     Positions are hashed into chunks and keys into blocks, so a task holds a bounded number
@@ -114,9 +114,10 @@ def _chunked_correlation(cells: DataFrame, keys: int, rows: int) -> DataFrame:
     blocks = -(-keys // KEYS_PER_BLOCK)
     chunks = max(1, -(-rows // CELLS_PER_TASK))
     block = F.pmod(F.xxhash64("_key"), F.lit(blocks)).cast("int")
+    if not unique:  # rows that share a position count with their mean
+        cells = cells.groupBy("_at", "_key").agg(F.avg("_x").alias("_x"))
     spread = (
-        cells.groupBy("_at", "_key").agg(F.avg("_x").alias("_x"))
-        .withColumn("_chunk", F.pmod(F.xxhash64("_at"), F.lit(chunks)))
+        cells.withColumn("_chunk", F.pmod(F.xxhash64("_at"), F.lit(chunks)))
         .withColumn("_block", block)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
         .withColumn("_p", F.least("_block", "_other")).withColumn("_q", F.greatest("_block", "_other"))
@@ -147,7 +148,7 @@ def correlation_matrix(
     equal ``bucket`` windows ("1 hour"). Fewer than two keys give an empty result.
     """
     rows = select_keys(df, keys)
-    size = size if size is not None and not keys else profile(rows, by.key)
+    size = size if size is not None and not keys else profile(rows, by)
     schema = "coin_a string, coin_b string, correlation double"
     if size.keys < 2:
         return df.sparkSession.createDataFrame([], schema)
@@ -164,4 +165,4 @@ def correlation_matrix(
     if method == "wide" or (method == "auto" and size.keys <= WIDE_KEYS):
         names = sorted(r[0] for r in rows.select(by.key).distinct().limit(WIDE_KEYS).collect())
         return _wide_correlation(cells, names)
-    return _chunked_correlation(cells, size.keys, size.rows)
+    return _chunked_correlation(cells, size.keys, size.rows, align == "ordinal")

@@ -63,7 +63,7 @@ def min_history(
     df: DataFrame, rows: int, by: Series = SERIES, size: KeyProfile | None = None
 ) -> DataFrame:
     """Rows of the keys that have at least ``rows`` rows."""
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     if not size.hot:
         # partitioned and sorted like the row windows that follow: no extra shuffle or sort
         whole = ordered([by.key], by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.columns import micros, percent_change
-from tickloom.operators.aggregate import latest_of, sampling_interval
+from tickloom.functions.columns import percent_change
+from tickloom.operators.aggregate import horizon, latest_of
 from tickloom.scale import KeyProfile, join_stats, ordered, over_rows, profile, with_ordinal
 from tickloom.schemas import GOLD_SERIES, Series
 
@@ -22,12 +22,6 @@ AR_ORDER = 5
 NOISE_FLOOR = 1e-12
 
 
-def horizon(df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
-    """Last time and sampling step of every key, in microseconds."""
-    last = df.groupBy(by.key).agg(F.max(micros(by.ts)).alias("last_micros"))
-    return last.join(sampling_interval(df, by, size), by.key)
-
-
 def _forecast_rows(fitted: DataFrame, by: Series, predicted: Column, method: str, steps: int) -> DataFrame:
     """One row per key and step; ``predicted`` may refer to ``step``."""
     stepped = fitted.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
@@ -53,7 +47,7 @@ def forecast_linear(
     df: DataFrame, steps: int = STEPS, by: Series = GOLD_SERIES, size: KeyProfile | None = None
 ) -> DataFrame:
     """Least squares over the row position, continued; a single row stays constant."""
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     fitted = _linear_fit(df, by, size).join(horizon(df, by, size), by.key)
     line = F.col("intercept") + F.col("slope") * (F.col("n") - 1 + F.col("step"))
     return _forecast_rows(fitted, by, line, "linear", steps)
@@ -121,7 +115,7 @@ def _levinson(fit: DataFrame) -> DataFrame:
 
 def ar_fit(df: DataFrame, by: Series = GOLD_SERIES, size: KeyProfile | None = None) -> DataFrame:
     """One row per key: ``beta``, ``a1..a5``, the newest value ``y`` and residual steps d0..d4."""
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     fit = _step_sums(df, by, size)
     fit = fit.withColumn("beta", F.coalesce(F.try_divide("xy0", "xx0"), F.lit(0.0)))
     b = F.col("beta")
@@ -150,7 +144,7 @@ def forecast_ar(
     likelihood of a state-space fit; it is consistent, always stationary, and needs only sums.
     Keys with fewer than ten values, or five with a volume, get the linear forecast.
     """
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     modelled, short = split_by_history(df, by, size)
     fit = ar_fit(modelled, by, size)
     past = [F.col(f"d{k}") for k in range(AR_ORDER)]

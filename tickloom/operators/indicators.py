@@ -21,15 +21,30 @@ BAND_WINDOW, BAND_WIDTH = 20, 2.0
 PANEL_MIN_ROWS = 5
 
 
-def sma_column(value: str, window: int, part: list[str], by: Series) -> Column:
-    """Mean of the last ``window`` rows; null until all of them hold a value."""
-    frame = last_rows(part, by, window)
-    return F.when(F.count(value).over(frame) == window, F.avg(value).over(frame))
-
+def measure(
+    rows: DataFrame, part: list[str], by: Series, windows: Sequence[int] = (), band: int | None = None,
+    width: float = BAND_WIDTH, previous: bool = False,
+) -> DataFrame:
+    """``sma_<w>`` per window, the three band columns, ``_previous``: one window operator.
 
-def std_column(value: str, window: int, part: list[str], by: Series) -> Column:
-    frame = last_rows(part, by, window)
-    return F.when(F.count(value).over(frame) == window, F.stddev_samp(value).over(frame))
+    An average is null until its whole window holds values.
+    """
+    value, full, measured = F.col(by.value), {}, {}
+    if previous:
+        measured["_previous"] = F.lag(by.value).over(ordered(part, by))
+    for w in dict.fromkeys([*windows, *([band] if band else [])]):
+        frame = last_rows(part, by, w)
+        measured.update({f"_n{w}": F.count(value).over(frame), f"_avg{w}": F.avg(value).over(frame)})
+        full[f"_avg{w}"] = F.when(F.col(f"_n{w}") == w, F.col(f"_avg{w}"))
+    if band:
+        measured["_sd"] = F.stddev_samp(value).over(last_rows(part, by, band))
+        full["_sd"] = F.when(F.col(f"_n{band}") == band, F.col("_sd") * width)
+    named = {f"sma_{w}": F.col(f"_avg{w}") for w in windows}
+    if band:
+        middle, spread = F.col(f"_avg{band}"), F.col("_sd")
+        named.update({"bb_middle": middle, "bb_upper": middle + spread, "bb_lower": middle - spread})
+    helpers = [name for name in measured if name != "_previous"]
+    return rows.withColumns(measured).withColumns(full).withColumns(named).drop(*helpers)
 
 
 def rsi_column(delta: str, period: int, part: list[str], by: Series, on_zero_loss: str = "null") -> Column:
@@ -49,28 +64,16 @@ def rsi_column(delta: str, period: int, part: list[str], by: Series, on_zero_los
     return F.when(F.count(step).over(frame) == period, strength)
 
 
-def _add_sma(rows, part, by, windows):
-    return rows.withColumns({f"sma_{w}": sma_column(by.value, w, part, by) for w in windows})
-
-
-def _add_bands(rows, part, by, window=BAND_WINDOW, width=BAND_WIDTH):
-    middle = sma_column(by.value, window, part, by)
-    spread = std_column(by.value, window, part, by) * width
-    return rows.withColumns(
-        {"bb_middle": middle, "bb_upper": middle + spread, "bb_lower": middle - spread}
-    )
-
-
 def _add_rsi(rows, part, by, period=RSI_PERIOD, on_zero_loss="null"):
-    step = F.col(by.value) - F.lag(by.value).over(ordered(part, by))
-    return (
-        rows.withColumn("_step", step)
-        .withColumn(f"rsi_{period}", rsi_column("_step", period, part, by, on_zero_loss)).drop("_step")
-    )
+    """RSI from ``_previous``."""
+    stepped = rows.withColumn("_step", F.col(by.value) - F.col("_previous"))
+    strength = rsi_column("_step", period, part, by, on_zero_loss)
+    return stepped.withColumn(f"rsi_{period}", strength).drop("_step")
 
 
-def _add_candles(rows, part, by):
-    opened = F.coalesce(F.lag(by.value).over(ordered(part, by)), F.col(by.value))
+def _add_candles(rows, by):
+    """Candle columns from ``_previous``."""
+    opened = F.coalesce(F.col("_previous"), F.col(by.value))
     with_open = rows.withColumns({"open": opened, "close": F.col(by.value)})
     high = F.col(by.high) if by.high in rows.columns else F.col(by.value)
     low = F.col(by.low) if by.low in rows.columns else F.col(by.value)
@@ -83,7 +86,7 @@ def _add_candles(rows, part, by):
 def sma(df: DataFrame, windows: int | Sequence[int] = (10, 20), by: Series = SERIES, size: KeyProfile | None = None) -> DataFrame:
     """``sma_<w>`` for each window."""
     chosen = [windows] if isinstance(windows, int) else list(windows)
-    return over_rows(df, lambda rows, part: _add_sma(rows, part, by, chosen), max(chosen) - 1, by, size)
+    return over_rows(df, lambda rows, part: measure(rows, part, by, chosen), max(chosen) - 1, by, size)
 
 
 def bollinger(
@@ -91,7 +94,10 @@ def bollinger(
     size: KeyProfile | None = None,
 ) -> DataFrame:
     """``bb_middle``, ``bb_upper``, ``bb_lower``: moving average and ± num_std deviations."""
-    return over_rows(df, lambda rows, part: _add_bands(rows, part, by, window, num_std), window - 1, by, size)
+    def bands(rows: DataFrame, part: list[str]) -> DataFrame:
+        return measure(rows, part, by, band=window, width=num_std)
+
+    return over_rows(df, bands, window - 1, by, size)
 
 
 def rsi(
@@ -99,20 +105,24 @@ def rsi(
     size: KeyProfile | None = None,
 ) -> DataFrame:
     """``rsi_<period>``; the first value needs period + 1 rows."""
-    return over_rows(df, lambda rows, part: _add_rsi(rows, part, by, period, on_zero_loss), period, by, size)
+    def strength(rows: DataFrame, part: list[str]) -> DataFrame:
+        return _add_rsi(measure(rows, part, by, previous=True), part, by, period, on_zero_loss).drop("_previous")
+
+    return over_rows(df, strength, period, by, size)
 
 
 def ohlc(df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None) -> DataFrame:
     """``open`` (the value before), ``close``, ``candle_high``, ``candle_low``."""
-    return over_rows(df, lambda rows, part: _add_candles(rows, part, by), 1, by, size)
+    def candles(rows: DataFrame, part: list[str]) -> DataFrame:
+        return _add_candles(measure(rows, part, by, previous=True), by).drop("_previous")
+
+    return over_rows(df, candles, 1, by, size)
 
 
 def all_indicators(rows: DataFrame, part: list[str], by: Series) -> DataFrame:
     """Every panel indicator over rows that are already partitioned by ``part``."""
-    out = _add_candles(rows, part, by)
-    out = _add_sma(out, part, by, (10, 20))
-    out = _add_bands(out, part, by)
-    return _add_rsi(out, part, by)
+    out = _add_candles(measure(rows, part, by, (10, 20), BAND_WINDOW, previous=True), by)
+    return _add_rsi(out, part, by).drop("_previous")
 
 
 ALL_HALO = max(BAND_WINDOW - 1, RSI_PERIOD)
@@ -132,6 +142,6 @@ def technical_panel(
     with fewer than five rows have no panel.
     """
     rows = df if key is None else df.where(F.col(by.key) == key)
-    size = size or profile(rows, by.key)
+    size = size or profile(rows, by)
     enough = min_history(rows, PANEL_MIN_ROWS, by, size)
     return indicators(enough, by, size).withColumn("volume_direction", direction(by.change, null_as="up"))

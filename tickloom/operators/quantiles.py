@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.scale import KeyProfile, join_stats, profile
+from tickloom.schemas import Series
 
 ACCURACY = 200_000
 
@@ -22,7 +23,7 @@ def exact_quantiles(
     more pass counts the rows outside the brackets and keeps the values inside, and the
     wanted ranks are read off those counts. Equal values are counted before the shuffle.
     """
-    size = size or profile(df, key)
+    size = size or profile(df, Series(key=key))
     names = sorted(probabilities, key=probabilities.get)
     wanted = [probabilities[name] for name in names]
     rows = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_x"))

@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import micros
-from tickloom.operators.forecast import STEPS, forecast_linear, horizon, split_by_history
+from tickloom.operators.aggregate import horizon
+from tickloom.operators.forecast import STEPS, forecast_linear, split_by_history
 from tickloom.scale import KeyProfile, join_stats, profile, with_ordinal
 from tickloom.schemas import GOLD_SERIES, Series
+from tickloom.session import materialize
 
 CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
 DAY = 86_400_000_000
@@ -106,7 +108,7 @@ def forecast_seasonal(
     The future volume stays at its last value. Rows without a value or volume are left out.
     Keys with fewer than ten values, or five with a volume, get the linear forecast.
     """
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     modelled, short = split_by_history(df, by, size)
     rows = modelled.where(F.col(by.value).isNotNull() & F.col(by.volume).isNotNull()).select(
         by.key, *by.tiebreak, F.col(by.ts).cast("timestamp").alias("_t"), micros(by.ts).alias("at"),
@@ -114,7 +116,9 @@ def forecast_seasonal(
     )
     parameters = _parameters(rows, by, size).join(horizon(modelled, by, size), by.key)
     cells = rows.select(by.key, F.col("at").cast("double").alias("at"), "value", "volume")
-    # fresh column identities: both sides of the cogroup stem from the same rows
+    # a row per key that several steps use: computed once, cut off from its lineage
+    parameters = materialize(parameters)
+    # fresh column identities: the other side of the cogroup stems from the same rows
     parameters = parameters.select(*[F.col(c).alias(c) for c in parameters.columns])
     key_type = dict(df.dtypes)[by.key]
     fit = _fit_chunked if size.hot else _fit_whole
@@ -164,7 +168,7 @@ def _fit_chunked(cells, parameters, key, key_type, steps, size):
     chunked = join_stats(cells, parameters.select(key, "chunks"), key, size).withColumn(
         "_chunk", F.pmod(F.xxhash64("at", "value"), F.col("chunks"))
     ).drop("chunks")
-    spread = parameters.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    spread = parameters.select(*[F.col(c).alias(c) for c in parameters.columns]).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
     partial = chunked.groupBy(key, "_chunk").cogroup(spread.groupBy(key, "_chunk")).applyInPandas(
         per_chunk, f"{key} {key_type}, cells array<double>"
     )

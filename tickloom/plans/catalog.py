@@ -18,9 +18,9 @@ from tickloom.operators import (
     aggregate, alerts, clean, compare, filters, forecast, indicators, seasonal, signals,
 )
 from tickloom.plans import views
-from tickloom.plans.fixtures import PARTS, SERIES_SEQ, TICKS, Fixtures
-from tickloom.scale import profile, with_ordinal
-from tickloom.schemas import GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SILVER, Series
+from tickloom.plans.fixtures import PARTS, Fixtures
+from tickloom.scale import with_ordinal
+from tickloom.schemas import GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SERIES, SILVER
 from tickloom.session import scratch_path
 from tickloom.sources import layers, raw
 from tickloom.streaming import flows
@@ -228,7 +228,7 @@ def _(f):
 
 @query("ordinal")
 def _(f):
-    return with_ordinal(f.series(), SERIES_SEQ).select("coin_id", "ts", "seq", "ordinal")
+    return with_ordinal(f.series()).select("coin_id", "ts", "seq", "ordinal")
 
 
 # --- aggregation ------------------------------------------------------------------------
@@ -262,7 +262,7 @@ def _(f):
 
 @query("status_by_key")
 def _(f):
-    return aggregate.status_by_key(f.series(), SERIES_SEQ)
+    return aggregate.status_by_key(f.series())
 
 
 @query("freshness")
@@ -282,7 +282,7 @@ def _(f):
 
 @query("volume_total")
 def _(f):
-    return aggregate.volume_total(f.series(), SERIES_SEQ)
+    return aggregate.volume_total(f.series())
 
 
 @query("price_distribution")
@@ -292,22 +292,22 @@ def _(f):
 
 @query("returns_distribution")
 def _(f):
-    return aggregate.returns_distribution(compare.returns(f.series(), SERIES_SEQ), SERIES_SEQ)
+    return aggregate.returns_distribution(compare.returns(f.series()), SERIES)
 
 
 @query("sampling_interval")
 def _(f):
-    return aggregate.sampling_interval(f.series(), SERIES_SEQ)
+    return aggregate.sampling_interval(f.series())
 
 
 @query("correlation_matrix")
 def _(f):
-    return compare.correlation_matrix(f.series(), by=SERIES_SEQ)
+    return compare.correlation_matrix(f.series())
 
 
 @query("correlation_time")
 def _(f):
-    return compare.correlation_matrix(f.series(), by=SERIES_SEQ, align="time", bucket="1 hour", method="chunked")
+    return compare.correlation_matrix(f.series(), by=SERIES, align="time", bucket="1 hour", method="chunked")
 
 
 # --- indicators and signals -------------------------------------------------------------
@@ -318,7 +318,7 @@ _ROW = ["coin_id", "ts", "seq"]
 def _sma(window: int):
     @query(f"sma_{window}")
     def _(f):
-        return indicators.sma(f.series(), window, SERIES_SEQ).select(*_ROW, f"sma_{window}")
+        return indicators.sma(f.series(), window, SERIES).select(*_ROW, f"sma_{window}")
 
 
 for _window in (10, 20):
@@ -327,12 +327,12 @@ for _window in (10, 20):
 
 @query("bollinger")
 def _(f):
-    return indicators.bollinger(f.series(), by=SERIES_SEQ).select(*_ROW, "bb_middle", "bb_upper", "bb_lower")
+    return indicators.bollinger(f.series()).select(*_ROW, "bb_middle", "bb_upper", "bb_lower")
 
 
 @query("rsi_14")
 def _(f):
-    return indicators.rsi(f.series(), by=SERIES_SEQ).select(*_ROW, "rsi_14")
+    return indicators.rsi(f.series()).select(*_ROW, "rsi_14")
 
 
 @query("ohlc")
@@ -344,17 +344,17 @@ def _(f):
 
 @query("normalized_price")
 def _(f):
-    return compare.normalized(f.series(), SERIES_SEQ).select(*_ROW, "normalized")
+    return compare.normalized(f.series()).select(*_ROW, "normalized")
 
 
 @query("returns_pct")
 def _(f):
-    return compare.returns(f.series(), SERIES_SEQ).select(*_ROW, "return_pct")
+    return compare.returns(f.series()).select(*_ROW, "return_pct")
 
 
 @query("kpi_latest")
 def _(f):
-    return signals.kpi_latest(f.series(), SERIES_SEQ)
+    return signals.kpi_latest(f.series())
 
 
 @query("latest_per_key")
@@ -364,7 +364,7 @@ def _(f):
 
 @query("period_change")
 def _(f):
-    return signals.period_change(f.series(), SERIES_SEQ)
+    return signals.period_change(f.series())
 
 
 _PANEL = ["open", "close", "candle_high", "candle_low", "sma_10", "sma_20", "bb_middle", "bb_upper", "bb_lower", "rsi_14", "volume_direction"]
@@ -408,7 +408,7 @@ def _(f):
 
 @query("alerts_fired")
 def _(f):
-    return alerts.check_alerts(f.series(), f.rules(), SERIES_SEQ, SESSION_START)
+    return alerts.check_alerts(f.series(), f.rules(), SERIES, SESSION_START)
 
 
 @query("alerts_remove")
@@ -424,7 +424,7 @@ def _(f):
 
 @query("alert_suggested_threshold")
 def _(f):
-    return alerts.suggested_threshold(f.rules().select(F.col("coin").alias("coin_id")), f.series(), SERIES_SEQ)
+    return alerts.suggested_threshold(f.rules().select(F.col("coin").alias("coin_id")), f.series(), SERIES)
 
 
 @query("alert_history_50")
@@ -446,7 +446,7 @@ def _(f):
 
 @query("forecast_ar")
 def _(f):
-    return forecast.forecast_ar(f.series(), by=SERIES_SEQ)
+    return forecast.forecast_ar(f.series(), by=SERIES)
 
 
 @query("forecast_ar_parts", digits=3)

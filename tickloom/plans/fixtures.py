@@ -11,7 +11,6 @@ from tickloom.schemas import SILVER_SERIES, Series
 from tickloom.session import use_utc
 
 TICKS = SILVER_SERIES.but(tiebreak=("seq",))
-SERIES_SEQ = Series(tiebreak=("seq",))
 PARTS = Series(tiebreak=("l_orderkey", "l_linenumber"))
 
 

@@ -54,7 +54,7 @@ def comparison(
 ) -> dict[str, DataFrame]:
     """Normalised series, correlation, volume totals and returns of two keys or more."""
     rows = filters.select_keys(aggregate.resample(gold, interval, by), keys, by.key)
-    size = profile(rows, by.key)
+    size = profile(rows, by)
     return {
         "normalized": compare.normalized(rows, by, size),
         "correlation": compare.correlation_matrix(rows, None, by, size=size),

@@ -36,14 +36,17 @@ WIDTHS = (2_592_000, 86_400, 3_600, 60)
 BLOCK, HALO = "_block", "_halo"
 
 
-@dataclass(frozen=True)
+@dataclass
 class KeyProfile:
-    """Size of a keyed table. A profile of an ancestor is a safe bound for its subsets."""
+    """Size of a keyed table. The profile of a table is a safe bound for its subsets."""
 
     keys: int
     rows: int
     max_rows: int
     block_rows: int
+    source: DataFrame | None = None
+    by: Series = SERIES
+    _hot: tuple[DataFrame, DataFrame] | None = None
 
     @property
     def hot(self) -> bool:
@@ -53,17 +56,23 @@ class KeyProfile:
     def few_keys(self) -> bool:
         return self.keys <= MAX_SMALL_ROWS
 
+    def hot_buckets(self) -> tuple[DataFrame, DataFrame]:
+        """Keys, and (key, width, start) buckets, above the block size; computed once."""
+        if self._hot is None:
+            self._hot = _hot_buckets(self.source, self.by, self.block_rows)
+        return self._hot
 
-def profile(df: DataFrame, key: str = "coin_id", block_rows: int | None = None) -> KeyProfile:
+
+def profile(df: DataFrame, by: Series = SERIES, block_rows: int | None = None) -> KeyProfile:
     """Number of keys, rows, and rows of the largest key: one pass, partially aggregated."""
     size = (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        df.groupBy(by.key).agg(F.count(F.lit(1)).alias("n"))
         .agg(F.count("n").alias("keys"), F.sum("n").alias("rows"), F.max("n").alias("top"))
         .first()
     )
     keys, rows, top = size["keys"], size["rows"] or 0, size["top"] or 0
     limit = block_rows or int(df.sparkSession.conf.get(BLOCK_ROWS_SETTING, str(DEFAULT_BLOCK_ROWS)))
-    return KeyProfile(keys, rows, top, max(limit, -(-rows // MAX_SMALL_ROWS)))
+    return KeyProfile(keys, rows, top, max(limit, -(-rows // MAX_SMALL_ROWS)), df, by)
 
 
 def ordered(part: list[str], by: Series, newest_first: bool = False) -> WindowSpec:
@@ -89,9 +98,9 @@ def _bucket(seconds: Column, width: int) -> Column:
     return seconds - F.pmod(seconds, F.lit(width))
 
 
-def _hot_buckets(df: DataFrame, by: Series, size: KeyProfile) -> tuple[DataFrame, DataFrame]:
+def _hot_buckets(df: DataFrame, by: Series, block_rows: int) -> tuple[DataFrame, DataFrame]:
     """Keys, and (key, width, start) time buckets, that hold more than block_rows rows."""
-    limit = F.lit(size.block_rows)
+    limit = F.lit(block_rows)
     keys = materialize(
         df.groupBy(by.key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).select(by.key)
     )
@@ -115,7 +124,7 @@ def assign_blocks(df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
     The finest block is a minute. With unique microsecond times a minute of one key is
     bounded, whatever the total is.
     """
-    keys, crowded = _hot_buckets(df, by, size)
+    keys, crowded = size.hot_buckets()
     second = F.unix_seconds(F.col(by.ts).cast("timestamp"))
     out = df.join(F.broadcast(keys.withColumn("_hot_key", F.lit(True))), by.key, "left")
     block = F.when(F.col("_hot_key").isNull(), F.lit(0).cast("bigint"))
@@ -162,7 +171,7 @@ def over_rows(
     size: KeyProfile | None = None,
 ) -> DataFrame:
     """Run ``compute(rows, partition columns)`` with row windows that look back ``halo`` rows."""
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     if not size.hot:
         return compute(df, [by.key])
     framed = compute(_with_halo(assign_blocks(df, by, size), by, halo), [by.key, BLOCK])
@@ -173,7 +182,7 @@ def with_ordinal(
     df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None, name: str = "ordinal"
 ) -> DataFrame:
     """0-based position of each row within its key, in time order."""
-    size = size or profile(df, by.key)
+    size = size or profile(df, by)
     if not size.hot:
         position = F.row_number().over(ordered([by.key], by)).cast("bigint") - 1
         return df.withColumn(name, position)

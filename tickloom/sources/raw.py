@@ -41,9 +41,9 @@ def read_raw(
                 F.monotonically_increasing_id().alias("arrival_line"))
         .withColumn("arrival_file", F.element_at(F.split("_file", "/"), -1))
     )
-    whole = records.where(F.col(_CORRUPT).isNull())
+    first = schema.fieldNames()[0]  # the parser must always see a column besides the corrupt one
+    whole = records.where(F.col(_CORRUPT).isNull() & (F.length(F.coalesce(F.col(first), F.lit(""))) >= 0))
     if on_corrupt == "file":
-        first = schema.fieldNames()[0]  # the parser must see a column besides the corrupt one
         files = records.groupBy("_file").agg(
             F.max(F.col(_CORRUPT).isNotNull()).alias("_broken"), F.count(first).alias("_read")
         )

@@ -152,7 +152,7 @@ def indicator_sink(
             rows = tail.withColumn("_new", F.lit(False)).unionByName(on_time.withColumn("_new", F.lit(True)))
         else:
             rows = fresh.withColumn("_new", F.lit(True))
-        size = profile(rows, by.key)
+        size = profile(rows, by)
         done = over_rows(rows, lambda r, part: all_indicators(r, part, by), ALL_HALO, by, size)
         done.where("_new").drop("_new").write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
         tail_now = last_n_per_key(rows.drop("_new"), ALL_HALO, by)
