@@ -5,8 +5,6 @@ Each forecast is a long table (key, step, window_start, predicted_price, method)
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,24 +20,26 @@ AR_ORDER = 5
 NOISE_FLOOR = 1e-12
 
 
-def _forecast_rows(fitted: DataFrame, by: Series, predicted: Column, method: str, steps: int) -> DataFrame:
-    """One row per key and step; ``predicted`` may refer to ``step``."""
-    stepped = fitted.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
+def stamp(predicted: DataFrame, df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
+    """Give (key, step, predicted_price, method) rows the time of their step."""
     at = F.timestamp_micros(F.col("last_micros") + F.col("step") * F.col("step_micros"))
-    return stepped.select(
-        by.key, "step", at.alias("window_start"), predicted.alias("predicted_price"),
-        F.lit(method).alias("method"),
+    return predicted.join(horizon(df, by, size), by.key).select(
+        by.key, "step", at.alias("window_start"), "predicted_price", "method"
     )
 
 
-def _linear_fit(df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
+def _linear_steps(df: DataFrame, steps: int, by: Series, size: KeyProfile) -> DataFrame:
     known = df.where(F.col(by.value).isNotNull()).select(by.key, *by.order, by.value)
     placed = with_ordinal(known, by, size, "_i")
     y, x = F.col(by.value), F.col("_i").cast("double")
-    return placed.groupBy(by.key).agg(
-        F.count(y).alias("n"),
-        F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias("slope"),
-        F.coalesce(F.regr_intercept(y, x), F.avg(y)).alias("intercept"),
+    fitted = placed.groupBy(by.key).agg(
+        F.count(y).alias("_n"),
+        F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias("_slope"),
+        F.coalesce(F.regr_intercept(y, x), F.avg(y)).alias("_intercept"),
+    )
+    line = F.col("_intercept") + F.col("_slope") * (F.col("_n") - 1 + F.col("step"))
+    return fitted.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps)))).select(
+        by.key, "step", line.alias("predicted_price"), F.lit("linear").alias("method")
     )
 
 
@@ -48,24 +48,20 @@ def forecast_linear(
 ) -> DataFrame:
     """Least squares over the row position, continued; a single row stays constant."""
     size = size or profile(df, by)
-    fitted = _linear_fit(df, by, size).join(horizon(df, by, size), by.key)
-    line = F.col("intercept") + F.col("slope") * (F.col("n") - 1 + F.col("step"))
-    return _forecast_rows(fitted, by, line, "linear", steps)
+    return stamp(_linear_steps(df, steps, by, size), df, by, size)
 
 
-def split_by_history(df: DataFrame, by: Series, size: KeyProfile) -> tuple[DataFrame, DataFrame]:
-    """(rows of keys with enough history for a model, rows of all other keys).
+def has_history(by: Series) -> list[Column]:
+    """Aggregates of a key's rows: ``_modelled`` (enough for a model) and ``_any`` value."""
+    value, aligned = F.col(by.value), F.when(F.col(by.volume).isNotNull(), F.col(by.value))
+    enough = (F.count(value) >= MIN_MODEL_ROWS) & (F.count(aligned) >= MIN_ALIGNED_ROWS)
+    return [enough.alias("_modelled"), (F.count(value) > 0).alias("_any")]
 
-    Keys without any value appear in neither.
-    """
-    value, volume = F.col(by.value), F.col(by.volume)
-    counts = df.groupBy(by.key).agg(
-        F.count(value).alias("_n"), F.count(F.when(volume.isNotNull(), value)).alias("_aligned")
-    ).where("_n > 0").select(
-        by.key, ((F.col("_n") >= MIN_MODEL_ROWS) & (F.col("_aligned") >= MIN_ALIGNED_ROWS)).alias("_modelled")
-    )
-    tagged = join_stats(df, counts, by.key, size)
-    return tagged.where("_modelled").drop("_modelled"), tagged.where("NOT _modelled").drop("_modelled")
+
+def linear_for_short(df: DataFrame, steps: int, by: Series, size: KeyProfile) -> DataFrame:
+    """Linear steps of the keys whose history is too short for a model."""
+    short = df.groupBy(by.key).agg(*has_history(by)).where("_any AND NOT _modelled").select(by.key)
+    return _linear_steps(join_stats(df, short, by.key, size, "left_semi"), steps, by, size)
 
 
 def _step_sums(df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
@@ -99,39 +95,54 @@ def _step_sums(df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
     return rows.groupBy(by.key).agg(newest, *sums)
 
 
-def _levinson(fit: DataFrame) -> DataFrame:
-    """Autoregressive coefficients a1..a5 from the autocovariances r0..r5 (Levinson-Durbin)."""
-    fit = fit.withColumn("_e", F.col("r0"))
-    a: list[str] = []
-    for m in range(1, AR_ORDER + 1):
-        explained = reduce(lambda s, j: s + F.col(a[j - 1]) * F.col(f"r{m - j}"), range(1, m), F.lit(0.0))
-        fit = fit.withColumn(f"_k{m}", F.coalesce(F.try_divide(F.col(f"r{m}") - explained, F.col("_e")), F.lit(0.0)))
-        k = F.col(f"_k{m}")
-        updated = {f"_a{m}_{j}": F.col(a[j - 1]) - k * F.col(a[m - j - 1]) for j in range(1, m)}
-        fit = fit.withColumns({**updated, f"_a{m}_{m}": k, "_e": F.col("_e") * (1 - k * k)})
-        a = [f"_a{m}_{j}" for j in range(1, m + 1)]
-    return fit.withColumns({f"a{j}": F.col(a[j - 1]) for j in range(1, AR_ORDER + 1)})
+def _levinson(r: Column) -> Column:
+    """Autoregressive coefficients [a1..a5] from autocovariances [r0..r5] (Levinson-Durbin)."""
+
+    def extend(state: Column, m: Column) -> Column:
+        a, e = state["a"], state["e"]
+        products = F.zip_with(a, F.reverse(F.slice(r, 2, m - 1)), lambda x, y: x * y)
+        explained = F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+        k = F.coalesce(F.try_divide(F.element_at(r, m + 1) - explained, e), F.lit(0.0))
+        updated = F.zip_with(a, F.reverse(a), lambda x, y: x - k * y)
+        return F.struct(F.concat(updated, F.array(k)).alias("a"), (e * (1 - k * k)).alias("e"))
+
+    start = F.struct(F.array().cast("array<double>").alias("a"), r[0].alias("e"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(AR_ORDER)), start, extend)["a"]
 
 
 def ar_fit(df: DataFrame, by: Series = GOLD_SERIES, size: KeyProfile | None = None) -> DataFrame:
-    """One row per key: ``beta``, ``a1..a5``, the newest value ``y`` and residual steps d0..d4."""
+    """One row per key: ``beta``, coefficients ``a``, newest value ``y``, newest residual steps ``d``."""
     size = size or profile(df, by)
     fit = _step_sums(df, by, size)
     fit = fit.withColumn("beta", F.coalesce(F.try_divide("xy0", "xx0"), F.lit(0.0)))
     b = F.col("beta")
-    fit = fit.withColumns({
-        f"_r{k}": F.col(f"yy{k}") - b * (F.col(f"xy{k}") + F.col(f"yx{k}")) + b * b * F.col(f"xx{k}")
+    covariances = F.array(*[
+        F.col(f"yy{k}") - b * (F.col(f"xy{k}") + F.col(f"yx{k}")) + b * b * F.col(f"xx{k}")
         for k in range(AR_ORDER + 1)
-    })
-    perfect = F.col("_r0") <= F.col("yy0") * NOISE_FLOOR
-    fit = fit.withColumns({
-        f"r{k}": F.when(perfect, F.lit(0.0)).otherwise(F.col(f"_r{k}")) for k in range(AR_ORDER + 1)
-    })
-    fit = fit.withColumns({
-        f"d{k}": F.col(f"_last.dy{k}") - b * F.col(f"_last.dx{k}") for k in range(AR_ORDER)
-    }).withColumn("y", F.col("_last.y"))
-    keep = [by.key, "beta", "y", *[f"d{k}" for k in range(AR_ORDER)]]
-    return _levinson(fit).select(*keep, *[f"a{j}" for j in range(1, AR_ORDER + 1)])
+    ])
+    recent = F.array(*[F.col(f"_last.dy{k}") - b * F.col(f"_last.dx{k}") for k in range(AR_ORDER)])
+    fit = fit.select(
+        by.key, "beta", F.col("_last.y").alias("y"), recent.alias("d"), covariances.alias("_r"),
+        (F.col("yy0") * NOISE_FLOOR).alias("_floor"),
+    )
+    perfect = F.array(*[F.lit(0.0)] * (AR_ORDER + 1))
+    r = F.when(F.col("_r")[0] <= F.col("_floor"), perfect).otherwise(F.col("_r"))
+    return fit.withColumn("_r", r).withColumn("a", _levinson(F.col("_r"))).drop("_r", "_floor")
+
+
+def _continue(steps: int) -> Column:
+    """The next ``steps`` levels of the process from ``y``, ``d`` and ``a``."""
+
+    def move(state: Column, _: Column) -> Column:
+        terms = F.zip_with(F.col("a"), state["past"], lambda x, y: x * y)
+        step = F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
+        level = F.element_at(state["path"], -1) + step
+        past = F.concat(F.array(step), F.slice(state["past"], 1, AR_ORDER - 1))
+        return F.struct(past.alias("past"), F.concat(state["path"], F.array(level)).alias("path"))
+
+    start = F.struct(F.col("d").alias("past"), F.array("y").alias("path"))
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, move)["path"]
+    return F.slice(path, 2, steps)
 
 
 def forecast_ar(
@@ -145,20 +156,12 @@ def forecast_ar(
     Keys with fewer than ten values, or five with a volume, get the linear forecast.
     """
     size = size or profile(df, by)
-    modelled, short = split_by_history(df, by, size)
-    fit = ar_fit(modelled, by, size)
-    past = [F.col(f"d{k}") for k in range(AR_ORDER)]
-    level = F.col("y")
-    for h in range(1, steps + 1):
-        step = reduce(lambda s, j: s + F.col(f"a{j}") * past[j - 1], range(2, AR_ORDER + 1), F.col("a1") * past[0])
-        fit = fit.withColumn(f"_s{h}", step)
-        fit = fit.withColumn(f"_p{h}", level + F.col(f"_s{h}"))
-        past = [F.col(f"_s{h}"), *past[:-1]]
-        level = F.col(f"_p{h}")
-    path = F.array(*[F.col(f"_p{h}") for h in range(1, steps + 1)])
-    fitted = fit.select(by.key, path.alias("_path")).join(horizon(modelled, by, size), by.key)
-    model = _forecast_rows(fitted, by, F.element_at("_path", F.col("step")), "ar", steps)
-    return model.unionByName(forecast_linear(short, steps, by, size))
+    enough = df.groupBy(by.key).agg(*has_history(by)).where("_modelled").select(by.key)
+    fit = ar_fit(df, by, size).join(enough, by.key, "left_semi")
+    model = fit.select(by.key, F.posexplode(_continue(steps)).alias("_p", "predicted_price")).select(
+        by.key, (F.col("_p") + 1).alias("step"), "predicted_price", F.lit("ar").alias("method")
+    )
+    return stamp(model.unionByName(linear_for_short(df, steps, by, size)), df, by, size)
 
 
 def forecast(

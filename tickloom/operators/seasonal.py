@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.columns import micros
 from tickloom.operators.aggregate import horizon
-from tickloom.operators.forecast import STEPS, forecast_linear, split_by_history
+from tickloom.operators.forecast import STEPS, has_history, linear_for_short, stamp
 from tickloom.scale import KeyProfile, join_stats, profile, with_ordinal
 from tickloom.schemas import GOLD_SERIES, Series
 from tickloom.session import materialize
@@ -109,26 +109,25 @@ def forecast_seasonal(
     Keys with fewer than ten values, or five with a volume, get the linear forecast.
     """
     size = size or profile(df, by)
-    modelled, short = split_by_history(df, by, size)
-    rows = modelled.where(F.col(by.value).isNotNull() & F.col(by.volume).isNotNull()).select(
+    enough = df.groupBy(by.key).agg(*has_history(by)).where("_modelled").select(by.key)
+    rows = join_stats(df, enough, by.key, size, "left_semi").where(
+        F.col(by.value).isNotNull() & F.col(by.volume).isNotNull()
+    ).select(
         by.key, *by.tiebreak, F.col(by.ts).cast("timestamp").alias("_t"), micros(by.ts).alias("at"),
         F.col(by.value).alias("value"), F.col(by.volume).alias("volume"),
     )
-    parameters = _parameters(rows, by, size).join(horizon(modelled, by, size), by.key)
-    cells = rows.select(by.key, F.col("at").cast("double").alias("at"), "value", "volume")
     # a row per key that several steps use: computed once, cut off from its lineage
-    parameters = materialize(parameters)
-    # fresh column identities: the other side of the cogroup stems from the same rows
-    parameters = parameters.select(*[F.col(c).alias(c) for c in parameters.columns])
+    parameters = materialize(_parameters(rows, by, size).join(horizon(df, by, size), by.key))
+    cells = rows.select(by.key, F.col("at").cast("double").alias("at"), "value", "volume")
     key_type = dict(df.dtypes)[by.key]
     fit = _fit_chunked if size.hot else _fit_whole
-    predicted = fit(cells, parameters, by.key, key_type, steps, size)
-    final = predicted.join(parameters.select(by.key, "last_micros", "step_micros"), by.key)
-    at = F.timestamp_micros(F.col("last_micros") + F.col("step") * F.col("step_micros"))
-    model = final.select(
-        by.key, "step", at.alias("window_start"), "predicted_price", F.lit("seasonal").alias("method")
-    )
-    return model.unionByName(forecast_linear(short, steps, by, size))
+    model = fit(cells, _fresh(parameters), by.key, key_type, steps, size).withColumn("method", F.lit("seasonal"))
+    return stamp(model.unionByName(linear_for_short(df, steps, by, size)), df, by, size)
+
+
+def _fresh(df: DataFrame) -> DataFrame:
+    """New column identities, for a cogroup of two tables with the same origin."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
 def _fit_whole(cells, parameters, key, key_type, steps, size):
@@ -168,7 +167,7 @@ def _fit_chunked(cells, parameters, key, key_type, steps, size):
     chunked = join_stats(cells, parameters.select(key, "chunks"), key, size).withColumn(
         "_chunk", F.pmod(F.xxhash64("at", "value"), F.col("chunks"))
     ).drop("chunks")
-    spread = parameters.select(*[F.col(c).alias(c) for c in parameters.columns]).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+    spread = _fresh(parameters).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
     partial = chunked.groupBy(key, "_chunk").cogroup(spread.groupBy(key, "_chunk")).applyInPandas(
         per_chunk, f"{key} {key_type}, cells array<double>"
     )

@@ -349,7 +349,7 @@ def _(f):
 
 @query("returns_pct")
 def _(f):
-    return compare.returns(f.series()).select(*_ROW, "return_pct")
+    return compare.returns(f.series()).select("coin_id", "ts", "return_pct")
 
 
 @query("kpi_latest")

@@ -284,7 +284,7 @@ ORACLES: dict[str, str] = {
  {r('least(min_price, open, close)', 'candle_low')} FROM panel""", **_BY_HOUR),
     "normalized_price": sql(f"""SELECT coin_id, ts, seq, {r('value / base * 100', 'normalized')} FROM (
  SELECT *, first_value(value) OVER (PARTITION BY coin_id ORDER BY ts, seq) AS base FROM placed) WHERE total >= 2 AND base <> 0"""),
-    "returns_pct": sql(f"""SELECT coin_id, ts, seq, {r('(value - previous) / previous * 100', 'return_pct')}
+    "returns_pct": sql(f"""SELECT coin_id, ts, {r('(value - previous) / previous * 100', 'return_pct')}
  FROM placed WHERE total >= 5 AND previous <> 0"""),
     "kpi_latest": sql(f"""SELECT coin_id, {r('value', 'last_value')}, {r('previous', 'previous_value')},
  {r('coalesce((value - previous) / nullif(previous, 0) * 100, 0.0)', 'change_pct')}
