@@ -89,6 +89,11 @@ def test_empty_input_stays_empty_with_a_schema(spark):
     assert gold.count() == 0 and gold.columns == GOLD.fieldNames()
 
 
+def test_gold_without_times_is_returned_unchanged(spark):
+    df = spark.createDataFrame([("a", 1.0)], "coin_id string, price_usd double")
+    assert to_gold(df) is df
+
+
 def gold_rows(spark, *values):
     data = [("a", datetime(2024, 1, 1, 0, m), datetime(2024, 1, 1, 0, m, 10), p, p - 1, p + 1, 10.0, 1.0, 0.5, 2) for m, p in values]
     return spark.createDataFrame(data, GOLD)

@@ -5,7 +5,9 @@ import pandas as pd
 import pytest
 
 from tickloom.operators.indicators import bollinger, ohlc, rsi, sma, technical_panel
-from tickloom.operators.signals import kpi_latest, period_change, signal_text, signals, technical_summary
+from tickloom.operators.signals import (
+    kpi_latest, period_change, signal_text, signals, technical_cards, technical_summary,
+)
 from tickloom.schemas import GOLD_SERIES, SERIES
 
 START = datetime(2024, 1, 1)
@@ -89,6 +91,12 @@ def test_rising_series(spark):
     assert technical_summary(series(spark, [100 + 2 * i for i in range(30)])).first().rsi_zone == "Oversold"
 
 
+def test_cards_keep_keys_with_a_null_rsi(spark):
+    card = technical_cards(series(spark, [100 + 2 * i for i in range(30)])).first()
+    assert card.rsi is None and card.rsi_zone == "Oversold" and card.recommendation == "Buy"
+    assert card.period_change_pct == pytest.approx(58.0) and card.bb_width > 0
+
+
 def test_falling_series(spark):
     r = signals_of(spark, [200 - 2 * i for i in range(30)])
     assert (r.rsi, r.rsi_signal) == (0.0, "Bullish (Oversold)")

@@ -34,7 +34,7 @@ def plain(frame: pd.DataFrame):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"json_records", "signal_text", "forecast_seasonal"}
+    assert set(QUERIES) - set(ORACLES) == {"forecast_seasonal"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -103,6 +103,7 @@ def test_correlation_paths_agree(spark, bursty, rows, monkeypatch):
     assert rows(correlation_matrix(bursty, size=hot, method="wide"), 7) == wide
     monkeypatch.setattr(compare, "KEYS_PER_BLOCK", 2)
     monkeypatch.setattr(compare, "CELLS_PER_TASK", 100)
+    monkeypatch.setattr(compare, "DENSE_CELLS", 7)
     assert rows(correlation_matrix(bursty, size=plain, method="chunked"), 7) == wide
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 
 from tickloom.functions.columns import INTERVALS, box_statistics, micros
 from tickloom.operators.filters import last_n_per_key
-from tickloom.operators.quantiles import exact_quantiles
+from tickloom.operators.quantiles import BUFFER_ROWS, exact_quantiles
 from tickloom.scale import KeyProfile, over_rows, profile, ordered
-from tickloom.schemas import GOLD_SERIES, SERIES, Series
+from tickloom.schemas import GOLD_SERIES, SERIES, SILVER_SERIES, Series
 
 DEFAULT_STEP_MICROS = 60_000_000
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -28,7 +28,12 @@ def gold_columns() -> list[Column]:
 
 
 def to_gold(silver: DataFrame, width: str = "10 seconds") -> DataFrame:
-    """Epoch-aligned tumbling aggregate per key. Rows without a key or time are left out."""
+    """Epoch-aligned tumbling aggregate per key. Rows without a key or time are left out.
+
+    A table without times is returned as it is.
+    """
+    if "fetched_at" not in silver.columns:
+        return silver
     ticks = silver.where(F.col("coin_id").isNotNull())
     ticks = ticks.withColumn("_ts", F.col("fetched_at").cast("timestamp"))
     return flat_window(ticks.groupBy("coin_id", F.window("_ts", width).alias("_w")).agg(*gold_columns()))
@@ -75,6 +80,13 @@ def resample(gold: DataFrame, interval: str, by: Series = GOLD_SERIES) -> DataFr
     return binned.where(F.col(averages[0]).isNotNull()) if averages else binned
 
 
+def volatility_series(df: DataFrame, layer: str = "gold") -> DataFrame:
+    """Series behind the volatility chart: gold has the deviation; for silver it is the volume."""
+    by, column = (GOLD_SERIES, "price_volatility") if layer == "gold" else (SILVER_SERIES, "volume_24h_usd")
+    name = column if layer == "gold" else "volume"
+    return df.select(by.key, by.ts, F.col(column).alias(name))
+
+
 def latest_of(name: str, by: Series) -> Column:
     """Value of a column on the newest row: a partial aggregate, no sort of the key's rows."""
     order = F.col(by.ts) if not by.tiebreak else F.struct(*by.order)
@@ -153,7 +165,7 @@ def distribution(
     """Box statistics per key: n, mean, sd, min, max and interpolated quartiles."""
     size = size or profile(df, Series(key=key))
     rows = df.where(F.col(value).isNotNull())
-    if not size.hot:
+    if not size.exceeds(BUFFER_ROWS):
         return _box(rows.groupBy(key), value)
     return rows.groupBy(key).agg(*box_statistics(value)).join(
         exact_quantiles(rows, value, QUARTILES, key, size), key
@@ -178,7 +190,7 @@ def horizon(df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None)
     timed = df.select(by.key, *by.order, micros(by.ts).alias("_at"))
     steps = over_rows(timed, step, 1, by, size)
     last = F.max("_at").alias("last_micros")
-    if not size.hot:
+    if not size.exceeds(BUFFER_ROWS):
         ends = steps.groupBy(by.key).agg(last, F.percentile("_step", 0.5).alias("_median"))
     else:
         medians = exact_quantiles(steps, "_step", {"_median": 0.5}, by.key, size)

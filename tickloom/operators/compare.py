@@ -18,8 +18,10 @@ from tickloom.schemas import SERIES, Series
 
 RETURN_MIN_ROWS = 5
 WIDE_KEYS = 8
-CELLS_PER_TASK = 2_000_000
+CELLS_PER_TASK = 500_000
+DENSE_CELLS = 2_000_000
 KEYS_PER_BLOCK = 1_000
+PAIR_SUMS = ("n", "sa", "sb", "saa", "sbb", "sab")
 
 
 def normalized(df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None) -> DataFrame:
@@ -79,25 +81,41 @@ def _wide_correlation(cells: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _pair_sums(cells: pd.DataFrame) -> pd.DataFrame:
-    """Sums per key pair over the positions of one chunk, for one pair of key blocks."""
+    """Sums per key pair over the positions of one chunk, for one pair of key blocks.
+
+    Positions are taken in slabs, so the dense matrices stay small however sparse the cells are.
+    """
     p, q = int(cells["_p"].iloc[0]), int(cells["_q"].iloc[0])
     at, _ = pd.factorize(cells["_at"])
-    size = at.max() + 1
-
-    def side(block: int):
-        mine = cells["_block"].to_numpy() == block
-        codes, names = pd.factorize(cells["_key"][mine], sort=True)
-        x, seen = np.zeros((size, len(names))), np.zeros((size, len(names)))
-        x[at[mine], codes] = cells["_x"].to_numpy()[mine]
-        seen[at[mine], codes] = 1.0
-        return x, seen, np.asarray(names, dtype=object)
-
-    xa, ma, a = side(p)
-    xb, mb, b = (xa, ma, a) if p == q else side(q)
-    sums = {
-        "n": ma.T @ mb, "sa": xa.T @ mb, "sb": ma.T @ xb,
-        "saa": (xa * xa).T @ mb, "sbb": ma.T @ (xb * xb), "sab": xa.T @ xb,
-    }
+    block, value = cells["_block"].to_numpy(), cells["_x"].to_numpy()
+
+    def side(number: int):
+        rows = np.flatnonzero(block == number)
+        rows = rows[np.argsort(at[rows], kind="stable")]
+        codes, names = pd.factorize(cells["_key"].iloc[rows], sort=True)
+        return at[rows], codes, value[rows], np.asarray(names, dtype=object)
+
+    def dense(one, start: int, stop: int):
+        position, codes, x, names = one
+        low, high = np.searchsorted(position, [start, stop])
+        values, seen = np.zeros((stop - start, len(names))), np.zeros((stop - start, len(names)))
+        values[position[low:high] - start, codes[low:high]] = x[low:high]
+        seen[position[low:high] - start, codes[low:high]] = 1.0
+        return values, seen
+
+    left = side(p)
+    right = left if p == q else side(q)
+    a, b = left[3], right[3]
+    slab = max(1, DENSE_CELLS // max(len(a), len(b), 1))
+    sums = {name: np.zeros((len(a), len(b))) for name in PAIR_SUMS}
+    for start in range(0, int(at.max()) + 1, slab):
+        stop = min(start + slab, int(at.max()) + 1)
+        xa, ma = dense(left, start, stop)
+        xb, mb = (xa, ma) if p == q else dense(right, start, stop)
+        for name, part in zip(PAIR_SUMS, (
+            ma.T @ mb, xa.T @ mb, ma.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb), xa.T @ xb,
+        )):
+            sums[name] += part
     keep = sums["n"] > 0
     if p == q:
         keep &= np.triu(np.ones_like(keep, dtype=bool))
@@ -124,13 +142,13 @@ def _chunked_correlation(cells: DataFrame, keys: int, rows: int, unique: bool) -
         .drop("_other")
     )
     sums = spread.groupBy("_chunk", "_p", "_q").applyInPandas(
-        _pair_sums, "coin_a string, coin_b string, n double, sa double, sb double, saa double, sbb double, sab double"
+        _pair_sums, "coin_a string, coin_b string, " + ", ".join(f"{c} double" for c in PAIR_SUMS)
     )
     total = sums.groupBy("coin_a", "coin_b").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]
+        *[F.sum(c).alias(c) for c in PAIR_SUMS]
     )
     upper = total.select("coin_a", "coin_b", _correlation(
-        *[F.col(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")]
+        *[F.col(c) for c in PAIR_SUMS]
     ).alias("correlation"))
     mirrored = upper.where("coin_a <> coin_b").select(
         F.col("coin_b").alias("coin_a"), F.col("coin_a").alias("coin_b"), "correlation"

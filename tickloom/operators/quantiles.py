@@ -10,6 +10,8 @@ from tickloom.scale import KeyProfile, join_stats, profile
 from tickloom.schemas import Series
 
 ACCURACY = 200_000
+# distinct values of one key that one aggregation buffer may hold
+BUFFER_ROWS = 2_000_000
 
 
 def exact_quantiles(
@@ -27,7 +29,7 @@ def exact_quantiles(
     names = sorted(probabilities, key=probabilities.get)
     wanted = [probabilities[name] for name in names]
     rows = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_x"))
-    if not size.hot:
+    if not size.exceeds(BUFFER_ROWS):
         packed = rows.groupBy(key).agg(F.percentile("_x", wanted).alias("_q"))
         return packed.select(key, *[F.col("_q")[i].alias(name) for i, name in enumerate(names)])
 

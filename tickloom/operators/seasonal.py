@@ -24,6 +24,7 @@ CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
 DAY = 86_400_000_000
 CYCLES = ((DAY, 4), (7 * DAY, 3))  # period in microseconds, Fourier order
 CHUNK_ROWS = 200_000
+WHOLE_ROWS = 1_000_000  # longest history fitted in one piece
 # Prior standard deviations: level and slope, trend changes, cycles, regressor.
 PRIOR_BASE, PRIOR_CHANGE, PRIOR_CYCLE, PRIOR_VOLUME = 5.0, 0.05 * 2**0.5, 10.0, 10.0
 
@@ -120,7 +121,7 @@ def forecast_seasonal(
     parameters = materialize(_parameters(rows, by, size).join(horizon(df, by, size), by.key))
     cells = rows.select(by.key, F.col("at").cast("double").alias("at"), "value", "volume")
     key_type = dict(df.dtypes)[by.key]
-    fit = _fit_chunked if size.hot else _fit_whole
+    fit = _fit_chunked if size.exceeds(WHOLE_ROWS) else _fit_whole
     model = fit(cells, _fresh(parameters), by.key, key_type, steps, size).withColumn("method", F.lit("seasonal"))
     return stamp(model.unionByName(linear_for_short(df, steps, by, size)), df, by, size)
 

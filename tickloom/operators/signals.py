@@ -64,16 +64,29 @@ def rsi_zone(rsi: str = "rsi") -> Column:
     return F.when((r > 30) & (r < 70), "Neutral").when(r >= 70, "Overbought").otherwise("Oversold")
 
 
+def _card_columns() -> dict[str, Column]:
+    """Summary of the last row, from ``last_row_indicators``."""
+    width = F.when(F.col("rows") >= BAND_WINDOW, F.col("bb_upper") - F.col("bb_lower")).otherwise(0.0)
+    return {
+        "rsi_zone": rsi_zone(), "bb_width": width,
+        "period_change_pct": percent_change("last_value", "first_value"),
+    }
+
+
 def technical_summary(df: DataFrame, by: Series = SERIES) -> DataFrame:
     """Current value, RSI and its zone, band width, and change over the whole period."""
     last = last_row_indicators(df, by).where(F.col("rows") >= PANEL_MIN_ROWS)
-    width = F.when(F.col("rows") >= BAND_WINDOW, F.col("bb_upper") - F.col("bb_lower")).otherwise(0.0)
-    return last.select(
-        by.key, F.col("last_value").alias("current"), "rsi", rsi_zone().alias("rsi_zone"),
-        width.alias("bb_width"), percent_change("last_value", "first_value").alias("period_change_pct"),
+    cards = last.withColumns(_card_columns())
+    return cards.select(
+        by.key, F.col("last_value").alias("current"), "rsi", "rsi_zone", "bb_width", "period_change_pct"
     )
 
 
+def technical_cards(df: DataFrame, by: Series = SERIES) -> DataFrame:
+    """Summary and signals of each key together."""
+    return signals(df, by).withColumns(_card_columns())
+
+
 def _score(signal: str) -> Column:
     s = F.col(signal)
     return F.when(s.startswith("Bullish"), 1).when(s.startswith("Bearish"), -1).otherwise(0)

@@ -121,7 +121,7 @@ def _(f):
 
 @query("json_records")
 def _(f):
-    return layers.json_records(f.hourly())
+    return layers.json_records(f.history())
 
 
 # --- cleaning ---------------------------------------------------------------------------
@@ -175,7 +175,12 @@ def _(f):
 
 @query("volatility_series")
 def _(f):
-    return f.hourly().select("coin_id", "window_start", "price_volatility")
+    return aggregate.volatility_series(f.hourly())
+
+
+@query("volatility_series_silver")
+def _(f):
+    return aggregate.volatility_series(f.ticks(), "silver")
 
 
 @query("dedup_first")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tickloom.operators.signals import AVERAGE_TEXT, BAND_TEXT, RSI_TEXT
 from tickloom.schemas import KNOWN_COINS
 
 
@@ -206,6 +207,35 @@ def _forecast_ar(source: str, order: str) -> dict[str, str]:
     return out
 
 
+
+
+def _filled(text: str, *numbers: str) -> str:
+    """SQL for a text with its %s replaced by formatted numbers."""
+    parts = text.split("%s")
+    return " || ".join([f"'{parts[0]}'"] + [f"{n} || '{part}'" for n, part in zip(numbers, parts[1:])])
+
+
+def _number(column: str, digits: int) -> str:
+    return f"coalesce(printf('%.{digits}f', {column}), 'nan')"
+
+
+def _text_case(signal: str, numbers: dict[str, tuple[str, ...]], texts: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {_filled(text, *numbers.get(name, ()))}" for name, text in texts.items())
+    return f"CASE {signal} {cases} END"
+
+
+_RSI, _LAST = (_number("rsi", 1),), _number("last_value", 4)
+_AVERAGES = (_number("sma_10", 4), _number("sma_20", 4))
+_TEXTS = "SELECT coin_id, " + ", ".join([
+    _text_case("rsi_signal", dict.fromkeys(RSI_TEXT, _RSI), RSI_TEXT) + " AS rsi_text",
+    _text_case("bb_signal", {
+        "Bearish (Overextended)": (_LAST, _number("bb_upper", 4)),
+        "Bullish (Undervalued)": (_LAST, _number("bb_lower", 4)), "Neutral": (_LAST, _number("bb_middle", 4)),
+    }, BAND_TEXT) + " AS bb_text",
+    _text_case("ma_signal", {
+        "Bullish (Uptrend)": (_LAST, *_AVERAGES), "Bearish (Downtrend)": (_LAST, *_AVERAGES), "Neutral": _AVERAGES,
+    }, AVERAGE_TEXT) + " AS ma_text", "recommendation",
+]) + " FROM rated"
 _FORECAST_OUT = f"coin_id, CAST(step AS BIGINT) AS step, window_start, {r('predicted_price')}, method"
 _FORECAST_OUT_3 = f"coin_id, CAST(step AS BIGINT) AS step, window_start, {r('predicted_price', digits=3)}, method"
 _LINE = _forecast_linear("hourly", "avg_price", "window_start", "window_start")
@@ -238,6 +268,9 @@ ORACLES: dict[str, str] = {
     "direction_label": sql(f"""SELECT CASE WHEN change_24h_pct >= 0 THEN 'up' ELSE 'down' END AS change_direction,
  {_UP.format('change_24h_pct')} AS volume_direction, count(*) AS rows FROM dirty GROUP BY ALL"""),
     "volatility_series": sql(f"SELECT coin_id, window_start, {r('price_volatility')} FROM hourly"),
+    "volatility_series_silver": sql(f"SELECT coin_id, fetched_at, {r('volume_24h_usd', 'volume')} FROM ticks"),
+    "json_records": sql("""SELECT '{"seq":' || seq || ',"time":"' || time || '","coin":"' || coin || '","type":"' || type ||
+ '","message":"' || message || '"}' AS record FROM history"""),
     "dedup_first": sql(f"SELECT seq, coin_id, fetched_at, {r('price_usd')} FROM silver"),
     "select_keys": sql(f"SELECT seq, coin_id, ts, {r('value')} FROM series WHERE coin_id IN ('click', 'purchase')"),
     "trailing_range": sql(f"SELECT seq, coin_id, ts, {r('value')} FROM series WHERE ts >= (SELECT max(ts) FROM series) - INTERVAL 6 HOUR"),
@@ -305,6 +338,7 @@ ORACLES: dict[str, str] = {
     "technical_summary": sql(f"SELECT coin_id, {r('last_value', 'current', 3)}, {r('rsi', digits=3)}, rsi_zone, {rs('bb_width', 'period_change_pct', digits=3)} FROM labelled", **_BY_PART),
     "signals": sql(f"SELECT {_SIGNAL_OUT} FROM rated", **_BY_PART),
     "signals_hourly": sql(f"SELECT {_SIGNAL_OUT}, rsi_zone, {rs('bb_width', 'period_change_pct')} FROM rated", **_BY_HOUR),
+    "signal_text": sql(_TEXTS, **_BY_HOUR),
     "alerts_fired": sql("SELECT id, '12:00:00' AS time, coin, type, message FROM fired"),
     "alerts_remove": sql(f"SELECT id, coin, type, condition, {r('threshold')}, active FROM rules WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')"),
     "alerts_add": sql(f"""SELECT id, coin, type, condition, {r('threshold')}, active FROM rules

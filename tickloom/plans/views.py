@@ -46,7 +46,7 @@ def technical_cards(
 ) -> DataFrame:
     """Summary and signals of the last row of each key."""
     binned = aggregate.resample(filters.trailing_range(gold, time_range, by.ts), interval, by)
-    return signals.technical_summary(binned, by).join(signals.signals(binned, by), [by.key, "rsi"])
+    return signals.technical_cards(binned, by)
 
 
 def comparison(

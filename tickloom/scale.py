@@ -52,6 +52,10 @@ class KeyProfile:
     def hot(self) -> bool:
         return self.max_rows > self.block_rows
 
+    def exceeds(self, rows: int) -> bool:
+        """Whether a key is too long for a step that holds ``rows`` rows of it in memory."""
+        return self.max_rows > min(rows, self.block_rows)
+
     @property
     def few_keys(self) -> bool:
         return self.keys <= MAX_SMALL_ROWS
