@@ -94,7 +94,7 @@ def test_counts(spark):
     c = layer_counts(df.limit(0), df).first()
     assert (c.gold_rows, c.silver_rows, c["keys"], c.layer) == (0, 3, 2, "Silver")
     status = {r.coin_id: (r.records, r.latest, r.volume) for r in status_by_key(df).collect()}
-    assert status == {"a": (2, 12.0, 3.0), "b": (1, 7.0, None)}
+    assert status == {"a": (2, 12.0, 3.0), "b": (1, 7.0, 0.0)}
     assert [r.coin_id for r in volume_total(df).collect()] == ["a"]
 
 

@@ -107,6 +107,11 @@ def test_resample_takes_min_max_sum_and_mean(spark):
     assert "window_end" not in bins[0]
 
 
+def test_resampled_volume_of_nulls_is_zero(spark):
+    gold = gold_rows(spark, (0, 10.0)).withColumn("avg_volume", F.lit(None).cast("double"))
+    assert resample(gold, "5m").first().avg_volume == 0.0
+
+
 def test_resample_to_one_minute_or_unknown_changes_nothing(spark):
     gold = gold_rows(spark, (0, 10.0))
     assert resample(gold, "1m") is gold and resample(gold, "2d") is gold

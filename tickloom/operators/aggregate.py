@@ -58,7 +58,7 @@ def resample_columns(df: DataFrame, by: Series = GOLD_SERIES) -> list[Column]:
         elif name == by.high:
             agg = F.max(name)
         elif name in (by.volume, "record_count"):
-            agg = F.sum(name)
+            agg = F.coalesce(F.sum(name), F.lit(0))  # a sum over no values is 0
         else:
             agg = F.avg(name)
         chosen.append(agg.alias(name))
@@ -113,7 +113,7 @@ def status_by_key(df: DataFrame, by: Series = SERIES) -> DataFrame:
     return df.groupBy(by.key).agg(
         F.count(F.lit(1)).alias("records"), latest_of(by.value, by).alias("latest"),
         F.avg(by.value).alias("avg"), F.min(by.value).alias("min"), F.max(by.value).alias("max"),
-        F.sum(by.volume).alias("volume"),
+        F.coalesce(F.sum(by.volume), F.lit(0.0)).alias("volume"),
     )
 
 

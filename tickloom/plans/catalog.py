@@ -342,7 +342,7 @@ def _(f):
 
 @query("ohlc")
 def _(f):
-    return indicators.ohlc(f.hourly(), GOLD_SERIES).select(
+    return indicators.ohlc(f.hourly(), GOLD_SERIES, f.tick_profile()).select(
         "coin_id", "window_start", "open", "close", "candle_high", "candle_low"
     )
 
@@ -377,7 +377,8 @@ _PANEL = ["open", "close", "candle_high", "candle_low", "sma_10", "sma_20", "bb_
 
 @query("technical_panel")
 def _(f):
-    return views.technical(f.gold(), interval="1h", time_range="all").select("coin_id", "window_start", *_PANEL)
+    panel = views.technical(f.gold(), interval="1h", time_range="all", size=f.tick_profile())
+    return panel.select("coin_id", "window_start", *_PANEL)
 
 
 @query("technical_panel_parts", digits=3)
@@ -446,7 +447,7 @@ def _(f):
 
 @query("forecast_linear")
 def _(f):
-    return forecast.forecast_linear(f.hourly())
+    return forecast.forecast_linear(f.hourly(), size=f.tick_profile())
 
 
 @query("forecast_ar")
@@ -461,19 +462,19 @@ def _(f):
 
 @query("forecast_seasonal")
 def _(f):
-    return seasonal.forecast_seasonal(f.hourly())
+    return seasonal.forecast_seasonal(f.hourly(), size=f.tick_profile())
 
 
 @query("forecast_summary")
 def _(f):
     hourly = f.hourly()
-    return forecast.forecast_summary(forecast.forecast_linear(hourly), hourly)
+    return forecast.forecast_summary(forecast.forecast_linear(hourly, size=f.tick_profile()), hourly)
 
 
 @query("actual_plus_forecast")
 def _(f):
     hourly = f.hourly()
-    return forecast.actual_plus_forecast(forecast.forecast_linear(hourly), hourly)
+    return forecast.actual_plus_forecast(forecast.forecast_linear(hourly, size=f.tick_profile()), hourly)
 
 
 # --- streaming --------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.aggregate import resample, to_gold
 from tickloom.operators.clean import as_series, normalize_types, to_silver
+from tickloom.scale import KeyProfile, profile
 from tickloom.schemas import SILVER_SERIES, Series
 from tickloom.session import use_utc
 
@@ -70,6 +71,10 @@ class Fixtures:
         """Gold resampled to one hour."""
         return resample(self.gold(), "1h")
 
+    def tick_profile(self) -> KeyProfile:
+        """Key sizes of the ticks: a bound for gold and its bins, without computing them."""
+        return profile(self.ticks(), TICKS)
+
     def series(self) -> DataFrame:
         """Canonical series of the ticks: few keys, long histories."""
         return as_series(self.ticks(), TICKS)

@@ -29,7 +29,7 @@ def _gold(source: str, width: str) -> str:
 def _resample(source: str, width: str) -> str:
     return f"""SELECT coin_id, time_bucket(INTERVAL '{width}', window_start) AS window_start,
   avg(avg_price) AS avg_price, min(min_price) AS min_price, max(max_price) AS max_price,
-  sum(avg_volume) AS avg_volume, avg(avg_change_pct) AS avg_change_pct,
+  coalesce(sum(avg_volume), 0) AS avg_volume, avg(avg_change_pct) AS avg_change_pct,
   avg(price_volatility) AS price_volatility, CAST(sum(record_count) AS BIGINT) AS record_count
   FROM {source} GROUP BY ALL"""
 
@@ -293,7 +293,7 @@ ORACLES: dict[str, str] = {
  WHERE coin_id IN ('click', 'view') AND window_start >= (SELECT max(window_start) FROM bins) - INTERVAL 24 HOUR""",
                     bins=_resample("gold10", "15 minutes")),
     "status_by_key": sql(f"""SELECT coin_id, count(*) AS records, {r('arg_max(value, (ts, seq))', 'latest')}, {r('avg(value)', 'avg')},
- {r('min(value)', 'min')}, {r('max(value)', 'max')}, {r('sum(volume)', 'volume')} FROM series GROUP BY coin_id"""),
+ {r('min(value)', 'min')}, {r('max(value)', 'max')}, {r('coalesce(sum(volume), 0)', 'volume')} FROM series GROUP BY coin_id"""),
     "freshness": sql("SELECT min(ts) AS first_ts, max(ts) AS last_ts FROM series"),
     "layer_counts": sql("""SELECT (SELECT count(*) FROM gold) AS gold_rows, (SELECT count(*) FROM silver) AS silver_rows,
  (SELECT count(*) FROM (SELECT coin_id FROM gold UNION SELECT coin_id FROM silver)) AS keys, 'Gold' AS layer""",

@@ -66,7 +66,7 @@ def resample_stream(
     gold = timed.groupBy("coin_id", F.window("fetched_at", width).alias("_w")).agg(*gold_columns())
     bins = gold.groupBy("coin_id", F.window(F.window_time("_w"), INTERVALS[interval]).alias("_b")).agg(
         F.avg("avg_price").alias("avg_price"), F.min("min_price").alias("min_price"),
-        F.max("max_price").alias("max_price"), F.sum("avg_volume").alias("avg_volume"),
+        F.max("max_price").alias("max_price"), F.coalesce(F.sum("avg_volume"), F.lit(0.0)).alias("avg_volume"),
         F.avg("avg_change_pct").alias("avg_change_pct"),
         F.avg("price_volatility").alias("price_volatility"), F.sum("record_count").alias("record_count"),
     )
