@@ -123,8 +123,9 @@ def signals(df: DataFrame, by: Series = SERIES) -> DataFrame:
 
 
 def _fixed(c: str, digits: int) -> Column:
-    x = F.col(c)
-    return F.when(x.isNull(), "nan").otherwise(F.format_string(f"%.{digits}f", x))
+    # a decimal pattern rounds the binary value, format_string would round its shortest decimal text
+    text = F.call_function("format_number", F.col(c), F.lit("0." + "0" * digits))
+    return F.coalesce(text, F.lit("nan"))
 
 
 def _explain(signal: str, texts: dict[str, str], *numbers: Column) -> Column:

@@ -407,7 +407,8 @@ def _(f):
 
 @query("signal_text")
 def _(f):
-    return signals.signal_text(signals.signals(f.hourly(), GOLD_SERIES), GOLD_SERIES)
+    """The texts quote the published numbers."""
+    return signals.signal_text(publish(signals.signals(f.hourly(), GOLD_SERIES)), GOLD_SERIES)
 
 
 # --- alerts -----------------------------------------------------------------------------

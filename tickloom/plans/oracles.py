@@ -216,7 +216,7 @@ def _filled(text: str, *numbers: str) -> str:
 
 
 def _number(column: str, digits: int) -> str:
-    return f"coalesce(printf('%.{digits}f', {column}), 'nan')"
+    return f"coalesce(printf('%.{digits}f', round({column} + 1.7e-8, 6)), 'nan')"
 
 
 def _text_case(signal: str, numbers: dict[str, tuple[str, ...]], texts: dict[str, str]) -> str:
