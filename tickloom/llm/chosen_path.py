@@ -4,8 +4,8 @@ Sets of word shingles are split again and again on sampled shared tokens: a coor
 sketch names one shingle of each set, and sets that name the same one go on together. A pair of
 similarity s stays together with probability s at each coordinate. Buckets of at most ``LEAF`` sets
 are compared by brute force with their exact shingles; larger ones are split on. Each run picks
-1/threshold coordinates on average at the first split (the expected branching of the chosen-path
-method) and two at later ones. As many runs are made as the target recall asks for at the threshold.
+1/threshold coordinates on average at each split (the expected branching of the chosen-path method).
+As many runs are made as the target recall asks for at the threshold.
 Buckets that splitting does not shrink (sets that are all alike) are compared in tiles, so no bucket
 is dropped or cut.
 
@@ -36,11 +36,10 @@ _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, SKETCH, dtype=np.uint64)
 
 
 def runs_for(recall: float, threshold: float, depth: int = 3) -> int:
-    """Runs after which a pair at the threshold has been in one leaf with probability ``recall``."""
+    """Runs after which a pair at the threshold has been in one leaf, ``depth`` splits down, with that probability."""
     miss, more = 1 - threshold, 1 / threshold - 1
-    first = 1 - ((1 - more) * miss + more * miss**2)
-    later = 1 - miss**2
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - first * later ** (depth - 1))))
+    split = 1 - ((1 - more) * miss + more * miss**2)
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - split**depth)))
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,23 +185,23 @@ def _compare(threshold: float):
     return rows
 
 
-def _next_paths(path: Column, first: bool, threshold: float) -> Column:
-    """The paths on which a set goes on: one for each chosen coordinate."""
+def _next_paths(threshold: float) -> Column:
+    """The paths on which a set goes on: one for each chosen coordinate, 1/threshold on average."""
+    path = F.col("path")
+
     def at(j: int) -> Column:
         coordinate = F.pmod(F.xxhash64(path, F.lit(f"c{j}")), F.lit(SKETCH)).cast("int")
         return F.xxhash64(path, coordinate, F.get(F.col("sketch"), coordinate))
 
-    if not first:
-        return F.array_distinct(F.array(at(0), at(1)))
     more = F.pmod(F.xxhash64(path, F.lit("more")), F.lit(1000)) < int(1000 * (1 / threshold - 1))
-    return F.array_distinct(F.when(more, F.array(at(0), at(1))).otherwise(F.array(at(0))))
+    return F.explode(F.array_distinct(F.when(more, F.array(at(0), at(1))).otherwise(F.array(at(0))))).alias("path")
 
 
 def leaves(reps: DataFrame, threshold: float, recall: float, seed: int = 1) -> DataFrame:
     """Buckets to compare by brute force: rows (leaf, key), each bucket once."""
     runs = F.explode(F.array(*(F.xxhash64(F.lit(seed), F.lit(r)) for r in range(runs_for(recall, threshold)))))
     start = reps.select("key", "size", "sketch", runs.alias("path"))
-    frontier = start.select("key", "size", F.explode(_next_paths(F.col("path"), True, threshold)).alias("path"))
+    frontier = start.select("key", "size", _next_paths(threshold))
     done = []
     for depth in range(DEPTH + 1):
         counts = (
@@ -219,7 +218,7 @@ def leaves(reps: DataFrame, threshold: float, recall: float, seed: int = 1) -> D
             break
         frontier = materialize(
             big.select("path", "key", "size").join(reps.select("key", "sketch"), "key")
-            .select("key", "size", F.explode(_next_paths(F.col("path"), False, threshold)).alias("path"))
+            .select("key", "size", _next_paths(threshold))
         )
     # Buckets that did not shrink: every pair of chunks is a tile.
     chunks = F.ceil(F.col("n") / TILE).cast("int")
@@ -227,9 +226,8 @@ def leaves(reps: DataFrame, threshold: float, recall: float, seed: int = 1) -> D
     done.append(
         big.select("path", "key", chunks.alias("chunks"), own.alias("own"))
         .select("path", "key", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-        .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "key",
-                F.lit(0).cast("long").alias("n"), F.col("path").alias("x"), F.least("own", "other").cast("long").alias("y"))
-        .withColumn("y", F.col("path"))
+        .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other")).alias("path"), "key")
+        .select("path", "key", F.lit(0).cast("long").alias("n"), F.col("path").alias("x"), F.col("path").alias("y"))
     )
     rows = reduce(DataFrame.unionByName, done)
     # Runs often end in the same bucket; one of them is enough.
