@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.llm.chosen_path import near_duplicates
 from tickloom.llm.decontaminate import contained_items
+from tickloom.llm.packing import pack
 from tickloom.llm.quality import quality
+from tickloom.llm.secrets import find_secrets
+from tickloom.llm.substring_dedup import remove_repeats
 from tickloom.llm.url_filter import judge_urls
 
 #: The rules of the contract, and the hosts that the method's own list blocks.
@@ -19,6 +24,10 @@ LISTED = tuple(
 )
 
 
+#: The vocabulary of packing; a path, never a copy.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
@@ -39,13 +48,37 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_docs(spark, sf_dir), _table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_docs(spark, sf_dir))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_docs(spark, sf_dir), TOKENIZER)
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_docs(spark, sf_dir), digest=True).select(
+        "doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256")
+    )
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_docs(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_decontaminate": op3_decontaminate,
+    "op4_secrets": op4_secrets,
+    "op5_packing": op5_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_quality": op8_quality,
+    "pipeline": pipeline,
 }
