@@ -5,7 +5,8 @@ sketch names one shingle of each set, and sets that name the same one go on toge
 similarity s stays together with probability s at each coordinate. Buckets of at most ``LEAF`` sets
 are compared by brute force with their exact shingles; larger ones are split on. Each run picks
 1/threshold coordinates on average at each split (the expected branching of the chosen-path method).
-As many runs are made as the target recall asks for at the threshold.
+As many runs are made as the target recall asks for at the threshold; a bucket that is too large
+after the first split is split in two independent ways, since its pairs have one more split to pass.
 Buckets that splitting does not shrink (sets that are all alike) are compared in tiles, so no bucket
 is dropped or cut.
 
@@ -35,11 +36,12 @@ TILE = 256
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
-def runs_for(recall: float, threshold: float, depth: int = 3) -> int:
-    """Runs after which a pair at the threshold has been in one leaf, ``depth`` splits down, with that probability."""
+def runs_for(recall: float, threshold: float) -> int:
+    """Runs after which a pair at the threshold has been in one leaf with that probability, two splits
+    down, of which the second is made twice."""
     miss, more = 1 - threshold, 1 / threshold - 1
     split = 1 - ((1 - more) * miss + more * miss**2)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - split**depth)))
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - split * (1 - (1 - split) ** 2))))
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,6 +138,20 @@ def similar(sets: list[np.ndarray], threshold: float) -> Iterator[tuple[int, np.
             yield i, np.flatnonzero(near)
 
 
+#: A partner of a set: 64 bits of its key, and how many documents it stands for.
+PARTNER = np.dtype([("key", "<u8"), ("weight", "<i8")])
+
+
+def _count_links(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+    """Documents behind the distinct partners of each set."""
+    for batch in batches:
+        linked = []
+        for lists in batch.column(1).to_pylist():
+            partners = np.frombuffer(b"".join(lists), PARTNER)
+            linked.append(int(partners["weight"][np.unique(partners["key"], return_index=True)[1]].sum()))
+        yield pa.record_batch([batch.column(0), pa.array(linked, pa.int64())], ["key", "linked"])
+
+
 def _compare(threshold: float):
     """Rows (leaf, key, weight, shingles) in leaf order: each set's partners and its local component."""
 
@@ -161,10 +177,11 @@ def _compare(threshold: float):
                 root[b] = a
         if not links:
             return None
-        partners = [[{"key": items[j][0], "weight": items[j][1]} for j in near] for _, near in links]
+        about = np.array([(int.from_bytes(key[:8], "little"), weight) for key, weight, _ in items], PARTNER)
+        partners = [about[near].tobytes() for _, near in links]
         return [items[i][0] for i, _ in links], [items[find(i)][0] for i, _ in links], partners
 
-    kinds = [pa.binary(), pa.binary(), pa.list_(pa.struct([("key", pa.binary()), ("weight", pa.int64())]))]
+    kinds = [pa.binary()] * 3
 
     def rows(batches: Iterable[pa.RecordBatch]):
         now, held = None, ([], [], [])
@@ -216,8 +233,9 @@ def leaves(reps: DataFrame, threshold: float, recall: float, seed: int = 1) -> D
         big = kept.where(~small)
         if depth == DEPTH or not big.limit(1).count():
             break
+        twice = F.array("path", F.xxhash64("path", F.lit("again"))) if depth == 0 else F.array("path")
         frontier = materialize(
-            big.select("path", "key", "size").join(reps.select("key", "sketch"), "key")
+            big.select(F.explode(twice).alias("path"), "key", "size").join(reps.select("key", "sketch"), "key")
             .select("key", "size", _next_paths(threshold))
         )
     # Buckets that did not shrink: every pair of chunks is a tile.
@@ -261,15 +279,13 @@ def near_duplicates(
         whole.join(need, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
         .select("doc_id", "text").mapInArrow(_shingles(k), "key binary, shingles binary")
     )
-    compared = materialize(
+    compared = written(
         rows.join(reps.select("key", "weight"), "key").join(shingles, "key")
         .select("leaf", "key", "weight", "shingles")
         .repartition("leaf").sortWithinPartitions("leaf")
-        .mapInArrow(_compare(threshold), "key binary, root binary, partners array<struct<key:binary,weight:long>>")
-    )
-    linked = compared.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("partners"))).alias("partners")).select(
-        "key", F.aggregate("partners", F.lit(0).cast("long"), lambda total, p: total + p["weight"]).alias("linked")
+        .mapInArrow(_compare(threshold), "key binary, root binary, partners binary"), "compared"
     )
+    linked = compared.groupBy("key").agg(F.collect_list("partners").alias("partners")).mapInArrow(_count_links, "key binary, linked long")
     groups = union_find(compared.select(F.col("key").alias("a"), F.col("root").alias("b")))
     named = groups.join(reps.select(F.col("key").alias("node"), "doc_id"), "node")
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("group_id"))

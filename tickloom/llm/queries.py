@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.chosen_path import near_duplicates
 from tickloom.llm.decontaminate import contained_items
+from tickloom.llm.language import identify_held_out
 from tickloom.llm.packing import pack
 from tickloom.llm.quality import quality
 from tickloom.llm.secrets import find_secrets
 from tickloom.llm.substring_dedup import remove_repeats
+from tickloom.llm.suffix_dedup import repeated_passages
 from tickloom.llm.url_filter import judge_urls
 
 #: The rules of the contract, and the hosts that the method's own list blocks.
@@ -62,10 +64,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_held_out(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_docs(spark, sf_dir))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_docs(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_packing": op5_packing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_language": op7_language,
     "op8_quality": op8_quality,
+    "op10_suffix_dedup": op10_suffix_dedup,
     "pipeline": pipeline,
 }

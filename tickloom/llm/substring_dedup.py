@@ -37,7 +37,7 @@ def _ordered(table: pa.Table) -> pa.Table:
     return table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_end"))
 
 
-def _pieces(table: pa.Table):
+def pieces(table: pa.Table):
     """Chunks of the ordered home: (record batch, words)."""
     for batch in slices(_ordered(table).combine_chunks().to_batches()):
         yield batch, Words.of(batch.column(batch.schema.get_field_index("text")))
@@ -52,7 +52,7 @@ def _short_codes(words: Words, length: int, buckets: int) -> tuple[np.ndarray, n
 
 def _distinct_codes(table: pa.Table, length: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct window codes of a home in order, and which of them it has more than once."""
-    own = [code[ok] for _, words in _pieces(table) for code, ok in [_short_codes(words, length, buckets)]]
+    own = [code[ok] for _, words in pieces(table) for code, ok in [_short_codes(words, length, buckets)]]
     every = np.sort(np.concatenate(own)) if own else np.zeros(0, np.uint64)
     new = np.ones(len(every), bool)
     new[1:] = every[1:] != every[:-1]
@@ -87,7 +87,7 @@ def _match_short(table: pa.Table) -> pa.Table:
     return pa.table({"home": table["home"], "bucket": table["bucket"], "flags": pa.array(flags, pa.binary())})
 
 
-def _unpack(table: pa.Table, counts: np.ndarray) -> np.ndarray:
+def unpack(table: pa.Table, counts: np.ndarray) -> np.ndarray:
     """The flags of a home, bucket after bucket; ``counts`` has how many each bucket was sent."""
     order = pc.sort_indices(table, sort_keys=[("bucket", "ascending")])
     table = table.take(order)
@@ -108,7 +108,6 @@ def _kept(digest: bool) -> Callable[[bytes], str]:
     return (lambda raw: hashlib.sha256(raw).hexdigest()) if digest else (lambda raw: raw.decode())
 
 
-SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 RESULT = "doc_id long, n_words long, n_removed long, kept string, spans array<struct<start:long,end:long>>"
 
 
@@ -119,9 +118,9 @@ def _candidates(length: int, buckets: int, window: int, digest: bool):
     def home(key: tuple, docs: pa.Table, flags: pa.Table) -> pa.Table:
         codes, _ = _distinct_codes(docs, length, buckets)
         border = np.searchsorted(codes, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(BITS))
-        repeated = codes[_unpack(flags, np.diff(border))]
+        repeated = codes[unpack(flags, np.diff(border))]
         out = []
-        for batch, words in _pieces(docs):
+        for batch, words in pieces(docs):
             code, ok = _short_codes(words, length, buckets)
             at = np.minimum(np.searchsorted(repeated, code), max(len(repeated) - 1, 0))
             flag = ok & (repeated[at] == code) if len(repeated) else np.zeros(len(code), bool)
@@ -148,7 +147,7 @@ def _candidates(length: int, buckets: int, window: int, digest: bool):
 def _exact_windows(table: pa.Table, window: int) -> list[np.ndarray]:
     """Candidate windows of a home: two hashes, document order, document id, start, and the row."""
     out, row = [], 0
-    for batch, words in _pieces(table):
+    for batch, words in pieces(table):
         cand = np.concatenate([
             np.unpackbits(np.frombuffer(blob, np.uint8), count=k)
             for blob, k in zip(batch.column(batch.schema.get_field_index("cand")).to_pylist(), words.count, strict=True)
@@ -172,7 +171,7 @@ def _first_of(table: pa.Table, window: int, buckets: int):
     return h1, h2, doc, start, row, bucket, np.flatnonzero(new)
 
 
-def _send_exact(window: int, buckets: int):
+def send_exact(window: int, buckets: int):
     def home(key: tuple, table: pa.Table) -> pa.Table:
         h1, h2, doc, start, _, bucket, at = _first_of(table, window, buckets)
         border = np.searchsorted(bucket[at], np.arange(buckets + 1, dtype=np.uint64))
@@ -185,7 +184,7 @@ def _send_exact(window: int, buckets: int):
     return home
 
 
-def _match_exact(table: pa.Table) -> pa.Table:
+def match_exact(table: pa.Table) -> pa.Table:
     """A bucket: one bit for each window sent, set if it is the first of the corpus."""
     kinds = {"h1": "<u8", "h2": "<u8", "doc": "<i8", "start": "<i4"}
     h1, h2, doc, start = (np.concatenate([np.frombuffer(b, k) for b in table[c].to_pylist()]) for c, k in kinds.items())
@@ -202,38 +201,66 @@ def _match_exact(table: pa.Table) -> pa.Table:
     return pa.table({"home": table["home"], "bucket": table["bucket"], "flags": pa.array(flags, pa.binary())})
 
 
+def late_windows(docs: pa.Table, flags: pa.Table, window: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and start of each candidate window that starts earlier elsewhere."""
+    _, _, doc, start, row, bucket, at = _first_of(docs, window, buckets)
+    counts = np.diff(np.searchsorted(bucket[at], np.arange(buckets + 1, dtype=np.uint64)))
+    first = unpack(flags, counts)
+    group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(doc))))
+    later = ~first[group] | (doc != doc[at][group]) | (start != start[at][group]) if len(doc) else np.zeros(0, bool)
+    return row[later], start[later]
+
+
+def covered(docs: pa.Table, row: np.ndarray, start: np.ndarray, window: int):
+    """For each chunk of a home: record batch, words, and for each text the flags of covered words."""
+    order = np.argsort(row, kind="stable")
+    row, start, base = row[order], start[order], 0
+    for batch, words in pieces(docs):
+        a, b = np.searchsorted(row, [base, base + batch.num_rows])
+        place = words.first[row[a:b] - base] + start[a:b]
+        n = len(words.start) + window + 1
+        edge = np.bincount(place, minlength=n)[:n] - np.bincount(place + window, minlength=n)[:n]
+        gone = np.cumsum(edge)[: len(words.start)] > 0
+        yield batch, words, [gone[i:j] for i, j in zip(words.first[:-1], words.first[1:], strict=True)]
+        base += batch.num_rows
+
+
+def span_lists(each: list[np.ndarray]) -> pa.ListArray:
+    """Runs of true flags as lists of (start, end)."""
+    found = [runs(x) for x in each]
+    flat = pa.StructArray.from_arrays(
+        [pa.array(np.concatenate([s[k] for s in found]).astype(np.int64)) for k in (0, 1)], names=["start", "end"])
+    at = np.cumsum([0, *(len(s[0]) for s in found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), flat)
+
+
+def remove_covered(docs: pa.Table, flags: pa.Table, window: int, buckets: int, row: np.ndarray, start: np.ndarray) -> pa.Table:
+    """Spans of the documents of a home: windows given by row and start, and the candidates that ``flags`` tell of."""
+    more = late_windows(docs, flags, window, buckets)
+    row, start = np.concatenate((row, more[0])), np.concatenate((start, more[1]))
+    return pa.concat_tables([
+        pa.table({
+            "doc_id": batch.column(batch.schema.get_field_index("doc_id")), "n_words": pa.array(words.count),
+            "n_repeated": pa.array([int(x.sum()) for x in each], pa.int64()), "spans": span_lists(each),
+        })
+        for batch, words, each in covered(docs, row, start, window)
+    ])
+
+
 def _remove(window: int, buckets: int, digest: bool):
     """Last visit: words covered by a window that starts earlier elsewhere."""
     finish = _kept(digest)
 
     def home(key: tuple, docs: pa.Table, flags: pa.Table) -> pa.Table:
-        h1, _, doc, start, row, bucket, at = _first_of(docs, window, buckets)
-        counts = np.diff(np.searchsorted(bucket[at], np.arange(buckets + 1, dtype=np.uint64)))
-        first = _unpack(flags, counts)
-        group = np.repeat(np.arange(len(at)), np.diff(np.append(at, len(h1))))
-        later = ~first[group] | (doc != doc[at][group]) | (start != start[at][group])
-        out, base = [], 0
-        where = np.argsort(row, kind="stable")
-        row, start, later = row[where], start[where], later[where]
-        for batch, words in _pieces(docs):
-            a, b = np.searchsorted(row, [base, base + batch.num_rows])
-            place = (words.first[row[a:b] - base] + start[a:b])[later[a:b]]
-            edge = np.bincount(place, minlength=len(words.start) + window + 1) - np.bincount(
-                place + window, minlength=len(words.start) + window + 1)[: len(words.start) + window + 1]
-            gone = np.cumsum(edge)[: len(words.start)] > 0
+        out = []
+        for batch, words, each in covered(docs, *late_windows(docs, flags, window, buckets), window):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            each = [gone[i:j] for i, j in zip(words.first[:-1], words.first[1:], strict=True)]
-            spans = [runs(x) for x in each]
-            flat = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate([s[k] for s in spans]).astype(np.int64)) for k in (0, 1)], names=["start", "end"])
-            sizes = np.array([len(s[0]) for s in spans])
             out.append(pa.table({
                 "doc_id": batch.column(batch.schema.get_field_index("doc_id")), "n_words": pa.array(words.count),
                 "n_removed": pa.array([int(x.sum()) for x in each], pa.int64()),
                 "kept": pa.array([finish(_finish(t, x)) for t, x in zip(texts, each, strict=True)], pa.string()),
-                "spans": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), flat),
+                "spans": span_lists(each),
             }))
-            base += batch.num_rows
         return pa.concat_tables(out)
     return home
 
@@ -265,8 +292,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, *, digest: bool = Fals
     open_docs = seen.where("text is not null").select("doc_id", "text", "cand", "home").repartition(parts, "home")
     first = (
         open_docs.groupBy("home").applyInArrow(
-            _send_exact(window, buckets), "bucket int, home int, h1 binary, h2 binary, doc binary, start binary")
-        .groupBy("bucket").applyInArrow(_match_exact, "home int, bucket int, flags binary")
+            send_exact(window, buckets), "bucket int, home int, h1 binary, h2 binary, doc binary, start binary")
+        .groupBy("bucket").applyInArrow(match_exact, "home int, bucket int, flags binary")
     )
     done = open_docs.groupBy("home").cogroup(first.groupBy("home")).applyInArrow(_remove(window, buckets, digest), RESULT)
     nothing = F.array().cast("array<struct<start:long,end:long>>")
