@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.chosen_path import near_duplicates
 from tickloom.llm.decontaminate import contained_items
 from tickloom.llm.language import identify_held_out
+from tickloom.llm.masked_lm import score
 from tickloom.llm.packing import pack
 from tickloom.llm.quality import quality
 from tickloom.llm.secrets import find_secrets
@@ -72,6 +73,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_docs(spark, sf_dir))
 
 
+def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_docs(spark, sf_dir))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_docs(spark, sf_dir))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_language": op7_language,
     "op8_quality": op8_quality,
+    "op9_masked_lm": op9_masked_lm,
     "op10_suffix_dedup": op10_suffix_dedup,
     "pipeline": pipeline,
 }
