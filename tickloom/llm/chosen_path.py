@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.frames import column, documents, materialize, union_find, written
+from tickloom.llm.frames import documents, materialize, union_find, written
 from tickloom.llm.text import Words, grams, inside, mix, slices
 
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
@@ -280,7 +280,7 @@ def near_duplicates(
         .select("doc_id", "text").mapInArrow(_shingles(k), "key binary, shingles binary")
     )
     compared = written(
-        rows.join(reps.select("key", "weight"), "key").join(shingles, "key")
+        rows.join(shingles.join(reps.select("key", "weight"), "key"), "key")
         .select("leaf", "key", "weight", "shingles")
         .repartition("leaf").sortWithinPartitions("leaf")
         .mapInArrow(_compare(threshold), "key binary, root binary, partners binary"), "compared"
@@ -309,9 +309,9 @@ def keep_one(docs: DataFrame, **how) -> DataFrame:
     one id the first in text order stays if its class keeps that id; rows without an id stay.
     """
     found = near_duplicates(docs, **how).where("doc_id is not null")
-    dropped = found.where("class_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(dropped, column("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    repeated = found.where("class_id = doc_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
-    single = kept.join(repeated, column("doc_id").cast("long") == F.col("_twice"), "left_anti")
-    twice = kept.join(repeated, column("doc_id").cast("long") == F.col("_twice"), "left_semi")
-    return single.unionByName(twice.dropDuplicates(["doc_id"]))
+    dropped = found.where("class_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = docs.join(dropped, docs["doc_id"].cast("long") == dropped["gone"], "left_anti")
+    twice = found.where("class_id = doc_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id"))
+    single = kept.join(twice, kept["doc_id"].cast("long") == twice["id"], "left_anti")
+    repeated = kept.join(twice, kept["doc_id"].cast("long") == twice["id"], "left_semi")
+    return single.unionByName(repeated.dropDuplicates(["doc_id"]))

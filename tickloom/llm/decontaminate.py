@@ -148,5 +148,5 @@ def contained_items(
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """Documents that contain no item; columns unchanged. A document without id or text stays."""
-    bad = contained_items(docs, items, **how).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, column("doc_id").cast("long") == F.col("_bad_id"), "left_anti")
+    bad = contained_items(docs, items, **how).select(F.col("doc_id").alias("bad_id")).distinct()
+    return docs.join(bad, docs["doc_id"].cast("long") == bad["bad_id"], "left_anti")
