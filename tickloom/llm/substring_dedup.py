@@ -2,8 +2,8 @@
 
 Windows of half the wanted length are looked up first. Only where the windows at i and i + half are
 both repeated can the window of full length at i be repeated, so only those are extended and looked
-up again, exactly. The first lookup therefore needs no more than 24 bits of hash within a bucket: a
-false match costs a candidate, never a result. ``levels`` names more steps for long windows.
+up again, exactly. The first lookup therefore needs no more than 32 bits of hash within a bucket: a
+false match costs a candidate, never a result.
 
 Documents are dealt to homes by a hash of the row. A home sends each bucket its distinct window
 hashes once, however often they occur in it, and gets one bit for each back, in the same order. So
@@ -27,7 +27,7 @@ from tickloom.llm.text import Words, grams, inside, runs, slices
 
 WINDOW = 20
 #: Bits of hash within a bucket in the first lookup.
-BITS = 24
+BITS = 32
 _LAST = np.iinfo(np.int64).max
 
 
@@ -64,7 +64,7 @@ def _send_short(length: int, buckets: int):
     def home(key: tuple, table: pa.Table) -> pa.Table:
         codes, often = _distinct_codes(table, length, buckets)
         border = np.searchsorted(codes, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(BITS))
-        low = (codes & np.uint64((1 << BITS) - 1)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
+        low = (codes & np.uint64((1 << BITS) - 1)).astype("<u4")
         some = np.flatnonzero(np.diff(border))
         return pa.table({
             "bucket": pa.array(some, pa.int32()), "home": pa.array(np.full(len(some), key[0].as_py()), pa.int32()),
@@ -76,14 +76,14 @@ def _send_short(length: int, buckets: int):
 
 def _match_short(table: pa.Table) -> pa.Table:
     """A bucket: one bit for each code sent, set if the code occurs twice in the corpus."""
-    sent = []
-    for blob, bits in zip(table["codes"].to_pylist(), table["often"].to_pylist(), strict=True):
-        raw = np.frombuffer(blob, np.uint8).reshape(-1, 3).astype(np.uint32)
-        sent.append((raw[:, 0] | raw[:, 1] << 8 | raw[:, 2] << 16, np.unpackbits(np.frombuffer(bits, np.uint8), count=len(raw))))
-    every = np.sort(np.concatenate([c for c, _ in sent]))
-    repeated = np.zeros(1 << BITS, bool)
-    repeated[every[1:][every[1:] == every[:-1]]] = True
-    flags = [np.packbits(repeated[c] | (bits > 0)).tobytes() for c, bits in sent]
+    sent = [np.frombuffer(blob, "<u4") for blob in table["codes"].to_pylist()]
+    every = np.sort(np.concatenate(sent))
+    repeated = np.unique(every[1:][every[1:] == every[:-1]])
+    flags = []
+    for codes, bits in zip(sent, table["often"].to_pylist(), strict=True):
+        often = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(codes)) > 0
+        at = np.minimum(np.searchsorted(repeated, codes), max(len(repeated) - 1, 0))
+        flags.append(np.packbits(often | (repeated[at] == codes) if len(repeated) else often).tobytes())
     return pa.table({"home": table["home"], "bucket": table["bucket"], "flags": pa.array(flags, pa.binary())})
 
 
@@ -161,8 +161,9 @@ def _exact_windows(table: pa.Table, window: int) -> list[np.ndarray]:
 
 
 def _first_of(table: pa.Table, window: int, buckets: int):
-    """The windows of a home sorted by bucket, hashes and place, and where a new hash begins."""
+    """The windows of a home sorted by bucket, hashes (96 bits) and place, and where a new hash begins."""
     h1, h2, doc, start, row = _exact_windows(table, window)
+    h2 = h2 >> np.uint64(32)
     bucket = h1 % np.uint64(buckets)
     order = np.lexsort((start, doc, h2, h1, bucket))
     h1, h2, doc, start, row, bucket = (x[order] for x in (h1, h2, doc, start, row, bucket))
@@ -177,7 +178,7 @@ def send_exact(window: int, buckets: int):
         border = np.searchsorted(bucket[at], np.arange(buckets + 1, dtype=np.uint64))
         some = np.flatnonzero(np.diff(border))
         data = {"bucket": pa.array(some, pa.int32()), "home": pa.array(np.full(len(some), key[0].as_py()), pa.int32())}
-        for name, values, kind in (("h1", h1, "<u8"), ("h2", h2, "<u8"), ("doc", doc, "<i8"), ("start", start, "<i4")):
+        for name, values, kind in (("h1", h1, "<u8"), ("h2", h2, "<u4"), ("doc", doc, "<i8"), ("start", start, "<i4")):
             flat = values[at].astype(kind)
             data[name] = pa.array([flat[border[b] : border[b + 1]].tobytes() for b in some], pa.binary())
         return pa.table(data)
@@ -186,7 +187,7 @@ def send_exact(window: int, buckets: int):
 
 def match_exact(table: pa.Table) -> pa.Table:
     """A bucket: one bit for each window sent, set if it is the first of the corpus."""
-    kinds = {"h1": "<u8", "h2": "<u8", "doc": "<i8", "start": "<i4"}
+    kinds = {"h1": "<u8", "h2": "<u4", "doc": "<i8", "start": "<i4"}
     h1, h2, doc, start = (np.concatenate([np.frombuffer(b, k) for b in table[c].to_pylist()]) for c, k in kinds.items())
     order = np.lexsort((start, doc, h2, h1))
     a, b, d, s = h1[order], h2[order], doc[order], start[order]
