@@ -93,3 +93,18 @@ def test_summary_and_stacked_series(spark):
     kinds = actual_plus_forecast(ahead, df).groupBy("kind").count().collect()
     assert {k["kind"]: k["count"] for k in kinds} == {"actual": 4, "forecast": 12}
     assert GOLD_SERIES.value == "avg_price"
+
+
+def test_a_missing_volume_makes_the_seasonal_forecast_linear(spark):
+    """Hourly prices near 100 with a volume only in the first rows stay near 100."""
+    from datetime import datetime, timedelta
+
+    from tickloom.operators.seasonal import forecast_seasonal
+    from tickloom.schemas import GOLD_SERIES
+
+    start = datetime(2024, 1, 1)
+    data = [(k, start + timedelta(hours=i), 100.0 + i % 3, 5.0 + i if i < 8 or k == "b" else None) for k in "ab" for i in range(60)]
+    frame = spark.createDataFrame(data, "coin_id string, window_start timestamp, avg_price double, avg_volume double")
+    got = forecast_seasonal(frame, by=GOLD_SERIES).collect()
+    assert {(r.coin_id, r.method) for r in got} == {("a", "linear"), ("b", "seasonal")} and len(got) == 24
+    assert all(95 < r.predicted_price < 105 for r in got if r.coin_id == "a")

@@ -132,3 +132,18 @@ def test_seasonal_chunks(spark, bursty, rows, monkeypatch):
     monkeypatch.setattr(seasonal, "CHUNK_ROWS", 50)
     assert rows(forecast_seasonal(bursty, by=SERIES, size=hot), 4) == whole
     assert len(whole) == 4 * 12
+
+
+def test_more_keys_than_the_pivot_takes_are_all_compared(spark, rows):
+    from datetime import datetime, timedelta
+
+    from tickloom.operators.compare import correlation_matrix
+
+    start = datetime(2024, 1, 1)
+    data = [(f"k{k:02}", start + timedelta(minutes=i), float((i * (k + 3)) % 17 + i % (k + 2))) for k in range(12) for i in range(60)]
+    frame = spark.createDataFrame(data, "coin_id string, ts timestamp, value double")
+    wide = rows(correlation_matrix(frame, method="wide"), 9)
+    assert len(wide) == 144 and wide == rows(correlation_matrix(frame, method="chunked"), 9)
+    assert all(a != b or c == 1.0 for a, b, c in wide)
+    few = frame.where("coin_id < 'k05'")
+    assert rows(correlation_matrix(few, method="wide"), 9) == rows(correlation_matrix(few, method="chunked"), 9)

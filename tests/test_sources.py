@@ -5,7 +5,7 @@ from datetime import datetime, timedelta, timezone
 from tickloom.plans.medallion import run_cycle
 from tickloom.schemas import ALERT_RULE, GOLD, SILVER
 from tickloom.sources.layers import (
-    expired_files, json_records, list_sessions, load_session, read_json_table, read_layer, retain,
+    apply_retention, expired_files, json_records, list_sessions, load_session, read_json_table, read_layer, retain,
     save_session, write_json_table, write_layer,
 )
 from tickloom.sources.raw import flatten_snapshot, read_raw, write_raw
@@ -105,8 +105,11 @@ def test_rule_table_round_trip(spark, tmp_path):
     rules = spark.createDataFrame([(1, "bitcoin", "price", "above", 10.0, True)], ALERT_RULE)
     write_json_table(rules, path)
     assert read_json_table(spark, path, ALERT_RULE).collect() == rules.collect()
+    more = spark.createDataFrame([(i, f"coin{i}", "price", "below", 1.0, i % 2 == 0) for i in range(2, 7)], ALERT_RULE)
+    write_json_table(more.coalesce(1), path)
+    assert sorted(read_json_table(spark, path, ALERT_RULE).collect()) == sorted(more.collect())
     (tmp_path / "array.json").write_text('[{"id": 1, "coin": "a", "active": true}, {"id": 2, "coin": "b"}]')
-    assert read_json_table(spark, f"{tmp_path}/array.json", ALERT_RULE).count() == 2
+    assert read_json_table(spark, f"{tmp_path}/array.json", ALERT_RULE, array=True).count() == 2
     (tmp_path / "bad.json").write_text("not json")
     assert read_json_table(spark, f"{tmp_path}/bad.json", ALERT_RULE).count() == 0
 
@@ -114,3 +117,63 @@ def test_rule_table_round_trip(spark, tmp_path):
 def test_json_records_have_iso_times(spark):
     record = json.loads(json_records(gold_rows(spark, 1)).first().record)
     assert record["window_start"] == "2024-01-01T00:00:00.000Z" and record["record_count"] == 1
+
+
+def test_a_batch_without_a_column_leaves_the_others_alone(spark, tmp_path):
+    full = spark.createDataFrame([("a", datetime(2024, 1, 1), 7.0)], "coin_id string, fetched_at timestamp, price_usd double")
+    for i, frame in enumerate((full.drop("price_usd"), full, full.drop("price_usd"))):
+        write_layer(frame, f"{tmp_path}/silver", "fetched_at", i)
+    got = read_layer(spark, f"{tmp_path}/silver", SILVER, more=["batch_id"])
+    assert sorted((r.batch_id, r.price_usd) for r in got.collect()) == [(0, None), (1, 7.0), (2, None)]
+
+
+def test_the_first_written_batch_wins(spark, tmp_path):
+    for price in (1.0, 2.0, 3.0):
+        write_raw(spark.createDataFrame([("a", str(price), "2024-01-01T00:00:00+00:00")], "coin_id string, price_usd string, fetched_at string"), f"{tmp_path}/raw")
+    assert run_cycle(spark, f"{tmp_path}/raw", f"{tmp_path}/out")
+    assert [r.price_usd for r in read_layer(spark, f"{tmp_path}/out/silver", SILVER).collect()] == [1.0]
+
+
+def test_cycles_take_new_files_and_replace_touched_windows(spark, tmp_path, rows):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    files = [
+        [line("a", 100), line("b", 1)],
+        [line("a", 102, "2024-01-01T09:30:01+00:00"), line("a", 555), line("c", 1, None)],
+        [line("a", 9, "2024-01-02T00:00:00+00:00"), line("b", 3, "2024-01-01T09:30:02+00:00"), line("c", 2, None)],
+    ]
+    for i, lines in enumerate(files):
+        land(raw, f"{i}.jsonl", *lines)
+        assert run_cycle(spark, str(raw), f"{tmp_path}/steps", i)
+        assert not run_cycle(spark, str(raw), f"{tmp_path}/steps", i + 1)
+    assert run_cycle(spark, str(raw), f"{tmp_path}/once")
+    for layer, schema in (("silver", SILVER), ("gold", GOLD)):
+        steps, once = (read_layer(spark, f"{tmp_path}/{x}/{layer}", schema) for x in ("steps", "once"))
+        assert rows(steps) == rows(once) and steps.count() > 0
+    assert run_cycle(spark, str(raw), f"{tmp_path}/steps", 2)
+    assert read_layer(spark, f"{tmp_path}/steps/silver", SILVER).count() == 6
+
+
+def test_a_partly_written_file_is_taken_once_it_is_whole(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    land(raw, "0.jsonl", line("a", 1), '{"coin_id": "d", "pri')
+    land(raw, "1.jsonl", line("b", 1))
+    assert run_cycle(spark, str(raw), f"{tmp_path}/out", 0)
+    land(raw, "0.jsonl", line("a", 1), line("d", 1))
+    assert run_cycle(spark, str(raw), f"{tmp_path}/out", 1)
+    assert sorted(r.coin_id for r in read_layer(spark, f"{tmp_path}/out/silver", SILVER).collect()) == ["a", "b", "d"]
+
+
+def test_retention_deletes_or_archives(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for name in ("old.jsonl", "older.jsonl", "new.jsonl"):
+        land(raw, name, line("a", 1))
+    os.utime(raw / "old.jsonl", (10_000, 10_000))
+    os.utime(raw / "older.jsonl", (1, 1))
+    cut = datetime.fromtimestamp(5_000 + 3600, timezone.utc)
+    assert apply_retention(spark, str(raw), 1, cut, archive=f"{tmp_path}/kept") == 1
+    assert os.listdir(tmp_path / "kept")[0] == "older.jsonl" and not os.path.exists(raw / "older.jsonl")
+    assert apply_retention(spark, str(raw), 1) == 1
+    assert [f for f in os.listdir(raw) if f.endswith("jsonl") and f[0] != "."] == ["new.jsonl"]

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from tickloom.operators.aggregate import to_gold
+from tickloom.operators.aggregate import resample, to_gold
 from tickloom.operators.clean import normalize_types, to_silver
 from tickloom.operators.indicators import indicators
 from tickloom.schemas import ALERT_RULE, GOLD, RAW_TEXT, SILVER, SILVER_SERIES
@@ -74,7 +74,7 @@ def test_gold_updates_equal_batch_gold(spark, tmp_path, rows):
     for i, ticks in enumerate(batches()):
         land(tmp_path / "raw", f"{i}.jsonl", ticks)
     ticks = normalize_types(flows.read_raw_stream(spark, str(tmp_path / "raw"), files_per_batch=1))
-    windows = flows.gold_stream(ticks, "7 minutes")  # windows that span two files
+    windows = flows.gold_stream(flows.timed(ticks), "7 minutes")  # windows that span two files
     sink = flows.upsert_windows(f"{tmp_path}/gold")
     flows.each_batch(windows, sink, f"{tmp_path}/cp", "update", None).awaitTermination()
     gold = flows.read_upserts(spark, f"{tmp_path}/gold").select(*GOLD.fieldNames())
@@ -119,5 +119,80 @@ def test_rules_are_read_again_for_every_batch(spark, tmp_path):
         return spark.createDataFrame([(len(calls), "a", "price", "above", 1.0, True)], ALERT_RULE)
 
     ticks = normalize_types(flows.read_raw_stream(spark, str(tmp_path / "raw"), files_per_batch=1))
-    flows.each_batch(ticks, flows.alert_sink(spark, rules, f"{tmp_path}/history"), f"{tmp_path}/cp", interval=None).awaitTermination()
+    flows.each_batch(ticks, flows.alert_sink(spark, rules, f"{tmp_path}/history", f"{tmp_path}/latest"), f"{tmp_path}/cp", interval=None).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/history").collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("chain", ["gold", "bins"])
+def test_the_streaming_layers_chain(spark, tmp_path, rows, chain):
+    """raw -> silver -> gold (-> bins) in one query; the last windows come from the silver table."""
+    for i, ticks in enumerate(batches()):
+        land(tmp_path / "raw", f"{i}.jsonl", ticks)
+        land(tmp_path / "raw", f"{i}-copy.jsonl", [{**t, "price_usd": t["price_usd"] + 50} for t in ticks[::3]])
+
+    def source():
+        return flows.read_raw_stream(spark, str(tmp_path / "raw"), files_per_batch=1)
+
+    silver = run_silver(spark, tmp_path)
+    assert silver.count() == 120
+    if chain == "gold":
+        stream, width = flows.gold_stream(flows.silver_stream(source(), "5 minutes"), "7 minutes"), "7 minutes"
+        build = lambda s: to_gold(s, "7 minutes")
+    else:
+        stream, width = flows.resample_stream(flows.silver_stream(source(), "5 minutes"), "15m", "1 minute"), "15 minutes"
+        build = lambda s: resample(to_gold(s, "1 minute"), "15m")
+    flows.append_to(stream, f"{tmp_path}/out", f"{tmp_path}/cp2", None).awaitTermination()
+    final = spark.read.parquet(f"{tmp_path}/out")
+    wanted = build(silver)
+    assert 0 < final.count() < wanted.count()
+    got = flows.with_open_bins(final, silver, build, width)
+    assert rows(got) == rows(wanted.select(*got.columns))
+    nothing = final.where("false")
+    assert rows(flows.with_open_bins(nothing, silver, build, width)) == rows(wanted.select(*got.columns))
+
+
+def test_ticks_without_a_time_are_kept_once(spark, tmp_path):
+    undated = lambda coin, price: {**tick(coin, 0, price), "fetched_at": None}
+    land(tmp_path / "raw", "0.jsonl", [undated("a", 1.0), tick("a", 0, 2.0), undated("a", 9.0)])
+    land(tmp_path / "raw", "1.jsonl", [undated("a", 3.0), undated("b", 4.0), tick("a", 600, 5.0)])
+    land(tmp_path / "raw", "2.jsonl", [undated("b", 6.0), undated("a", 7.0)])
+    ticks = flows.usable_ticks(flows.read_raw_stream(spark, str(tmp_path / "raw"), files_per_batch=1))
+    sink = flows.undated_sink(spark, f"{tmp_path}/undated", f"{tmp_path}/known")
+    flows.each_batch(ticks, sink, f"{tmp_path}/cp-undated", interval=None).awaitTermination()
+    assert sorted((r.coin_id, r.price_usd) for r in read_layer(spark, f"{tmp_path}/undated", SILVER).collect()) == [("a", 1.0), ("b", 4.0)]
+    assert sorted(r.price_usd for r in run_silver(spark, tmp_path).collect()) == [2.0, 5.0]
+
+
+def test_rules_see_the_newest_row_of_quiet_keys(spark, tmp_path):
+    land(tmp_path / "raw", "0.jsonl", [tick("a", 0, 5.0), tick("b", 0, 1.0)])
+    land(tmp_path / "raw", "1.jsonl", [tick("b", 1, 2.0)])
+    land(tmp_path / "raw", "2.jsonl", [tick("a", 2, 0.5), tick("b", 1, 3.0)])
+    rules = lambda: spark.createDataFrame([(1, "a", "price", "above", 4.0, True), (2, "b", "price", "above", 2.5, True)], ALERT_RULE)
+    ticks = normalize_types(flows.read_raw_stream(spark, str(tmp_path / "raw"), files_per_batch=1))
+    sink = flows.alert_sink(spark, rules, f"{tmp_path}/history", f"{tmp_path}/latest")
+    flows.each_batch(ticks, sink, f"{tmp_path}/cp", interval=None).awaitTermination()
+    fired = sorted((r.batch_id, r.id) for r in spark.read.parquet(f"{tmp_path}/history").collect())
+    assert fired == [(0, 1), (1, 1), (2, 2)]
+
+
+def test_ties_across_a_batch_border_are_kept(spark, tmp_path):
+    schema = "coin_id string, fetched_at timestamp, price_usd double, volume_24h_usd double, change_24h_pct double"
+    row = lambda minute, price: ("a", START + timedelta(minutes=minute), price, 1.0, 1.0)
+    sink = flows.indicator_sink(spark, f"{tmp_path}/out", f"{tmp_path}/state")
+    sink(spark.createDataFrame([row(0, 1.0), row(1, 2.0)], schema), 0)
+    sink(spark.createDataFrame([row(1, 3.0), row(2, 4.0), row(0, 99.0)], schema), 1)
+    sink(spark.createDataFrame([], schema), 2)
+    got = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(r.price_usd for r in got.collect()) == [1.0, 2.0, 3.0, 4.0]
+    assert {r.price_usd: r.open for r in got.collect()} == {1.0: 1.0, 2.0: 1.0, 3.0: 2.0, 4.0: 3.0}
+
+
+def test_state_is_written_for_touched_keys_and_compacted(spark, tmp_path):
+    state = flows.KeyedState(spark, f"{tmp_path}/s", "k", compact=3)
+    for i in range(8):
+        frame = spark.createDataFrame([(i % 2, i)], "k long, v long")
+        state.save(frame, i)
+        state.save(frame, i)
+        now = {r.k: r.v for r in state.before(i + 1, frame.schema).collect()}
+        assert now == {b % 2: b for b in range(max(0, i - 1), i + 1)}
+    assert not os.path.exists(f"{tmp_path}/s/batch_id=1") and os.path.exists(f"{tmp_path}/s/batch_id=6")

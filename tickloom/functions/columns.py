@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,14 +60,15 @@ def shorten_number(c) -> Column:
     return F.when(x.isNotNull(), text)
 
 
+#: Seconds of the units of a range label.
+UNITS = {"m": 60, "h": 3600}
+_LABEL = re.compile(r"(\d+)([mh])")
+
+
 def seconds_of(time_range: str) -> int | None:
-    """Seconds in a range label such as "30m" or "6h"; None if the label is not a duration."""
-    label = str(time_range)
-    unit = 3600 if "h" in label else 60
-    try:
-        return int(label.replace("h", "") if unit == 3600 else label.replace("m", "")) * unit
-    except ValueError:
-        return None
+    """Seconds in a range label, a number and a unit such as "30m" or "6h"; None for any other label."""
+    label = _LABEL.fullmatch(str(time_range))
+    return int(label[1]) * UNITS[label[2]] if label else None
 
 
 def box_statistics(value) -> list[Column]:

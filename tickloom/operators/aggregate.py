@@ -131,19 +131,26 @@ def keys_union(*layers: DataFrame, key: str = "coin_id") -> DataFrame:
 
 
 def layer_counts(gold: DataFrame, silver: DataFrame, key: str = "coin_id") -> DataFrame:
-    """Exact row counts of both layers, number of keys, and the layer the views use.
+    """Exact row counts of both layers, number of keys, the layer the views use, and ``updated_at``,
+    the newest event time of that layer.
 
     Scalar subqueries: each count runs on its own, nothing is joined.
     """
     def rows(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1)).alias("n")).scalar()
 
+    def newest(df: DataFrame) -> Column:
+        ts = next((c for c in ("window_start", "fetched_at", "ts") if c in df.columns), None)
+        return df.agg(F.max(F.col(ts).cast("timestamp")).alias("t")).scalar() if ts else F.lit(None).cast("timestamp")
+
     one = gold.sparkSession.range(1)
     counted = one.select(
         rows(gold).alias("gold_rows"), rows(silver).alias("silver_rows"),
         rows(keys_union(gold, silver, key=key)).alias("keys"),
     )
-    return counted.withColumn("layer", F.when(F.col("gold_rows") > 0, "Gold").otherwise("Silver"))
+    in_gold = F.col("gold_rows") > 0
+    return counted.withColumn("layer", F.when(in_gold, "Gold").otherwise("Silver")).withColumn(
+        "updated_at", F.when(in_gold, newest(gold)).otherwise(newest(silver)))
 
 
 def volume_total(df: DataFrame, by: Series = SERIES) -> DataFrame:

@@ -69,10 +69,6 @@ def remove_rules(rules: DataFrame, ids: DataFrame) -> DataFrame:
     return rules.join(ids.select("id"), "id", "left_anti").select(*rules.columns)
 
 
-def active_rules(rules: DataFrame) -> DataFrame:
-    return rules.select(*ALERT_RULE.fieldNames()).where(F.coalesce(F.col("active"), F.lit(False)))
-
-
 def recent_history(history: DataFrame, seq: str, n: int = 50) -> DataFrame:
     """The last ``n`` entries, newest first."""
     return history.orderBy(F.col(seq).desc()).limit(n)

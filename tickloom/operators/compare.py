@@ -55,7 +55,12 @@ def _correlation(n, sa, sb, saa, sbb, sab):
     """Pearson correlation from sums; null when a side is constant."""
     cov = sab - sa * sb / n
     spread = F.sqrt(F.greatest(saa - sa * sa / n, F.lit(0.0)) * F.greatest(sbb - sb * sb / n, F.lit(0.0)))
-    return F.when(n >= 2, F.try_divide(cov, spread))
+    return _bounded(F.when(n >= 2, F.try_divide(cov, spread)))
+
+
+def _bounded(c):
+    """Rounding may carry a correlation past 1 by the last digit; null stays null."""
+    return F.when(c.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c)))
 
 
 def _wide_correlation(cells: DataFrame, names: list[str]) -> DataFrame:
@@ -67,10 +72,7 @@ def _wide_correlation(cells: DataFrame, names: list[str]) -> DataFrame:
         a, b = F.col(f"k{i}"), F.col(f"k{j}")
         both = a.isNotNull() & b.isNotNull()
         a, b = F.when(both, a), F.when(both, b)
-        value = F.when(
-            F.count(F.lit(1)) >= 2,
-            F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)),
-        )
+        value = _correlation(F.count(a), F.sum(a), F.sum(b), F.sum(a * a), F.sum(b * b), F.sum(a * b))
         for left, right in {(i, j), (j, i)}:
             entries.append(F.struct(
                 F.lit(names[left]).alias("coin_a"), F.lit(names[right]).alias("coin_b"),
@@ -163,7 +165,9 @@ def correlation_matrix(
     """Pairwise Pearson correlation (coin_a, coin_b, correlation), both triangles.
 
     ``align="ordinal"`` pairs the n-th rows of two keys; ``"time"`` pairs equal times, or
-    equal ``bucket`` windows ("1 hour"). Fewer than two keys give an empty result.
+    equal ``bucket`` windows ("1 hour"). Fewer than two keys give an empty result. Up to eight
+    keys take one pivot unless ``method="chunked"``; more always take the blocked product. Both
+    compute the same sums.
     """
     rows = select_keys(df, keys)
     size = size if size is not None and not keys else profile(rows, by)
@@ -180,7 +184,7 @@ def correlation_matrix(
     cells = join_stats(placed, centre, by.key, size).where(F.col(by.value).isNotNull()).select(
         "_at", F.col(by.key).alias("_key"), (F.col(by.value) - F.col("_centre")).alias("_x")
     )
-    if method == "wide" or (method == "auto" and size.keys <= WIDE_KEYS):
-        names = sorted(r[0] for r in rows.select(by.key).distinct().limit(WIDE_KEYS).collect())
+    if method in ("auto", "wide") and size.keys <= WIDE_KEYS:
+        names = sorted(r[0] for r in rows.select(by.key).distinct().collect())
         return _wide_correlation(cells, names)
     return _chunked_correlation(cells, size.keys, size.rows, align == "ordinal")

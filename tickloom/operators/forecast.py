@@ -51,16 +51,20 @@ def forecast_linear(
     return stamp(_linear_steps(df, steps, by, size), df, by, size)
 
 
-def has_history(by: Series) -> list[Column]:
-    """Aggregates of a key's rows: ``_modelled`` (enough for a model) and ``_any`` value."""
+def has_history(by: Series, whole: bool = False) -> list[Column]:
+    """Aggregates of a key's rows: ``_modelled`` (enough for a model) and ``_any`` value.
+
+    With ``whole`` every value must have a volume, as a regression on it asks for.
+    """
     value, aligned = F.col(by.value), F.when(F.col(by.volume).isNotNull(), F.col(by.value))
-    enough = (F.count(value) >= MIN_MODEL_ROWS) & (F.count(aligned) >= MIN_ALIGNED_ROWS)
+    least = F.count(value) if whole else F.lit(MIN_ALIGNED_ROWS)
+    enough = (F.count(value) >= MIN_MODEL_ROWS) & (F.count(aligned) >= least)
     return [enough.alias("_modelled"), (F.count(value) > 0).alias("_any")]
 
 
-def linear_for_short(df: DataFrame, steps: int, by: Series, size: KeyProfile) -> DataFrame:
+def linear_for_short(df: DataFrame, steps: int, by: Series, size: KeyProfile, whole: bool = False) -> DataFrame:
     """Linear steps of the keys whose history is too short for a model."""
-    short = df.groupBy(by.key).agg(*has_history(by)).where("_any AND NOT _modelled").select(by.key)
+    short = df.groupBy(by.key).agg(*has_history(by, whole)).where("_any AND NOT _modelled").select(by.key)
     return _linear_steps(join_stats(df, short, by.key, size, "left_semi"), steps, by, size)
 
 

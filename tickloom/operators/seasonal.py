@@ -24,7 +24,6 @@ CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
 DAY = 86_400_000_000
 CYCLES = ((DAY, 4), (7 * DAY, 3))  # period in microseconds, Fourier order
 CHUNK_ROWS = 200_000
-WHOLE_ROWS = 1_000_000  # longest history fitted in one piece
 # Prior standard deviations: level and slope, trend changes, cycles, regressor.
 PRIOR_BASE, PRIOR_CHANGE, PRIOR_CYCLE, PRIOR_VOLUME = 5.0, 0.05 * 2**0.5, 10.0, 10.0
 
@@ -106,11 +105,11 @@ def forecast_seasonal(
 ) -> DataFrame:
     """Trend with changepoints + daily and weekly cycles + volume, continued ``steps`` steps.
 
-    The future volume stays at its last value. Rows without a value or volume are left out.
-    Keys with fewer than ten values, or five with a volume, get the linear forecast.
+    The future volume stays at its last value. Rows without a value are left out. Keys with fewer
+    than ten values, or with a value that has no volume, get the linear forecast.
     """
     size = size or profile(df, by)
-    enough = df.groupBy(by.key).agg(*has_history(by)).where("_modelled").select(by.key)
+    enough = df.groupBy(by.key).agg(*has_history(by, whole=True)).where("_modelled").select(by.key)
     rows = join_stats(df, enough, by.key, size, "left_semi").where(
         F.col(by.value).isNotNull() & F.col(by.volume).isNotNull()
     ).select(
@@ -121,9 +120,8 @@ def forecast_seasonal(
     parameters = materialize(_parameters(rows, by, size).join(horizon(df, by, size), by.key))
     cells = rows.select(by.key, F.col("at").cast("double").alias("at"), "value", "volume")
     key_type = dict(df.dtypes)[by.key]
-    fit = _fit_chunked if size.exceeds(WHOLE_ROWS) else _fit_whole
-    model = fit(cells, _fresh(parameters), by.key, key_type, steps, size).withColumn("method", F.lit("seasonal"))
-    return stamp(model.unionByName(linear_for_short(df, steps, by, size)), df, by, size)
+    model = _fit(cells, _fresh(parameters), by.key, key_type, steps, size).withColumn("method", F.lit("seasonal"))
+    return stamp(model.unionByName(linear_for_short(df, steps, by, size, whole=True)), df, by, size)
 
 
 def _fresh(df: DataFrame) -> DataFrame:
@@ -131,23 +129,8 @@ def _fresh(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).alias(c) for c in df.columns])
 
 
-def _fit_whole(cells, parameters, key, key_type, steps, size):
-    """Every key fits one task (checked by the profile): fit and predict per key."""
-
-    def per_key(rows: pd.DataFrame, params: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or params.empty:
-            return pd.DataFrame({key: [], "step": [], "predicted_price": []})
-        p = params.iloc[0]
-        step, price = _predict(_solve(_sums(rows, p), len(rows)), p, steps)
-        return pd.DataFrame({key: p[key], "step": step, "predicted_price": price})
-
-    return cells.groupBy(key).cogroup(parameters.groupBy(key)).applyInPandas(
-        per_key, f"{key} {key_type}, step int, predicted_price double"
-    )
-
-
-def _fit_chunked(cells, parameters, key, key_type, steps, size):
-    """Long histories: partial sums per chunk, added up cell by cell, then one small solve."""
+def _fit(cells, parameters, key, key_type, steps, size):
+    """Partial sums per chunk of a history, added up cell by cell, then one small solve."""
 
     def per_chunk(rows: pd.DataFrame, params: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or params.empty:

@@ -17,10 +17,10 @@ from tickloom.functions import columns as fn
 from tickloom.operators import (
     aggregate, alerts, clean, compare, filters, forecast, indicators, seasonal, signals,
 )
-from tickloom.plans import views
+from tickloom.plans import medallion, views
 from tickloom.plans.fixtures import PARTS, Fixtures
 from tickloom.scale import with_ordinal
-from tickloom.schemas import GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SERIES, SILVER
+from tickloom.schemas import ALERT_RULE, GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SERIES, SILVER
 from tickloom.session import scratch_path
 from tickloom.sources import layers, raw
 from tickloom.streaming import flows
@@ -102,14 +102,21 @@ def _(f):
     return layers.load_session(f.spark, path, newest, GOLD)
 
 
+def _exported(f: Fixtures, df: DataFrame) -> DataFrame:
+    """Through the CSV sink and back."""
+    path = scratch_path(f.spark, "export")
+    layers.write_csv(df, path)
+    return f.spark.read.schema(df.schema).options(**layers.CSV).csv(path)
+
+
 @query("export_selected")
 def _(f):
-    return layers.export_selected(f.series(), ["click", "view"], "ts", ["seq"])
+    return _exported(f, layers.export_selected(f.series(), ["click", "view"], "ts", ["seq"]))
 
 
 @query("export_range")
 def _(f):
-    return layers.export_range(f.series(), "24h", ["click", "view"])
+    return _exported(f, layers.export_range(f.series(), "24h", ["click", "view"]))
 
 
 @query("retention_filter")
@@ -121,7 +128,46 @@ def _(f):
 
 @query("json_records")
 def _(f):
-    return layers.json_records(f.history())
+    return layers.json_records(f.history(None))
+
+
+@query("alerts_store")
+def _(f):
+    path = scratch_path(f.spark, "rules")
+    layers.write_json_table(f.rules(), path)
+    return layers.read_json_table(f.spark, path, ALERT_RULE)
+
+
+@query("layer_drift")
+def _(f):
+    """Two batches of one layer, of which the first has no volume."""
+    path, ticks = scratch_path(f.spark, "drift"), f.ticks()
+    layers.write_layer(ticks.where("seq % 2 = 0").drop("volume_24h_usd"), path, "fetched_at", 0)
+    layers.write_layer(ticks.where("seq % 2 = 1"), path, "fetched_at", 1)
+    return layers.read_layer(f.spark, path, SILVER).select("coin_id", "fetched_at", "price_usd", "volume_24h_usd")
+
+
+@query("raw_arrival")
+def _(f):
+    """Two raw batches; of a tick in both the one written first stays."""
+    path, text = scratch_path(f.spark, "raw"), f.raw_text()
+    for copies in (0, 1):
+        raw.write_raw(text.where(f"seq % 2 = {copies}").coalesce(1).sortWithinPartitions("seq"), path)
+    ticks = clean.normalize_types(raw.read_raw(f.spark, path, with_arrival=True))
+    return clean.to_silver(ticks, raw.ARRIVAL.fieldNames()).select(
+        "coin_id", "fetched_at", "price_usd", "change_24h_pct", "volume_24h_usd", "data_quality_flag"
+    )
+
+
+@query("cycle_incremental")
+def _(f):
+    """Hourly gold after one cycle for each slice of dirty raw ticks."""
+    path, out = scratch_path(f.spark, "raw"), scratch_path(f.spark, "layers")
+    for i, part in enumerate(_slices(f, f.raw_text(), SLICES)):
+        for copies in (0, 1):
+            raw.write_raw(part.where(f"seq % 2 = {copies}"), path)
+        medallion.run_cycle(f.spark, path, out, i, "1 hour")
+    return layers.read_layer(f.spark, f"{out}/gold", GOLD)
 
 
 # --- cleaning ---------------------------------------------------------------------------
@@ -315,6 +361,12 @@ def _(f):
     return compare.correlation_matrix(f.series(), by=SERIES, align="time", bucket="1 hour", method="chunked")
 
 
+@query("correlation_12")
+def _(f):
+    """More keys than the pivot takes."""
+    return compare.correlation_matrix(f.supplier_series(), by=PARTS, align="time", bucket="1 day", method="wide")
+
+
 # --- indicators and signals -------------------------------------------------------------
 
 _ROW = ["coin_id", "ts", "seq"]
@@ -466,6 +518,13 @@ def _(f):
     return seasonal.forecast_seasonal(f.hourly(), size=f.tick_profile())
 
 
+@query("forecast_seasonal_frame")
+def _(f):
+    """Keys, steps, times and methods of the seasonal forecast; a key with a missing volume is linear."""
+    ahead = seasonal.forecast_seasonal(f.gappy(), size=f.tick_profile())
+    return ahead.select("coin_id", "step", "window_start", "method")
+
+
 @query("forecast_summary")
 def _(f):
     hourly = f.hourly()
@@ -480,58 +539,114 @@ def _(f):
 
 # --- streaming --------------------------------------------------------------------------
 
-def _landed(f: Fixtures, rows: DataFrame, name: str) -> str:
+SLICES = 4
+
+
+def _slices(f: Fixtures, text: DataFrame, n: int) -> list[DataFrame]:
+    """Raw rows in ``n`` parts by time; rows without a time come with the first."""
+    at = F.col("fetched_at").cast("timestamp")
+    low, high = f.ticks().agg(F.min("fetched_at"), F.max("fetched_at")).first()
+    done, span = F.unix_micros(at) - F.unix_micros(F.lit(low)), F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(low)) + 1
+    part = F.coalesce(F.floor(done * n / span), F.lit(0))
+    return [text.where(part == i).coalesce(1).sortWithinPartitions("seq") for i in range(n)]
+
+
+def _landed(f: Fixtures, text: DataFrame, name: str, copies: bool = False) -> str:
+    """Raw batches in order of time. With ``copies`` odd ``seq`` rows are a later batch of their slice."""
     path = scratch_path(f.spark, name)
-    raw.write_raw(rows, path)
+    for part in _slices(f, text, SLICES):
+        for batch in ([part.where("seq % 2 = 0"), part.where("seq % 2 = 1")] if copies else [part]):
+            raw.write_raw(batch, path)
     return path
 
 
 def _clean_text(f: Fixtures) -> DataFrame:
     iso = F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    return f.ticks().drop("seq").withColumn("fetched_at", iso)
+    return f.ticks().withColumn("fetched_at", iso)
 
 
-def _tick_stream(f: Fixtures, files_per_batch: int | None = None) -> DataFrame:
-    """Clean ticks, landed as JSON lines and read back as a typed stream."""
-    landed = flows.read_raw_stream(f.spark, _landed(f, _clean_text(f), "landing"), RAW_TEXT, files_per_batch)
-    return clean.normalize_types(landed)
+def _tick_stream(f: Fixtures) -> DataFrame:
+    """Clean ticks, landed as JSON lines and read back as a typed stream, a micro-batch for each slice."""
+    return clean.normalize_types(flows.read_raw_stream(f.spark, _landed(f, _clean_text(f), "landing"), RAW_TEXT, 1))
+
+
+def _finish(f: Fixtures, stream: DataFrame, name: str) -> str:
+    """Run an append stream over everything that has landed; the folder of its output."""
+    out = scratch_path(f.spark, name)
+    flows.append_to(stream, out, scratch_path(f.spark, "cp"), None).awaitTermination()
+    return out
 
 
 @query("stream_dedup")
 def _(f):
-    """The landed file is delivered twice; the second copy leaves no trace."""
-    path = _landed(f, _clean_text(f), "landing")
-    raw.write_raw(_clean_text(f), path)
-    out = scratch_path(f.spark, "silver")
-    landed = flows.read_raw_stream(f.spark, path)
-    flows.append_to(flows.silver_stream(landed, "40 days"), out, scratch_path(f.spark, "cp"), None).awaitTermination()
+    """Every slice is delivered twice; the second copy leaves no trace."""
+    path = scratch_path(f.spark, "landing")
+    for part in _slices(f, _clean_text(f), SLICES):
+        for _ in range(2):
+            raw.write_raw(part, path)
+    out = _finish(f, flows.silver_stream(flows.read_raw_stream(f.spark, path, files_per_batch=1)), "silver")
     return layers.read_layer(f.spark, out, SILVER).select(
         "coin_id", "fetched_at", "price_usd", "change_24h_pct", "data_quality_flag"
     )
 
 
+#: Late copies of a slice come after all of it, so the streams of dirty ticks wait longer than a slice.
+SLICE_LATENESS = "12 days"
+
+
+@query("stream_silver")
+def _(f):
+    """Dirty ticks with and without a time, several micro-batches, as the batch layer cleans them."""
+    path = _landed(f, f.raw_text(), "landing", copies=True)
+
+    def source():
+        return flows.read_raw_stream(f.spark, path, files_per_batch=1)
+
+    dated = _finish(f, flows.silver_stream(source(), SLICE_LATENESS), "silver")
+    undated = scratch_path(f.spark, "undated")
+    sink = flows.undated_sink(f.spark, undated, scratch_path(f.spark, "known"))
+    flows.each_batch(flows.usable_ticks(source()), sink, scratch_path(f.spark, "cp"), interval=None).awaitTermination()
+    both = layers.read_layer(f.spark, dated, SILVER).unionByName(layers.read_layer(f.spark, undated, SILVER))
+    return both.select("coin_id", "fetched_at", "price_usd", "change_24h_pct", "volume_24h_usd", "data_quality_flag")
+
+
+@query("stream_pipeline")
+def _(f):
+    """Dirty raw files -> silver -> gold in one query of several micro-batches."""
+    path = _landed(f, f.raw_text(), "landing", copies=True)
+
+    def silver():
+        return flows.silver_stream(flows.read_raw_stream(f.spark, path, files_per_batch=1), SLICE_LATENESS)
+
+    stored = layers.read_layer(f.spark, _finish(f, silver(), "silver"), SILVER)
+    final = layers.read_layer(f.spark, _finish(f, flows.gold_stream(silver(), "1 hour"), "gold"), GOLD)
+    return flows.with_open_bins(final, stored, lambda s: aggregate.to_gold(s, "1 hour"), "1 hour")
+
+
 @query("stream_gold")
 def _(f):
     out = scratch_path(f.spark, "gold")
-    windows = flows.gold_stream(_tick_stream(f), "1 hour", "40 days")
+    windows = flows.gold_stream(flows.timed(_tick_stream(f)), "1 hour")
     flows.each_batch(windows, flows.upsert_windows(out), scratch_path(f.spark, "cp"), "update", None).awaitTermination()
     return flows.read_upserts(f.spark, out)
 
 
 @query("stream_resample")
 def _(f):
-    out = scratch_path(f.spark, "bins")
-    bins = flows.resample_stream(_tick_stream(f), "1h", lateness="1 hour")
-    flows.append_to(bins, out, scratch_path(f.spark, "cp"), None).awaitTermination()
-    return f.spark.read.parquet(out)
+    out = _finish(f, flows.resample_stream(flows.timed(_tick_stream(f)), "1h"), "bins")
+    bins = f.spark.read.parquet(out)
+    return flows.with_open_bins(bins, f.ticks(), lambda s: aggregate.resample(aggregate.to_gold(s), "1h"), "1 hour")
 
 
 @query("stream_alerts")
 def _(f):
+    """What the last of several checks fires."""
     out = scratch_path(f.spark, "history")
-    sink = flows.alert_sink(f.spark, f.rules, out)
+    sink = flows.alert_sink(f.spark, f.rules, out, scratch_path(f.spark, "latest"))
     flows.each_batch(_tick_stream(f), sink, scratch_path(f.spark, "cp"), interval=None).awaitTermination()
-    return f.spark.read.parquet(out).select("id", "coin", "type", "message")
+    fired = f.spark.read.parquet(out)
+    newest = fired.agg(F.max(layers.BATCH)).scalar()
+    return fired.where(F.col(layers.BATCH) == newest).select("id", "coin", "type", "message")
 
 
 @query("stream_indicators")

@@ -117,9 +117,21 @@ class Fixtures:
             (F.col("o_totalprice") / 10000).alias("threshold"), (priority != "5-LOW").alias("active"),
         )
 
-    def history(self) -> DataFrame:
-        """Alert history: every tick above 60, in arrival order."""
-        return self.ticks().where("price_usd > 60").select(
+    def gappy(self) -> DataFrame:
+        """Hourly gold in which one key has a missing volume."""
+        gap = (F.col("coin_id") == "click") & (F.col("record_count") == 1)
+        return self.hourly().withColumn("avg_volume", F.when(~gap, F.col("avg_volume")))
+
+    def supplier_series(self) -> DataFrame:
+        """Twelve keys from ``lineitem``."""
+        return self.table("lineitem").select(
+            (F.col("l_suppkey") % 12).cast("string").alias("coin_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
+            "l_orderkey", "l_linenumber", (F.col("l_extendedprice") / F.col("l_quantity")).alias("value"),
+        )
+
+    def history(self, above: float | None = 60.0) -> DataFrame:
+        """Alert history: every tick above a price, or every tick, in arrival order."""
+        return self.ticks().where(F.lit(True) if above is None else F.col("price_usd") > above).select(
             "seq", F.date_format("fetched_at", "HH:mm:ss").alias("time"), F.upper("coin_id").alias("coin"),
             F.lit("price").alias("type"), F.concat(F.upper("coin_id"), F.lit(" above 60.0")).alias("message"),
         )

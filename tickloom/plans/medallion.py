@@ -1,17 +1,20 @@
-"""Batch cycle: raw files -> bronze -> silver -> gold."""
+"""Batch cycle: new raw files -> bronze -> silver -> touched gold windows."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.aggregate import to_gold
 from tickloom.operators.clean import normalize_types, to_silver
 from tickloom.schemas import BRONZE, SILVER
-from tickloom.sources.layers import BATCH, read_layer, write_layer
-from tickloom.sources.raw import ARRIVAL, read_raw
+from tickloom.sources.layers import BATCH, DATE, apply_retention, read_layer, write_layer
+from tickloom.sources.raw import ARRIVAL, path_exists, raw_files, read_raw
+
+LEDGER = T.StructType([T.StructField("arrival_file", T.StringType(), True)])
 
 
 def refine(raw: DataFrame, arrival: Iterable[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -21,23 +24,57 @@ def refine(raw: DataFrame, arrival: Iterable[str]) -> tuple[DataFrame, DataFrame
     return bronze, silver, to_gold(silver)
 
 
-def run_cycle(spark: SparkSession, raw_path: str, out_path: str, batch_id: int = 0) -> bool:
-    """One cycle over the raw files present. False if there is nothing to do.
+def unseen_files(spark: SparkSession, raw_path: str, out_path: str, batch_id: int) -> DataFrame:
+    """Raw files that no other cycle has taken: (path, arrival_file)."""
+    ledger = read_layer(spark, f"{out_path}/files", LEDGER, more=[BATCH])
+    files = raw_files(spark, raw_path).select("path", "arrival_file")
+    if BATCH not in ledger.columns:
+        return files
+    return files.join(ledger.where(F.col(BATCH) != batch_id), "arrival_file", "left_anti")
 
-    Each layer is written once and read back by the next, so nothing is computed twice and a
-    lost executor costs one stage. A repeated ``batch_id`` replaces its own output.
-    """
-    raw = read_raw(spark, raw_path, with_arrival=True)
-    if raw.isEmpty():
-        return False
 
-    def folder(layer: str) -> str:
-        return f"{out_path}/{layer}/{BATCH}={batch_id}"
+def run_cycle(
+    spark: SparkSession, raw_path: str, out_path: str, batch_id: int = 0, width: str = "10 seconds",
+    on_corrupt: str = "file", keep_hours: float | None = None, archive: str | None = None,
+) -> bool:
+    """One cycle over the raw files that no earlier cycle has taken. False if there is none.
 
+    New ticks are cleaned and joined against the silver of the dates they touch, so that a tick is
+    stored once whatever cycle brings its copies. The gold windows of those dates are computed
+    again from silver and replace the old ones; other dates are not read. Each layer is written
+    once and read back by the next. The list of files is written last: a cycle that fails is
+    repeated with its ``batch_id`` and replaces its own output. ``keep_hours`` then deletes, or
+    moves to ``archive``, raw files older than that.
+    """
+    new = [r["path"] for r in unseen_files(spark, raw_path, out_path, batch_id).collect()]
+    if not new:
+        return False
+    raw = read_raw(spark, raw_path, on_corrupt=on_corrupt, with_arrival=True, files=new)
     write_layer(normalize_types(raw), f"{out_path}/bronze", "fetched_at", batch_id)
-    bronze = read_layer(spark, folder("bronze"), T.StructType(BRONZE.fields + ARRIVAL.fields))
-    silver = to_silver(bronze, ARRIVAL.fieldNames()).drop(*ARRIVAL.fieldNames())
-    write_layer(silver, f"{out_path}/silver", "fetched_at", batch_id)
-    clean = read_layer(spark, folder("silver"), SILVER)
-    write_layer(to_gold(clean), f"{out_path}/gold", "window_start", batch_id)
+    bronze = read_layer(
+        spark, f"{out_path}/bronze/{BATCH}={batch_id}", T.StructType(BRONZE.fields + ARRIVAL.fields)
+    )
+    fresh = to_silver(bronze, ARRIVAL.fieldNames()).drop(*ARRIVAL.fieldNames())
+    # Only the date folders that the new ticks touch are opened.
+    touched = fresh.select(F.to_date("fetched_at").alias(DATE)).distinct()
+    if path_exists(spark, f"{out_path}/silver"):
+        stored = read_layer(spark, f"{out_path}/silver", SILVER, more=[BATCH, DATE])
+        same_tick = (
+            stored.where(F.col(BATCH) != batch_id).join(touched, stored[DATE].eqNullSafe(touched[DATE]), "left_semi")
+            .select(F.col("coin_id").alias("_coin"), F.col("fetched_at").alias("_at"))
+        )
+        fresh = fresh.join(
+            same_tick, F.col("coin_id").eqNullSafe(F.col("_coin")) & F.col("fetched_at").eqNullSafe(F.col("_at")), "left_anti"
+        )
+    write_layer(fresh, f"{out_path}/silver", "fetched_at", batch_id)
+    silver = read_layer(spark, f"{out_path}/silver", SILVER, more=[DATE])
+    mine = read_layer(spark, f"{out_path}/silver/{BATCH}={batch_id}", SILVER)
+    days = mine.select(F.to_date("fetched_at").alias("_day")).where("_day is not null").distinct()
+    again = silver.join(days, silver[DATE] == days["_day"], "left_semi").drop(DATE)
+    write_layer(to_gold(again, width), f"{out_path}/gold", "window_start", mode="overwrite_dates")
+    # Files without a readable record, such as a partly written one, are looked at again.
+    taken = bronze.select("arrival_file").distinct()
+    taken.coalesce(1).write.mode("overwrite").parquet(f"{out_path}/files/{BATCH}={batch_id}")
+    if keep_hours is not None:
+        apply_retention(spark, raw_path, keep_hours, archive=archive)
     return True

@@ -270,7 +270,8 @@ ORACLES: dict[str, str] = {
     "volatility_series": sql(f"SELECT coin_id, window_start, {r('price_volatility')} FROM hourly"),
     "volatility_series_silver": sql(f"SELECT coin_id, fetched_at, {r('volume_24h_usd', 'volume')} FROM ticks"),
     "json_records": sql("""SELECT '{"seq":' || seq || ',"time":"' || time || '","coin":"' || coin || '","type":"' || type ||
- '","message":"' || message || '"}' AS record FROM history"""),
+ '","message":"' || message || '"}' AS record FROM every""", every="""SELECT seq, strftime(fetched_at, '%H:%M:%S') AS time, upper(coin_id) AS coin,
+  'price' AS type, upper(coin_id) || ' above 60.0' AS message FROM ticks"""),
     "dedup_first": sql(f"SELECT seq, coin_id, fetched_at, {r('price_usd')} FROM silver"),
     "select_keys": sql(f"SELECT seq, coin_id, ts, {r('value')} FROM series WHERE coin_id IN ('click', 'purchase')"),
     "trailing_range": sql(f"SELECT seq, coin_id, ts, {r('value')} FROM series WHERE ts >= (SELECT max(ts) FROM series) - INTERVAL 6 HOUR"),
@@ -296,7 +297,8 @@ ORACLES: dict[str, str] = {
  {r('min(value)', 'min')}, {r('max(value)', 'max')}, {r('coalesce(sum(volume), 0)', 'volume')} FROM series GROUP BY coin_id"""),
     "freshness": sql("SELECT min(ts) AS first_ts, max(ts) AS last_ts FROM series"),
     "layer_counts": sql("""SELECT (SELECT count(*) FROM gold) AS gold_rows, (SELECT count(*) FROM silver) AS silver_rows,
- (SELECT count(*) FROM (SELECT coin_id FROM gold UNION SELECT coin_id FROM silver)) AS keys, 'Gold' AS layer""",
+ (SELECT count(*) FROM (SELECT coin_id FROM gold UNION SELECT coin_id FROM silver)) AS keys, 'Gold' AS layer,
+ (SELECT max(window_start) FROM gold) AS updated_at""",
                         gold=_gold("ticks", "1 hour")),
     "keys_union": sql("SELECT coin_id FROM gold10 UNION SELECT coin_id FROM silver"),
     "volume_total": sql(f"SELECT coin_id, {r('sum(volume)', 'total_volume')} FROM series GROUP BY coin_id HAVING sum(volume) IS NOT NULL"),
@@ -361,8 +363,22 @@ ORACLES: dict[str, str] = {
     "stream_dedup": sql(f"""SELECT coin_id, fetched_at, {rs('price_usd', 'change_24h_pct')},
  CASE WHEN change_24h_pct BETWEEN -100 AND 1000 THEN 'good' ELSE 'suspicious' END AS data_quality_flag FROM ticks WHERE price_usd > 0"""),
     "stream_gold": sql(f"SELECT {_GOLD_OUT} FROM gold", gold=_gold("ticks", "1 hour")),
-    "stream_resample": sql(f"""SELECT {_BIN_OUT} FROM hourly
- WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(fetched_at) FROM ticks) - INTERVAL 1 HOUR"""),
+    "stream_resample": sql(f"SELECT {_BIN_OUT} FROM hourly"),
+    "stream_pipeline": sql(f"SELECT {_GOLD_OUT} FROM gold", gold=_gold("silver", "1 hour")),
+    "cycle_incremental": sql(f"SELECT {_GOLD_OUT} FROM gold", gold=_gold("silver", "1 hour")),
+    **{name: sql(f"SELECT coin_id, fetched_at, {rs('price_usd', 'change_24h_pct', 'volume_24h_usd')}, data_quality_flag FROM silver")
+       for name in ("stream_silver", "raw_arrival")},
+    "alerts_store": sql(f"SELECT id, coin, type, condition, {r('threshold')}, active FROM rules"),
+    "layer_drift": sql(f"""SELECT coin_id, fetched_at, {r('price_usd')},
+ {r('CASE WHEN seq % 2 = 1 THEN volume_24h_usd END', 'volume_24h_usd')} FROM ticks"""),
+    "correlation_12": sql(_correlation("cells"), cells="""SELECT CAST(l_suppkey % 12 AS VARCHAR) AS coin_id,
+ avg(l_extendedprice / l_quantity) AS x, CAST(l_shipdate AS DATE) AS at FROM lineitem GROUP BY ALL"""),
+    "forecast_seasonal_frame": sql("""SELECT coin_id, CAST(step AS BIGINT) AS step, last_at + to_microseconds(CAST(step * gap AS BIGINT)) AS window_start,
+ CASE WHEN rows >= 10 AND known = rows THEN 'seasonal' ELSE 'linear' END AS method FROM frame, range(1, 13) AS s(step)""",
+        frame="""SELECT coin_id, max(window_start) AS last_at, count(*) AS rows,
+  count(*) FILTER (NOT (coin_id = 'click' AND record_count = 1)) AS known,
+  coalesce(floor(quantile_cont(step_us, 0.5)), 60000000) AS gap FROM (SELECT *,
+  epoch_us(window_start) - lag(epoch_us(window_start)) OVER (PARTITION BY coin_id ORDER BY window_start) AS step_us FROM hourly) GROUP BY coin_id"""),
     "stream_alerts": sql("SELECT id, coin, type, message FROM fired"),
     "stream_indicators": sql(f"SELECT coin_id, ts AS fetched_at, {rs('sma_10', 'sma_20', 'bb_upper', 'bb_lower', 'rsi_14')} FROM panel", **_BY_SEQ),
 }

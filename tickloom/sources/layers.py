@@ -8,10 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tickloom.operators.filters import newest, select_keys, trailing_range
-from tickloom.sources.raw import RAW_GLOB, path_exists
+from tickloom.sources.raw import move_path, path_exists, raw_files, remove_path
 
 DATE = "dt"
 # CSV keeps microseconds and the offset
@@ -35,24 +34,21 @@ def write_layer(df: DataFrame, path: str, ts: str, batch_id: int | None = None,
 
 
 def read_layer(
-    spark: SparkSession, path: str, schema: T.StructType, since: datetime | None = None
+    spark: SparkSession, path: str, schema: T.StructType, since: datetime | None = None, more: Sequence[str] = ()
 ) -> DataFrame:
     """A layer with its declared columns; no rows if the path is missing or holds no table.
 
-    ``since`` prunes the date folders before it.
+    A column that a batch does not have is null in its rows alone. ``since`` prunes the date
+    folders before it; ``more`` names partition columns (``dt``, ``batch_id``) to keep.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:  # a folder without data files
-        return spark.createDataFrame([], schema)
+    # The declared schema, not that of one footer: batches may differ in their columns.
+    stored = spark.read.schema(schema).parquet(path)
     if since is not None and DATE in stored.columns:
         stored = stored.where(F.col(DATE) >= F.lit(since.date()))
-    return stored.select(*[
-        (F.col(f.name) if f.name in stored.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    kept = [f.name for f in schema.fields]
+    return stored.select(*kept, *[c for c in more if c in stored.columns])
 
 
 def save_session(gold: DataFrame, silver: DataFrame, path: str, taken_at: datetime) -> None:
@@ -115,19 +111,34 @@ def retain(df: DataFrame, ts: str, keep_hours: float = 1, now: datetime | Column
 
 def expired_files(spark: SparkSession, path: str, keep_hours: float = 1, now: datetime | None = None) -> DataFrame:
     """Raw files last modified before the retention limit (path, modified_at)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).load(path)
     clock = F.current_timestamp() if now is None else F.lit(now)
     limit = clock - F.make_interval(secs=F.lit(keep_hours * 3600.0).cast("decimal(18,6)"))
-    return files.where(F.col("modificationTime") < limit).select(
-        "path", F.col("modificationTime").alias("modified_at")
-    )
+    return raw_files(spark, path).where(F.col("modified_at") < limit).select("path", "modified_at")
+
 
+def apply_retention(
+    spark: SparkSession, path: str, keep_hours: float = 1, now: datetime | None = None, archive: str | None = None
+) -> int:
+    """Delete the expired raw files, or move them to ``archive``; how many there were.
 
-def read_json_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A JSON array or JSON-lines table (rules, history); missing or unreadable means no rows."""
+    Only names pass through the driver, one after another.
+    """
+    n = 0
+    for row in expired_files(spark, path, keep_hours, now).toLocalIterator():
+        if archive:
+            move_path(spark, row["path"], archive)
+        else:
+            remove_path(spark, row["path"])
+        n += 1
+    return n
+
+
+def read_json_table(spark: SparkSession, path: str, schema: T.StructType, array: bool = False) -> DataFrame:
+    """A JSON-lines table (rules, history), or with ``array`` one JSON array per file; missing or
+    unreadable means no rows."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
+    rows = spark.read.schema(schema).option("multiLine", array).option("mode", "DROPMALFORMED").json(path)
     return rows.where(F.coalesce(*[F.col(c).cast("string") for c in schema.fieldNames()]).isNotNull())
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+import time
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.scale import MAX_SMALL_ROWS
-from tickloom.schemas import RAW_TEXT, SNAPSHOT
-from tickloom.session import materialize
+from tickloom.schemas import RAW_TEXT
 
 _CORRUPT = "_corrupt"
 RAW_GLOB = "*.json*"
@@ -21,43 +23,63 @@ ARRIVAL = T.StructType([
 
 def read_raw(
     spark: SparkSession, path: str, schema: T.StructType = RAW_TEXT, on_corrupt: str = "file",
-    with_arrival: bool = False,
+    with_arrival: bool = False, files: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All JSON-lines records of a folder as text columns.
+    """All JSON-lines records below a folder as text columns, lazily.
 
     ``on_corrupt="file"`` leaves out every file that holds an unreadable line (a partly
     written file), ``"record"`` only such lines. A missing or empty folder gives no rows.
-    ``with_arrival`` adds the columns that order rows by file name and line.
+    ``with_arrival`` adds the columns that order rows: the file's path below the folder (batch
+    folders are named by their time), its block and the line. ``files`` reads these files only.
     """
     wanted = T.StructType(schema.fields + ARRIVAL.fields) if with_arrival else schema
-    if not path_exists(spark, path):
+    if not path_exists(spark, path) or (files is not None and not files):
         return spark.createDataFrame([], wanted)
     records = (
         spark.read.schema(T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType(), True)]))
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
-        .option("pathGlobFilter", RAW_GLOB).json(path)
+        .option("pathGlobFilter", RAW_GLOB).option("recursiveFileLookup", "true").json(list(files) if files else path)
         .select("*", F.col("_metadata.file_path").alias("_file"),
                 F.col("_metadata.file_block_start").alias("arrival_block"),
                 F.monotonically_increasing_id().alias("arrival_line"))
-        .withColumn("arrival_file", F.element_at(F.split("_file", "/"), -1))
+        .withColumn("arrival_file", below(F.col("_file"), path))
     )
     first = schema.fieldNames()[0]  # the parser must always see a column besides the corrupt one
     whole = records.where(F.col(_CORRUPT).isNull() & (F.length(F.coalesce(F.col(first), F.lit(""))) >= 0))
     if on_corrupt == "file":
-        files = records.groupBy("_file").agg(
+        # The few broken files; AQE broadcasts them if they are few indeed.
+        broken = records.groupBy("_file").agg(
             F.max(F.col(_CORRUPT).isNotNull()).alias("_broken"), F.count(first).alias("_read")
-        )
-        broken = materialize(files).where("_broken").select("_file")
-        found = broken.limit(MAX_SMALL_ROWS + 1).count()
-        if found:
-            whole = whole.join(F.broadcast(broken) if found <= MAX_SMALL_ROWS else broken, "_file", "left_anti")
+        ).where("_broken and _read >= 0").select("_file")
+        whole = whole.join(broken, "_file", "left_anti")
     return whole.select(*wanted.fieldNames())
 
 
+def below(file: Column, path: str) -> Column:
+    """A file's path below the folder ``path``."""
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    return F.regexp_replace(file, f"^.*/{re.escape(root)}/", "")
+
+
 def write_raw(records: DataFrame, path: str) -> None:
-    """Append a batch as JSON lines; a batch without records writes nothing."""
+    """Append a batch as JSON lines; a batch without records writes nothing.
+
+    Every batch has a folder named by its time, so that the order of the names is the order
+    of arrival.
+    """
     if not records.isEmpty():
-        records.write.mode("append").option("ignoreNullFields", "false").json(path)
+        stamp = f"{time.time_ns():020d}"
+        records.write.mode("append").option("ignoreNullFields", "false").json(f"{path.rstrip('/')}/{stamp}")
+
+
+def raw_files(spark: SparkSession, path: str) -> DataFrame:
+    """Raw files below a folder, without their contents: (path, arrival_file, modified_at)."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "path string, arrival_file string, modified_at timestamp")
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", RAW_GLOB).option("recursiveFileLookup", "true").load(path)
+    )
+    return files.select("path", below(F.col("path"), path).alias("arrival_file"), F.col("modificationTime").alias("modified_at"))
 
 
 def flatten_snapshot(snapshots: DataFrame, vs_currency: str = "usd") -> DataFrame:
@@ -81,13 +103,23 @@ def flatten_snapshot(snapshots: DataFrame, vs_currency: str = "usd") -> DataFram
     )
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API replies: JSON lines of (payload text, fetched_at)."""
-    return spark.read.schema(SNAPSHOT).json(path)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look-up in whatever file system the path names."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever file system the path names; a missing one is fine."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def move_path(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file into a folder of the same file system."""
+    jvm = spark.sparkContext._jvm
+    where, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(folder)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    system.rename(where, jvm.org.apache.hadoop.fs.Path(target, where.getName()))

@@ -14,15 +14,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.columns import INTERVALS
-from tickloom.operators.aggregate import flat_window, gold_columns
+from tickloom.operators.aggregate import flat_window, gold_columns, latest_per_key
 from tickloom.operators.alerts import check_alerts
-from tickloom.operators.clean import drop_unusable, flag_quality, normalize_types
+from tickloom.operators.clean import dedup_first, drop_unusable, flag_quality, normalize_types
 from tickloom.operators.filters import last_n_per_key
 from tickloom.operators.indicators import ALL_HALO, all_indicators
 from tickloom.scale import over_rows, profile
-from tickloom.schemas import RAW_TEXT, SILVER_SERIES, Series
-from tickloom.sources.layers import BATCH
-from tickloom.sources.raw import RAW_GLOB, path_exists
+from tickloom.schemas import GOLD, RAW_TEXT, SILVER_SERIES, Series
+from tickloom.sources.layers import BATCH, read_layer
+from tickloom.sources.raw import RAW_GLOB, remove_path
 
 LATENESS = "1 hour"
 
@@ -34,7 +34,7 @@ def read_raw_stream(
     """New raw files as they land. ``clean_source`` "delete" or "archive" is the retention."""
     reader = (
         spark.readStream.schema(schema).option("pathGlobFilter", RAW_GLOB)
-        .option("mode", "DROPMALFORMED").option("cleanSource", clean_source)
+        .option("mode", "DROPMALFORMED").option("cleanSource", clean_source).option("recursiveFileLookup", "true")
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -43,27 +43,37 @@ def read_raw_stream(
     return reader.json(path)
 
 
+def usable_ticks(raw: DataFrame) -> DataFrame:
+    return flag_quality(drop_unusable(normalize_types(raw)))
+
+
+def timed(ticks: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Ticks that have a time, with the watermark of everything downstream. Set it once, here."""
+    return ticks.where(F.col("fetched_at").isNotNull()).withWatermark("fetched_at", lateness)
+
+
 def silver_stream(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Cleaned, flagged ticks; copies of a (key, time) within the watermark are dropped."""
-    flagged = flag_quality(drop_unusable(normalize_types(raw)))
-    return flagged.withWatermark("fetched_at", lateness).dropDuplicatesWithinWatermark(["coin_id", "fetched_at"])
+    """Cleaned, flagged ticks; copies of a (key, time) within the watermark are dropped.
 
+    Of copies in one micro-batch any may be kept. Ticks without a time never pass a watermark;
+    ``undated_sink`` takes them.
+    """
+    return timed(usable_ticks(raw), lateness).dropDuplicatesWithinWatermark(["coin_id", "fetched_at"])
 
-def gold_stream(silver: DataFrame, width: str = "10 seconds", lateness: str = LATENESS) -> DataFrame:
-    """Tumbling gold aggregates of a stream of silver ticks."""
-    timed = silver.withWatermark("fetched_at", lateness)
-    return flat_window(timed.groupBy("coin_id", F.window("fetched_at", width).alias("_w")).agg(*gold_columns()))
 
+def gold_stream(silver: DataFrame, width: str = "10 seconds") -> DataFrame:
+    """Tumbling gold aggregates of a watermarked stream (``silver_stream`` or ``timed``)."""
+    return flat_window(silver.groupBy("coin_id", F.window("fetched_at", width).alias("_w")).agg(*gold_columns()))
 
-def resample_stream(
-    silver: DataFrame, interval: str = "1h", width: str = "10 seconds", lateness: str = LATENESS
-) -> DataFrame:
-    """Gold windows and their coarser bins in one query: chained window aggregates.
 
-    Append mode: a bin appears once, when the watermark has passed its end.
+def resample_stream(silver: DataFrame, interval: str = "1h", width: str = "10 seconds") -> DataFrame:
+    """Gold windows and their coarser bins in one query over a watermarked stream: chained window
+    aggregates.
+
+    Append mode: a bin appears once, when the watermark has passed its end. ``with_open_bins``
+    adds the bins that are still open.
     """
-    timed = silver.withWatermark("fetched_at", lateness)
-    gold = timed.groupBy("coin_id", F.window("fetched_at", width).alias("_w")).agg(*gold_columns())
+    gold = silver.groupBy("coin_id", F.window("fetched_at", width).alias("_w")).agg(*gold_columns())
     bins = gold.groupBy("coin_id", F.window(F.window_time("_w"), INTERVALS[interval]).alias("_b")).agg(
         F.avg("avg_price").alias("avg_price"), F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"), F.coalesce(F.sum("avg_volume"), F.lit(0.0)).alias("avg_volume"),
@@ -75,6 +85,20 @@ def resample_stream(
     return kept.select("coin_id", F.col("_b.start").alias("window_start"), *rest)
 
 
+def with_open_bins(
+    emitted: DataFrame, silver: DataFrame, build: Callable[[DataFrame], DataFrame], width: str
+) -> DataFrame:
+    """Final windows and, from the silver table, the open ones.
+
+    The watermark is one for all keys: every window that ends before the last emitted one does is
+    final. So ``build`` runs over the silver rows from that end on, as one bounded filter.
+    """
+    seconds = F.unix_seconds(F.lit("1970-01-01").cast("timestamp") + F.expr(f"INTERVAL {width}"))
+    end = emitted.agg(F.timestamp_seconds(F.max(F.unix_seconds("window_start")) + seconds).alias("end")).scalar()
+    rest = silver.where(F.col("fetched_at") >= F.coalesce(end, F.lit("0001-01-01").cast("timestamp")))
+    return emitted.unionByName(build(rest).select(*emitted.columns))
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str, interval: str | None = "10 seconds") -> StreamingQuery:
     """Parquet file sink. Without an interval, everything present is processed and the query ends."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
@@ -100,64 +124,122 @@ def upsert_windows(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def read_upserts(spark: SparkSession, path: str, keys: tuple[str, ...] = ("coin_id", "window_start")) -> DataFrame:
+def read_upserts(
+    spark: SparkSession, path: str, schema: T.StructType = GOLD, keys: tuple[str, ...] = ("coin_id", "window_start"),
+) -> DataFrame:
     """The latest version of every window of an ``upsert_windows`` sink."""
-    stored = spark.read.parquet(path)
-    rest = [c for c in stored.columns if c not in (*keys, BATCH)]
-    newest = stored.groupBy(*keys).agg(*[F.max_by(c, BATCH).alias(c) for c in rest])
-    return newest.select(*keys, *rest)
+    stored = read_layer(spark, path, schema, more=[BATCH])
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH).alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
+class KeyedState:
+    """Rows kept for each key between micro-batches, as a table with one folder for each batch.
+
+    A batch writes the keys it touched, no others. A key's state before batch n is what the last
+    folder before n has of it, so a repeated batch starts from the same state. Every ``compact``
+    batches all keys are written once and the folders before the previous such batch removed.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, compact: int = 50):
+        self.spark, self.path, self.key, self.compact = spark, path, key, compact
+
+    def before(self, batch_id: int, schema: T.StructType) -> DataFrame:
+        stored = read_layer(self.spark, self.path, schema, more=[BATCH])
+        if BATCH not in stored.columns:
+            return stored
+        stored = stored.where(F.col(BATCH) < batch_id)
+        last = stored.groupBy(F.col(self.key).alias("_key")).agg(F.max(BATCH).alias("_last"))
+        newest = stored.join(last, F.col(self.key).eqNullSafe(F.col("_key")) & (F.col(BATCH) == F.col("_last")), "left_semi")
+        return newest.drop(BATCH)
+
+    def save(self, touched: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % self.compact == 0:
+            old = self.before(batch_id, touched.schema)
+            keys = touched.select(F.col(self.key).alias("_key")).distinct()
+            touched = old.join(keys, F.col(self.key).eqNullSafe(F.col("_key")), "left_anti").unionByName(touched)
+        touched.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
+        if batch_id % self.compact == 0:
+            for old_id in range(max(0, batch_id - 2 * self.compact), batch_id - self.compact):
+                remove_path(self.spark, f"{self.path}/{BATCH}={old_id}")
+
+
+def undated_sink(spark: SparkSession, path: str, state_path: str) -> Callable[[DataFrame, int], None]:
+    """Ticks without a time: the first to arrive of each key, once, as the batch layer keeps them.
+
+    Takes the stream of ``usable_ticks``. The order within a batch is that of the files read.
+    """
+    state = KeyedState(spark, state_path, "coin_id")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ticks = batch.where(F.col("fetched_at").isNull()).withColumn("_line", F.monotonically_increasing_id())
+        first = dedup_first(ticks, ["coin_id"], ["_line"]).drop("_line")
+        known = state.before(batch_id, T.StructType([T.StructField("coin_id", T.StringType(), True)]))
+        new = first.join(known.select(F.col("coin_id").alias("_known")), F.col("coin_id") == F.col("_known"), "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        stored = spark.read.schema(new.schema).parquet(f"{path}/{BATCH}={batch_id}")
+        state.save(stored.select("coin_id"), batch_id)
+
+    return write
 
 
 def alert_sink(
-    spark: SparkSession, rules: Callable[[], DataFrame], path: str, by: Series = SILVER_SERIES
+    spark: SparkSession, rules: Callable[[], DataFrame], path: str, state_path: str, by: Series = SILVER_SERIES
 ) -> Callable[[DataFrame, int], None]:
-    """History of the rules that hold on the newest row of their key in each batch.
+    """History of the rules that hold at each check on the newest known row of their key.
 
-    ``rules`` is called per batch, so changes of the rule table take effect at once.
+    The newest row of every key is kept between batches, so a rule on a key that a batch does not
+    bring fires again while it holds. ``rules`` is called per batch, so changes of the rule table
+    take effect at once.
     """
+    state = KeyedState(spark, state_path, by.key)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fired = check_alerts(batch, rules(), by)
+        kept = [c for c in dict.fromkeys([by.key, *by.order, by.value, by.change]) if c in batch.columns]
+        fresh = batch.select(*kept)
+        known = state.before(batch_id, fresh.schema)
+        # Of rows of one time the later batch counts as newer.
+        ranked = by.but(tiebreak=(*by.tiebreak, "_batch"))
+        touched = fresh.select(F.col(by.key).alias("_key")).distinct()
+        rows = known.join(touched, F.col(by.key).eqNullSafe(F.col("_key")), "left_semi").withColumn("_batch", F.lit(0)).unionByName(
+            fresh.withColumn("_batch", F.lit(1)))
+        state.save(latest_per_key(rows, ranked).drop("_batch"), batch_id)
+        fired = check_alerts(state.before(batch_id + 1, fresh.schema), rules(), by)
         fired.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def indicator_sink(
     spark: SparkSession, path: str, state_path: str, by: Series = SILVER_SERIES
 ) -> Callable[[DataFrame, int], None]:
     """Indicators over a stream: each batch is computed behind the last rows of its keys.
 
-    The state is a table with the newest ``ALL_HALO`` rows per key, one version per batch; a
-    repeated batch starts from the same version again. Rows not after the last processed
-    time of their key are late and dropped. A batch with a very large key is cut into blocks
-    like any other series.
+    The newest ``ALL_HALO`` rows of each key are kept between batches; a batch reads and writes
+    those of the keys it brings. Rows are ordered by time, tie-break and batch. Rows before the
+    last processed one are late and dropped; a row of equal time and tie-break follows it. A batch
+    with a very large key is cut into blocks like any other series.
     """
+    state = KeyedState(spark, state_path, by.key)
+    ranked = by.but(tiebreak=(*by.tiebreak, "_arrived"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = [by.key, *by.order, by.value, by.change, *{by.high, by.low} - {by.value}]
-        fresh = batch.select(*[c for c in dict.fromkeys(kept) if c in batch.columns]).persist()
-        before = f"{state_path}/{BATCH}={batch_id - 1}"
-        if path_exists(spark, before):
-            tail = spark.read.schema(fresh.schema).parquet(before)
-            seen = tail.groupBy(by.key).agg(F.max(by.ts).alias("_seen"))
-            on_time = fresh.join(seen, by.key, "left").where(
-                F.col("_seen").isNull() | (F.col(by.ts) > F.col("_seen"))
-            ).drop("_seen")
-            rows = tail.withColumn("_new", F.lit(False)).unionByName(on_time.withColumn("_new", F.lit(True)))
-        else:
-            rows = fresh.withColumn("_new", F.lit(True))
-        size = profile(rows, by)
-        done = over_rows(rows, lambda r, part: all_indicators(r, part, by), ALL_HALO, by, size)
-        done.where("_new").drop("_new").write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
-        tail_now = last_n_per_key(rows.drop("_new"), ALL_HALO, by)
-        tail_now.write.mode("overwrite").parquet(f"{state_path}/{BATCH}={batch_id}")
+        fresh = batch.select(*[c for c in dict.fromkeys(kept) if c in batch.columns]).withColumn(
+            "_arrived", F.lit(batch_id).cast("long")).persist()
+        keys = fresh.select(F.col(by.key).alias("_key")).distinct()
+        tail = state.before(batch_id, fresh.schema).join(keys, F.col(by.key).eqNullSafe(F.col("_key")), "left_semi")
+        place = F.struct(*by.order)
+        seen = tail.groupBy(F.col(by.key).alias("_key")).agg(F.max(place).alias("_seen"))
+        on_time = fresh.join(seen, F.col(by.key) == F.col("_key"), "left").where(
+            F.col("_seen").isNull() | (place >= F.col("_seen"))
+        ).drop("_key", "_seen")
+        rows = tail.withColumn("_new", F.lit(False)).unionByName(on_time.withColumn("_new", F.lit(True)))
+        size = profile(rows, ranked)
+        done = over_rows(rows, lambda r, part: all_indicators(r, part, ranked), ALL_HALO, ranked, size)
+        done.where("_new").drop("_new", "_arrived").write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        state.save(last_n_per_key(rows.drop("_new"), ALL_HALO, ranked), batch_id)
         fresh.unpersist()
-        _remove(spark, f"{state_path}/{BATCH}={batch_id - 2}")
 
     return write
