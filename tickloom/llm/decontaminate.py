@@ -49,7 +49,7 @@ def _item_rows(k: int, share: float):
     def rows(batches: Iterable[pa.RecordBatch]):
         for batch in slices(batches):
             doc, hashes = _shingles(batch, k)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_pylist()
             for i in np.unique(doc):
                 own = np.unique(hashes[doc == i])
                 m = sketch_size(len(own), share)
@@ -66,7 +66,7 @@ def _item_rows(k: int, share: float):
                         f += 1
                 n = len(own)
                 yield pa.record_batch(
-                    [pa.array(np.full(n, ids[i])), pa.array(own.view(np.int64)), pa.array(chosen), pa.array(np.full(n, n))],
+                    [pa.array([ids[i]] * n, pa.int64()), pa.array(own.view(np.int64)), pa.array(chosen), pa.array(np.full(n, n))],
                     ["item_id", "h", "probe", "size"],
                 )
     return rows

@@ -90,7 +90,8 @@ class Automaton:
             c = steps[i, :n]
             to = self.table[state[:n] + c]
             stuck = to == 0
-            count[:n] += stuck
+            # At the root again only after a byte that no match can have: the next one begins a phrase.
+            count[:n] += stuck | (state[:n] == 0)
             state[:n] = np.where(stuck, self.root[c], to)
         return count
 

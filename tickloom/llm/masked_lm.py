@@ -14,7 +14,7 @@ all that the driver gets. A document's score is the sum of its words' conditiona
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -215,7 +215,7 @@ def _train(shared, turn: int):
     return rows
 
 
-def _average(key: tuple, batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+def _average(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, seen = np.zeros(sum(map(math.prod, _SHAPES.values()))), 0
     for batch in batches:
         for n, raw in zip(batch.column("seen").to_pylist(), batch.column("weights"), strict=True):

@@ -110,22 +110,27 @@ def _suspects(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _train(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-    random, every = np.zeros(_N * _N, np.int64), np.zeros(_N * _N, np.int64)
+    random, ordinary = np.zeros(_N * _N, np.int64), np.zeros(_N * _N, np.int64)
     for batch in slices(batches):
         codes, marked = _suspects(batch)
-        every += pair_counts(codes)
+        at = utf8(batch.column(1))[1]
         for i in np.flatnonzero(marked):
             text = batch.column(1)[i].as_py()
+            own = codes[at[i] + i : at[i + 1] + i]
             done = 0
             for start, kind, end in base_spans(text):
-                inner = _codes(text[max(start, done) : end])
-                every -= pair_counts(inner)
-                # Of an assignment, the value is the sample.
+                # Of an assignment, the value is the sample; of overlapping spans the first.
                 value = _ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]
                 random += pair_counts(_codes(value)) if start >= done else 0
                 done = max(done, end)
-    index = np.arange(_N * _N)
-    yield pa.record_batch([pa.array(index), pa.array(random), pa.array(np.maximum(every, 0))], ["pair", "random", "ordinary"])
+                first = len(text[:start].encode())
+                own[first : first + end - start] = 0
+        # Tokens long enough to be judged have no label.
+        start, end = runs(codes > 0)
+        for a, b in zip(*(x[end - start >= MIN_TOKEN] for x in (start, end)), strict=True):
+            codes[a:b] = 0
+        ordinary += pair_counts(codes)
+    yield pa.record_batch([pa.array(np.arange(_N * _N)), pa.array(random), pa.array(ordinary)], ["pair", "random", "ordinary"])
 
 
 def generated() -> np.ndarray:
