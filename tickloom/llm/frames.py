@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.session import materialize, scratch_path
 
-__all__ = ["column", "documents", "materialize", "spread", "union_find", "written"]
+__all__ = ["column", "documents", "map_rows", "materialize", "spread", "union_find", "written"]
 
 
 def column(name: str) -> Column:
@@ -29,6 +29,13 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def map_rows(docs: DataFrame, rows) -> DataFrame:
+    """mapInArrow that keeps all columns. Columns are told by position, so any name is fine: the
+    batches' columns are called ``0``, ``1`` and so on."""
+    numbered = docs.toDF(*(str(i) for i in range(len(docs.columns))))
+    return numbered.mapInArrow(rows, numbered.schema).toDF(*docs.columns)
+
+
 def spread(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tickloom.llm.frames import documents
+from tickloom.llm.frames import documents, map_rows
 from tickloom.llm.text import SEPARATOR, Words, hash_spans, mix, slices
 
 _SYMBOL = np.zeros(256, bool)
@@ -174,9 +174,9 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     def rows(batches: Iterable[pa.RecordBatch]):
         judge = _measure(limits)
-        for batch in slices(batches):
+        for batch in slices(batches, str(text)):
             part = pa.record_batch([batch.column(doc_id), batch.column(text)], ["doc_id", "text"])
             verdict = pa.concat_arrays([b.column(7) for b in judge([part])])
             yield batch.filter(verdict)
 
-    return docs.mapInArrow(rows, docs.schema)
+    return map_rows(docs, rows)

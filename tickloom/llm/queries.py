@@ -70,7 +70,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(_docs(spark, sf_dir))
+    return quality(_docs(spark, sf_dir)).drop("longest_repeat")
 
 
 def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,8 @@ def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(_docs(spark, sf_dir))
+    told = F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return repeated_passages(_docs(spark, sf_dir)).withColumn("spans", F.array_join(told, ","))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

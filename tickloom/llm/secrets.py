@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.frames import column, documents
+from tickloom.llm.frames import column, documents, map_rows
 from tickloom.llm.text import runs, slices, utf8
 
 # The base kinds, their patterns and least lengths.
@@ -220,7 +220,7 @@ def redact(docs: DataFrame, models: Models | None = None, mark: str = "[SECRET]"
         return "".join(out) + text[end:]
 
     def rows(batches: Iterable[pa.RecordBatch]):
-        for batch in slices(batches):
+        for batch in slices(batches, str(at)):
             _, marked = _suspects(pa.record_batch([batch.column(id_at), batch.column(at)], ["doc_id", "text"]))
             if marked.any():
                 texts = batch.column(at).to_pylist()
@@ -234,4 +234,4 @@ def redact(docs: DataFrame, models: Models | None = None, mark: str = "[SECRET]"
             yield batch
 
     kept = docs.select([column(n).cast("string").alias(n) if n == "text" else column(n) for n in names])
-    return kept.mapInArrow(rows, kept.schema)
+    return map_rows(kept, rows)

@@ -1,3 +1,102 @@
-"""DuckDB SQL for the rows of the queries that SQL can express."""
+"""DuckDB SQL for the rows of the queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+Secrets, packing, language identification and LM scoring depend on trained models or a tokenizer;
+their queries are tested against brute force, round trips and held-out rows instead.
+"""
+
+from __future__ import annotations
+
+from tickloom.llm.queries import LISTED, RULES
+
+_WORDS = r"""words AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"""
+
+
+def _windows(size: int) -> str:
+    """Windows of ``size`` words: their words joined, and where they start (from 1)."""
+    return f"""SELECT doc_id, i, array_to_string(w[i:i + {size - 1}], ' ') AS g
+  FROM words, unnest(range(1, len(w) - {size - 2})) AS t(i) WHERE len(w) >= {size}"""
+
+
+def _entries() -> str:
+    every = [("list", t, "block") for t in LISTED if t not in RULES] + [("rule", t, v) for t, v in RULES.items()]
+    return ", ".join(f"('{source}', '{text}', '{verdict}')" for source, text, verdict in every)
+
+
+_URLS = rf"""WITH parts AS (SELECT page_id,
+  translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
+entries AS (SELECT source, entry, verdict, split_part(entry, '/', 1) AS h, substr(entry, instr(entry, '/')) AS p
+  FROM (VALUES {_entries()}) AS v(source, entry, verdict)),
+best AS (SELECT page_id, arg_max({{'source': source, 'entry': entry, 'verdict': verdict}},
+    (CASE source WHEN 'rule' THEN 1 ELSE 0 END, length(entry), length(h))) AS b
+  FROM parts JOIN entries ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, host, path, CASE WHEN b.source = 'rule' THEN b.entry END AS rule,
+  coalesce(b.verdict, 'allow') AS verdict, CASE WHEN b.source = 'list' THEN b.entry END AS listed
+FROM parts LEFT JOIN best USING (page_id)"""
+
+_SHINGLES = f"""shingles AS (SELECT DISTINCT doc_id, g FROM ({_windows(5)})
+  UNION SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 4)"""
+
+_JACCARD = f"""WITH RECURSIVE {_WORDS}, {_SHINGLES},
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE pairs.n >= 0.8 * (x.n + y.n - pairs.n) - 1e-9),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, (SELECT min(b) FROM reach WHERE a = d.doc_id) AS class_id, (SELECT count(*) FROM links WHERE a = d.doc_id) AS n_links
+FROM documents d"""
+
+_CONTAINED = f"""WITH {_WORDS}, docs AS (SELECT DISTINCT doc_id, g FROM ({_windows(5)})),
+item_words AS (SELECT item_id AS doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM benchmark),
+items AS (SELECT DISTINCT doc_id AS item_id, g FROM ({_windows(5).replace('FROM words', 'FROM item_words')})),
+sizes AS (SELECT item_id, count(*) AS n_item FROM items GROUP BY item_id)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment
+FROM (SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (g) GROUP BY ALL) JOIN sizes USING (item_id)
+WHERE n_shared >= 0.8 * n_item - 1e-9"""
+
+
+def _removed(size: int) -> str:
+    """CTEs: every word with its place, and whether a window that starts earlier elsewhere covers it."""
+    return f"""{_WORDS}, windows AS ({_windows(size)}),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT DISTINCT doc_id, i + k AS i FROM later, range({size}) AS r(k)),
+every AS (SELECT doc_id, i, w[i] AS word, c.i IS NOT NULL AS gone
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words) p LEFT JOIN covered c USING (doc_id, i))"""
+
+
+_SUBSTRINGS = f"""WITH {_removed(20)}
+SELECT d.doc_id, count(e.i) AS n_words, count(e.i) FILTER (e.gone) AS n_removed,
+  sha256(coalesce(string_agg(e.word, ' ' ORDER BY e.i) FILTER (NOT e.gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN every e USING (doc_id) GROUP BY d.doc_id"""
+
+_PASSAGES = f"""WITH {_removed(50)},
+islands AS (SELECT doc_id, min(i) - 1 AS a, max(i) AS b FROM (
+  SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM every WHERE gone) GROUP BY doc_id, island),
+told AS (SELECT doc_id, string_agg(a || ':' || b, ',' ORDER BY a) AS spans, CAST(sum(b - a) AS BIGINT) AS n FROM islands GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_repeated, coalesce(spans, '') AS spans FROM words LEFT JOIN told USING (doc_id)"""
+
+
+def _repeated(size: int, name: str) -> str:
+    return f"""{name} AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS times FROM ({_windows(size)})), range({size}) AS r(k) WHERE times > 1 GROUP BY doc_id)"""
+
+
+_QUALITY = f"""WITH {_WORDS}, {_repeated(5, 'five')}, {_repeated(10, 'ten')}, {_repeated(100, 'hundred')},
+lines AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS dups FROM (SELECT doc_id, line, count(*) AS n FROM (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY ALL) GROUP BY doc_id),
+measured AS (SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+  length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dups, 0) AS n_dup_lines,
+  coalesce(five.n, 0) AS n_repeat_words, coalesce(ten.n, 0) AS n_span_words, hundred.n IS NULL AS short_repeats
+  FROM words LEFT JOIN lines USING (doc_id) LEFT JOIN five USING (doc_id) LEFT JOIN ten USING (doc_id) LEFT JOIN hundred USING (doc_id)),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_span_words <= 0.2 * n_words AND short_repeats AS kept, n_span_words FROM failed"""
+
+ORACLES: dict[str, str] = {
+    "op1_url_filter": _URLS,
+    "op2_jaccard_join": _JACCARD,
+    "op3_decontaminate": _CONTAINED,
+    "op6_substring_dedup": _SUBSTRINGS,
+    "op8_quality": _QUALITY,
+    "op10_suffix_dedup": _PASSAGES,
+}
