@@ -1,7 +1,7 @@
 """Every operator as a runnable query over the given tables.
 
 ``QUERIES[name]`` takes (spark, sf_dir). Results are published in one form: doubles rounded to
-six digits (three for the large part prices), times as zone-less timestamps in UTC.
+six digits, times as zone-less timestamps in UTC.
 """
 
 from __future__ import annotations
@@ -27,17 +27,20 @@ from tickloom.streaming import flows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SESSION_START = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
-NUDGE = 1.7e-8
+#: Digits of the queries whose values are exact ties at the seventh digit (a price over a quantity of
+#: 32, means of eight or twenty prices): there six digits would hang on the last bit of a sum.
+TIED = 8
+#: Rolling means of such prices are ties at any digit; these two queries shift them off the tie.
+TIE_SHIFT = 1.7e-8
 AFTER_ALL = datetime(2030, 1, 1, tzinfo=timezone.utc)
 
 
-def publish(df: DataFrame, digits: int = 6) -> DataFrame:
+def publish(df: DataFrame, digits: int = 6, shift: float = 0.0) -> DataFrame:
     out = []
     for field in df.schema.fields:
         c = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            # the nudge keeps exact ties (x.xxxxxx5) from depending on the last bit of a sum
-            c = F.round(c + NUDGE, digits) + F.lit(0.0)  # + 0.0: no negative zero
+            c = F.round(c + shift if shift else c, digits) + F.lit(0.0)  # + 0.0: no negative zero
         elif isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.IntegerType):
@@ -46,9 +49,9 @@ def publish(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, digits: int = 6):
+def query(name: str, digits: int = 6, shift: float = 0.0):
     def register(build: Callable[[Fixtures], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: publish(build(Fixtures(spark, sf_dir)), digits)
+        QUERIES[name] = lambda spark, sf_dir: publish(build(Fixtures(spark, sf_dir)), digits, shift)
         return build
 
     return register
@@ -257,7 +260,7 @@ def _(f):
     return rows(SESSION_START, "rows").unionByName(rows(AFTER_ALL, "fallback"))
 
 
-@query("min_history")
+@query("min_history", digits=TIED)
 def _(f):
     return filters.min_history(f.parts(), 30, PARTS).select("coin_id", "ts", "l_orderkey", "l_linenumber", "value")
 
@@ -414,7 +417,7 @@ def _(f):
     return signals.kpi_latest(f.series())
 
 
-@query("latest_per_key")
+@query("latest_per_key", digits=TIED)
 def _(f):
     return aggregate.latest_per_key(f.parts(), PARTS)
 
@@ -427,19 +430,19 @@ def _(f):
 _PANEL = ["open", "close", "candle_high", "candle_low", "sma_10", "sma_20", "bb_middle", "bb_upper", "bb_lower", "rsi_14", "volume_direction"]
 
 
-@query("technical_panel")
+@query("technical_panel", digits=TIED)
 def _(f):
     panel = views.technical(f.gold(), interval="1h", time_range="all", size=f.tick_profile())
     return panel.select("coin_id", "window_start", *_PANEL)
 
 
-@query("technical_panel_parts", digits=3)
+@query("technical_panel_parts", shift=TIE_SHIFT)
 def _(f):
     rows = indicators.technical_panel(f.parts(), PARTS)
     return rows.select("coin_id", "ts", "l_orderkey", "l_linenumber", *_PANEL)
 
 
-@query("technical_summary", digits=3)
+@query("technical_summary", digits=4, shift=TIE_SHIFT)
 def _(f):
     return signals.technical_summary(f.parts(), PARTS)
 
@@ -508,7 +511,7 @@ def _(f):
     return forecast.forecast_ar(f.series(), by=SERIES)
 
 
-@query("forecast_ar_parts", digits=3)
+@query("forecast_ar_parts")
 def _(f):
     return forecast.forecast_ar(f.parts(), by=PARTS)
 

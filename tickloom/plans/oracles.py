@@ -6,13 +6,18 @@ from tickloom.operators.signals import AVERAGE_TEXT, BAND_TEXT, RSI_TEXT
 from tickloom.schemas import KNOWN_COINS
 
 
-def r(expression: str, name: str | None = None, digits: int = 6) -> str:
+#: Digits of the queries with exact ties at the seventh digit.
+TIED = 8
+SHIFT = " + 1.7e-8"
+
+
+def r(expression: str, name: str | None = None, digits: int = 6, shift: str = "") -> str:
     """Published form of a double."""
-    return f"round({expression} + 1.7e-8, {digits}) + 0.0 AS {name or expression}"
+    return f"round({expression}{shift}, {digits}) + 0.0 AS {name or expression}"
 
 
-def rs(*names: str, digits: int = 6) -> str:
-    return ", ".join(r(n, digits=digits) for n in names)
+def rs(*names: str, digits: int = 6, shift: str = "") -> str:
+    return ", ".join(r(n, digits=digits, shift=shift) for n in names)
 
 
 _GOLD_AGGREGATES = """avg(price_usd) AS avg_price, min(price_usd) AS min_price, max(price_usd) AS max_price,
@@ -132,8 +137,8 @@ _GOLD_OUT = f"coin_id, window_start, window_end, {rs(*_GOLD_DOUBLES)}, record_co
 _BIN_OUT = f"coin_id, window_start, {rs(*_GOLD_DOUBLES)}, record_count"
 _SERIES_OUT = f"coin_id, ts, {rs('value', 'volume', 'change', 'high', 'low')}, seq"
 _PANEL_DOUBLES = ("open", "close", "candle_high", "candle_low", "sma_10", "sma_20", "bb_middle", "bb_upper", "bb_lower", "rsi_14")
-_PANEL_OUT = f"{rs(*_PANEL_DOUBLES)}, volume_direction"
-_PANEL_OUT_3 = f"{rs(*_PANEL_DOUBLES, digits=3)}, volume_direction"
+_PANEL_OUT = f"{rs(*_PANEL_DOUBLES, digits=TIED)}, volume_direction"
+_PANEL_OUT_PARTS = f"{rs(*_PANEL_DOUBLES, shift=SHIFT)}, volume_direction"
 _SIGNAL_OUT = """coin_id, rsi_signal, bb_signal, ma_signal, CAST(rsi_score AS BIGINT) AS rsi_score, CAST(bb_score AS BIGINT) AS bb_score,
  CAST(ma_score AS BIGINT) AS ma_score, CAST(total_score AS BIGINT) AS total_score, recommendation"""
 _BY_SEQ = _indicators("series", "value", "ts, seq")
@@ -151,7 +156,7 @@ def _box(value: str) -> str:
 
 def _correlation(cells: str) -> str:
     return f"""SELECT a.coin_id AS coin_a, b.coin_id AS coin_b,
- round(CASE WHEN count(*) >= 2 THEN covar_pop(a.x, b.x) / nullif(stddev_pop(a.x) * stddev_pop(b.x), 0) END + 1.7e-8, 6) + 0.0 AS correlation
+ round(CASE WHEN count(*) >= 2 THEN covar_pop(a.x, b.x) / nullif(stddev_pop(a.x) * stddev_pop(b.x), 0) END, 6) + 0.0 AS correlation
  FROM {cells} a JOIN {cells} b ON a.at = b.at GROUP BY ALL"""
 
 
@@ -216,7 +221,7 @@ def _filled(text: str, *numbers: str) -> str:
 
 
 def _number(column: str, digits: int) -> str:
-    return f"coalesce(printf('%.{digits}f', round({column} + 1.7e-8, 6)), 'nan')"
+    return f"coalesce(printf('%.{digits}f', round({column}, 6)), 'nan')"
 
 
 def _text_case(signal: str, numbers: dict[str, tuple[str, ...]], texts: dict[str, str]) -> str:
@@ -237,7 +242,6 @@ _TEXTS = "SELECT coin_id, " + ", ".join([
     }, AVERAGE_TEXT) + " AS ma_text", "recommendation",
 ]) + " FROM rated"
 _FORECAST_OUT = f"coin_id, CAST(step AS BIGINT) AS step, window_start, {r('predicted_price')}, method"
-_FORECAST_OUT_3 = f"coin_id, CAST(step AS BIGINT) AS step, window_start, {r('predicted_price', digits=3)}, method"
 _LINE = _forecast_linear("hourly", "avg_price", "window_start", "window_start")
 _SESSION = "TIMESTAMP '2024-01-30 12:00:00'"
 
@@ -278,7 +282,7 @@ ORACLES: dict[str, str] = {
     "session_range": sql(f"""SELECT seq, coin_id, ts, 'rows' AS kind FROM series WHERE ts >= (SELECT CASE WHEN max(ts) >= {_SESSION}
  THEN {_SESSION} ELSE max(ts) - INTERVAL 30 MINUTE END FROM series)
  UNION ALL SELECT seq, coin_id, ts, 'fallback' FROM series WHERE ts >= (SELECT max(ts) FROM series) - INTERVAL 30 MINUTE"""),
-    "min_history": sql(f"""SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {r('value')}
+    "min_history": sql(f"""SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {r('value', digits=TIED)}
  FROM (SELECT *, count(*) OVER (PARTITION BY coin_id) AS total FROM parts) WHERE total >= 30"""),
     "recent_20": sql(f"SELECT {_SERIES_OUT} FROM (SELECT * FROM series ORDER BY ts DESC, seq DESC LIMIT 20)"),
     "explorer_500": sql(f"""SELECT {_SERIES_OUT} FROM (SELECT * FROM series WHERE coin_id IN ('click', 'view', 'error')
@@ -324,7 +328,7 @@ ORACLES: dict[str, str] = {
     "kpi_latest": sql(f"""SELECT coin_id, {r('value', 'last_value')}, {r('previous', 'previous_value')},
  {r('coalesce((value - previous) / nullif(previous, 0) * 100, 0.0)', 'change_pct')}
  FROM placed WHERE total >= 2 AND ordinal = total - 1"""),
-    "latest_per_key": sql(f"""SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {rs('value', 'volume', 'change')}
+    "latest_per_key": sql(f"""SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {rs('value', 'volume', 'change', digits=TIED)}
  FROM (SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY ts DESC, l_orderkey DESC, l_linenumber DESC) AS back FROM parts) WHERE back = 1"""),
     "period_change": sql(f"""SELECT coin_id, {r('first', 'first_value')}, {r('last', 'last_value')},
  {r('CASE WHEN n > 1 THEN (last - first) / nullif(first, 0) * 100 ELSE 0.0 END', 'change_pct')} FROM (SELECT coin_id, count(*) AS n,
@@ -334,10 +338,10 @@ ORACLES: dict[str, str] = {
         shown=f"""SELECT *, greatest(max_price, open, close) AS candle_high, least(min_price, open, close) AS candle_low,
  {_UP.format('avg_change_pct')} AS volume_direction FROM panel WHERE total >= 5"""),
     "technical_panel_parts": sql(
-        f"SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {_PANEL_OUT_3} FROM shown", **_BY_PART,
+        f"SELECT coin_id, ts, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {_PANEL_OUT_PARTS} FROM shown", **_BY_PART,
         shown=f"""SELECT *, greatest(open, close) AS candle_high, least(open, close) AS candle_low,
  {_UP.format('change')} AS volume_direction FROM panel WHERE total >= 5"""),
-    "technical_summary": sql(f"SELECT coin_id, {r('last_value', 'current', 3)}, {r('rsi', digits=3)}, rsi_zone, {rs('bb_width', 'period_change_pct', digits=3)} FROM labelled", **_BY_PART),
+    "technical_summary": sql(f"SELECT coin_id, {r('last_value', 'current', 4, SHIFT)}, {r('rsi', None, 4, SHIFT)}, rsi_zone, {rs('bb_width', 'period_change_pct', digits=4, shift=SHIFT)} FROM labelled", **_BY_PART),
     "signals": sql(f"SELECT {_SIGNAL_OUT} FROM rated", **_BY_PART),
     "signals_hourly": sql(f"SELECT {_SIGNAL_OUT}, rsi_zone, {rs('bb_width', 'period_change_pct')} FROM rated", **_BY_HOUR),
     "signal_text": sql(_TEXTS, **_BY_HOUR),
@@ -352,7 +356,7 @@ ORACLES: dict[str, str] = {
     "forecast_linear": sql(f"SELECT {_FORECAST_OUT} FROM line", **_LINE),
     "forecast_ar": sql(f"SELECT {_FORECAST_OUT} FROM path", **_forecast_linear("series", "value", "ts", "ts, seq"), **_forecast_ar("series", "ts, seq")),
     "forecast_ar_parts": sql(
-        f"SELECT {_FORECAST_OUT_3} FROM (SELECT * FROM path UNION ALL SELECT * FROM line)",
+        f"SELECT {_FORECAST_OUT} FROM (SELECT * FROM path UNION ALL SELECT * FROM line)",
         **_forecast_linear("parts", "value", "ts", "ts, l_orderkey, l_linenumber", "n < 10"),
         **_forecast_ar("parts", "ts, l_orderkey, l_linenumber")),
     "forecast_summary": sql(f"""SELECT coin_id, {rs('last_actual', 'last_forecast')}, {r('(last_forecast - last_actual) / nullif(last_actual, 0) * 100', 'change_pct')}
