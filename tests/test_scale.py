@@ -147,3 +147,12 @@ def test_more_keys_than_the_pivot_takes_are_all_compared(spark, rows):
     assert all(a != b or c == 1.0 for a, b, c in wide)
     few = frame.where("coin_id < 'k05'")
     assert rows(correlation_matrix(few, method="wide"), 9) == rows(correlation_matrix(few, method="chunked"), 9)
+
+
+def test_a_quantile_outside_its_bracket_is_looked_up_again(spark):
+    values = [float((i * 7919) % 10007) for i in range(4000)]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", 1.0)], "coin_id string, x double")
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.77}
+    got = {r.coin_id: r for r in exact_quantiles(df, "x", probs, size=profile(df, block_rows=10), accuracy=5, margin=0.0).collect()}
+    for name, p in probs.items():
+        assert got["a"][name] == pytest.approx(np.quantile(values, p)) and got["b"][name] == 1.0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -184,27 +186,32 @@ def returns_distribution(returns: DataFrame, by: Series = SERIES, last: int = 50
     return _box(last_n_per_key(returns, last, by).groupBy(by.key), "return_pct")
 
 
-def horizon(df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None) -> DataFrame:
+def horizon(
+    df: DataFrame, by: Series = SERIES, size: KeyProfile | None = None, more: Sequence[Column] = ()
+) -> DataFrame:
     """Per key: ``last_micros``, and ``step_micros``, the median step between its rows.
 
-    A key with a single row counts as sampled once a minute.
+    A key with a single row counts as sampled once a minute. ``more`` are further aggregates of the
+    same pass, over the key, order, value and volume columns.
     """
     size = size or profile(df, by)
 
     def step(rows: DataFrame, part: list[str]) -> DataFrame:
         return rows.withColumn("_step", F.col("_at") - F.lag("_at").over(ordered(part, by)))
 
-    timed = df.select(by.key, *by.order, micros(by.ts).alias("_at"))
+    read = [by.value, by.volume] if more else []
+    timed = df.select(by.key, *by.order, *read, micros(by.ts).alias("_at"))
     steps = over_rows(timed, step, 1, by, size)
     last = F.max("_at").alias("last_micros")
     if not size.exceeds(BUFFER_ROWS):
-        ends = steps.groupBy(by.key).agg(last, F.percentile("_step", 0.5).alias("_median"))
+        ends = steps.groupBy(by.key).agg(last, F.percentile("_step", 0.5).alias("_median"), *more)
     else:
         medians = exact_quantiles(steps, "_step", {"_median": 0.5}, by.key, size)
-        ends = timed.groupBy(by.key).agg(last).join(medians, by.key, "left")
+        ends = timed.groupBy(by.key).agg(last, *more).join(medians, by.key, "left")
     known = F.floor("_median").cast("bigint")
+    rest = [c for c in ends.columns if c not in (by.key, "last_micros", "_median")]
     return ends.select(
-        by.key, "last_micros", F.coalesce(known, F.lit(DEFAULT_STEP_MICROS)).alias("step_micros")
+        by.key, "last_micros", F.coalesce(known, F.lit(DEFAULT_STEP_MICROS)).alias("step_micros"), *rest
     )
 
 

@@ -12,6 +12,7 @@ from tickloom.functions.columns import percent_change
 from tickloom.operators.aggregate import horizon, latest_of
 from tickloom.scale import KeyProfile, join_stats, ordered, over_rows, profile, with_ordinal
 from tickloom.schemas import GOLD_SERIES, Series
+from tickloom.session import materialize
 
 STEPS = 12
 MIN_MODEL_ROWS, MIN_ALIGNED_ROWS = 10, 5
@@ -20,10 +21,19 @@ AR_ORDER = 5
 NOISE_FLOOR = 1e-12
 
 
-def stamp(predicted: DataFrame, df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
+def outlook(df: DataFrame, by: Series, size: KeyProfile, whole: bool = False) -> DataFrame:
+    """One row per key: its last time, its step, and whether it has enough history for a model.
+
+    One pass, written once: the choice of the method, the short keys and the times of the steps
+    all read it.
+    """
+    return materialize(horizon(df, by, size, has_history(by, whole)))
+
+
+def stamp(predicted: DataFrame, ahead: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
     """Give (key, step, predicted_price, method) rows the time of their step."""
     at = F.timestamp_micros(F.col("last_micros") + F.col("step") * F.col("step_micros"))
-    return predicted.join(horizon(df, by, size), by.key).select(
+    return join_stats(predicted, ahead.select(by.key, "last_micros", "step_micros"), by.key, size).select(
         by.key, "step", at.alias("window_start"), "predicted_price", "method"
     )
 
@@ -48,7 +58,7 @@ def forecast_linear(
 ) -> DataFrame:
     """Least squares over the row position, continued; a single row stays constant."""
     size = size or profile(df, by)
-    return stamp(_linear_steps(df, steps, by, size), df, by, size)
+    return stamp(_linear_steps(df, steps, by, size), horizon(df, by, size), by, size)
 
 
 def has_history(by: Series, whole: bool = False) -> list[Column]:
@@ -62,12 +72,20 @@ def has_history(by: Series, whole: bool = False) -> list[Column]:
     return [enough.alias("_modelled"), (F.count(value) > 0).alias("_any")]
 
 
-def linear_for_short(df: DataFrame, steps: int, by: Series, size: KeyProfile, whole: bool = False) -> DataFrame:
-    """Linear steps of the keys whose history is too short for a model."""
-    short = df.groupBy(by.key).agg(*has_history(by, whole)).where("_any AND NOT _modelled").select(by.key)
+def linear_for_short(df: DataFrame, steps: int, by: Series, size: KeyProfile, ahead: DataFrame) -> DataFrame | None:
+    """Linear steps of the keys whose history is too short for a model; None if there is no such key."""
+    short = ahead.where("_any AND NOT _modelled").select(by.key)
+    if short.isEmpty():
+        return None
     return _linear_steps(join_stats(df, short, by.key, size, "left_semi"), steps, by, size)
 
 
+def with_linear(model: DataFrame, df: DataFrame, steps: int, by: Series, size: KeyProfile, ahead: DataFrame) -> DataFrame:
+    """A model's steps, those of the keys too short for it, and the times of all."""
+    short = linear_for_short(df, steps, by, size, ahead)
+    return stamp(model if short is None else model.unionByName(short), ahead, by, size)
+
+
 def _step_sums(df: DataFrame, by: Series, size: KeyProfile) -> DataFrame:
     """Per key: the products of value and volume steps at lags 0..5, and the newest steps.
 
@@ -160,12 +178,12 @@ def forecast_ar(
     Keys with fewer than ten values, or five with a volume, get the linear forecast.
     """
     size = size or profile(df, by)
-    enough = df.groupBy(by.key).agg(*has_history(by)).where("_modelled").select(by.key)
-    fit = ar_fit(df, by, size).join(enough, by.key, "left_semi")
+    ahead = outlook(df, by, size)
+    fit = join_stats(ar_fit(df, by, size), ahead.where("_modelled").select(by.key), by.key, size, "left_semi")
     model = fit.select(by.key, F.posexplode(_continue(steps)).alias("_p", "predicted_price")).select(
         by.key, (F.col("_p") + 1).alias("step"), "predicted_price", F.lit("ar").alias("method")
     )
-    return stamp(model.unionByName(linear_for_short(df, steps, by, size)), df, by, size)
+    return with_linear(model, df, steps, by, size, ahead)
 
 
 def forecast(

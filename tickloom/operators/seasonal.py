@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import micros
-from tickloom.operators.aggregate import horizon
-from tickloom.operators.forecast import STEPS, has_history, linear_for_short, stamp
+from tickloom.operators.forecast import STEPS, outlook, with_linear
 from tickloom.scale import KeyProfile, join_stats, profile, with_ordinal
 from tickloom.schemas import GOLD_SERIES, Series
 from tickloom.session import materialize
@@ -109,7 +108,8 @@ def forecast_seasonal(
     than ten values, or with a value that has no volume, get the linear forecast.
     """
     size = size or profile(df, by)
-    enough = df.groupBy(by.key).agg(*has_history(by, whole=True)).where("_modelled").select(by.key)
+    ahead = outlook(df, by, size, whole=True)
+    enough = ahead.where("_modelled").select(by.key)
     rows = join_stats(df, enough, by.key, size, "left_semi").where(
         F.col(by.value).isNotNull() & F.col(by.volume).isNotNull()
     ).select(
@@ -117,11 +117,11 @@ def forecast_seasonal(
         F.col(by.value).alias("value"), F.col(by.volume).alias("volume"),
     )
     # a row per key that several steps use: computed once, cut off from its lineage
-    parameters = materialize(_parameters(rows, by, size).join(horizon(df, by, size), by.key))
+    parameters = materialize(_parameters(rows, by, size).join(ahead.select(by.key, "last_micros", "step_micros"), by.key))
     cells = rows.select(by.key, F.col("at").cast("double").alias("at"), "value", "volume")
     key_type = dict(df.dtypes)[by.key]
     model = _fit(cells, _fresh(parameters), by.key, key_type, steps, size).withColumn("method", F.lit("seasonal"))
-    return stamp(model.unionByName(linear_for_short(df, steps, by, size, whole=True)), df, by, size)
+    return with_linear(model, df, steps, by, size, ahead)
 
 
 def _fresh(df: DataFrame) -> DataFrame:
