@@ -164,26 +164,32 @@ def _count(buckets: int):
     return rows
 
 
-def _most_frequent(table: pa.Table) -> pa.Table:
-    """The words of a bucket that may be among the most frequent of all."""
-    words = np.frombuffer(b"".join(table["words"].to_pylist()), "<u8")
-    counts = np.frombuffer(b"".join(table["counts"].to_pylist()), "<i4")
-    kinds, place = np.unique(words, return_inverse=True)
-    total = np.bincount(place, counts).astype(np.int64)
+def _most_frequent(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of a group that may be among the most frequent of all, as one row."""
+    words, counts = [], []
+    for batch in batches:
+        for w, n in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+            words.append(np.frombuffer(w, "<u8"))
+            counts.append(np.frombuffer(n, f"<i{8 * len(n) // max(len(w), 1)}"))
+    kinds, place = np.unique(np.concatenate(words), return_inverse=True)
+    total = np.bincount(place, np.concatenate(counts)).astype("<i8")
     top = np.lexsort((kinds, -total))[:FREQUENT]
-    return pa.table({"word": pa.array(kinds[top].view(np.int64)), "n": pa.array(total[top])})
+    yield pa.record_batch(
+        [pa.array([key[0].as_py()], pa.int32()), pa.array([kinds[top].tobytes()], pa.binary()), pa.array([total[top].tobytes()], pa.binary())],
+        ["bucket", "words", "counts"],
+    )
 
 
 def vocabulary(docs: DataFrame) -> np.ndarray:
     """Hashes of the most frequent words of all documents, the most frequent first."""
-    # A few buckets for each shuffle partition: a bucket's blobs are its share of all distinct words of all slices.
-    buckets = 2 * spread(docs.sparkSession)
-    top = (
-        documents(docs).mapInArrow(_count(buckets), "bucket int, words binary, counts binary")
-        .groupBy("bucket").applyInArrow(_most_frequent, "word long, n long")
-        .orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    )
-    return np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    # A bucket's blobs are its share of the distinct words of all slices.
+    buckets, kind = 2 * spread(docs.sparkSession), "bucket int, words binary, counts binary"
+    top = documents(docs).mapInArrow(_count(buckets), kind).groupBy("bucket").applyInArrow(_most_frequent, kind)
+    # The buckets' best are merged in about the square root of their number, then once more.
+    for groups in (math.isqrt(buckets), 1):
+        top = top.withColumn("bucket", F.pmod("bucket", F.lit(groups))).groupBy("bucket").applyInArrow(_most_frequent, kind)
+    best = top.collect()
+    return np.frombuffer(bytes(best[0]["words"]), "<u8") if best else np.zeros(0, np.uint64)
 
 
 def _train(shared, turn: int):
