@@ -81,13 +81,13 @@ def test_urls(spark):
 
 
 def test_digest_collisions_are_confirmed(tmp_path):
-    path, same = str(tmp_path / "d"), lambda text: 7
-    url_filter.DigestArray.build(path, {b"a/": 1, b"b/": 2}, same)
-    array = url_filter.DigestArray(path)
+    path, same = tmp_path / "d", lambda text: 7
+    path.write_bytes(url_filter.DigestArray.build({b"a/": 1, b"b/": 2}, same))
+    array = url_filter.DigestArray(str(path))
     found = array.find([b"a/", b"b/", b"c/"], same)
     assert [array.codes[p] if p >= 0 else None for p in found] == [1, 2, None]
-    url_filter.DigestArray.build(path, {})
-    assert url_filter.DigestArray(path).find([b"x"]).tolist() == [-1]
+    path.write_bytes(url_filter.DigestArray.build({}))
+    assert url_filter.DigestArray(str(path)).find([b"x"]).tolist() == [-1]
 
 
 # --- 2 n-gram Jaccard join

@@ -2,8 +2,8 @@
 
 ``DigestArray`` holds strings with a small code each: digests in rising order, then the full
 strings. A probe finds the digest by binary search over the whole batch and then compares the
-stored string, so that a collision of digests never decides. The file reaches the executors
-through ``addFile``; every worker of an executor maps the same copy.
+stored string, so that a collision of digests never decides. The file lies in the shared folder
+and reaches the executors through ``addFile``; every worker of an executor maps the same copy.
 
 Rules are ``host/path`` strings. A rule fits its host and all subdomains, if the path of the url
 starts with the path of the rule. The longest fitting rule wins, of two of one length the one with
@@ -14,8 +14,6 @@ host have are probed after that.
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections import defaultdict
 from collections.abc import Iterable
 
@@ -23,13 +21,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.frames import column
+from tickloom.session import scratch_path
 
 #: Rules that one memory-mapped array takes; about 100 bytes each.
-MAX_RULES = 5_000_000
+MAX_RULES = 1_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -45,14 +44,15 @@ class DigestArray:
         self.blob = np.memmap(path, np.uint8, "r", 16 + 24 * n) if n else np.zeros(0, np.uint8)
 
     @staticmethod
-    def build(path: str, entries: dict[bytes, int], digest=xxhash.xxh64_intdigest) -> None:
+    def build(entries: dict[bytes, int], digest=xxhash.xxh64_intdigest) -> bytes:
+        """The contents of the file."""
         order = sorted((digest(text), text) for text in entries)
-        with open(path, "wb") as out:
-            out.write(np.int64(len(order)).tobytes())
-            out.write(np.array([d for d, _ in order], np.uint64).tobytes())
-            out.write(np.array([entries[text] for _, text in order], np.int64).tobytes())
-            out.write(np.cumsum([0, *(len(text) for _, text in order)], dtype=np.int64).tobytes())
-            out.write(b"".join(text for _, text in order) or b"\0")
+        return b"".join([
+            np.int64(len(order)).tobytes(), np.array([d for d, _ in order], np.uint64).tobytes(),
+            np.array([entries[text] for _, text in order], np.int64).tobytes(),
+            np.cumsum([0, *(len(text) for _, text in order)], dtype=np.int64).tobytes(),
+            b"".join(text for _, text in order) or b"\0",
+        ])
 
     def string(self, i: int) -> bytes:
         return self.blob[self.at[i] : self.at[i + 1]].tobytes()
@@ -84,6 +84,18 @@ def _split(rule: str) -> tuple[str, str]:
     return host, slash + path
 
 
+def _ship(spark: SparkSession, name: str, data: bytes) -> str:
+    """Put a file into the shared folder and have every executor fetch it; its name there."""
+    path = scratch_path(spark, name)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(data))
+    out.close()
+    spark.sparkContext.addFile(path)
+    return path.rsplit("/", 1)[-1]
+
+
 class _Judge:
     """The probing side in a worker."""
 
@@ -149,13 +161,11 @@ def judge_urls(
         host, path = _split(text)
         lengths[host].add(len(path.encode()))
     kinds, names = sorted({tuple(sorted(x)) for x in lengths.values()}), sorted(set(entries.values()))
-    spark, tag = pages.sparkSession, uuid.uuid4().hex
-    folder = tempfile.mkdtemp(prefix="tickloom-rules-")
-    files = [f"{tag}.hosts", f"{tag}.rules"]
-    DigestArray.build(f"{folder}/{files[0]}", {h.encode(): kinds.index(tuple(sorted(x))) for h, x in lengths.items()})
-    DigestArray.build(f"{folder}/{files[1]}", {t.encode(): names.index(x) for t, x in entries.items()})
-    for name in files:
-        spark.sparkContext.addFile(f"{folder}/{name}")
+    spark, place = pages.sparkSession, {k: i for i, k in enumerate(kinds)}
+    files = [
+        _ship(spark, "hosts", DigestArray.build({h.encode(): place[tuple(sorted(x))] for h, x in lengths.items()})),
+        _ship(spark, "rules", DigestArray.build({t.encode(): names.index(x) for t, x in entries.items()})),
+    ]
     parts = pages.select(
         column(id_col).alias("id"), url_host(column(url_col)).alias("host"), url_path(column(url_col)).alias("path")
     )
