@@ -35,7 +35,6 @@ ALERT_RULE = _struct(
     ("active", T.BooleanType()),
 )
 ALERT_HISTORY = _struct(("time", _S), ("coin", _S), ("type", _S), ("message", _S))
-SNAPSHOT = _struct(("payload", _S), ("fetched_at", _S))
 
 # The keys accepted by the configuration check.
 KNOWN_COINS = (
