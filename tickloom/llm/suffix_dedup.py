@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.frames import documents, spread, written
-from tickloom.llm.substring_dedup import match_exact, pieces, remove_covered, send_exact, unpack
+from tickloom.llm.substring_dedup import match_exact, pieces, remove_covered, send_exact
 from tickloom.llm.text import Words, grams, inside
 
 MIN_WORDS, GRAM = 50, 10

@@ -168,9 +168,3 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded[1:-1] = flags
     step = np.diff(padded)
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-
-
-def ragged(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    """Lists of the given lengths over consecutive values."""
-    at = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(values, kind))
