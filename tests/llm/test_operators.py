@@ -404,6 +404,26 @@ def test_scores_sum_conditionals_and_prefer_the_corpus(spark, docs):
     assert trained > untrained
 
 
+def test_the_vocabulary_follows_the_corpus(spark):
+    """2,000 words that are each as frequent have codes and weights of their own; a garbled word of the same ending doesn't."""
+    rng = random.Random(4)
+    kinds = [f"word{i}ing" for i in range(2000)]
+    rows = [(i, " ".join(rng.sample(kinds, 500))) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    frequent, raw = masked_lm.train(docs)
+    assert len(frequent) == 2000
+    weights = masked_lm.unpack_weights(raw)
+    assert weights["embed"].shape[1] == 2000 + 256 + 1
+    codes = masked_lm.encode(Words.of(pa.array([" ".join([*kinds, "wrod1ing"])])), frequent)
+    assert sorted(codes[:-1]) == list(range(2000)) and codes[-1] >= 2000
+    size = weights["embed"].shape[1] - 1
+    total = np.exp(masked_lm.log_probabilities(weights, np.full((4, size), size), np.arange(size))).sum()
+    assert 0.98 < total <= 1 + 1e-4
+    probe = spark.createDataFrame([(1, "word1ing word2ing word3ing"), (2, "word1ing wrod2ing word3ing")], "doc_id long, text string")
+    real, garbled = (r["pll"] for r in masked_lm.score(probe, (frequent, raw)).orderBy("doc_id").collect())
+    assert real > garbled + 1
+
+
 # --- odd rows, all operators
 
 OPERATORS = {

@@ -1,80 +1,131 @@
 """LM scoring by masked pseudo-likelihood.
 
 A small bidirectional window network predicts every word from the two words on either side of it, as
-if the word itself were masked. Words are coded by the corpus: the most frequent ones have a code
-each, all others share codes by their last two bytes. A code is a pair (class, member), so the
-softmax is over 32 classes and then over 32 members given the class.
+if the word itself were masked. The vocabulary follows the corpus: every word that occurs often
+enough has a code of its own, and only rarer ones share codes by their last two bytes. A code is a
+path of digits (class, member, member of that, ...) to the base 32, so the softmax is over at most 32
+branches at each level; a level more is added whenever the codes outgrow the levels. Each node has
+its own gate on the hidden units and its own biases, so each word has weights of its own.
 
 The vocabulary counts all words of all documents in Spark. Training sees every document once, half
-of them in each of two rounds: every task trains a copy of the weights in numpy on its rows, and the
-copies are averaged, weighted by their tokens, in two grouped steps, so that one weight vector is
-all that the driver gets. A document's score is the sum of its words' conditional log-probabilities.
+of them in each of two rounds: every task trains a copy of the weights in numpy on its rows. What a
+task has moved is sent by blocks of weight rows and averaged over the tasks that saw a row, weighted
+by how often they did; the driver gets each block's mean once. A document's score is the sum of its
+words' conditional log-probabilities.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.frames import documents, spread
+from tickloom.llm.frames import documents, spread, written
 from tickloom.llm.text import Words, slices
 
 CLASSES = 32
-CODES = CLASSES * CLASSES
-#: Words with a code of their own; the rest of the codes are shared by word endings.
-FREQUENT = 768
+#: Fewest codes of a model, and codes that words without one of their own share by their endings.
+CODES, SHARED = CLASSES * CLASSES, 256
+#: So many most frequent words have a code of their own at least, in a small corpus.
+FREQUENT = CODES - SHARED
 REACH, WIDTH = 2, 24
 ROUNDS, BATCH, RATE, SEED = 2, 8192, 0.15, 5
+#: Rows of a weight table that are averaged as one.
+BLOCK = 2048
 _OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
-_SHAPES = {
-    "embed": (len(_OFFSETS), CODES + 1, WIDTH), "bias": (WIDTH,), "class": (WIDTH, CLASSES), "class_bias": (CLASSES,),
-    "given": (CLASSES, WIDTH), "member": (WIDTH, CLASSES), "member_bias": (CLASSES,),
-}
 
 
-def start_weights() -> dict[str, np.ndarray]:
+def least_count(words: int) -> int:
+    """How often a word occurs at least to have a code, in a corpus of so many words."""
+    return max(2, round(words**0.25))
+
+
+def n_codes(frequent: np.ndarray) -> int:
+    return max(CODES, len(frequent) + SHARED)
+
+
+def _depth(codes: int) -> int:
+    depth = 2
+    while CLASSES**depth < codes:
+        depth += 1
+    return depth
+
+
+def _level(level: int) -> str:
+    return "" if level == 1 else str(level)
+
+
+def shapes(codes: int) -> dict[str, tuple[int, ...]]:
+    depth = _depth(codes)
+    top = -(-codes // CLASSES ** (depth - 1))
+    out = {"embed": (len(_OFFSETS), codes + 1, WIDTH), "bias": (WIDTH,), "class": (WIDTH, top), "class_bias": (top,)}
+    for level in range(1, depth):
+        nodes, name = -(-codes // CLASSES ** (depth - level)), _level(level)
+        out |= {f"given{name}": (nodes, WIDTH), f"gate{name}": (nodes, WIDTH), f"member{name}": (WIDTH, CLASSES),
+                f"member_bias{name}": (nodes, CLASSES)}
+    return out
+
+
+def start_weights(codes: int = CODES) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    return {k: (rng.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for k, s in _SHAPES.items()}
+
+    def start(name: str, shape: tuple[int, ...]) -> np.ndarray:
+        if "bias" in name:
+            return np.zeros(shape, np.float32)
+        if name.startswith("gate"):
+            return np.ones(shape, np.float32)
+        return rng.standard_normal(shape, np.float32) * np.float32(0.1)
+
+    return {k: start(k, s) for k, s in shapes(codes).items()}
 
 
 def pack_weights(weights: dict[str, np.ndarray]) -> bytes:
-    return b"".join(weights[k].astype("<f4").tobytes() for k in _SHAPES)
+    codes = weights["embed"].shape[1] - 1
+    return b"".join([np.array([codes], "<i8").tobytes(), *(weights[k].astype("<f4", copy=False).tobytes() for k in shapes(codes))])
 
 
-def unpack_weights(raw: bytes | np.ndarray) -> dict[str, np.ndarray]:
-    flat, out, at = np.frombuffer(raw, "<f4") if isinstance(raw, bytes) else raw, {}, 0
-    for k, s in _SHAPES.items():
+def unpack_weights(raw: bytes) -> dict[str, np.ndarray]:
+    """The tables of packed weights; views that cannot be written to."""
+    flat, out, at = np.frombuffer(raw, "<f4", offset=8), {}, 0
+    for k, s in shapes(int(np.frombuffer(raw, "<i8", 1)[0])).items():
         n = math.prod(s)
-        out[k] = flat[at : at + n].reshape(s).astype(np.float32)
+        out[k] = flat[at : at + n].reshape(s)
         at += n
     return out
 
 
-def encode(words: Words, frequent: np.ndarray) -> np.ndarray:
-    """Code of each word; ``frequent`` has the word hashes in the order of their codes."""
+def encode(words: Words, frequent: np.ndarray, ranked: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Code of each word; ``frequent`` has the word hashes in the order of their codes, ``ranked``
+    the same sorted with their places."""
     hashes = words.hashes()
     last = words.data[np.maximum(words.end - 1, 0)].astype(np.int64)
     before = words.data[np.maximum(words.end - 2, 0)].astype(np.int64) * (words.end - words.start > 1)
-    codes = FREQUENT + (last * 31 + before * 7) % (CODES - FREQUENT)
+    codes = n_codes(frequent) - SHARED + (last * 31 + before * 7) % SHARED
     if len(frequent):
-        order = np.argsort(frequent)
-        ranked = frequent[order]
-        at = np.minimum(np.searchsorted(ranked, hashes), len(ranked) - 1)
-        codes = np.where(ranked[at] == hashes, order[at], codes)
+        kinds, order = ranked or rank(frequent)
+        some, back = np.unique(hashes, return_inverse=True)
+        at = np.minimum(np.searchsorted(kinds, some), len(kinds) - 1)
+        own = np.where(kinds[at] == some, order[at], -1)[back]
+        codes = np.where(own < 0, codes, own)
     return codes
 
 
-def contexts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Codes of the words around each word, one row for each offset; CODES outside its text."""
+def rank(frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(frequent)
+    return frequent[order], order
+
+
+def contexts(codes: np.ndarray, first: np.ndarray, outside: int = CODES) -> np.ndarray:
+    """Codes of the words around each word, one row for each offset; ``outside`` (the number of
+    codes) outside its text."""
     n, size = len(codes), np.diff(first)
     begin, end = np.repeat(first[:-1], size), np.repeat(first[1:], size)
-    out = np.full((len(_OFFSETS), n), CODES, np.int64)
+    out = np.full((len(_OFFSETS), n), outside, np.int64)
     where = np.arange(n)
     for row, offset in zip(out, _OFFSETS, strict=True):
         at = where + offset
@@ -88,63 +139,114 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
 
-def forward(weights: dict[str, np.ndarray], around: np.ndarray, codes: np.ndarray):
-    """Hidden units, and log-probabilities of classes and of members given the class."""
+def _paths(codes: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Node and branch of each code at each level, from the top."""
+    left = [CLASSES**k for k in range(_depth(size) - 1, -1, -1)]
+    return [(codes // (n * CLASSES), codes // n % CLASSES) for n in left]
+
+
+def forward(weights: dict[str, np.ndarray], around: np.ndarray, paths: list[tuple[np.ndarray, np.ndarray]]):
+    """Hidden units, and for each level what its node makes of them and the log-probabilities of its branches."""
     hidden = weights["bias"] + weights["embed"][0][around[0]]
     for table, row in zip(weights["embed"][1:], around[1:], strict=True):
         hidden += table[row]
     np.tanh(hidden, out=hidden)
-    kind = codes // CLASSES
-    given = hidden + weights["given"][kind]
-    return hidden, given, _log_softmax(hidden @ weights["class"] + weights["class_bias"]), _log_softmax(given @ weights["member"] + weights["member_bias"])
+    levels = [(hidden, _log_softmax(hidden @ weights["class"] + weights["class_bias"]))]
+    for level, (node, _) in enumerate(paths[1:], 1):
+        name = _level(level)
+        given = hidden * weights[f"gate{name}"][node]
+        given += weights[f"given{name}"][node]
+        logits = given @ weights[f"member{name}"]
+        logits += weights[f"member_bias{name}"][node]
+        levels.append((given, _log_softmax(logits)))
+    return hidden, levels
 
 
 def log_probabilities(weights: dict[str, np.ndarray], around: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Conditional log-probability of each word, given the words around it."""
-    out = np.empty(len(codes), np.float64)
-    for a in range(0, len(codes), 1 << 15):
-        part = codes[a : a + (1 << 15)]
-        _, _, kinds, members = forward(weights, around[:, a : a + (1 << 15)], part)
-        row = np.arange(len(part))
-        out[a : a + len(part)] = kinds[row, part // CLASSES] + members[row, part % CLASSES]
+    out, size = np.empty(len(codes), np.float64), weights["embed"].shape[1] - 1
+    for a in range(0, len(codes), 1 << 13):
+        paths = _paths(codes[a : a + (1 << 13)], size)
+        _, levels = forward(weights, around[:, a : a + (1 << 13)], paths)
+        row = np.arange(len(paths[0][0]))
+        out[a : a + len(row)] = sum(each[row, branch].astype(np.float64) for (_, each), (_, branch) in zip(levels, paths, strict=True))
     return out
 
 
+@dataclass
+class Slope:
+    """Slopes of some rows of a table, and how often each row was used."""
+
+    shape: tuple[int, ...]
+    at: np.ndarray
+    rows: np.ndarray
+    uses: np.ndarray
+
+    @classmethod
+    def of(cls, shape: tuple[int, ...], at: np.ndarray, each: np.ndarray, source: np.ndarray | None = None) -> Slope:
+        """Sums of ``each`` (its rows ``source``, if given) by the table rows ``at``."""
+        order = np.argsort(at)
+        ranked = at[order]
+        first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        rows = np.add.reduceat(each[order if source is None else source[order]], first, axis=0)
+        return cls(shape, ranked[first], rows, np.diff(np.append(first, len(at))))
+
+    @classmethod
+    def whole(cls, table: np.ndarray, uses: int) -> Slope:
+        rows = table.reshape(-1, table.shape[-1])
+        return cls(table.shape, np.arange(len(rows)), rows, np.full(len(rows), uses))
+
+    def __getitem__(self, index: tuple[int, ...]):
+        table = np.zeros(self.shape, self.rows.dtype)
+        table.reshape(-1, self.shape[-1])[self.at] = self.rows
+        return table[index]
+
+
 class Trainer:
-    """Adagrad on mini-batches."""
+    """Adagrad on mini-batches; rows of a table that a batch doesn't use are not touched."""
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.weights = weights
-        self.squares = {k: np.full(v.shape, 1e-6, np.float32) for k, v in weights.items()}
+        self.squares = {k: np.zeros(v.shape, np.float32) for k, v in weights.items()}
+        self.uses = {k: np.zeros(v.size // v.shape[-1], np.int64) for k, v in weights.items()}
 
     def step(self, around: np.ndarray, codes: np.ndarray) -> None:
         w, n = self.weights, len(codes)
-        hidden, given, kinds, members = forward(w, around, codes)
-        kind, member, row = codes // CLASSES, codes % CLASSES, np.arange(n)
-        d_kind, d_member = np.exp(kinds), np.exp(members)
-        d_kind[row, kind] -= 1
-        d_member[row, member] -= 1
-        d_kind /= n
-        d_member /= n
-        d_given = d_member @ w["member"].T
-        chosen = np.zeros((n, CLASSES), np.float32)
-        chosen[row, kind] = 1
-        d_sum = (d_kind @ w["class"].T + d_given) * (1 - hidden * hidden)
-        slots = np.arange(WIDTH)
-        embed = np.stack([
-            np.bincount((a[:, None] * WIDTH + slots).ravel(), d_sum.ravel(), minlength=(CODES + 1) * WIDTH).reshape(CODES + 1, WIDTH)
-            for a in around
-        ])
-        self._move({
-            "embed": embed, "bias": d_sum.sum(0), "class": hidden.T @ d_kind, "class_bias": d_kind.sum(0),
-            "given": chosen.T @ d_given, "member": given.T @ d_member, "member_bias": d_member.sum(0),
-        })
-
-    def _move(self, slopes: dict[str, np.ndarray]) -> None:
+        size = w["embed"].shape[1] - 1
+        paths = _paths(codes, size)
+        hidden, levels = forward(w, around, paths)
+        row, slopes, d_hidden = np.arange(n), {}, 0
+        for level, ((node, branch), (given, each)) in enumerate(zip(paths, levels, strict=True)):
+            d_branch = np.exp(each)
+            d_branch[row, branch] -= 1
+            d_branch /= n
+            if level == 0:
+                d_hidden = d_branch @ w["class"].T
+                slopes |= {"class": Slope.whole(hidden.T @ d_branch, n), "class_bias": Slope.whole(d_branch.sum(0), n)}
+                continue
+            name = _level(level)
+            d_given = d_branch @ w[f"member{name}"].T
+            # One sort for the three tables that a node has a row of.
+            own = Slope.of((0, 0), node, np.concatenate([d_given, d_given * hidden, d_branch], 1))
+            for key, part in (("given", slice(0, WIDTH)), ("gate", slice(WIDTH, 2 * WIDTH)), ("member_bias", slice(2 * WIDTH, None))):
+                slopes[key + name] = Slope(w[key + name].shape, own.at, own.rows[:, part], own.uses)
+            slopes[f"member{name}"] = Slope.whole(given.T @ d_branch, n)
+            d_given *= w[f"gate{name}"][node]
+            d_hidden += d_given
+        d_sum = d_hidden * (1 - hidden * hidden)
+        slopes["bias"] = Slope.whole(d_sum.sum(0), n)
+        at = (around + np.arange(len(_OFFSETS))[:, None] * (size + 1)).ravel()
+        slopes["embed"] = Slope.of(w["embed"].shape, at, d_sum, np.tile(row, len(_OFFSETS)))
+        self._move(slopes)
+
+    def _move(self, slopes: dict[str, Slope]) -> None:
         for k, slope in slopes.items():
-            slope = slope.astype(np.float32)
-            self.squares[k] += slope * slope
-            self.weights[k] -= RATE * slope / np.sqrt(self.squares[k])
+            width, rows = slope.shape[-1], slope.rows.astype(np.float32, copy=False)
+            squares = self.squares[k].reshape(-1, width)
+            total = squares[slope.at] + rows * rows
+            squares[slope.at] = total
+            self.weights[k].reshape(-1, width)[slope.at] -= RATE * rows / np.sqrt(total + np.float32(1e-6))
+            self.uses[k][slope.at] += slope.uses
 
 
 def _count(buckets: int):
@@ -164,46 +266,58 @@ def _count(buckets: int):
     return rows
 
 
-def _most_frequent(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words of a group that may be among the most frequent of all, as one row."""
+def _total(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All words of a group with their counts, as one row."""
     words, counts = [], []
     for batch in batches:
         for w, n in zip(batch.column("words").to_pylist(), batch.column("counts").to_pylist(), strict=True):
             words.append(np.frombuffer(w, "<u8"))
-            counts.append(np.frombuffer(n, f"<i{8 * len(n) // max(len(w), 1)}"))
+            counts.append(np.frombuffer(n, "<i4"))
     kinds, place = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(place, np.concatenate(counts)).astype("<i8")
-    top = np.lexsort((kinds, -total))[:FREQUENT]
-    yield pa.record_batch(
-        [pa.array([key[0].as_py()], pa.int32()), pa.array([kinds[top].tobytes()], pa.binary()), pa.array([total[top].tobytes()], pa.binary())],
-        ["bucket", "words", "counts"],
-    )
+    yield pa.record_batch([pa.array([kinds.tobytes()], pa.binary()), pa.array([total.tobytes()], pa.binary()), pa.array([int(total.sum())])],
+                          ["words", "counts", "n"])
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Hashes of the most frequent words of all documents, the most frequent first."""
-    # A bucket's blobs are its share of the distinct words of all slices.
-    buckets, kind = 2 * spread(docs.sparkSession), "bucket int, words binary, counts binary"
-    top = documents(docs).mapInArrow(_count(buckets), kind).groupBy("bucket").applyInArrow(_most_frequent, kind)
-    # The buckets' best are merged in about the square root of their number, then once more.
-    for groups in (math.isqrt(buckets), 1):
-        top = top.withColumn("bucket", F.pmod("bucket", F.lit(groups))).groupBy("bucket").applyInArrow(_most_frequent, kind)
-    best = top.collect()
-    return np.frombuffer(bytes(best[0]["words"]), "<u8") if best else np.zeros(0, np.uint64)
+def _above(least: int):
+    """Of each group, the words that occur so often, and as many as a small vocabulary may need."""
+    def rows(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                kinds, total = np.frombuffer(w, "<u8"), np.frombuffer(n, "<i8")
+                top = np.lexsort((kinds, -total))[: max(FREQUENT, int((total >= least).sum()))]
+                yield pa.record_batch([pa.array([kinds[top].tobytes()], pa.binary()), pa.array([total[top].tobytes()], pa.binary())], ["words", "counts"])
+    return rows
 
 
-def _train(shared, turn: int):
+def vocabulary(docs: DataFrame) -> np.ndarray:
+    """Hashes of the words with a code of their own, the most frequent first: all that occur
+    ``least_count`` times in all documents, and the FREQUENT most frequent at least."""
+    # A bucket's blobs are its share of the distinct words of all slices.
+    buckets = 2 * spread(docs.sparkSession)
+    counted = documents(docs).mapInArrow(_count(buckets), "bucket int, words binary, counts binary")
+    totals = written(counted.groupBy("bucket").applyInArrow(_total, "words binary, counts binary, n long"), "words")
+    least = least_count(totals.agg(F.sum("n")).first()[0] or 0)
+    some = totals.select("words", "counts").mapInArrow(_above(least), "words binary, counts binary").collect()
+    if not some:
+        return np.zeros(0, np.uint64)
+    kinds = np.frombuffer(b"".join(r["words"] for r in some), "<u8")
+    total = np.frombuffer(b"".join(r["counts"] for r in some), "<i8")
+    return kinds[np.lexsort((kinds, -total))[: max(FREQUENT, int((total >= least).sum()))]]
+
+
+def _train(shared):
     def rows(batches: Iterable[pa.RecordBatch]):
         frequent, raw = shared.value
-        trainer, seen = Trainer(unpack_weights(raw)), 0
+        start, ranked, size_of = unpack_weights(raw), rank(frequent), n_codes(frequent)
+        trainer = None
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for batch in slices(batches):
+            trainer = trainer or Trainer({k: v.copy() for k, v in start.items()})
             words = Words.of(batch.column(1))
-            codes = encode(words, frequent)
-            around = contexts(codes, words.first)
-            seen += len(codes)
-            held.append((around, codes))
+            codes = encode(words, frequent, ranked)
+            held.append((contexts(codes, words.first, size_of), codes))
             size += len(codes)
             if size < BATCH:
                 continue
@@ -214,38 +328,63 @@ def _train(shared, turn: int):
             held, size = [(around[:, full:], codes[full:])], len(codes) - full
         if size:
             trainer.step(np.concatenate([a for a, _ in held], 1), np.concatenate([c for _, c in held]))
-        if seen:
-            part = TaskContext.get().partitionId()
-            yield pa.record_batch([pa.array([part], pa.int64()), pa.array([seen], pa.int64()), pa.array([pack_weights(trainer.weights)], pa.binary())],
-                                  ["part", "seen", "weights"])
+        if trainer is None:
+            return
+        for place, (k, before) in enumerate(start.items()):
+            used = np.flatnonzero(trainer.uses[k])
+            if not len(used):
+                continue
+            width = before.shape[-1]
+            cuts = np.flatnonzero(np.diff(used // BLOCK, prepend=-1))
+            for a, b in zip(cuts, [*cuts[1:], len(used)], strict=True):
+                at = used[a:b]
+                # The moves of a task, not its weights: half precision is enough for them.
+                moved = trainer.weights[k].reshape(-1, width)[at] - before.reshape(-1, width)[at]
+                yield pa.record_batch(
+                    [pa.array([place], pa.int32()), pa.array([int(at[0]) // BLOCK], pa.int32()),
+                     pa.array([(at % BLOCK).astype("<i4").tobytes()], pa.binary()),
+                     pa.array([trainer.uses[k][at].astype("<i8").tobytes()], pa.binary()), pa.array([moved.astype("<f2").tobytes()], pa.binary())],
+                    ["place", "block", "at", "uses", "moved"],
+                )
     return rows
 
 
-def _average(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, seen = np.zeros(sum(map(math.prod, _SHAPES.values()))), 0
-    for batch in batches:
-        for n, raw in zip(batch.column("seen").to_pylist(), batch.column("weights"), strict=True):
-            total += n * np.frombuffer(raw.as_py(), "<f4")
-            seen += n
-    mean = (total / max(seen, 1)).astype("<f4").tobytes()
-    yield pa.record_batch([pa.array([key[0].as_py()], pa.int64()), pa.array([seen], pa.int64()), pa.array([mean], pa.binary())], ["part", "seen", "weights"])
+def _average(widths: list[int]):
+    def block(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The mean move of each row of a block, over the tasks that used the row."""
+        place, number = (k.as_py() for k in key)
+        total, seen = np.zeros((BLOCK, widths[place])), np.zeros(BLOCK, np.int64)
+        for batch in batches:
+            for at, uses, moved in zip(*(batch.column(c) for c in ("at", "uses", "moved")), strict=True):
+                at, uses = np.frombuffer(at.as_py(), "<i4"), np.frombuffer(uses.as_py(), "<i8")
+                total[at] += uses[:, None] * np.frombuffer(moved.as_py(), "<f2").reshape(len(at), -1).astype(np.float64)
+                seen[at] += uses
+        at = np.flatnonzero(seen)
+        yield pa.record_batch(
+            [pa.array([place], pa.int32()), pa.array([number], pa.int32()), pa.array([at.astype("<i4").tobytes()], pa.binary()),
+             pa.array([(total[at] / seen[at, None]).astype("<f4").tobytes()], pa.binary())],
+            ["place", "block", "at", "moved"],
+        )
+    return block
 
 
 def train(docs: DataFrame) -> tuple[np.ndarray, bytes]:
     """Vocabulary and weights from all documents; the start weights if there is no word at all."""
     spark = docs.sparkSession
-    frequent, weights = vocabulary(docs), pack_weights(start_weights())
-    kind = "part long, seen long, weights binary"
+    frequent = vocabulary(docs)
+    weights = start_weights(n_codes(frequent))
+    names, widths = list(weights), [v.shape[-1] for v in weights.values()]
     for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((frequent, weights))
-        own = documents(docs).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn).mapInArrow(_train(shared, turn), kind)
-        # A first average of about the square root of all tasks' copies each, then one of those.
-        groups = max(1, math.isqrt(spread(spark)))
-        some = own.withColumn("part", F.pmod("part", F.lit(groups))).groupBy("part").applyInArrow(_average, kind)
-        all_of = some.withColumn("part", F.lit(0).cast("long")).groupBy("part").applyInArrow(_average, kind).collect()
-        if all_of:
-            weights = bytes(all_of[0]["weights"])
-    return frequent, weights
+        shared = spark.sparkContext.broadcast((frequent, pack_weights(weights)))
+        own = documents(docs).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn).mapInArrow(
+            _train(shared), "place int, block int, at binary, uses binary, moved binary")
+        mean = own.groupBy("place", "block").applyInArrow(_average(widths), "place int, block int, at binary, moved binary")
+        for r in written(mean, "moves").toLocalIterator():
+            table = weights[names[r["place"]]].reshape(-1, widths[r["place"]])
+            at = np.frombuffer(r["at"], "<i4") + r["block"] * BLOCK
+            table[at] += np.frombuffer(r["moved"], "<f4").reshape(len(at), -1)
+        shared.unpersist()
+    return frequent, pack_weights(weights)
 
 
 SCORES = "doc_id long, n_tokens long, pll double, mean_pll double"
@@ -262,11 +401,11 @@ def score(docs: DataFrame, model: tuple[np.ndarray, bytes] | None = None) -> Dat
 
     def rows(batches: Iterable[pa.RecordBatch]):
         frequent, raw = shared.value
-        weights = unpack_weights(raw)
+        weights, ranked = unpack_weights(raw), rank(frequent)
         for batch in slices(batches):
             words = Words.of(batch.column(1))
-            codes = encode(words, frequent)
-            each = log_probabilities(weights, contexts(codes, words.first), codes)
+            codes = encode(words, frequent, ranked)
+            each = log_probabilities(weights, contexts(codes, words.first, n_codes(frequent)), codes)
             total = np.diff(np.concatenate(([0.0], np.cumsum(each)))[words.first])
             count = words.count
             mean = np.divide(total, count, out=np.zeros(len(count)), where=count > 0)
