@@ -124,6 +124,21 @@ def test_keep_one(docs):
     assert kept == {c for _, c, _ in brute_classes(ROWS)}
 
 
+def test_recall_after_all_splits(spark, monkeypatch):
+    """Pairs at similarity 0.8 that are split as often as can be still meet."""
+    monkeypatch.setattr(chosen_path, "LEAF", 1)
+    rng, n = np.random.default_rng(8), 6000
+    left = rng.integers(0, 1 << 31, (n, chosen_path.SKETCH))
+    right = np.where(rng.random(left.shape) < 0.8, left, rng.integers(0, 1 << 31, left.shape))
+    rows = [(b"%05d%d" % (i, side), 9, s.tolist()) for side, sketches in enumerate((left, right)) for i, s in enumerate(sketches)]
+    reps = spark.createDataFrame(rows, "key binary, size long, sketch array<int>").repartition(8).cache()
+    met = defaultdict(set)
+    for r in chosen_path.leaves(reps, 0.8, 0.999).collect():
+        met[r["leaf"]].add(bytes(r["key"]))
+    found = {k[:5] for keys in met.values() for k in keys if len({x for x in keys if x[:5] == k[:5]}) == 2}
+    assert n - len(found) <= 2 * 0.001 * n
+
+
 def test_runs_reach_the_recall():
     assert chosen_path.runs_for(0.999, 0.8) > chosen_path.runs_for(0.9, 0.8) >= 1
 

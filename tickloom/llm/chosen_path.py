@@ -5,8 +5,9 @@ sketch names one shingle of each set, and sets that name the same one go on toge
 similarity s stays together with probability s at each coordinate. Buckets of at most ``LEAF`` sets
 are compared by brute force with their exact shingles; larger ones are split on. Each run picks
 1/threshold coordinates on average at each split (the expected branching of the chosen-path method).
-As many runs are made as the target recall asks for at the threshold; a bucket that is too large
-after the first split is split in two independent ways, since its pairs have one more split to pass.
+As many runs are made as the target recall asks for at the threshold in buckets that are split to
+the last, and each run begins with coordinates of its own. A bucket that is too large after the first
+split is split in two ways.
 Buckets that splitting does not shrink (sets that are all alike) are compared in tiles, so no bucket
 is dropped or cut.
 
@@ -37,11 +38,27 @@ _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, SKETCH, dtype=np.uint64)
 
 
 def runs_for(recall: float, threshold: float) -> int:
-    """Runs after which a pair at the threshold has been in one leaf with that probability, two splits
-    down, of which the second is made twice."""
-    miss, more = 1 - threshold, 1 / threshold - 1
-    split = 1 - ((1 - more) * miss + more * miss**2)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - split * (1 - (1 - split) ** 2))))
+    """Runs after which a pair at the threshold has been in one leaf with that probability, however
+    often its buckets are split: DEPTH + 1 times, of which the second is made twice.
+
+    All runs draw from one sketch, so the pair's share of equal coordinates, which varies by chance,
+    holds for all of them: the chance to miss is the mean over that share.
+    """
+    more = 1 / threshold - 1
+    chance, together = [], []
+    for equal in range(SKETCH + 1):
+        chance.append(math.comb(SKETCH, equal) * threshold**equal * (1 - threshold) ** (SKETCH - equal))
+        stays = 1.0
+        for depth in range(DEPTH, -1, -1):
+            if depth == 0:
+                stays = 1 - (1 - stays) ** 2
+            miss = 1 - equal / SKETCH * stays
+            stays = 1 - ((1 - more) * miss + more * miss**2)
+        together.append(stays)
+    runs = 1
+    while sum(c * (1 - t) ** runs for c, t in zip(chance, together, strict=True)) > 1 - recall:
+        runs += 1
+    return runs
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,23 +219,30 @@ def _compare(threshold: float):
     return rows
 
 
-def _next_paths(threshold: float) -> Column:
-    """The paths on which a set goes on: one for each chosen coordinate, 1/threshold on average."""
+def _next_paths(threshold: float, first: Column | None = None) -> Column:
+    """The paths on which a set goes on: one for each chosen coordinate, 1/threshold on average. The
+    coordinates follow from the path, or are ``first`` and the next one."""
     path = F.col("path")
 
-    def at(j: int) -> Column:
-        coordinate = F.pmod(F.xxhash64(path, F.lit(f"c{j}")), F.lit(SKETCH)).cast("int")
+    def at(coordinate: Column) -> Column:
         return F.xxhash64(path, coordinate, F.get(F.col("sketch"), coordinate))
 
     more = F.pmod(F.xxhash64(path, F.lit("more")), F.lit(1000)) < int(1000 * (1 / threshold - 1))
-    return F.explode(F.array_distinct(F.when(more, F.array(at(0), at(1))).otherwise(F.array(at(0))))).alias("path")
+    one = F.pmod(F.xxhash64(path, F.lit("c0")), F.lit(SKETCH)) if first is None else first
+    # Never the same one twice.
+    step = F.pmod(F.xxhash64(path, F.lit("c1")), F.lit(SKETCH - 1)) + 1 if first is None else F.lit(1)
+    one, other = (F.pmod(c, F.lit(SKETCH)).cast("int") for c in (one, one + step))
+    return F.explode(F.when(more, F.array(at(one), at(other))).otherwise(F.array(at(one)))).alias("path")
 
 
 def leaves(reps: DataFrame, threshold: float, recall: float, seed: int = 1) -> DataFrame:
     """Buckets to compare by brute force: rows (leaf, key), each bucket once."""
-    runs = F.explode(F.array(*(F.xxhash64(F.lit(seed), F.lit(r)) for r in range(runs_for(recall, threshold)))))
-    start = reps.select("key", "size", "sketch", runs.alias("path"))
-    frontier = start.select("key", "size", _next_paths(threshold))
+    # Run r begins with the coordinates 2r and 2r + 1, so no two runs share one up to SKETCH / 2 runs.
+    runs = F.explode(F.array(*(
+        F.struct(F.xxhash64(F.lit(seed), F.lit(r)).alias("path"), F.lit(2 * r).alias("first")) for r in range(runs_for(recall, threshold))
+    ))).alias("run")
+    start = reps.select("key", "size", "sketch", runs).select("key", "size", "sketch", "run.*")
+    frontier = start.select("key", "size", _next_paths(threshold, F.col("first")))
     done = []
     for depth in range(DEPTH + 1):
         counts = (
