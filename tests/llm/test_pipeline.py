@@ -20,9 +20,9 @@ from tickloom.llm.sql import ORACLES
 SF = "/root/testdata/sf0.001"
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = [n for n in entry_points.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "decontamination", "secret_scan", "packing"]
 

@@ -13,11 +13,14 @@ from tickloom.llm.decontaminate import contained_items
 from tickloom.llm.language import identify_held_out
 from tickloom.llm.masked_lm import score
 from tickloom.llm.packing import pack
+from tickloom.llm.pieces import digests
 from tickloom.llm.quality import quality
+from tickloom.llm.ranked_search import search
 from tickloom.llm.secrets import find_secrets
 from tickloom.llm.substring_dedup import remove_repeats
 from tickloom.llm.suffix_dedup import repeated_passages
 from tickloom.llm.url_filter import judge_urls
+from tickloom.llm.vector_codes import compress
 
 #: The rules of the contract, and the hosts that the method's own list blocks.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -29,6 +32,8 @@ LISTED = tuple(
 
 #: The vocabulary of packing; a path, never a copy.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The model of piece encoding; likewise.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -82,6 +87,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_docs(spark, sf_dir)).withColumn("spans", F.array_join(told, ","))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_docs(spark, sf_dir), _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")).drop("label")
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(_docs(spark, sf_dir), PIECES)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,5 +116,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_masked_lm": op9_masked_lm,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_pieces": op13_pieces,
     "pipeline": pipeline,
 }

@@ -92,6 +92,44 @@ failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND n_span_words <= 0.2 * n_words AND short_repeats AS kept, n_span_words FROM failed"""
 
+
+def _terms(table: str, key: str) -> str:
+    return rf"""SELECT {key}, unnest(regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM {table}"""
+
+
+_RANKED = f"""WITH tf AS (SELECT doc_id, t, count(*) AS tf FROM ({_terms('documents', 'doc_id')}) GROUP BY ALL),
+docs AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS l FROM docs),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY t, n_docs),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // l)))) AS BIGINT) AS score
+  FROM (SELECT DISTINCT item_id, t FROM ({_terms('benchmark', 'item_id')})) JOIN weights USING (t) JOIN tf USING (t) JOIN docs USING (doc_id), whole
+  GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50"""
+
+
+def _codes(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """The rounds written out: each assigns every part to its nearest entry and takes the floored means."""
+    steps = [f"""kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+  list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT r, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) AS t(p)),
+book0 AS (SELECT p, r - 1 AS e, x AS y FROM parts WHERE r <= {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (SELECT r, p, min({{'d': list_dot_product(x, x) - 2 * list_dot_product(x, y) + list_dot_product(y, y), 'e': e}}) AS b
+  FROM parts JOIN book{k} USING (p) GROUP BY r, p)""")
+        if k < rounds:
+            steps.append(f"""mean{k} AS (SELECT p, e, list(m ORDER BY i) AS m FROM (
+  SELECT p, b.e AS e, i, floor(sum(x[i]) / count(*)) AS m FROM near{k} JOIN parts USING (r, p), unnest(range(1, len(x) + 1)) AS t(i) GROUP BY p, b.e, i) GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m, y) AS y FROM book{k} LEFT JOIN mean{k} USING (p, e))""")
+    return f"""WITH {', '.join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', CAST(b.e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(b.d) AS BIGINT) AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS BIGINT), ',' ORDER BY p, e, i)) FROM (SELECT p, e, unnest(y) AS c, unnest(range(len(y))) AS i FROM book{rounds})) AS codebooks_sha256
+FROM kept JOIN coded USING (r)"""
+
+
 ORACLES: dict[str, str] = {
     "op1_url_filter": _URLS,
     "op2_jaccard_join": _JACCARD,
@@ -99,4 +137,6 @@ ORACLES: dict[str, str] = {
     "op6_substring_dedup": _SUBSTRINGS,
     "op8_quality": _QUALITY,
     "op10_suffix_dedup": _PASSAGES,
+    "op11_ranked_search": _RANKED,
+    "op12_vector_codes": _codes(),
 }

@@ -86,10 +86,13 @@ class Words:
     first: np.ndarray
 
     @classmethod
-    def of(cls, column: pa.Array) -> Words:
+    def of(cls, column: pa.Array, separator: np.ndarray = SEPARATOR, fold: np.ndarray | None = None) -> Words:
+        """``separator`` tells the bytes between words, ``fold`` what each byte is read as."""
         data, at = utf8(column)
+        if fold is not None:
+            data = fold[data]
         word = np.zeros(len(data) + 2, bool)
-        word[1:-1] = ~SEPARATOR[data]
+        word[1:-1] = ~separator[data]
         starts = word[1:] & ~word[:-1]
         ends = word[:-1] & ~word[1:]
         cuts = at[(at > 0) & (at < len(data))]
