@@ -2,7 +2,7 @@ import json
 import os
 from datetime import datetime, timedelta, timezone
 
-from tickloom.plans.medallion import run_cycle
+from tickloom.plans.medallion import read_gold, run_cycle
 from tickloom.schemas import ALERT_RULE, GOLD, SILVER
 from tickloom.sources.layers import (
     apply_retention, expired_files, json_records, list_sessions, load_session, read_json_table, read_layer, retain,
@@ -57,7 +57,7 @@ def test_cycle_writes_all_layers_and_a_repeat_changes_nothing(spark, tmp_path):
         assert run_cycle(spark, str(raw), str(tmp_path))
         bronze = spark.read.parquet(f"{tmp_path}/bronze")
         silver = read_layer(spark, f"{tmp_path}/silver", SILVER)
-        gold = read_layer(spark, f"{tmp_path}/gold", GOLD).collect()
+        gold = read_gold(spark, str(tmp_path)).collect()
         assert bronze.count() == 6
         # 999 is a later copy of the first tick: the first file wins
         assert sorted(r.price_usd for r in silver.collect()) == [100.0, 101.0]
@@ -147,9 +147,8 @@ def test_cycles_take_new_files_and_replace_touched_windows(spark, tmp_path, rows
         assert run_cycle(spark, str(raw), f"{tmp_path}/steps", i)
         assert not run_cycle(spark, str(raw), f"{tmp_path}/steps", i + 1)
     assert run_cycle(spark, str(raw), f"{tmp_path}/once")
-    for layer, schema in (("silver", SILVER), ("gold", GOLD)):
-        steps, once = (read_layer(spark, f"{tmp_path}/{x}/{layer}", schema) for x in ("steps", "once"))
-        assert rows(steps) == rows(once) and steps.count() > 0
+    for read in (lambda x: read_layer(spark, f"{tmp_path}/{x}/silver", SILVER), lambda x: read_gold(spark, f"{tmp_path}/{x}")):
+        assert rows(read("steps")) == rows(read("once")) and read("steps").count() > 0
     assert run_cycle(spark, str(raw), f"{tmp_path}/steps", 2)
     assert read_layer(spark, f"{tmp_path}/steps/silver", SILVER).count() == 6
 

@@ -4,13 +4,14 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.operators.aggregate import resample, to_gold
 from tickloom.operators.clean import normalize_types, to_silver
 from tickloom.operators.indicators import indicators
 from tickloom.schemas import ALERT_RULE, GOLD, RAW_TEXT, SILVER, SILVER_SERIES
 from tickloom.sources.layers import read_layer
-from tickloom.streaming import flows
+from tickloom.streaming import flows, keyed
 
 START = datetime(2024, 1, 1)
 
@@ -196,3 +197,91 @@ def test_state_is_written_for_touched_keys_and_compacted(spark, tmp_path):
         now = {r.k: r.v for r in state.before(i + 1, frame.schema).collect()}
         assert now == {b % 2: b for b in range(max(0, i - 1), i + 1)}
     assert not os.path.exists(f"{tmp_path}/s/batch_id=1") and os.path.exists(f"{tmp_path}/s/batch_id=6")
+
+
+def drain(spark, tmp_path, stream, name="out"):
+    query = flows.append_to(stream, f"{tmp_path}/{name}", f"{tmp_path}/cp-{name}", None)
+    query.awaitTermination()
+    return query
+
+
+def arrivals(spark, tmp_path, per_batch=None, lateness="1 hour"):
+    raw = flows.read_raw_stream(spark, str(tmp_path / "raw"), files_per_batch=per_batch, with_arrival=True)
+    return flows.silver_stream(raw, lateness)
+
+
+def test_the_first_copy_of_a_batch_is_kept(spark, tmp_path):
+    """Different copies of a tick in one file, in files of one batch, and in later batches."""
+    land(tmp_path / "raw", "0.jsonl", [tick("a", 0, 1.0), tick("a", 1, 2.0), tick("a", 0, 9.0), tick("b", 0, 3.0)])
+    land(tmp_path / "raw", "1.jsonl", [tick("a", 1, 8.0), tick("b", 0, 7.0), tick("a", 2, 4.0)])
+    drain(spark, tmp_path, arrivals(spark, tmp_path))
+    land(tmp_path / "raw", "2.jsonl", [tick("a", 2, 6.0), tick("a", 30, 5.0), tick("a", 0, 6.0)])
+    drain(spark, tmp_path, arrivals(spark, tmp_path))
+    got = read_layer(spark, f"{tmp_path}/out", SILVER)
+    assert sorted((r.coin_id, r.price_usd) for r in got.collect()) == [("a", 1.0), ("a", 2.0), ("a", 4.0), ("a", 5.0), ("b", 3.0)]
+
+
+def test_the_seen_times_go_when_the_watermark_has_passed(spark, tmp_path):
+    land(tmp_path / "raw", "0.jsonl", [tick("a", m, 1.0 + m) for m in range(0, 180, 10)])
+    drain(spark, tmp_path, arrivals(spark, tmp_path, 1))
+    for i, minute in enumerate((400, 500, 600), 1):
+        land(tmp_path / "raw", f"{i}.jsonl", [tick("a", minute, 1.0)])
+        progress = drain(spark, tmp_path, arrivals(spark, tmp_path, 1)).recentProgress
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in progress if p["stateOperators"]]
+    # Three spans of the first file are gone; those that the watermark has not passed stay.
+    assert kept[-1] <= 2
+    assert read_layer(spark, f"{tmp_path}/out", SILVER).count() == 21
+
+
+def test_indicators_read_the_keys_of_a_batch_only(spark, tmp_path):
+    """10,000 silent keys cost a batch of one key nothing; the state outlives a restart."""
+    schema = "coin_id string, fetched_at timestamp, price_usd double, change_24h_pct double"
+    folder = tmp_path / "ticks"
+
+    def add(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(str(folder))
+        query = drain(spark, tmp_path, keyed.indicator_stream(stream))
+        return [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"]]
+
+    add([(f"k{i}", START, float(i), 0.0) for i in range(10_000)])
+    run()
+    add([("k7", START + timedelta(minutes=m), 100.0 + m % 5, 0.0) for m in range(1, 25)])
+    state = run()
+    assert state[0]["numRowsTotal"] == 10_000 and sum(s["numRowsUpdated"] for s in state) == 1
+    assert sum(s["customMetrics"]["rocksdbGetCount"] for s in state) <= 10
+    add([("k7", START + timedelta(minutes=30), 111.0, 0.0), ("k7", START, 5.0, 0.0)])
+    run()
+    got = spark.read.parquet(f"{tmp_path}/out").where("coin_id = 'k7'")
+    assert got.count() == 26  # the late row is dropped
+    wanted = indicators(got.select("coin_id", "fetched_at", "price_usd", "change_24h_pct"), SILVER_SERIES)
+    names = ["fetched_at", *keyed.PANEL]
+    plain = lambda df: sorted([tuple(None if v is None or v != v else round(v, 8) if isinstance(v, float) else v for v in r) for r in df.select(*names).collect()])
+    assert plain(got) == plain(wanted)
+
+
+def test_streamed_indicators_equal_the_batch(spark, tmp_path):
+    """Nulls in the values, ties across batches, several micro-batches."""
+    for i, ticks in enumerate(batches()):
+        land(tmp_path / "raw", f"{i}.jsonl", ticks)
+    ticks = normalize_types(flows.read_raw_stream(spark, str(tmp_path / "raw"), files_per_batch=1))
+    holes = ticks.withColumn("price_usd", F.expr("CASE WHEN minute(fetched_at) % 17 = 3 THEN NULL ELSE price_usd END"))
+    drain(spark, tmp_path, keyed.indicator_stream(holes))
+    batch = normalize_types(spark.read.schema(RAW_TEXT).json(str(tmp_path / "raw")))
+    batch = batch.withColumn("price_usd", F.expr("CASE WHEN minute(fetched_at) % 17 = 3 THEN NULL ELSE price_usd END"))
+    names = ["coin_id", "fetched_at", *keyed.PANEL]
+    plain = lambda df: sorted(tuple(None if v is None or v != v else round(v, 8) if isinstance(v, float) else v for v in r) for r in df.select(*names).collect())
+    assert repr(plain(spark.read.parquet(f"{tmp_path}/out"))) == repr(plain(indicators(batch, SILVER_SERIES)))
+
+
+def test_updated_windows_are_compacted(spark, tmp_path):
+    sink = flows.upsert_windows(f"{tmp_path}/gold", fanout=4)
+    schema = GOLD.simpleString()[7:-1].replace(":", " ")
+    for i in range(30):
+        at = START + timedelta(hours=i // 3)
+        sink(spark.createDataFrame([("a", at, at, float(i), 0.0, 0.0, 0.0, 0.0, 0.0, i)], schema).coalesce(1), i)
+    got = flows.read_upserts(spark, f"{tmp_path}/gold")
+    assert sorted((r.window_start.hour, r.record_count) for r in got.collect()) == [(h, 3 * h + 2) for h in range(10)]
+    assert len(flows.window_store(spark, f"{tmp_path}/gold").folders()) <= 4 * 3

@@ -22,8 +22,8 @@ from tickloom.plans.fixtures import PARTS, Fixtures
 from tickloom.scale import with_ordinal
 from tickloom.schemas import ALERT_RULE, GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SERIES, SILVER
 from tickloom.session import scratch_path
-from tickloom.sources import layers, raw
-from tickloom.streaming import flows
+from tickloom.sources import layers, raw, versions
+from tickloom.streaming import flows, keyed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SESSION_START = datetime(2024, 1, 30, 12, tzinfo=timezone.utc)
@@ -57,6 +57,10 @@ def query(name: str, digits: int = 6, shift: float = 0.0):
     return register
 
 
+def _unused_rules(f: Fixtures) -> DataFrame:
+    return f.table("orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
+
+
 # --- sources and sinks ------------------------------------------------------------------
 
 @query("scan_jsonl")
@@ -141,6 +145,16 @@ def _(f):
     return layers.read_json_table(f.spark, path, ALERT_RULE)
 
 
+@query("rules_saved")
+def _(f):
+    """Rules are saved, one is added and some are removed, each over the table as it was read."""
+    table = versions.VersionedTable(f.spark, scratch_path(f.spark, "rules"), ALERT_RULE)
+    table.save(f.rules())
+    table.update(lambda rules: alerts.add_rule(rules, "click", "price", "above", 70.5, SESSION_START))
+    table.update(lambda rules: alerts.remove_rules(rules, _unused_rules(f)))
+    return table.read()
+
+
 @query("layer_drift")
 def _(f):
     """Two batches of one layer, of which the first has no volume."""
@@ -170,7 +184,20 @@ def _(f):
         for copies in (0, 1):
             raw.write_raw(part.where(f"seq % 2 = {copies}"), path)
         medallion.run_cycle(f.spark, path, out, i, "1 hour")
-    return layers.read_layer(f.spark, f"{out}/gold", GOLD)
+    return medallion.read_gold(f.spark, out)
+
+
+@query("cycle_widths")
+def _(f):
+    """Windows that cross midnight, and the borders of the cycles."""
+    path, text = scratch_path(f.spark, "raw"), f.raw_text()
+    outs = {width: scratch_path(f.spark, "layers") for width in ("7 minutes", "2 days")}
+    for i, part in enumerate(_slices(f, text, 2)):
+        raw.write_raw(part, path)
+        for width, out in outs.items():
+            medallion.run_cycle(f.spark, path, out, i, width)
+    frames = [medallion.read_gold(f.spark, out).withColumn("width", F.lit(width)) for width, out in outs.items()]
+    return frames[0].unionByName(frames[1])
 
 
 # --- cleaning ---------------------------------------------------------------------------
@@ -475,8 +502,7 @@ def _(f):
 
 @query("alerts_remove")
 def _(f):
-    unused = f.table("orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("id"))
-    return alerts.remove_rules(f.rules(), unused)
+    return alerts.remove_rules(f.rules(), _unused_rules(f))
 
 
 @query("alerts_add")
@@ -542,7 +568,8 @@ def _(f):
 
 # --- streaming --------------------------------------------------------------------------
 
-SLICES = 4
+#: Batches that land one after another, and files of one micro-batch.
+SLICES, FILES = 4, 8
 
 
 def _slices(f: Fixtures, text: DataFrame, n: int) -> list[DataFrame]:
@@ -654,8 +681,18 @@ def _(f):
 
 @query("stream_indicators")
 def _(f):
-    out, state = scratch_path(f.spark, "indicators"), scratch_path(f.spark, "state")
-    sink = flows.indicator_sink(f.spark, out, state)
-    flows.each_batch(_tick_stream(f), sink, scratch_path(f.spark, "cp"), interval=None).awaitTermination()
-    done = f.spark.read.parquet(out)
+    done = f.spark.read.parquet(_finish(f, keyed.indicator_stream(_tick_stream(f)), "indicators"))
     return done.select("coin_id", "fetched_at", "sma_10", "sma_20", "bb_upper", "bb_lower", "rsi_14")
+
+
+@query("stream_dedup_first")
+def _(f):
+    """Different copies of a tick, many of them in one micro-batch: the first to arrive stays."""
+    path = scratch_path(f.spark, "landing")
+    for part in _slices(f, f.raw_text(), 2):
+        raw.write_raw(part, path)
+    stream = flows.read_raw_stream(f.spark, path, files_per_batch=FILES, with_arrival=True)
+    out = _finish(f, flows.silver_stream(stream, SLICE_LATENESS), "silver")
+    return layers.read_layer(f.spark, out, SILVER).select(
+        "coin_id", "fetched_at", "price_usd", "change_24h_pct", "volume_24h_usd", "data_quality_flag"
+    )

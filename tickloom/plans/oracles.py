@@ -26,8 +26,8 @@ _GOLD_AGGREGATES = """avg(price_usd) AS avg_price, min(price_usd) AS min_price,
 
 
 def _gold(source: str, width: str) -> str:
-    return f"""SELECT coin_id, time_bucket(INTERVAL '{width}', fetched_at) AS window_start,
-  time_bucket(INTERVAL '{width}', fetched_at) + INTERVAL '{width}' AS window_end, {_GOLD_AGGREGATES}
+    start = f"time_bucket(INTERVAL '{width}', fetched_at, TIMESTAMP '1970-01-01')"
+    return f"""SELECT coin_id, {start} AS window_start, {start} + INTERVAL '{width}' AS window_end, {_GOLD_AGGREGATES}
   FROM {source} WHERE fetched_at IS NOT NULL AND coin_id IS NOT NULL GROUP BY ALL"""
 
 
@@ -370,6 +370,11 @@ ORACLES: dict[str, str] = {
     "stream_resample": sql(f"SELECT {_BIN_OUT} FROM hourly"),
     "stream_pipeline": sql(f"SELECT {_GOLD_OUT} FROM gold", gold=_gold("silver", "1 hour")),
     "cycle_incremental": sql(f"SELECT {_GOLD_OUT} FROM gold", gold=_gold("silver", "1 hour")),
+    "cycle_widths": sql(f"""SELECT {_GOLD_OUT}, '7 minutes' AS width FROM narrow UNION ALL SELECT {_GOLD_OUT}, '2 days' AS width FROM wide""",
+        narrow=_gold("silver", "7 minutes"), wide=_gold("silver", "2 days")),
+    "rules_saved": sql(f"""SELECT id, coin, type, condition, {r('threshold')}, active FROM (SELECT * FROM rules
+ UNION ALL SELECT epoch_ms({_SESSION}), 'click', 'price', 'above', 70.5, true)
+ WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')"""),
     **{name: sql(f"SELECT coin_id, fetched_at, {rs('price_usd', 'change_24h_pct', 'volume_24h_usd')}, data_quality_flag FROM silver")
        for name in ("stream_silver", "raw_arrival")},
     "alerts_store": sql(f"SELECT id, coin, type, condition, {r('threshold')}, active FROM rules"),
@@ -384,5 +389,6 @@ ORACLES: dict[str, str] = {
   coalesce(floor(quantile_cont(step_us, 0.5)), 60000000) AS gap FROM (SELECT *,
   epoch_us(window_start) - lag(epoch_us(window_start)) OVER (PARTITION BY coin_id ORDER BY window_start) AS step_us FROM hourly) GROUP BY coin_id"""),
     "stream_alerts": sql("SELECT id, coin, type, message FROM fired"),
+    "stream_dedup_first": sql(f"SELECT coin_id, fetched_at, {rs('price_usd', 'change_24h_pct', 'volume_24h_usd')}, data_quality_flag FROM silver WHERE fetched_at IS NOT NULL"),
     "stream_indicators": sql(f"SELECT coin_id, ts AS fetched_at, {rs('sma_10', 'sma_20', 'bb_upper', 'bb_lower', 'rsi_14')} FROM panel", **_BY_SEQ),
 }

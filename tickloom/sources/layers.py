@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -10,12 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.filters import newest, select_keys, trailing_range
-from tickloom.sources.raw import move_path, path_exists, raw_files, remove_path
+from tickloom.sources.raw import move_path, path_exists, raw_files, remove_path, replace_path
+from tickloom.sources.versions import BATCH, DATE
 
-DATE = "dt"
 # CSV keeps microseconds and the offset
 CSV = {"header": True, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-BATCH = "batch_id"
 
 
 def write_layer(df: DataFrame, path: str, ts: str, batch_id: int | None = None, mode: str = "append") -> None:
@@ -143,4 +143,11 @@ def read_json_table(spark: SparkSession, path: str, schema: T.StructType, array:
 
 
 def write_json_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    """JSON lines. Overwriting writes a new folder first, so ``df`` may read the table itself and a
+    failed write leaves it as it was. Tables with several writers are ``versions.VersionedTable``."""
+    if mode != "overwrite":
+        df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+        return
+    fresh = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.write.option("ignoreNullFields", "false").json(fresh)
+    replace_path(df.sparkSession, fresh, path)

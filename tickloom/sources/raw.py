@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -123,3 +124,19 @@ def move_path(spark: SparkSession, path: str, folder: str) -> None:
     system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.mkdirs(target)
     system.rename(where, jvm.org.apache.hadoop.fs.Path(target, where.getName()))
+
+
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``, whose old content is removed last."""
+    jvm = spark.sparkContext._jvm
+    fresh, where, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, path, f"{path.rstrip('/')}-{uuid.uuid4().hex}"))
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = system.exists(where)
+    if had and not system.rename(where, old):
+        raise OSError(f"{path} cannot be replaced; the new content is in {new}")
+    if not system.rename(fresh, where):
+        if had:
+            system.rename(old, where)
+        raise OSError(f"{path} cannot be replaced; the new content is in {new}")
+    if had:
+        system.delete(old, True)

@@ -22,16 +22,22 @@ from tickloom.operators.indicators import ALL_HALO, all_indicators
 from tickloom.scale import over_rows, profile
 from tickloom.schemas import GOLD, RAW_TEXT, SILVER_SERIES, Series
 from tickloom.sources.layers import BATCH, read_layer
-from tickloom.sources.raw import RAW_GLOB, remove_path
+from tickloom.sources.raw import RAW_GLOB, below, remove_path
+from tickloom.sources.versions import MergeStore
+from tickloom.streaming.keyed import first_copies, number_lines
 
 LATENESS = "1 hour"
 
 
 def read_raw_stream(
     spark: SparkSession, path: str, schema: T.StructType = RAW_TEXT, files_per_batch: int | None = None,
-    clean_source: str = "off", archive_dir: str | None = None,
+    clean_source: str = "off", archive_dir: str | None = None, with_arrival: bool = False,
 ) -> DataFrame:
-    """New raw files as they land. ``clean_source`` "delete" or "archive" is the retention."""
+    """New raw files as they land. ``clean_source`` "delete" or "archive" is the retention.
+
+    ``with_arrival`` adds the columns that order rows: the file's path below the folder, its block
+    and the line.
+    """
     reader = (
         spark.readStream.schema(schema).option("pathGlobFilter", RAW_GLOB)
         .option("mode", "DROPMALFORMED").option("cleanSource", clean_source).option("recursiveFileLookup", "true")
@@ -40,7 +46,12 @@ def read_raw_stream(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive_dir:
         reader = reader.option("sourceArchiveDir", archive_dir)
-    return reader.json(path)
+    if not with_arrival:
+        return reader.json(path)
+    named = reader.json(path).select(
+        "*", below(F.col("_metadata.file_path"), path).alias("arrival_file"), F.col("_metadata.file_block_start").alias("arrival_block")
+    )
+    return number_lines(named)
 
 
 def usable_ticks(raw: DataFrame) -> DataFrame:
@@ -55,10 +66,14 @@ def timed(ticks: DataFrame, lateness: str = LATENESS) -> DataFrame:
 def silver_stream(raw: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Cleaned, flagged ticks; copies of a (key, time) within the watermark are dropped.
 
-    Of copies in one micro-batch any may be kept. Ticks without a time never pass a watermark;
-    ``undated_sink`` takes them.
+    A stream that was read ``with_arrival`` keeps the first copy to arrive, also of copies in one
+    micro-batch; of any other stream's copies in one micro-batch any may be kept. Ticks without a
+    time never pass a watermark; ``undated_sink`` takes them.
     """
-    return timed(usable_ticks(raw), lateness).dropDuplicatesWithinWatermark(["coin_id", "fetched_at"])
+    ticks = timed(usable_ticks(raw), lateness)
+    if "arrival_line" in raw.columns:
+        return first_copies(ticks)
+    return ticks.dropDuplicatesWithinWatermark(["coin_id", "fetched_at"])
 
 
 def gold_stream(silver: DataFrame, width: str = "10 seconds") -> DataFrame:
@@ -115,11 +130,30 @@ def each_batch(
     return writer.start()
 
 
-def upsert_windows(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for update mode: each batch stores the windows it touched."""
+def _newest(keys: tuple[str, ...], rest: list[str]) -> Callable[[DataFrame], DataFrame]:
+    def merge(rows: DataFrame) -> DataFrame:
+        newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH).alias("_row"), F.max(BATCH).alias(BATCH))
+        return newest.select(*keys, "_row.*", BATCH)
+
+    return merge
+
+
+def window_store(
+    spark: SparkSession, path: str, schema: T.StructType = GOLD, keys: tuple[str, ...] = ("coin_id", "window_start"), fanout: int = 8,
+) -> MergeStore:
+    """The newest version of each window; ``fanout`` folders of one size are merged into one."""
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    return MergeStore(spark, path, schema, _newest(keys, rest), fanout)
+
+
+def upsert_windows(
+    path: str, schema: T.StructType = GOLD, keys: tuple[str, ...] = ("coin_id", "window_start"), fanout: int = 8,
+) -> Callable[[DataFrame, int], None]:
+    """Sink for update mode: each batch stores the windows it touched. The stored folders are merged as
+    they come together, so their number grows with the logarithm of the batches."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        window_store(batch.sparkSession, path, schema, keys, fanout).write(batch, batch_id)
 
     return write
 
@@ -128,10 +162,7 @@ def read_upserts(
     spark: SparkSession, path: str, schema: T.StructType = GOLD, keys: tuple[str, ...] = ("coin_id", "window_start"),
 ) -> DataFrame:
     """The latest version of every window of an ``upsert_windows`` sink."""
-    stored = read_layer(spark, path, schema, more=[BATCH])
-    rest = [f.name for f in schema.fields if f.name not in keys]
-    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH).alias("_row"))
-    return newest.select(*keys, "_row.*")
+    return window_store(spark, path, schema, keys).read()
 
 
 class KeyedState:
@@ -214,10 +245,11 @@ def alert_sink(
 def indicator_sink(
     spark: SparkSession, path: str, state_path: str, by: Series = SILVER_SERIES
 ) -> Callable[[DataFrame, int], None]:
-    """Indicators over a stream: each batch is computed behind the last rows of its keys.
+    """Indicators over a stream whose batches may hold very large keys; ``keyed.indicator_stream`` is
+    the plainer way, whose cost follows the keys that a batch brings.
 
-    The newest ``ALL_HALO`` rows of each key are kept between batches; a batch reads and writes
-    those of the keys it brings. Rows are ordered by time, tie-break and batch. Rows before the
+    The newest ``ALL_HALO`` rows of each key are kept between batches in a table that every batch
+    scans; it writes those of the keys it brings. Rows are ordered by time, tie-break and batch. Rows before the
     last processed one are late and dropped; a row of equal time and tie-break follows it. A batch
     with a very large key is cut into blocks like any other series.
     """
