@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tickloom.operators.forecast import (
@@ -108,3 +109,52 @@ def test_a_missing_volume_makes_the_seasonal_forecast_linear(spark):
     got = forecast_seasonal(frame, by=GOLD_SERIES).collect()
     assert {(r.coin_id, r.method) for r in got} == {("a", "linear"), ("b", "seasonal")} and len(got) == 24
     assert all(95 < r.predicted_price < 105 for r in got if r.coin_id == "a")
+
+
+def planted_trend(n, changes, noise, seed=0):
+    """Hourly values of a trend with slope changes at some shares of the first 80 %, and a daily wave."""
+    rng = np.random.default_rng(seed)
+    i = np.arange(n)
+    value = 100 + 0.02 * i
+    for share, slope in changes:
+        value = value + slope * np.maximum(i - share * 0.8 * n, 0)
+    return value + 3 * np.sin(2 * np.pi * i / 24) + noise * rng.standard_normal(n)
+
+
+def test_only_the_planted_changes_are_not_zero():
+    from tickloom.operators import seasonal
+
+    n = 2000
+    values = planted_trend(n, [(10 / 25, 0.08), (20 / 25, -0.12)], 2.0)
+    at = np.arange(n) * 3.6e9 + 1.7e15
+    early = np.floor(n * 0.8)
+    p = pd.Series({
+        "t0": at[0], "span": at[-1] - at[0], "scale": np.abs(values).max(), "vol_mean": 0.0, "vol_sd": 1.0,
+        "knots": at[np.rint(np.arange(1, 26) * (early - 1) / 25).astype(int)],
+    })
+    sums = seasonal._sums(pd.DataFrame({"at": at, "value": values, "volume": np.zeros(n)}), p)
+    weights = seasonal._solve(sums, n)
+    changes = weights[seasonal.CHANGES]
+    large = set(np.flatnonzero(np.abs(changes) > 0.1 * np.abs(changes).max()).tolist())
+    assert {9, 19} <= large <= {8, 9, 10, 18, 19, 20}
+    assert (changes == 0).sum() >= 15
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sparse_changes_equal_a_plain_descent(seed):
+    """Proximal gradient steps, an independent way to the same least value."""
+    from tickloom.operators.seasonal import sparse_changes
+
+    rng = np.random.default_rng(seed)
+    x = np.cumsum(rng.standard_normal((300, 12)), axis=0) / 20
+    gram, cross, penalty = x.T @ x, x.T @ rng.standard_normal(300), 3.0
+    w, step = np.zeros(12), 1 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(200_000):
+        v = w - step * (gram @ w - cross)
+        w = np.sign(v) * np.maximum(np.abs(v) - step * penalty, 0)
+    got = sparse_changes(gram, cross, penalty)
+    cost = lambda u: u @ gram @ u / 2 - cross @ u + penalty * np.abs(u).sum()
+    assert cost(got) <= cost(w) + 1e-6
+    left = gram @ got - cross
+    assert (np.abs(left) <= penalty + 1e-5).all() and np.allclose(left[got != 0], -penalty * np.sign(got[got != 0]), atol=1e-4)
+    assert (sparse_changes(gram, cross, 1e9) == 0).all()

@@ -1,9 +1,10 @@
 """Seasonal additive forecast: piecewise-linear trend, daily and weekly cycles, volume.
 
-The model family is that of Taylor & Letham, "Forecasting at Scale" (2018), fitted as a ridge
-regression: a Gaussian prior of equal variance stands in for the Laplace prior on the trend
-changes. The normal equations are sums over rows, so a long history is cut into chunks whose
-42 x 42 partial sums are added up; memory per key does not depend on its length.
+The model family is that of Taylor & Letham, "Forecasting at Scale" (2018): Gaussian priors on level,
+slope, cycles and volume, a Laplace prior on the trend changes, so that most of them are exactly zero.
+The normal equations are sums over rows, so a long history is cut into chunks whose 42 x 42 partial
+sums are added up; memory per key does not depend on its length. The most probable weights follow from
+those sums alone: the Gaussian part is eliminated, the changes are found by a search over their signs.
 """
 
 from __future__ import annotations
@@ -23,8 +24,11 @@ CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
 DAY = 86_400_000_000
 CYCLES = ((DAY, 4), (7 * DAY, 3))  # period in microseconds, Fourier order
 CHUNK_ROWS = 200_000
-# Prior standard deviations: level and slope, trend changes, cycles, regressor.
-PRIOR_BASE, PRIOR_CHANGE, PRIOR_CYCLE, PRIOR_VOLUME = 5.0, 0.05 * 2**0.5, 10.0, 10.0
+# Prior standard deviations of level and slope, cycles and regressor; scale of the trend changes' Laplace prior.
+PRIOR_BASE, PRIOR_CYCLE, PRIOR_VOLUME, CHANGE_SCALE = 5.0, 10.0, 10.0, 0.05
+CHANGES = slice(2, 2 + CHANGEPOINTS)
+#: Search steps; some tens are needed.
+STEPS_AT_MOST = 1_000
 
 
 def _design(at: np.ndarray, volume: np.ndarray, p: pd.Series) -> np.ndarray:
@@ -43,8 +47,9 @@ def _design(at: np.ndarray, volume: np.ndarray, p: pd.Series) -> np.ndarray:
 
 
 def _prior() -> np.ndarray:
+    """Standard deviations of the Gaussian priors; infinite where the prior is another one."""
     cycles = 2 * sum(order for _, order in CYCLES)
-    return np.array([PRIOR_BASE] * 2 + [PRIOR_CHANGE] * CHANGEPOINTS + [PRIOR_CYCLE] * cycles + [PRIOR_VOLUME])
+    return np.array([PRIOR_BASE] * 2 + [np.inf] * CHANGEPOINTS + [PRIOR_CYCLE] * cycles + [PRIOR_VOLUME])
 
 
 def _sums(rows: pd.DataFrame, p: pd.Series) -> np.ndarray:
@@ -58,12 +63,63 @@ def _sums(rows: pd.DataFrame, p: pd.Series) -> np.ndarray:
     return total
 
 
+def sparse_changes(gram: np.ndarray, cross: np.ndarray, penalty: float) -> np.ndarray:
+    """The w that makes w'Gw / 2 - c'w + penalty * sum |w| least, by feature-sign search.
+
+    With the signs of w given, the least value is a linear system. A search step goes towards its
+    solution, no further than the best of the points where a sign changes; a zero weight joins when the
+    slope there exceeds the penalty. Each step lowers the value, so no set of signs comes twice.
+    """
+    w, on = np.zeros(len(cross)), np.zeros(len(cross), bool)
+    signs, slack = np.zeros(len(cross)), penalty * 1e-9 + 1e-12 * np.abs(cross).max(initial=0.0)
+
+    def value(v: np.ndarray) -> float:
+        return v @ gram @ v / 2 - cross @ v + penalty * np.abs(v).sum()
+
+    for _ in range(STEPS_AT_MOST):
+        slope = gram @ w - cross
+        settled = np.abs(slope + penalty * signs)[on].max(initial=0.0) <= slack * 1e3
+        if settled:
+            over = np.where(on, 0.0, np.abs(slope))
+            j = int(over.argmax())
+            if over[j] <= penalty + slack:
+                return w
+            on[j], signs[j] = True, -np.sign(slope[j])
+        some = np.flatnonzero(on)
+        goal = np.linalg.lstsq(gram[np.ix_(some, some)], cross[some] - penalty * signs[some], rcond=None)[0]
+        step = goal - w[some]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            crossings = -w[some] / step
+        best, least = w, np.inf if settled else value(w)
+        for share in [1.0, *sorted(crossings[(crossings > 0) & (crossings < 1)])]:
+            trial = w.copy()
+            trial[some] = w[some] + share * step
+            trial[some[np.isclose(crossings, share, rtol=0, atol=1e-15)]] = 0.0
+            if value(trial) < least:
+                best, least = trial, value(trial)
+        if best is w:
+            return w
+        w = best
+        on = w != 0
+        signs = np.sign(w)
+    return w
+
+
 def _solve(sums: np.ndarray, n: int) -> np.ndarray:
-    """Ridge weights; the noise level comes from a nearly unpenalised first fit."""
+    """Most probable weights; the noise level comes from a nearly unpenalised first fit."""
     gram, cross, energy = sums[:-1, :-1], sums[:-1, -1], sums[-1, -1]
     weak = np.linalg.lstsq(gram + 1e-9 * n * np.eye(len(gram)), cross, rcond=None)[0]
     noise = max((energy - 2 * weak @ cross + weak @ gram @ weak) / n, 1e-12)
-    return np.linalg.solve(gram + noise * np.diag(_prior() ** -2.0), cross)
+    full = gram + noise * np.diag(_prior() ** -2.0)
+    change = np.zeros(len(gram), bool)
+    change[CHANGES] = True
+    # Whatever the changes are, the other weights follow from them.
+    own, both, rest = full[np.ix_(~change, ~change)], full[np.ix_(~change, change)], cross[~change]
+    back = np.linalg.solve(own, np.column_stack([both, rest]))
+    weights = np.zeros(len(gram))
+    weights[change] = sparse_changes(full[np.ix_(change, change)] - both.T @ back[:, :-1], cross[change] - both.T @ back[:, -1], noise / CHANGE_SCALE)
+    weights[~change] = back[:, -1] - back[:, :-1] @ weights[change]
+    return weights
 
 
 def _predict(weights: np.ndarray, p: pd.Series, steps: int) -> tuple[np.ndarray, np.ndarray]:

@@ -17,12 +17,12 @@ from tickloom.functions import columns as fn
 from tickloom.operators import (
     aggregate, alerts, clean, compare, filters, forecast, indicators, seasonal, signals,
 )
-from tickloom.plans import medallion, views
+from tickloom.plans import medallion, supervise, views
 from tickloom.plans.fixtures import PARTS, Fixtures
 from tickloom.scale import with_ordinal
 from tickloom.schemas import ALERT_RULE, GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SERIES, SILVER
 from tickloom.session import scratch_path
-from tickloom.sources import layers, raw, versions
+from tickloom.sources import layers, pruned, raw, versions
 from tickloom.streaming import flows, keyed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,6 +164,30 @@ def _(f):
     return layers.read_layer(f.spark, path, SILVER).select("coin_id", "fetched_at", "price_usd", "volume_24h_usd")
 
 
+def _stored_ticks(f: Fixtures) -> str:
+    path = scratch_path(f.spark, "stored")
+    layers.write_layer(f.ticks(), path, "fetched_at")
+    return path
+
+
+@query("layer_freshness")
+def _(f):
+    return pruned.layer_freshness(f.spark, _stored_ticks(f), SILVER, "fetched_at")
+
+
+@query("layer_trailing_range")
+def _(f):
+    kept = pruned.layer_trailing_range(f.spark, _stored_ticks(f), SILVER, "6h", "fetched_at")
+    return kept.select("coin_id", "fetched_at", "price_usd")
+
+
+@query("layer_sizes")
+def _(f):
+    gold = scratch_path(f.spark, "stored")
+    layers.write_layer(aggregate.to_gold(f.ticks(), "1 hour"), gold, "window_start")
+    return pruned.layer_sizes(f.spark, {"silver": _stored_ticks(f), "gold": gold})
+
+
 @query("raw_arrival")
 def _(f):
     """Two raw batches; of a tick in both the one written first stays."""
@@ -187,6 +211,19 @@ def _(f):
     return medallion.read_gold(f.spark, out)
 
 
+@query("cycle_log")
+def _(f):
+    """What each cycle stored, as the log of the cycles has it."""
+    path, out, log = (scratch_path(f.spark, name) for name in ("raw", "layers", "log"))
+    for i, part in enumerate(_slices(f, f.raw_text(), 2)):
+        raw.write_raw(part, path)
+        supervise.supervised_cycle(f.spark, path, out, i, log, width="1 hour")
+    supervise.supervised_cycle(f.spark, path, out, 2, log, width="1 hour")
+    return supervise.EventLog(f.spark, log, supervise.CYCLE).read().select(
+        "batch_id", "status", "bronze_rows", "silver_rows", "gold_windows", "error"
+    )
+
+
 @query("cycle_widths")
 def _(f):
     """Windows that cross midnight, and the borders of the cycles."""
@@ -554,6 +591,14 @@ def _(f):
     return ahead.select("coin_id", "step", "window_start", "method")
 
 
+@query("forecast_seasonal_line", digits=4)
+def _(f):
+    """Prices on a line, whatever the volume: the seasonal model continues the line."""
+    hours = F.unix_micros(F.col("window_start").cast("timestamp")) / 3.6e9
+    line = f.hourly().withColumn("avg_price", F.lit(0.25) * (hours - F.lit(473352.0)) + F.length("coin_id"))
+    return seasonal.forecast_seasonal(line, size=f.tick_profile())
+
+
 @query("forecast_summary")
 def _(f):
     hourly = f.hourly()

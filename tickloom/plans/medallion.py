@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,7 @@ def _same_width(spark: SparkSession, out_path: str, width: str) -> None:
 def run_cycle(
     spark: SparkSession, raw_path: str, out_path: str, batch_id: int = 0, width: str = "10 seconds",
     on_corrupt: str = "file", keep_hours: float | None = None, archive: str | None = None,
+    counts: dict[str, int] | None = None,
 ) -> bool:
     """One cycle over the raw files that no earlier cycle has taken. False if there is none.
 
@@ -72,14 +73,20 @@ def run_cycle(
     ``read_gold`` merges them. No silver is read for that but the cycle's own. Each layer is written
     once and read back by the next. The list of files is written last: a cycle that fails is repeated
     with its ``batch_id`` and replaces its own output. ``keep_hours`` then deletes, or moves to
-    ``archive``, raw files older than that.
+    ``archive``, raw files older than that. ``counts`` gets the rows of each layer, which Spark counts
+    while it writes them.
     """
+    seen = {name: Observation(name) for name in ("bronze_rows", "silver_rows", "gold_windows")}
+
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df if counts is None else df.observe(seen[name], F.count(F.lit(1)).alias("n"))
+
     new = [r["path"] for r in unseen_files(spark, raw_path, out_path, batch_id).collect()]
     if not new:
         return False
     _same_width(spark, out_path, width)
     raw = read_raw(spark, raw_path, on_corrupt=on_corrupt, with_arrival=True, files=new)
-    write_layer(normalize_types(raw), f"{out_path}/bronze", "fetched_at", batch_id)
+    write_layer(counted(normalize_types(raw), "bronze_rows"), f"{out_path}/bronze", "fetched_at", batch_id)
     bronze = read_layer(
         spark, f"{out_path}/bronze/{BATCH}={batch_id}", T.StructType(BRONZE.fields + ARRIVAL.fields)
     )
@@ -95,9 +102,11 @@ def run_cycle(
         fresh = fresh.join(
             same_tick, F.col("coin_id").eqNullSafe(F.col("_coin")) & F.col("fetched_at").eqNullSafe(F.col("_at")), "left_anti"
         )
-    write_layer(fresh, f"{out_path}/silver", "fetched_at", batch_id)
+    write_layer(counted(fresh, "silver_rows"), f"{out_path}/silver", "fetched_at", batch_id)
     mine = read_layer(spark, f"{out_path}/silver/{BATCH}={batch_id}", SILVER)
-    gold_store(spark, out_path).write(gold_partials(mine, width), batch_id)
+    gold_store(spark, out_path).write(counted(gold_partials(mine, width), "gold_windows"), batch_id)
+    if counts is not None:
+        counts.update({name: observation.get["n"] for name, observation in seen.items()})
     # Files without a readable record, such as a partly written one, are looked at again.
     taken = bronze.select("arrival_file").distinct()
     taken.coalesce(1).write.mode("overwrite").parquet(f"{out_path}/files/{BATCH}={batch_id}")

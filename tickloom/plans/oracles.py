@@ -245,6 +245,11 @@ _FORECAST_OUT = f"coin_id, CAST(step AS BIGINT) AS step, window_start, {r('predi
 _LINE = _forecast_linear("hourly", "avg_price", "window_start", "window_start")
 _SESSION = "TIMESTAMP '2024-01-30 12:00:00'"
 
+_FRAME = """SELECT coin_id, max(window_start) AS last_at, count(*) AS rows,
+  count(*) FILTER (NOT (coin_id = 'click' AND record_count = 1)) AS known,
+  coalesce(floor(quantile_cont(step_us, 0.5)), 60000000) AS gap FROM (SELECT *,
+  epoch_us(window_start) - lag(epoch_us(window_start)) OVER (PARTITION BY coin_id ORDER BY window_start) AS step_us FROM hourly) GROUP BY coin_id"""
+
 ORACLES: dict[str, str] = {
     "scan_jsonl": sql(f"""SELECT coin_id, {r('TRY_CAST(price_usd AS DOUBLE)', 'price_usd')}, CAST(NULL AS DOUBLE) AS market_cap_usd,
  {rs('volume_24h_usd', 'change_24h_pct')}, CAST(NULL AS TIMESTAMP) AS last_updated, fetched_at FROM dirty"""),
@@ -372,6 +377,17 @@ ORACLES: dict[str, str] = {
     "cycle_incremental": sql(f"SELECT {_GOLD_OUT} FROM gold", gold=_gold("silver", "1 hour")),
     "cycle_widths": sql(f"""SELECT {_GOLD_OUT}, '7 minutes' AS width FROM narrow UNION ALL SELECT {_GOLD_OUT}, '2 days' AS width FROM wide""",
         narrow=_gold("silver", "7 minutes"), wide=_gold("silver", "2 days")),
+    "cycle_log": sql("""SELECT batch_id, 'done' AS status, bronze_rows, silver_rows, gold_windows, CAST(NULL AS VARCHAR) AS error
+  FROM (SELECT part AS batch_id, count(*) AS bronze_rows FROM (SELECT *, %(part)s AS part FROM dirty, span) GROUP BY part)
+  JOIN (SELECT part AS batch_id, count(*) AS silver_rows, count(DISTINCT (coin_id, time_bucket(INTERVAL '1 hour', fetched_at)))
+    FILTER (fetched_at IS NOT NULL) AS gold_windows FROM (SELECT *, %(part)s AS part FROM silver, span) GROUP BY part) USING (batch_id)
+  UNION ALL SELECT 2, 'idle', 0, 0, 0, NULL""" % {"part": "CAST(coalesce((epoch_us(fetched_at) - low) * 2 // (high - low + 1), 0) AS BIGINT)"},
+        span="SELECT epoch_us(min(fetched_at)) AS low, epoch_us(max(fetched_at)) AS high FROM ticks"),
+    "layer_freshness": sql("SELECT min(fetched_at) AS first_ts, max(fetched_at) AS last_ts FROM ticks"),
+    "layer_trailing_range": sql(f"""SELECT coin_id, fetched_at, {r('price_usd')} FROM ticks
+  WHERE fetched_at >= (SELECT max(fetched_at) FROM ticks) - INTERVAL 6 HOUR"""),
+    "layer_sizes": sql("""SELECT 'silver' AS layer, count(*) AS rows, count(DISTINCT CAST(fetched_at AS DATE)) AS dates FROM ticks
+  UNION ALL SELECT 'gold', count(*), count(DISTINCT CAST(window_start AS DATE)) FROM gold""", gold=_gold("ticks", "1 hour")),
     "rules_saved": sql(f"""SELECT id, coin, type, condition, {r('threshold')}, active FROM (SELECT * FROM rules
  UNION ALL SELECT epoch_ms({_SESSION}), 'click', 'price', 'above', 70.5, true)
  WHERE id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')"""),
@@ -384,10 +400,10 @@ ORACLES: dict[str, str] = {
  avg(l_extendedprice / l_quantity) AS x, CAST(l_shipdate AS DATE) AS at FROM lineitem GROUP BY ALL"""),
     "forecast_seasonal_frame": sql("""SELECT coin_id, CAST(step AS BIGINT) AS step, last_at + to_microseconds(CAST(step * gap AS BIGINT)) AS window_start,
  CASE WHEN rows >= 10 AND known = rows THEN 'seasonal' ELSE 'linear' END AS method FROM frame, range(1, 13) AS s(step)""",
-        frame="""SELECT coin_id, max(window_start) AS last_at, count(*) AS rows,
-  count(*) FILTER (NOT (coin_id = 'click' AND record_count = 1)) AS known,
-  coalesce(floor(quantile_cont(step_us, 0.5)), 60000000) AS gap FROM (SELECT *,
-  epoch_us(window_start) - lag(epoch_us(window_start)) OVER (PARTITION BY coin_id ORDER BY window_start) AS step_us FROM hourly) GROUP BY coin_id"""),
+        frame=_FRAME),
+    "forecast_seasonal_line": sql(f"""SELECT coin_id, CAST(step AS BIGINT) AS step, last_at + to_microseconds(CAST(step * gap AS BIGINT)) AS window_start,
+ {r('0.25 * ((epoch_us(last_at) + step * gap) / 3.6e9 - 473352.0) + length(coin_id)', 'predicted_price', digits=4)}, 'seasonal' AS method
+ FROM frame, range(1, 13) AS s(step)""", frame=_FRAME),
     "stream_alerts": sql("SELECT id, coin, type, message FROM fired"),
     "stream_dedup_first": sql(f"SELECT coin_id, fetched_at, {rs('price_usd', 'change_24h_pct', 'volume_24h_usd')}, data_quality_flag FROM silver WHERE fetched_at IS NOT NULL"),
     "stream_indicators": sql(f"SELECT coin_id, ts AS fetched_at, {rs('sma_10', 'sma_20', 'bb_upper', 'bb_lower', 'rsi_14')} FROM panel", **_BY_SEQ),
