@@ -193,7 +193,7 @@ def _(f):
     """Two raw batches; of a tick in both the one written first stays."""
     path, text = scratch_path(f.spark, "raw"), f.raw_text()
     for copies in (0, 1):
-        raw.write_raw(text.where(f"seq % 2 = {copies}").coalesce(1).sortWithinPartitions("seq"), path)
+        raw.write_raw(text.where(f"seq % 2 = {copies}").repartitionByRange(_files(f), "seq").sortWithinPartitions("seq"), path)
     ticks = clean.normalize_types(raw.read_raw(f.spark, path, with_arrival=True))
     return clean.to_silver(ticks, raw.ARRIVAL.fieldNames()).select(
         "coin_id", "fetched_at", "price_usd", "change_24h_pct", "volume_24h_usd", "data_quality_flag"
@@ -613,8 +613,8 @@ def _(f):
 
 # --- streaming --------------------------------------------------------------------------
 
-#: Batches that land one after another, and files of one micro-batch.
-SLICES, FILES = 4, 8
+#: Batches that land one after another, and events that a file of one holds at most, or nearly so.
+SLICES, SLICE_ROWS = 4, 1_000_000
 
 
 def _slices(f: Fixtures, text: DataFrame, n: int) -> list[DataFrame]:
@@ -623,7 +623,13 @@ def _slices(f: Fixtures, text: DataFrame, n: int) -> list[DataFrame]:
     low, high = f.ticks().agg(F.min("fetched_at"), F.max("fetched_at")).first()
     done, span = F.unix_micros(at) - F.unix_micros(F.lit(low)), F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(low)) + 1
     part = F.coalesce(F.floor(done * n / span), F.lit(0))
-    return [text.where(part == i).coalesce(1).sortWithinPartitions("seq") for i in range(n)]
+    files = _files(f)
+    return [text.where(part == i).repartitionByRange(files, "seq").sortWithinPartitions("seq") for i in range(n)]
+
+
+def _files(f: Fixtures) -> int:
+    """Files of a landed slice; a micro-batch takes as many, so neither is one task on a large table."""
+    return max(1, -(-f.ticks().count() // SLICE_ROWS))
 
 
 def _landed(f: Fixtures, text: DataFrame, name: str, copies: bool = False) -> str:
@@ -642,7 +648,7 @@ def _clean_text(f: Fixtures) -> DataFrame:
 
 def _tick_stream(f: Fixtures) -> DataFrame:
     """Clean ticks, landed as JSON lines and read back as a typed stream, a micro-batch for each slice."""
-    return clean.normalize_types(flows.read_raw_stream(f.spark, _landed(f, _clean_text(f), "landing"), RAW_TEXT, 1))
+    return clean.normalize_types(flows.read_raw_stream(f.spark, _landed(f, _clean_text(f), "landing"), RAW_TEXT, _files(f)))
 
 
 def _finish(f: Fixtures, stream: DataFrame, name: str) -> str:
@@ -659,7 +665,7 @@ def _(f):
     for part in _slices(f, _clean_text(f), SLICES):
         for _ in range(2):
             raw.write_raw(part, path)
-    out = _finish(f, flows.silver_stream(flows.read_raw_stream(f.spark, path, files_per_batch=1)), "silver")
+    out = _finish(f, flows.silver_stream(flows.read_raw_stream(f.spark, path, files_per_batch=_files(f))), "silver")
     return layers.read_layer(f.spark, out, SILVER).select(
         "coin_id", "fetched_at", "price_usd", "change_24h_pct", "data_quality_flag"
     )
@@ -675,7 +681,7 @@ def _(f):
     path = _landed(f, f.raw_text(), "landing", copies=True)
 
     def source():
-        return flows.read_raw_stream(f.spark, path, files_per_batch=1)
+        return flows.read_raw_stream(f.spark, path, files_per_batch=_files(f))
 
     dated = _finish(f, flows.silver_stream(source(), SLICE_LATENESS), "silver")
     undated = scratch_path(f.spark, "undated")
@@ -691,7 +697,7 @@ def _(f):
     path = _landed(f, f.raw_text(), "landing", copies=True)
 
     def silver():
-        return flows.silver_stream(flows.read_raw_stream(f.spark, path, files_per_batch=1), SLICE_LATENESS)
+        return flows.silver_stream(flows.read_raw_stream(f.spark, path, files_per_batch=_files(f)), SLICE_LATENESS)
 
     stored = layers.read_layer(f.spark, _finish(f, silver(), "silver"), SILVER)
     final = layers.read_layer(f.spark, _finish(f, flows.gold_stream(silver(), "1 hour"), "gold"), GOLD)
@@ -736,7 +742,7 @@ def _(f):
     path = scratch_path(f.spark, "landing")
     for part in _slices(f, f.raw_text(), 2):
         raw.write_raw(part, path)
-    stream = flows.read_raw_stream(f.spark, path, files_per_batch=FILES, with_arrival=True)
+    stream = flows.read_raw_stream(f.spark, path, files_per_batch=2 * _files(f), with_arrival=True)
     out = _finish(f, flows.silver_stream(stream, SLICE_LATENESS), "silver")
     return layers.read_layer(f.spark, out, SILVER).select(
         "coin_id", "fetched_at", "price_usd", "change_24h_pct", "volume_24h_usd", "data_quality_flag"
