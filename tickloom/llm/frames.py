@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tickloom.session import materialize, scratch_path
 
-__all__ = ["column", "documents", "map_rows", "materialize", "spread", "union_find", "written"]
+__all__ = ["column", "documents", "map_rows", "materialize", "small_enough", "spread", "union_find", "written"]
+
+#: Bytes of a table that may be broadcast.
+BROADCAST = 64 << 20
 
 
 def column(name: str) -> Column:
@@ -36,12 +39,18 @@ def map_rows(docs: DataFrame, rows) -> DataFrame:
     return numbered.mapInArrow(rows, numbered.schema).toDF(*docs.columns)
 
 
+def small_enough(df: DataFrame, row_bytes: int, limit: int = BROADCAST) -> DataFrame:
+    """The table, written, and marked for a broadcast if it has at most that many bytes: its rows are counted."""
+    own = written(df, "small")
+    return F.broadcast(own) if own.count() * row_bytes <= limit else own
+
+
 def spread(spark: SparkSession) -> int:
     """Shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def union_find(links: DataFrame, rounds: int = 60) -> DataFrame:
+def union_find(links: DataFrame) -> DataFrame:
     """Components of an undirected graph given as rows (a, b): rows (node, root), root the smallest node.
 
     Each round points every node at the smallest node that it or a neighbour knows, then at that
@@ -52,7 +61,7 @@ def union_find(links: DataFrame, rounds: int = 60) -> DataFrame:
         links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct()
     )
     state = materialize(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")))
-    for _ in range(rounds):
+    while True:
         offers = (
             edges.join(state.select(F.col("node").alias("a"), "root"), "a")
             .select(F.col("b").alias("node"), "root")
@@ -75,4 +84,3 @@ def union_find(links: DataFrame, rounds: int = 60) -> DataFrame:
         state = new.select("node", "root")
         if not new.where("moved").limit(1).count():
             return state
-    raise RuntimeError("the components did not settle")
