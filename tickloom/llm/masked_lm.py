@@ -8,8 +8,8 @@ branches at each level; a level more is added whenever the codes outgrow the lev
 its own gate on the hidden units and its own biases, so each word has weights of its own.
 
 The vocabulary counts all words of all documents in Spark. Training sees every document once, half
-of them in each of two rounds: every task trains a copy of the weights in numpy on its rows. What a
-task has moved is sent by blocks of weight rows and averaged over the tasks that saw a row, weighted
+of them in each of two rounds: on every core a task trains a copy of the weights in numpy on its rows.
+What a task has moved is sent by blocks of weight rows and averaged over the tasks that saw a row, weighted
 by how often they did; the driver gets each block's mean once. A document's score is the sum of its
 words' conditional log-probabilities.
 """
@@ -99,25 +99,43 @@ def unpack_weights(raw: bytes) -> dict[str, np.ndarray]:
     return out
 
 
-def encode(words: Words, frequent: np.ndarray, ranked: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-    """Code of each word; ``frequent`` has the word hashes in the order of their codes, ``ranked``
-    the same sorted with their places."""
+def encode(words: Words, frequent: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+    """Code of each word; ``frequent`` has the word hashes in the order of their codes, ``places``
+    what ``slot_table`` makes of it."""
     hashes = words.hashes()
     last = words.data[np.maximum(words.end - 1, 0)].astype(np.int64)
     before = words.data[np.maximum(words.end - 2, 0)].astype(np.int64) * (words.end - words.start > 1)
     codes = n_codes(frequent) - SHARED + (last * 31 + before * 7) % SHARED
     if len(frequent):
-        kinds, order = ranked or rank(frequent)
-        some, back = np.unique(hashes, return_inverse=True)
-        at = np.minimum(np.searchsorted(kinds, some), len(kinds) - 1)
-        own = np.where(kinds[at] == some, order[at], -1)[back]
+        own = find(hashes, frequent, slot_table(frequent) if places is None else places)
         codes = np.where(own < 0, codes, own)
     return codes
 
 
-def rank(frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(frequent)
-    return frequent[order], order
+def slot_table(frequent: np.ndarray) -> np.ndarray:
+    """A table of codes by the low bits of the hashes, four times as large; -1 where it is free. A code
+    whose slot is taken is in the next free one."""
+    size = 1 << max(4, int(4 * len(frequent)).bit_length())
+    table, codes = np.full(size, -1, np.int32), np.arange(len(frequent), dtype=np.int32)
+    slots = (frequent & np.uint64(size - 1)).astype(np.int64)
+    while len(codes):
+        free = table[slots] < 0
+        table[slots[free]] = codes[free]
+        rest = table[slots] != codes
+        codes, slots = codes[rest], (slots[rest] + 1) % size
+    return table
+
+
+def find(hashes: np.ndarray, frequent: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Code of each hash, -1 for one that has none."""
+    slots = (hashes & np.uint64(len(table) - 1)).astype(np.int64)
+    out = np.take(table, slots)
+    wrong = np.flatnonzero((out >= 0) & (np.take(frequent, out) != hashes))
+    while len(wrong):
+        slots[wrong] = (slots[wrong] + 1) % len(table)
+        out[wrong] = table[slots[wrong]]
+        wrong = wrong[(out[wrong] >= 0) & (frequent[out[wrong]] != hashes[wrong])]
+    return out
 
 
 def contexts(codes: np.ndarray, first: np.ndarray, outside: int = CODES) -> np.ndarray:
@@ -125,7 +143,7 @@ def contexts(codes: np.ndarray, first: np.ndarray, outside: int = CODES) -> np.n
     codes) outside its text."""
     n, size = len(codes), np.diff(first)
     begin, end = np.repeat(first[:-1], size), np.repeat(first[1:], size)
-    out = np.full((len(_OFFSETS), n), outside, np.int64)
+    out = np.full((len(_OFFSETS), n), outside, codes.dtype)
     where = np.arange(n)
     for row, offset in zip(out, _OFFSETS, strict=True):
         at = where + offset
@@ -134,42 +152,63 @@ def contexts(codes: np.ndarray, first: np.ndarray, outside: int = CODES) -> np.n
     return out
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+@dataclass
+class Level:
+    """A level of the codes of a batch that is sorted by code: equal nodes stand together at each level."""
+
+    nodes: np.ndarray
+    first: np.ndarray
+    times: np.ndarray
+    branch: np.ndarray
+
+    def spread(self, table: np.ndarray) -> np.ndarray:
+        """The nodes' rows of a table, as a column for each word."""
+        return np.repeat(np.take(table, self.nodes, axis=0).T, self.times, axis=1)
 
 
-def _paths(codes: np.ndarray, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Node and branch of each code at each level, from the top."""
-    left = [CLASSES**k for k in range(_depth(size) - 1, -1, -1)]
-    return [(codes // (n * CLASSES), codes // n % CLASSES) for n in left]
+def _ascending(values: np.ndarray, below: int) -> np.ndarray:
+    """Places of the values in ascending order; small numbers are sorted by their digits."""
+    return np.argsort(values.astype(np.uint16), kind="stable") if below <= 1 << 16 else np.argsort(values)
+
+
+def _levels(codes: np.ndarray, size: int) -> list[Level]:
+    """From the top; ``codes`` ascend."""
+    out = []
+    for k in range(_depth(size) - 1, -1, -1):
+        node = codes // CLASSES ** (k + 1)
+        first = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+        out.append(Level(node[first], first, np.diff(np.append(first, len(codes))), codes // CLASSES**k % CLASSES))
+    return out
 
 
-def forward(weights: dict[str, np.ndarray], around: np.ndarray, paths: list[tuple[np.ndarray, np.ndarray]]):
-    """Hidden units, and for each level what its node makes of them and the log-probabilities of its branches."""
-    hidden = weights["bias"] + weights["embed"][0][around[0]]
+def forward(weights: dict[str, np.ndarray], around: np.ndarray, levels: list[Level]):
+    """Hidden units, and for each level what its nodes make of them and the weights of its branches
+    before normalising; a column for each word, so that sums over branches run along words."""
+    hidden = np.take(weights["embed"][0], around[0], axis=0)
     for table, row in zip(weights["embed"][1:], around[1:], strict=True):
-        hidden += table[row]
-    np.tanh(hidden, out=hidden)
-    levels = [(hidden, _log_softmax(hidden @ weights["class"] + weights["class_bias"]))]
-    for level, (node, _) in enumerate(paths[1:], 1):
-        name = _level(level)
-        given = hidden * weights[f"gate{name}"][node]
-        given += weights[f"given{name}"][node]
-        logits = given @ weights[f"member{name}"]
-        logits += weights[f"member_bias{name}"][node]
-        levels.append((given, _log_softmax(logits)))
-    return hidden, levels
+        hidden += np.take(table, row, axis=0)
+    hidden = np.tanh(hidden.T + weights["bias"][:, None])
+    yield hidden, weights["class"].T @ hidden + weights["class_bias"][:, None]
+    for number, level in enumerate(levels[1:], 1):
+        name = _level(number)
+        given = hidden * level.spread(weights[f"gate{name}"])
+        given += level.spread(weights[f"given{name}"])
+        logits = weights[f"member{name}"].T @ given
+        logits += level.spread(weights[f"member_bias{name}"])
+        yield given, logits
 
 
 def log_probabilities(weights: dict[str, np.ndarray], around: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Conditional log-probability of each word, given the words around it."""
     out, size = np.empty(len(codes), np.float64), weights["embed"].shape[1] - 1
-    for a in range(0, len(codes), 1 << 13):
-        paths = _paths(codes[a : a + (1 << 13)], size)
-        _, levels = forward(weights, around[:, a : a + (1 << 13)], paths)
-        row = np.arange(len(paths[0][0]))
-        out[a : a + len(row)] = sum(each[row, branch].astype(np.float64) for (_, each), (_, branch) in zip(levels, paths, strict=True))
+    for a in range(0, len(codes), BATCH):
+        order = np.argsort(codes[a : a + BATCH]) + a
+        levels, total, row = _levels(codes[order], size), 0.0, np.arange(len(order))
+        for (_, logits), level in zip(forward(weights, around[:, order], levels), levels, strict=True):
+            logits -= logits.max(0)
+            total = total + logits[level.branch, row].astype(np.float64)
+            total -= np.log(np.exp(logits, out=logits).sum(0))
+        out[order] = total
     return out
 
 
@@ -183,13 +222,19 @@ class Slope:
     uses: np.ndarray
 
     @classmethod
-    def of(cls, shape: tuple[int, ...], at: np.ndarray, each: np.ndarray, source: np.ndarray | None = None) -> Slope:
-        """Sums of ``each`` (its rows ``source``, if given) by the table rows ``at``."""
-        order = np.argsort(at)
-        ranked = at[order]
-        first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        rows = np.add.reduceat(each[order if source is None else source[order]], first, axis=0)
-        return cls(shape, ranked[first], rows, np.diff(np.append(first, len(at))))
+    def of(cls, shape: tuple[int, ...], at: np.ndarray, each: np.ndarray) -> Slope:
+        """Sums of the columns of ``each`` by the table rows ``at``: a row of ``at`` for each table."""
+        flat = at.ravel()
+        order = _ascending(flat, math.prod(shape[:-1]))
+        ranked = flat[order]
+        fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+        place = np.empty(len(flat), np.int64)
+        place[order] = np.cumsum(fresh) - 1
+        first = np.flatnonzero(fresh)
+        rows = np.empty((len(first), len(each)), np.float32)
+        for i, own in enumerate(np.tile(each.astype(np.float64), len(at))):
+            rows[:, i] = np.bincount(place, own, len(first))
+        return cls(shape, ranked[first], rows, np.diff(np.append(first, len(flat))))
 
     @classmethod
     def whole(cls, table: np.ndarray, uses: int) -> Slope:
@@ -213,39 +258,41 @@ class Trainer:
     def step(self, around: np.ndarray, codes: np.ndarray) -> None:
         w, n = self.weights, len(codes)
         size = w["embed"].shape[1] - 1
-        paths = _paths(codes, size)
-        hidden, levels = forward(w, around, paths)
-        row, slopes, d_hidden = np.arange(n), {}, 0
-        for level, ((node, branch), (given, each)) in enumerate(zip(paths, levels, strict=True)):
-            d_branch = np.exp(each)
-            d_branch[row, branch] -= 1
-            d_branch /= n
-            if level == 0:
-                d_hidden = d_branch @ w["class"].T
-                slopes |= {"class": Slope.whole(hidden.T @ d_branch, n), "class_bias": Slope.whole(d_branch.sum(0), n)}
+        # One sort: the nodes of every level are then runs of words.
+        order = _ascending(codes, size)
+        around, levels = around[:, order], _levels(codes[order], size)
+        row, slopes = np.arange(n), {}
+        for number, ((given, branches), level) in enumerate(zip(forward(w, around, levels), levels, strict=True)):
+            branches -= branches.max(0)
+            np.exp(branches, out=branches)
+            branches /= branches.sum(0) * np.float32(n)
+            branches[level.branch, row] -= np.float32(1 / n)
+            if number == 0:
+                hidden = given
+                d_hidden = w["class"] @ branches
+                slopes |= {"class": Slope.whole(hidden @ branches.T, n), "class_bias": Slope.whole(branches.sum(1), n)}
                 continue
-            name = _level(level)
-            d_given = d_branch @ w[f"member{name}"].T
-            # One sort for the three tables that a node has a row of.
-            own = Slope.of((0, 0), node, np.concatenate([d_given, d_given * hidden, d_branch], 1))
-            for key, part in (("given", slice(0, WIDTH)), ("gate", slice(WIDTH, 2 * WIDTH)), ("member_bias", slice(2 * WIDTH, None))):
-                slopes[key + name] = Slope(w[key + name].shape, own.at, own.rows[:, part], own.uses)
-            slopes[f"member{name}"] = Slope.whole(given.T @ d_branch, n)
-            d_given *= w[f"gate{name}"][node]
+            name = _level(number)
+            d_given = w[f"member{name}"] @ branches
+            for key, each in (("given", d_given), ("gate", d_given * hidden), ("member_bias", branches)):
+                slopes[key + name] = Slope(w[key + name].shape, level.nodes, np.add.reduceat(each, level.first, axis=1).T, level.times)
+            slopes[f"member{name}"] = Slope.whole(given @ branches.T, n)
+            d_given *= level.spread(w[f"gate{name}"])
             d_hidden += d_given
-        d_sum = d_hidden * (1 - hidden * hidden)
-        slopes["bias"] = Slope.whole(d_sum.sum(0), n)
-        at = (around + np.arange(len(_OFFSETS))[:, None] * (size + 1)).ravel()
-        slopes["embed"] = Slope.of(w["embed"].shape, at, d_sum, np.tile(row, len(_OFFSETS)))
+        d_hidden *= 1 - hidden * hidden
+        slopes["bias"] = Slope.whole(d_hidden.sum(1), n)
+        slopes["embed"] = Slope.of(w["embed"].shape, around + np.arange(len(_OFFSETS))[:, None] * (size + 1), d_hidden)
         self._move(slopes)
 
     def _move(self, slopes: dict[str, Slope]) -> None:
         for k, slope in slopes.items():
             width, rows = slope.shape[-1], slope.rows.astype(np.float32, copy=False)
-            squares = self.squares[k].reshape(-1, width)
-            total = squares[slope.at] + rows * rows
+            squares, table = self.squares[k].reshape(-1, width), self.weights[k].reshape(-1, width)
+            total = np.take(squares, slope.at, axis=0)
+            total += rows * rows
             squares[slope.at] = total
-            self.weights[k].reshape(-1, width)[slope.at] -= RATE * rows / np.sqrt(total + np.float32(1e-6))
+            np.sqrt(total + np.float32(1e-6), out=total)
+            table[slope.at] = np.take(table, slope.at, axis=0) - np.float32(RATE) * rows / total
             self.uses[k][slope.at] += slope.uses
 
 
@@ -309,14 +356,14 @@ def vocabulary(docs: DataFrame) -> np.ndarray:
 def _train(shared):
     def rows(batches: Iterable[pa.RecordBatch]):
         frequent, raw = shared.value
-        start, ranked, size_of = unpack_weights(raw), rank(frequent), n_codes(frequent)
+        start, places, size_of = unpack_weights(raw), slot_table(frequent), n_codes(frequent)
         trainer = None
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for batch in slices(batches):
             trainer = trainer or Trainer({k: v.copy() for k, v in start.items()})
             words = Words.of(batch.column(1))
-            codes = encode(words, frequent, ranked)
+            codes = encode(words, frequent, places)
             held.append((contexts(codes, words.first, size_of), codes))
             size += len(codes)
             if size < BATCH:
@@ -376,7 +423,9 @@ def train(docs: DataFrame) -> tuple[np.ndarray, bytes]:
     names, widths = list(weights), [v.shape[-1] for v in weights.values()]
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast((frequent, pack_weights(weights)))
-        own = documents(docs).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn).mapInArrow(
+        # One copy for each core: the moves that are sent are as many as the copies.
+        part = documents(docs).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn).coalesce(spark.sparkContext.defaultParallelism)
+        own = part.mapInArrow(
             _train(shared), "place int, block int, at binary, uses binary, moved binary")
         mean = own.groupBy("place", "block").applyInArrow(_average(widths), "place int, block int, at binary, moved binary")
         for r in written(mean, "moves").toLocalIterator():
@@ -401,10 +450,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, bytes] | None = None) -> Dat
 
     def rows(batches: Iterable[pa.RecordBatch]):
         frequent, raw = shared.value
-        weights, ranked = unpack_weights(raw), rank(frequent)
+        weights, places = unpack_weights(raw), slot_table(frequent)
         for batch in slices(batches):
             words = Words.of(batch.column(1))
-            codes = encode(words, frequent, ranked)
+            codes = encode(words, frequent, places)
             each = log_probabilities(weights, contexts(codes, words.first, n_codes(frequent)), codes)
             total = np.diff(np.concatenate(([0.0], np.cumsum(each)))[words.first])
             count = words.count
