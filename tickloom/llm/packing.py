@@ -133,17 +133,20 @@ class Encoder:
     between spaces are encoded once each and remembered, and joining their ids gives the ids of the
     text; a text with other white space before a space is encoded whole. A byte-level BPE whose
     merges are in the order of their ids is run through its ranks, which gives the same ids faster
-    for short strings; any other vocabulary by its own tokenizer.
+    for short strings; any other vocabulary, and a text that has the string of an added token in it, by
+    its own tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             about = json.load(file)
-        self.encode_one = _ranked(about) or (lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
+        self.encode_whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        self.encode_one = _ranked(about) or self.encode_whole
+        #: Strings that the tokenizer takes for tokens of their own, wherever they stand.
+        self.added = [t["content"] for t in about.get("added_tokens", ()) if t["content"]]
         self.kind = np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.code = "H" if self.kind == np.uint16 else "I"
         byte_level = (about.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not about.get("normalizer")
@@ -151,6 +154,8 @@ class Encoder:
         self.split = byte_level
 
     def encode(self, text: str) -> bytes:
+        if any(string in text for string in self.added):
+            return array(self.code, self.encode_whole(text)).tobytes()
         if self.split:
             if len(self.rest) + len(self.first) > REMEMBER:
                 self.rest.clear()
