@@ -6,8 +6,10 @@ automaton: walk while there is a transition, begin a new phrase where there is n
 that needs the fewest phrases for each character wins.
 
 Texts are folded to lower-case letters and single spaces. In the tasks all texts of a chunk are
-walked at once: texts are cut every ``SEGMENT`` bytes, where a phrase ends in any case, and one numpy
-step moves every segment by one byte.
+walked at once, cut every ``SEGMENT`` bytes: one numpy step moves every segment by one byte. The cuts
+end no phrase. A segment is walked again from the state that the one before it ended in, until every
+segment has begun where its predecessor ended; parses that begin apart soon meet, so this is done
+after few rounds.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from tickloom.llm.text import slices, utf8
 
 #: The bounded labelled sample: rows of each language, characters of each row, bytes of each automaton.
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_BYTES = 100, 4096, 24_000
+#: Bytes of a text that are walked as one.
 SEGMENT = 128
 NONE = "und"
 
@@ -80,24 +83,42 @@ class Automaton:
                 self.table[state * width + c] = target * width
         self.root = self.table[:width].copy()
 
-    def phrases(self, steps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Phrases of each segment; ``steps[i]`` has byte i of all segments, longest segments first."""
-        state = self.root[steps[0]] if len(steps) else np.zeros(0, np.int32)
-        count = np.ones(len(lengths), np.int32)
+    def walk(self, steps: np.ndarray, lengths: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that begin in each segment, and the state it ends in; ``steps[i]`` has byte i of all
+        segments, longest segments first, ``state`` what each begins in (0: a new phrase)."""
+        count, state = np.zeros(len(lengths), np.int32), state.copy()
         active = np.searchsorted(-lengths, -np.arange(1, len(steps) + 1), "right")
-        for i in range(1, len(steps)):
+        for i in range(len(steps)):
             n = active[i]
+            if not n:
+                break
             c = steps[i, :n]
             to = self.table[state[:n] + c]
             stuck = to == 0
             # At the root again only after a byte that no match can have: the next one begins a phrase.
             count[:n] += stuck | (state[:n] == 0)
             state[:n] = np.where(stuck, self.root[c], to)
-        return count
-
-
-def segments(data: np.ndarray, at: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes by step and segment, segment lengths (longest first) and each segment's text."""
+        return count, state
+
+    def phrases(self, steps: np.ndarray, lengths: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Phrases of each segment, of one parse over each whole text. ``after`` is the segment that
+        follows each one in its text, -1 at the end."""
+        start = np.zeros(len(lengths), np.int32)
+        count, end = self.walk(steps, lengths, start)
+        follows = np.flatnonzero(after >= 0)
+        while True:
+            begin = start.copy()
+            begin[after[follows]] = end[follows]
+            again = np.flatnonzero(begin != start)
+            if not len(again):
+                return count
+            start = begin
+            count[again], end[again] = self.walk(steps[:, again], lengths[again], start[again])
+
+
+def segments(data: np.ndarray, at: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Codes by step and segment, segment lengths (longest first), each segment's text, and the segment
+    that follows it there (-1: none)."""
     size = np.diff(at)
     parts = -(-size // SEGMENT)
     text = np.repeat(np.arange(len(size)), parts)
@@ -105,9 +126,13 @@ def segments(data: np.ndarray, at: np.ndarray, codes: np.ndarray) -> tuple[np.nd
     start = at[text] + nth * SEGMENT
     length = np.minimum(at[text + 1] - start, SEGMENT)
     order = np.argsort(-length, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    last = nth + 1 == parts[text]
+    after = np.where(last, -1, np.append(place[1:], -1) if len(place) else place)[order]
     start, length, text = start[order], length[order], text[order]
     padded = np.concatenate((codes[data], np.zeros(SEGMENT, codes.dtype)))
-    return padded[np.arange(SEGMENT)[:, None] + start[None, :]], length, text
+    return padded[np.arange(SEGMENT)[:, None] + start[None, :]], length, text, after
 
 
 class Models:
@@ -134,8 +159,8 @@ class Models:
             letters[i] = any(c.isalpha() for c in texts[int(i)].as_py())
         if not self.names:
             return [NONE] * n, np.zeros(n)
-        steps, length, owner = segments(*fold(data, at), self.codes)
-        needed = np.stack([np.bincount(owner, a.phrases(steps, length), minlength=n) for a in self.automata])
+        steps, length, owner, after = segments(*fold(data, at), self.codes)
+        needed = np.stack([np.bincount(owner, a.phrases(steps, length, after), minlength=n) for a in self.automata])
         best = needed.argmin(0)
         ordered = np.sort(needed, 0)
         second = ordered[1] if len(needed) > 1 else np.maximum(ordered[0], 1) * 2
