@@ -24,11 +24,12 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.frames import column
+from tickloom.llm.frames import column, written
 from tickloom.session import scratch_path
 
-#: Rules that one memory-mapped array takes; about 100 bytes each.
-MAX_RULES = 1_000_000
+#: Entries of one memory-mapped array, about 100 bytes each; a longer list is dealt out by its hosts
+#: and probed part by part.
+ENTRIES = 1_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -113,6 +114,7 @@ class _Judge:
             yield self.judge(batch, hosts, rules)
 
     def judge(self, batch: pa.RecordBatch, hosts: DigestArray, rules: DigestArray) -> pa.RecordBatch:
+        """The best entry of each row, of these entries and what the row already has."""
         names, paths = batch.column(1).to_pylist(), [p.encode() for p in batch.column(2).to_pylist()]
         labels = {}
         for name in set(names):
@@ -128,10 +130,12 @@ class _Judge:
                         rows.append(i)
                         probes.append(tail + path[:length])
         best: dict[int, tuple] = {}
+        for i, (rule, verdict, listed) in enumerate(zip(*(batch.column(c).to_pylist() for c in (3, 4, 5)), strict=True)):
+            if rule is not None or listed is not None:
+                best[i] = _rank(rule if rule is not None else listed, "list" if rule is None else "rule", verdict)
         for i, text, p in zip(rows, probes, rules.find(probes), strict=True):
             if p >= 0:
-                source, verdict = self.names[rules.codes[p]]
-                rank = (source == "rule", len(text.decode()), text.index(b"/"), text.decode(), verdict, source)
+                rank = _rank(text.decode(), *self.names[rules.codes[p]])
                 best[i] = max(best.get(i, rank), rank)
         hits = [best.get(i) for i in range(len(names))]
         return pa.record_batch([
@@ -142,35 +146,61 @@ class _Judge:
         ], ["id", "host", "path", "rule", "verdict", "listed"])
 
 
-def judge_urls(
-    pages: DataFrame, rules: dict[str, str], listed: Iterable[str] = (), *,
-    id_col: str = "page_id", url_col: str = "url", default: str = "allow",
-) -> DataFrame:
-    """Judge every url: (id, host, path, rule, verdict, listed).
+def _rank(text: str, source: str, verdict: str) -> tuple:
+    """Rules go before the list, then the longer entry, then the one with the longer host."""
+    return source == "rule", len(text), len(text.encode().partition(b"/")[0]), text, verdict, source
 
-    ``rules`` maps ``host/path`` to ``allow`` or ``block``. ``listed`` has host/path strings that are
-    blocked where no rule fits. A url that neither fits gets ``default``; so does a null url, a url
-    without ``://`` and an empty host. ``rule`` and ``listed`` name the deciding entry, else null.
-    Repeated rows stay, each judged alone; other columns of ``pages`` are left behind.
-    """
-    entries = {**{text: ("list", "block") for text in listed}, **{text: ("rule", v) for text, v in rules.items()}}
-    if len(entries) > MAX_RULES:
-        raise ValueError(f"{len(entries)} rules: one array takes {MAX_RULES}; split the list and judge once for each part")
+
+def _arrays(spark: SparkSession, entries: dict[str, tuple[str, str]], default: str) -> _Judge:
+    """The entries {host/path: (source, verdict)} as files that every executor maps."""
     lengths: dict[str, set[int]] = defaultdict(set)
     for text in entries:
         host, path = _split(text)
         lengths[host].add(len(path.encode()))
     kinds, names = sorted({tuple(sorted(x)) for x in lengths.values()}), sorted(set(entries.values()))
-    spark, place = pages.sparkSession, {k: i for i, k in enumerate(kinds)}
-    files = [
+    place = {k: i for i, k in enumerate(kinds)}
+    return _Judge(
         _ship(spark, "hosts", DigestArray.build({h.encode(): place[tuple(sorted(x))] for h, x in lengths.items()})),
-        _ship(spark, "rules", DigestArray.build({t.encode(): names.index(x) for t, x in entries.items()})),
-    ]
-    parts = pages.select(
-        column(id_col).alias("id"), url_host(column(url_col)).alias("host"), url_path(column(url_col)).alias("path")
+        _ship(spark, "rules", DigestArray.build({t.encode(): names.index(x) for t, x in entries.items()})), kinds, names, default,
     )
-    kind = parts.schema["id"].dataType.simpleString()
-    out = parts.mapInArrow(
-        _Judge(*files, kinds, names, default), f"id {kind}, host string, path string, rule string, verdict string, listed string"
+
+
+def _parts(listed: Iterable[str] | DataFrame, entries: int) -> Iterable[list[str]]:
+    """The list in parts of about so many entries; a table's parts are read one after another."""
+    if not isinstance(listed, DataFrame):
+        rest = list(dict.fromkeys(listed))
+        yield from (rest[i : i + entries] for i in range(0, len(rest), entries))
+        return
+    own = written(listed.select(column("entry").cast("string").alias("entry")).where("entry is not null").distinct(), "listed")
+    n = -(-own.count() // entries)
+    for part in range(n):
+        yield [r["entry"] for r in own.where(F.pmod(F.xxhash64("entry"), F.lit(n)) == part).toLocalIterator()]
+
+
+def judge_urls(
+    pages: DataFrame, rules: dict[str, str], listed: Iterable[str] | DataFrame = (), *,
+    id_col: str = "page_id", url_col: str = "url", default: str = "allow", entries: int = ENTRIES,
+) -> DataFrame:
+    """Judge every url: (id, host, path, rule, verdict, listed).
+
+    ``rules`` maps ``host/path`` to ``allow`` or ``block``. ``listed`` has host/path strings that are
+    blocked where no rule fits, as strings or as a table with a column ``entry`` (null ones and repeated
+    ones don't count). A url that neither fits gets ``default``; so does a null url, a url without
+    ``://`` and an empty host. ``rule`` and ``listed`` name the deciding entry, else null. Repeated rows
+    and null ids stay, each row judged alone; other columns of ``pages`` are left behind. A list of more
+    than ``entries`` is probed in parts, in one pass over the rows: each part keeps the best entry yet.
+    """
+    spark = pages.sparkSession
+    parts = pages.select(
+        column(id_col).alias("id"), url_host(column(url_col)).alias("host"), url_path(column(url_col)).alias("path"),
+        F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"), F.lit(None).cast("string").alias("listed"),
     )
-    return out.withColumnRenamed("id", id_col)
+    schema = f"id {parts.schema['id'].dataType.simpleString()}, host string, path string, rule string, verdict string, listed string"
+    own: dict[str, tuple[str, str]] = {text: ("rule", v) for text, v in rules.items()}
+    judged = False
+    for some in _parts(listed, entries):
+        known = {text: ("list", "block") for text in some} | own
+        parts, judged = parts.mapInArrow(_arrays(spark, known, default), schema), True
+    if not judged:
+        parts = parts.mapInArrow(_arrays(spark, own, default), schema)
+    return parts.withColumnRenamed("id", id_col)
