@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import os
 import random
 import re
@@ -80,6 +81,25 @@ def test_urls(spark):
     assert url_filter.judge_urls(frame.limit(0), RULES).collect() == []
 
 
+@pytest.mark.parametrize("entries", [4, 1000])
+def test_lists_may_be_tables_and_long(spark, entries):
+    """A list in parts gives what it gives in one, and is whatever the rows' ids are."""
+    long = "http://free-bets.example.com/" + "x" * 300_000
+    urls = [(1, "http://a.cheap-pills.example.com/x"), (1, "http://a.cheap-pills.example.com/x"), (None, "http://www.spam-farm.example.org/q?"), (None, None),
+            (2, long), (3, "http://sub.deep.org/a/b/c"), (4, "http://example.com/de/x"), (5, "http://free-bets.example.net/en/1")]
+    frame = spark.createDataFrame(urls, "page_id long, url string")
+    listed = [*LISTED, "deep.org/", "sub.deep.org/a/", "deep.org/a/b/", "org/a/b/c", None, "deep.org/"]
+    table = spark.createDataFrame([(x, 1) for x in listed], "entry string, host int")
+    got = url_filter.judge_urls(frame, RULES, table, entries=entries).collect()
+    want = url_filter.judge_urls(frame, RULES, [x for x in listed if x]).collect()
+    key = lambda r: (repr(r["page_id"]), r["host"], r["path"])
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, want), key=repr) and len(got) == len(urls)
+    by_id = {key(r): r for r in got}
+    assert by_id["3", "sub.deep.org", "/a/b/c"]["listed"] == "sub.deep.org/a/"
+    assert by_id["2", "free-bets.example.com", "/" + "x" * 300_000]["verdict"] == "block"
+    assert by_id["5", "free-bets.example.net", "/en/1"]["rule"] == "example.net/en/"
+
+
 def test_digest_collisions_are_confirmed(tmp_path):
     path, same = tmp_path / "d", lambda text: 7
     path.write_bytes(url_filter.DigestArray.build({b"a/": 1, b"b/": 2}, same))
@@ -112,10 +132,10 @@ def brute_classes(rows):
     return {(rows[i][0], rows[root[i]][0], len(links[i])) for i in range(len(rows))}
 
 
-@pytest.mark.parametrize("leaf", [1024, 4])
-def test_near_duplicates(docs, monkeypatch, leaf):
+@pytest.mark.parametrize(("leaf", "clique"), [(1024, 64), (4, 3), (1024, 3)])
+def test_near_duplicates(docs, monkeypatch, leaf, clique):
     monkeypatch.setattr(chosen_path, "LEAF", leaf)
-    monkeypatch.setattr(chosen_path, "TILE", 3)
+    monkeypatch.setattr(chosen_path, "CLIQUE", clique)
     assert {tuple(r) for r in chosen_path.near_duplicates(docs).collect()} == brute_classes(ROWS)
 
 
@@ -124,18 +144,70 @@ def test_keep_one(docs):
     assert kept == {c for _, c, _ in brute_classes(ROWS)}
 
 
+def test_keep_one_judges_rows(spark):
+    """Rows that share an id, or have none, are judged one by one."""
+    rng = random.Random(6)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a, 1), (1, b, 2), (2, a, 3), (None, b, 4), (None, c, 5), (None, c, 6), (3, None, 7), (None, "", 8), (4, c + " more", 9), (5, a, 10), (5, a, 11)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _id int").repartition(3)
+    kept = sorted(r["_id"] for r in chosen_path.keep_one(frame).collect())
+    assert kept == [1, 2, 7, 8, 9]
+    twice = spark.createDataFrame([(5, a, 10), (5, a, 11), (None, a, 12)], "doc_id long, text string, _id int")
+    assert len(chosen_path.keep_one(twice).collect()) == 1
+
+
+def test_near_copies_are_counted_not_listed(spark):
+    """Leaf rows grow with a group of near copies, not with its square, and no link is lost."""
+    base, size = prose(random.Random(2), 300).split(" "), {}
+    for n in (300, 600, 1200):
+        rows = [(i, " ".join([*base[: i % 300], f"new{i}", *base[i % 300 + 1 :]])) for i in range(n)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+        whole, reps, _ = chosen_path.represent(frame, 5)
+        size[n] = chosen_path.leaves(whole, reps, 5, 0.8, 0.999)[0].count()
+        if n == 600:
+            assert {tuple(r) for r in chosen_path.near_duplicates(frame).collect()} == {(i, 0, n - 1) for i in range(n)}
+    assert size[1200] <= 1200 + 4 * max(size[300], 300)
+
+
+def test_wide_groups_are_compared_whole(spark, monkeypatch):
+    """Copies with many changes: some within reach of a centre, some linked to a few others only."""
+    monkeypatch.setattr(chosen_path, "LEAF", 8)
+    monkeypatch.setattr(chosen_path, "CLIQUE", 6)
+    rng = random.Random(12)
+    base = prose(rng, 120).split(" ")
+    rows = []
+    for i in range(70):
+        own = list(base)
+        for at in rng.sample(range(120), rng.choice((0, 1, 1, 2, 3, 4, 5, 8))):
+            own[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {tuple(r) for r in chosen_path.near_duplicates(frame).collect()} == brute_classes(rows)
+
+
+def test_large_leaves_are_compared_in_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30))).astype(np.uint64) for _ in range(40)]
+    cliques = rng.integers(0, 30, 40)
+    whole = [sorted(x) for x in chosen_path.linked(sets, cliques, 0.5)]
+    monkeypatch.setattr(chosen_path, "SHINGLES", 60)
+    assert [sorted(x) for x in chosen_path.linked(sets, cliques, 0.5)] == whole and any(whole)
+
+
 def test_recall_after_all_splits(spark, monkeypatch):
-    """Pairs at similarity 0.8 that are split as often as can be still meet."""
+    """Pairs at similarity 0.8 that are split as often as can be still meet, with enough equal coordinates."""
     monkeypatch.setattr(chosen_path, "LEAF", 1)
+    monkeypatch.setattr(chosen_path, "CLIQUE", 10**9)
     rng, n = np.random.default_rng(8), 6000
     left = rng.integers(0, 1 << 31, (n, chosen_path.SKETCH))
     right = np.where(rng.random(left.shape) < 0.8, left, rng.integers(0, 1 << 31, left.shape))
-    rows = [(b"%05d%d" % (i, side), 9, s.tolist()) for side, sketches in enumerate((left, right)) for i, s in enumerate(sketches)]
-    reps = spark.createDataFrame(rows, "key binary, size long, sketch array<int>").repartition(8).cache()
+    rows = [(2 * i + side, s.astype("<u4").tobytes()) for side, sketches in enumerate((left, right)) for i, s in enumerate(sketches)]
+    reps = spark.createDataFrame(rows, "id long, sketch binary").repartition(8).cache()
     met = defaultdict(set)
-    for r in chosen_path.leaves(reps, 0.8, 0.999).collect():
-        met[r["leaf"]].add(bytes(r["key"]))
-    found = {k[:5] for keys in met.values() for k in keys if len({x for x in keys if x[:5] == k[:5]}) == 2}
+    for r in chosen_path.leaves(reps, reps, 5, 0.8, 0.999)[0].collect():
+        met[r["leaf"]].add(r["id"])
+    enough = (left == right).sum(1) >= chosen_path.least_equal(0.8)
+    found = {i // 2 for ids in met.values() for i in ids if i % 2 == 0 and i + 1 in ids and enough[i // 2]}
     assert n - len(found) <= 2 * 0.001 * n
 
 
@@ -145,26 +217,49 @@ def test_runs_reach_the_recall():
 
 # --- 3 decontamination
 
-@pytest.mark.parametrize("bytes_", [1 << 20, 0])
+def brute_contained(rows, items):
+    want = {}
+    for doc, text in rows:
+        for item, q in items:
+            n = min(5, len(words(q)))
+            s, w = shingles(q), words(text)
+            shared = len(s & {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}) if n else 0
+            if n and shared >= 0.8 * len(s) - 1e-9:
+                want[doc, item] = max(want.get((doc, item), (0, 0, 0)), (shared / len(s), shared, len(s)))
+    return {(*k, shared, size, share) for k, (share, shared, size) in want.items()}
+
+
+@pytest.mark.parametrize("bytes_", [1 << 20, 3000, 0])
 def test_contained_items(spark, docs, bytes_):
     rng = random.Random(5)
     items = [(i, " ".join(words(ROWS[i][1])[3 : 3 + rng.randint(12, 90)])) for i in range(20)]
     items += [(20, prose(rng, 40)), (21, "one two"), (22, None), (23, ""), (24, items[0][1]), (None, items[1][1])]
     half = words(ROWS[30][1])[:20] + words(prose(rng, 20))
     items.append((25, " ".join(half)))
-    want = set()
-    for doc, text in ROWS:
-        for item, q in items:
-            s = shingles(q) if len(words(q)) >= 5 else set()
-            shared = len(s & shingles(text)) if s else 0
-            if s and shared >= 0.8 * len(s) - 1e-9:
-                want.add((doc, item, shared, len(s), shared / len(s)))
+    items += [(26, "two"), (27, "ab ab ab"), (28, "one\ttwo"), (26, words(ROWS[2][1])[9])]
+    want = brute_contained(ROWS, items)
+    assert {26, 27, 21, 28} <= {w[1] for w in want}
     frame = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")
     got = decontaminate.contained_items(docs, frame, broadcast_bytes=bytes_).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     left = {r["doc_id"] for r in decontaminate.remove_contaminated(docs, frame).collect()}
     assert left == {d for d, _ in ROWS} - {w[0] for w in want}
     assert decontaminate.contained_items(docs, frame.limit(0)).count() == 0
+    assert decontaminate.remove_contaminated(docs, frame.limit(0)).count() == len(ROWS)
+
+
+def test_rows_of_one_id_are_judged_apart(spark, monkeypatch):
+    """Half of an item in each of two rows, far apart in one task, is no hit; a bad row goes alone."""
+    monkeypatch.setattr(decontaminate, "slices", lambda batches, *a: (b.slice(i, 1) for b in batches for i in range(b.num_rows)))
+    item, rng = words(prose(random.Random(8), 40)), random.Random(9)
+    rows = [(7, " ".join(item[:21])), (8, prose(rng, 50)), (7, " ".join(item[19:])), (None, " ".join(item[:22])), (None, " ".join(item[18:])),
+            (9, prose(rng, 30)), (9, "x " + " ".join(item) + " y"), (None, " ".join(item)), (10, None)]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, `0` int").coalesce(1)
+    items = spark.createDataFrame([(1, " ".join(item)), (1, " ".join(item)), (None, " ".join(item))], "item_id long, text string")
+    got = {tuple(r)[:2] for r in decontaminate.contained_items(frame, items).collect()}
+    assert got == {(9, 1), (9, None), (None, 1), (None, None)}
+    left = decontaminate.remove_contaminated(frame, items)
+    assert left.columns == frame.columns and sorted(r["0"] for r in left.collect()) == [0, 1, 2, 3, 4, 5, 8]
 
 
 # --- 4 secrets
@@ -212,8 +307,9 @@ def test_packing_round_trip(spark, docs, capacity):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    rows = ROWS + [(200, None), (201, ""), (202, "a  b\n c \t "), (203, prose(random.Random(3), 4000))]
+    rows = ROWS + [(200, None), (201, ""), (202, "a  b\n c \t "), (203, prose(random.Random(3), 4000)),
+                   (204, "end<|endoftext|>next"), (205, "<|endoftext|>"), (206, "a <|endoftext|> b<|endoftext|")]
+    assert tokenizer.encode(rows[-3][1], add_special_tokens=False).ids == [437, 50256, 19545]
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), TOKENIZER, capacity=capacity).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in got:
@@ -309,13 +405,18 @@ def test_automaton_accepts_exactly_the_substrings():
         assert ok == (text in b"abracadabra")
 
 
-def test_phrases_are_greedy_longest_matches():
-    sample = "abracadabra"
+@pytest.mark.parametrize("segment", [1, 2, 3, 7, 128])
+def test_phrases_are_greedy_longest_matches(monkeypatch, segment):
+    """However texts are cut into segments, also inside long matches."""
+    monkeypatch.setattr(language, "SEGMENT", segment)
+    rng = random.Random(segment)
+    sample = "abracadabra" + "".join(rng.choice("abcd") for _ in range(300))
     models = language.Models({"l": sample.encode(), "m": b"zzz"})
-    texts = ["abrac", "abraabra", "cadcad", "braxbra", "dabrac"]
+    texts = ["abrac", "abraabra", "cadcad", "braxbra", "dabrac", "", "x", sample, sample[5:] + sample[:90], "ab" * 200]
+    texts += ["".join(rng.choice("abcdx") for _ in range(rng.randint(0, 400))) for _ in range(30)]
     data, at = language.utf8(pa.array(texts))
-    steps, length, owner = language.segments(*language.fold(data, at), models.codes)
-    got = np.bincount(owner, models.automata[0].phrases(steps, length), minlength=len(texts))
+    steps, length, owner, after = language.segments(*language.fold(data, at), models.codes)
+    got = np.bincount(owner, models.automata[0].phrases(steps, length, after), minlength=len(texts))
 
     def brute(text):
         n, i = 0, 0
@@ -337,6 +438,37 @@ def test_language_held_out_accuracy(spark):
     assert sum(out) >= 0.95 * len(out)
 
 
+def test_predictions_equal_a_plain_parse(spark):
+    """The whole result, by searching the samples for each phrase."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()[:60]
+    rows = [(r["doc_id"], (r["text"] or "")[:900], r["lang"]) for r in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labelled = frame.where(~language.held_out(frame))
+    models = language.learn(labelled)
+    samples = {}
+    for name in models.names:
+        order = labelled.where(f"lang = '{name}'").selectExpr("text", "xxhash64(doc_id) AS h").orderBy("h").limit(language.SAMPLE_ROWS).collect()
+        raw = "\n".join(r["text"] for r in order).encode()
+        samples[name] = language.fold(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0][: language.SAMPLE_BYTES].tobytes()
+
+    def phrases(data, sample):
+        n, i = 0, 0
+        while i < len(data):
+            j = i + 1
+            while j < len(data) and data[i : j + 1] in sample:
+                j += 1
+            n, i = n + 1, j
+        return n
+
+    got = {r["doc_id"]: r for r in language.identify_held_out(frame).collect()}
+    for doc, text, _ in rows:
+        if any(c.isalpha() for c in text):
+            raw = text.encode()
+            data = language.fold(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tobytes()
+            needed = sorted((phrases(data, samples[name]), name) for name in models.names)
+            assert got[doc]["lang_pred"] == needed[0][1] and np.isclose(got[doc]["score"], 1 - needed[0][0] / needed[1][0])
+
+
 def test_language_without_letters(spark):
     rows = [(1, None, "en"), (2, "123 !", "en"), (3, "word", "en"), (4, "слово", None)]
     got = {r["doc_id"]: r for r in language.identify_held_out(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
@@ -419,6 +551,51 @@ def test_scores_sum_conditionals_and_prefer_the_corpus(spark, docs):
     assert trained > untrained
 
 
+def test_scores_equal_a_plain_forward_pass(spark):
+    """The model's formula, word by word in plain Python."""
+    rng = np.random.default_rng(5)
+    frequent = rng.integers(1, 1 << 62, 1500).astype(np.uint64)
+    text = "ka lo ka mi ren tas vo pel nu dra sin ka lo"
+    some = Words.of(pa.array([text])).hashes()
+    frequent[[3, 700, 1400, 33]] = some[[0, 1, 3, 4]]
+    codes_of = {int(h): i for i, h in enumerate(frequent)}
+    weights = {k: rng.standard_normal(v.shape).astype(np.float32) * 0.4 for k, v in masked_lm.start_weights(masked_lm.n_codes(frequent)).items()}
+    size, total = masked_lm.n_codes(frequent), 0.0
+    assert size == 1756
+
+    def shared(word):
+        return size - 256 + (word[-1] * 31 + (word[-2] * 7 if len(word) > 1 else 0)) % 256
+
+    codes = [codes_of.get(int(h), shared(w.encode())) for h, w in zip(some, text.split(" "), strict=True)]
+    for at, code in enumerate(codes):
+        units = weights["bias"].astype(float)
+        for table, step in enumerate((-2, -1, 1, 2)):
+            units = units + weights["embed"][table][codes[at + step] if 0 <= at + step < len(codes) else size]
+        units = np.tanh(units)
+        digits = [code // 1024, code // 32 % 32, code % 32]
+        for level, digit in enumerate(digits):
+            if level == 0:
+                logits = [sum(units[i] * weights["class"][i][j] for i in range(24)) + weights["class_bias"][j] for j in range(len(weights["class_bias"]))]
+            else:
+                name = "" if level == 1 else str(level)
+                node = code // 32 ** (3 - level)
+                given = units * weights[f"gate{name}"][node] + weights[f"given{name}"][node]
+                logits = [sum(given[i] * weights[f"member{name}"][i][j] for i in range(24)) + weights[f"member_bias{name}"][node][j] for j in range(32)]
+            total += logits[digit] - math.log(sum(map(math.exp, logits)))
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = masked_lm.score(frame, (frequent, masked_lm.pack_weights(weights))).collect()[0]
+    assert np.isclose(got["pll"], total, atol=1e-3) and got["n_tokens"] == len(codes)
+
+
+def test_words_are_found_in_the_slot_table():
+    rng = np.random.default_rng(2)
+    frequent = np.unique(rng.integers(0, 1 << 12, 900).astype(np.uint64) << np.uint64(20))
+    rng.shuffle(frequent)
+    probe = np.concatenate((frequent, rng.integers(0, 1 << 40, 500).astype(np.uint64)))
+    known = {int(h): i for i, h in enumerate(frequent)}
+    assert masked_lm.find(probe, frequent, masked_lm.slot_table(frequent)).tolist() == [known.get(int(h), -1) for h in probe]
+
+
 def test_the_vocabulary_follows_the_corpus(spark):
     """2,000 words that are each as frequent have codes and weights of their own; a garbled word of the same ending doesn't."""
     rng = random.Random(4)

@@ -42,7 +42,6 @@ def test_pipeline_equals_brute_force(spark):
     want = {r["doc_id"]: r["text"] for r in secrets.redact(clean, models).collect()}
 
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     pieces, sequences = defaultdict(list), defaultdict(int)
     for r in corpus_pipeline.run(spark, SF).collect():
         pieces[r["doc_id"]].append(r)
