@@ -516,19 +516,20 @@ def test_quality(spark):
 def test_gradient_steps_lower_the_loss_and_match_finite_differences():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, masked_lm.CODES, 300)
-    around = masked_lm.contexts(codes, np.array([0, 100, 300]))
+    batch = masked_lm.Sequence.of(codes, np.array([0, 0, 1, 100, 299, 300, 300])).batch(0, 300)
     weights = masked_lm.start_weights()
+    weights["reach"] += rng.standard_normal(weights["reach"].shape).astype(np.float32) * 0.3
     trainer = masked_lm.Trainer({k: v.copy() for k, v in weights.items()})
     slopes = {}
     trainer._move = slopes.update
-    trainer.step(around, codes)
-    for name, index in (("embed", (1, int(codes[4]), 3)), ("class", (2, 5)), ("given", (int(codes[0]) // 32, 1)), ("member", (0, 7)), ("bias", (4,))):
+    trainer.step(batch)
+    for name, index in (("embed", (int(codes[4]), 3)), ("embed", (int(codes[299]), 7)), ("embed", (masked_lm.CODES, 2)), ("reach", (0, 3)), ("reach", (2, 5)), ("class", (2, 5)), ("given", (int(codes[0]) // 32, 1)), ("member", (0, 7)), ("bias", (4,))):
         moved = {k: v.astype(np.float64) for k, v in weights.items()}
         losses = []
         for step in (1e-4, -1e-4):
             probe = {k: v.copy() for k, v in moved.items()}
             probe[name][index] += step
-            losses.append(-masked_lm.log_probabilities(probe, around, codes).mean())
+            losses.append(-masked_lm.log_probabilities(probe, masked_lm.hidden_units(probe, batch), codes).mean())
         assert np.isclose((losses[0] - losses[1]) / 2e-4, slopes[name][index], atol=2e-4)
 
 
@@ -539,12 +540,12 @@ def test_scores_sum_conditionals_and_prefer_the_corpus(spark, docs):
     for doc, text in ROWS[::9]:
         w = Words.of(pa.array([text]))
         codes = masked_lm.encode(w, model[0])
-        each = masked_lm.log_probabilities(weights, masked_lm.contexts(codes, w.first), codes)
+        each = masked_lm.score_words(weights, codes, w.first)
         assert np.isclose(got[doc]["pll"], each.sum()) and got[doc]["n_tokens"] == len(words(text))
     # Each class and member distribution sums to one.
     codes = np.arange(masked_lm.CODES)
-    around = np.zeros((4, masked_lm.CODES), np.int64)
-    assert np.isclose(np.exp(masked_lm.log_probabilities(weights, around, codes)).sum(), 1, atol=1e-4)
+    same = np.tile(np.tanh(weights["bias"] + weights["embed"][0] * weights["reach"].sum(0)), (len(codes), 1))
+    assert np.isclose(np.exp(masked_lm.log_probabilities(weights, same, codes)).sum(), 1, atol=1e-4)
     flat = masked_lm.unpack_weights(masked_lm.pack_weights(masked_lm.start_weights()))
     trained = np.mean([r["mean_pll"] for r in got.values()])
     untrained = np.mean([r["mean_pll"] for r in masked_lm.score(docs, (model[0], masked_lm.pack_weights(flat))).collect()])
@@ -570,7 +571,7 @@ def test_scores_equal_a_plain_forward_pass(spark):
     for at, code in enumerate(codes):
         units = weights["bias"].astype(float)
         for table, step in enumerate((-2, -1, 1, 2)):
-            units = units + weights["embed"][table][codes[at + step] if 0 <= at + step < len(codes) else size]
+            units = units + weights["reach"][table] * weights["embed"][codes[at + step] if 0 <= at + step < len(codes) else size]
         units = np.tanh(units)
         digits = [code // 1024, code // 32 % 32, code % 32]
         for level, digit in enumerate(digits):
@@ -587,6 +588,22 @@ def test_scores_equal_a_plain_forward_pass(spark):
     assert np.isclose(got["pll"], total, atol=1e-3) and got["n_tokens"] == len(codes)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_batches_see_the_words_around_them(size):
+    """Wherever texts and batches end, also in texts of one word or none."""
+    rng = np.random.default_rng(size)
+    first = np.concatenate(([0], np.cumsum(rng.integers(0, 5, 30))))
+    codes = np.arange(first[-1])
+    for a, batch in zip(range(0, len(codes), size), masked_lm.Sequence.of(codes, first).batches(size), strict=True):
+        for k, step in enumerate((-2, -1, 1, 2)):
+            got = batch.around(batch.near[:, None], np.array([-1]), k)[:, 0].tolist()
+            for i, code in enumerate(got):
+                text = np.searchsorted(first, a + i, "right")
+                other = a + i + step
+                inside = 0 <= other < len(codes) and np.searchsorted(first, other, "right") == text
+                assert code == (other if inside else -1)
+
+
 def test_words_are_found_in_the_slot_table():
     rng = np.random.default_rng(2)
     frequent = np.unique(rng.integers(0, 1 << 12, 900).astype(np.uint64) << np.uint64(20))
@@ -605,11 +622,13 @@ def test_the_vocabulary_follows_the_corpus(spark):
     frequent, raw = masked_lm.train(docs)
     assert len(frequent) == 2000
     weights = masked_lm.unpack_weights(raw)
-    assert weights["embed"].shape[1] == 2000 + 256 + 1
+    assert len(weights["embed"]) == 2000 + 256 + 1
     codes = masked_lm.encode(Words.of(pa.array([" ".join([*kinds, "wrod1ing"])])), frequent)
     assert sorted(codes[:-1]) == list(range(2000)) and codes[-1] >= 2000
-    size = weights["embed"].shape[1] - 1
-    total = np.exp(masked_lm.log_probabilities(weights, np.full((4, size), size), np.arange(size))).sum()
+    size = len(weights["embed"]) - 1
+    five = masked_lm.Sequence.of(masked_lm.encode(Words.of(pa.array([" ".join(kinds[:5])])), frequent), np.array([0, 5])).batch(0, 5)
+    middle = np.tile(masked_lm.hidden_units(weights, five)[2], (size, 1))
+    total = np.exp(masked_lm.log_probabilities(weights, middle, np.arange(size))).sum()
     assert 0.98 < total <= 1 + 1e-4
     probe = spark.createDataFrame([(1, "word1ing word2ing word3ing"), (2, "word1ing wrod2ing word3ing")], "doc_id long, text string")
     real, garbled = (r["pll"] for r in masked_lm.score(probe, (frequent, raw)).orderBy("doc_id").collect())

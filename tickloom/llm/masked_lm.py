@@ -1,7 +1,8 @@
 """LM scoring by masked pseudo-likelihood.
 
 A small bidirectional window network predicts every word from the two words on either side of it, as
-if the word itself were masked. The vocabulary follows the corpus: every word that occurs often
+if the word itself were masked. A word has one embedding, weighted by how far from the masked place it
+stands. The vocabulary follows the corpus: every word that occurs often
 enough has a code of its own, and only rarer ones share codes by their last two bytes. A code is a
 path of digits (class, member, member of that, ...) to the base 32, so the softmax is over at most 32
 branches at each level; a level more is added whenever the codes outgrow the levels. Each node has
@@ -35,6 +36,10 @@ CODES, SHARED = CLASSES * CLASSES, 256
 FREQUENT = CODES - SHARED
 REACH, WIDTH = 2, 24
 ROUNDS, BATCH, RATE, SEED = 2, 8192, 0.15, 5
+#: Words that a task holds, at least, before it learns from them; only the last batch of them is smaller.
+HELD = 16 * BATCH
+#: Bias of a branch without codes.
+CLOSED = -30.0
 #: Rows of a weight table that are averaged as one.
 BLOCK = 2048
 _OFFSETS = [o for o in range(-REACH, REACH + 1) if o]
@@ -63,7 +68,7 @@ def _level(level: int) -> str:
 def shapes(codes: int) -> dict[str, tuple[int, ...]]:
     depth = _depth(codes)
     top = -(-codes // CLASSES ** (depth - 1))
-    out = {"embed": (len(_OFFSETS), codes + 1, WIDTH), "bias": (WIDTH,), "class": (WIDTH, top), "class_bias": (top,)}
+    out = {"embed": (codes + 1, WIDTH), "reach": (len(_OFFSETS), WIDTH), "bias": (WIDTH,), "class": (WIDTH, top), "class_bias": (top,)}
     for level in range(1, depth):
         nodes, name = -(-codes // CLASSES ** (depth - level)), _level(level)
         out |= {f"given{name}": (nodes, WIDTH), f"gate{name}": (nodes, WIDTH), f"member{name}": (WIDTH, CLASSES),
@@ -77,15 +82,22 @@ def start_weights(codes: int = CODES) -> dict[str, np.ndarray]:
     def start(name: str, shape: tuple[int, ...]) -> np.ndarray:
         if "bias" in name:
             return np.zeros(shape, np.float32)
-        if name.startswith("gate"):
+        if name.startswith("gate") or name == "reach":
             return np.ones(shape, np.float32)
         return rng.standard_normal(shape, np.float32) * np.float32(0.1)
 
-    return {k: start(k, s) for k, s in shapes(codes).items()}
+    out, depth = {k: start(k, s) for k, s in shapes(codes).items()}, _depth(codes)
+    for level in range(depth):
+        # At first a branch is as likely as the share of codes below it; one without codes is closed.
+        bias = out[f"member_bias{_level(level)}" if level else "class_bias"].reshape(-1)
+        each = CLASSES ** (depth - level - 1)
+        below = np.clip(codes - np.arange(len(bias)) * each, 0, each) / each
+        bias[:] = np.where(below > 0, np.log(np.maximum(below, 1e-9)), CLOSED)
+    return out
 
 
 def pack_weights(weights: dict[str, np.ndarray]) -> bytes:
-    codes = weights["embed"].shape[1] - 1
+    codes = len(weights["embed"]) - 1
     return b"".join([np.array([codes], "<i8").tobytes(), *(weights[k].astype("<f4", copy=False).tobytes() for k in shapes(codes))])
 
 
@@ -138,18 +150,78 @@ def find(hashes: np.ndarray, frequent: np.ndarray, table: np.ndarray) -> np.ndar
     return out
 
 
-def contexts(codes: np.ndarray, first: np.ndarray, outside: int = CODES) -> np.ndarray:
-    """Codes of the words around each word, one row for each offset; ``outside`` (the number of
-    codes) outside its text."""
-    n, size = len(codes), np.diff(first)
-    begin, end = np.repeat(first[:-1], size), np.repeat(first[1:], size)
-    out = np.full((len(_OFFSETS), n), outside, codes.dtype)
-    where = np.arange(n)
-    for row, offset in zip(out, _OFFSETS, strict=True):
-        at = where + offset
-        ok = (at >= begin) & (at < end)
-        row[ok] = codes[at[ok]]
-    return out
+def missing(first: np.ndarray) -> list[np.ndarray]:
+    """For each offset the words whose neighbour there is outside their text; ``first`` as in Words."""
+    begin, end = np.unique(first[:-1]), np.unique(first[1:])
+    out = []
+    for offset in _OFFSETS:
+        # The first words of a text have none before them, the last ones none behind them.
+        edges, reach = (begin, range(-offset)) if offset < 0 else (end, range(-offset, 0))
+        at = np.unique(np.concatenate([edges + k for k in reach]))
+        out.append(at)
+    n, text = int(first[-1]), np.repeat(np.arange(len(first) - 1), np.diff(first))
+    return [at[_outside(at, offset, text, n)] for at, offset in zip(out, _OFFSETS, strict=True)]
+
+
+def _outside(at: np.ndarray, offset: int, text: np.ndarray, n: int) -> np.ndarray:
+    """Which of the words have no neighbour at that offset in their text."""
+    own = (at >= 0) & (at < n)
+    there = at + offset
+    inside = own & (there >= 0) & (there < n)
+    same = np.zeros(len(at), bool)
+    same[inside] = text[at[inside]] == text[there[inside]]
+    return own & ~same
+
+
+@dataclass
+class Sequence:
+    """Words of some texts in a row, cut into batches."""
+
+    codes: np.ndarray
+    missing: list[np.ndarray]
+
+    @classmethod
+    def of(cls, codes: np.ndarray, first: np.ndarray) -> Sequence:
+        return cls(codes, missing(first))
+
+    def batches(self, size: int) -> Iterator[Batch]:
+        for a in range(0, len(self.codes), size):
+            yield self.batch(a, min(a + size, len(self.codes)))
+
+    def batch(self, a: int, b: int) -> Batch:
+        """The words from a to b, and those around them."""
+        left, right = min(REACH, a), min(REACH, len(self.codes) - b)
+        near = np.pad(self.codes[a - left : b + right], (REACH - left, REACH - right))
+        gaps = [m[np.searchsorted(m, a) : np.searchsorted(m, b)] - a for m in self.missing]
+        return Batch(self.codes[a:b], near, gaps)
+
+
+@dataclass
+class Batch:
+    """Codes of a batch, the same with ``REACH`` words more on either side, and the words that have
+    no neighbour at each offset."""
+
+    codes: np.ndarray
+    near: np.ndarray
+    gaps: list[np.ndarray]
+
+    def around(self, rows: np.ndarray, outside: np.ndarray, k: int) -> np.ndarray:
+        """What stands at an offset from each word, of ``rows`` for the words of ``near``."""
+        at = REACH + _OFFSETS[k]
+        out = rows[at : at + len(self.codes)]
+        if len(self.gaps[k]):
+            out = out.copy()
+            out[self.gaps[k]] = outside
+        return out
+
+
+def hidden_units(weights: dict[str, np.ndarray], batch: Batch) -> np.ndarray:
+    """What the words around each word say about it; a row for each word."""
+    rows, outside = np.take(weights["embed"], batch.near, axis=0), weights["embed"][-1]
+    hidden = np.repeat(weights["bias"][None], len(batch.codes), axis=0)
+    for k in range(len(_OFFSETS)):
+        hidden += batch.around(rows, outside, k) * weights["reach"][k]
+    return np.tanh(hidden, out=hidden)
 
 
 @dataclass
@@ -181,13 +253,9 @@ def _levels(codes: np.ndarray, size: int) -> list[Level]:
     return out
 
 
-def forward(weights: dict[str, np.ndarray], around: np.ndarray, levels: list[Level]):
-    """Hidden units, and for each level what its nodes make of them and the weights of its branches
-    before normalising; a column for each word, so that sums over branches run along words."""
-    hidden = np.take(weights["embed"][0], around[0], axis=0)
-    for table, row in zip(weights["embed"][1:], around[1:], strict=True):
-        hidden += np.take(table, row, axis=0)
-    hidden = np.tanh(hidden.T + weights["bias"][:, None])
+def forward(weights: dict[str, np.ndarray], hidden: np.ndarray, levels: list[Level]):
+    """For each level what its nodes make of the hidden units, and the weights of its branches before
+    normalising; a column for each word, so that sums over branches run along words."""
     yield hidden, weights["class"].T @ hidden + weights["class_bias"][:, None]
     for number, level in enumerate(levels[1:], 1):
         name = _level(number)
@@ -198,20 +266,26 @@ def forward(weights: dict[str, np.ndarray], around: np.ndarray, levels: list[Lev
         yield given, logits
 
 
-def log_probabilities(weights: dict[str, np.ndarray], around: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Conditional log-probability of each word, given the words around it."""
-    out, size = np.empty(len(codes), np.float64), weights["embed"].shape[1] - 1
-    for a in range(0, len(codes), BATCH):
-        order = np.argsort(codes[a : a + BATCH]) + a
-        levels, total, row = _levels(codes[order], size), 0.0, np.arange(len(order))
-        for (_, logits), level in zip(forward(weights, around[:, order], levels), levels, strict=True):
-            logits -= logits.max(0)
-            total = total + logits[level.branch, row].astype(np.float64)
-            total -= np.log(np.exp(logits, out=logits).sum(0))
-        out[order] = total
+def log_probabilities(weights: dict[str, np.ndarray], hidden: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Conditional log-probability of each word, given the hidden units that the words around it make."""
+    size = len(weights["embed"]) - 1
+    order = _ascending(codes, size)
+    out, total, row = np.empty(len(codes), np.float64), 0.0, np.arange(len(codes))
+    levels = _levels(codes[order], size)
+    for (_, logits), level in zip(forward(weights, np.ascontiguousarray(hidden[order].T), levels), levels, strict=True):
+        logits -= logits.max(0)
+        total = total + logits[level.branch, row].astype(np.float64)
+        total -= np.log(np.exp(logits, out=logits).sum(0))
+    out[order] = total
     return out
 
 
+def score_words(weights: dict[str, np.ndarray], codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Conditional log-probability of each word of some texts."""
+    parts = [log_probabilities(weights, hidden_units(weights, b), b.codes) for b in Sequence.of(codes, first).batches(BATCH)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 @dataclass
 class Slope:
     """Slopes of some rows of a table, and how often each row was used."""
@@ -223,18 +297,17 @@ class Slope:
 
     @classmethod
     def of(cls, shape: tuple[int, ...], at: np.ndarray, each: np.ndarray) -> Slope:
-        """Sums of the columns of ``each`` by the table rows ``at``: a row of ``at`` for each table."""
-        flat = at.ravel()
-        order = _ascending(flat, math.prod(shape[:-1]))
-        ranked = flat[order]
+        """Sums of the rows of ``each`` by the table rows ``at``."""
+        order = _ascending(at, shape[0])
+        ranked = at[order]
         fresh = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-        place = np.empty(len(flat), np.int64)
+        place = np.empty(len(at), np.int64)
         place[order] = np.cumsum(fresh) - 1
         first = np.flatnonzero(fresh)
-        rows = np.empty((len(first), len(each)), np.float32)
-        for i, own in enumerate(np.tile(each.astype(np.float64), len(at))):
+        rows = np.empty((len(first), each.shape[1]), np.float32)
+        for i, own in enumerate(np.ascontiguousarray(each.T, np.float64)):
             rows[:, i] = np.bincount(place, own, len(first))
-        return cls(shape, ranked[first], rows, np.diff(np.append(first, len(flat))))
+        return cls(shape, ranked[first], rows, np.diff(np.append(first, len(at))))
 
     @classmethod
     def whole(cls, table: np.ndarray, uses: int) -> Slope:
@@ -255,20 +328,19 @@ class Trainer:
         self.squares = {k: np.zeros(v.shape, np.float32) for k, v in weights.items()}
         self.uses = {k: np.zeros(v.size // v.shape[-1], np.int64) for k, v in weights.items()}
 
-    def step(self, around: np.ndarray, codes: np.ndarray) -> None:
-        w, n = self.weights, len(codes)
-        size = w["embed"].shape[1] - 1
+    def step(self, batch: Batch) -> None:
+        w, n, codes = self.weights, len(batch.codes), batch.codes
+        size = len(w["embed"]) - 1
         # One sort: the nodes of every level are then runs of words.
         order = _ascending(codes, size)
-        around, levels = around[:, order], _levels(codes[order], size)
-        row, slopes = np.arange(n), {}
-        for number, ((given, branches), level) in enumerate(zip(forward(w, around, levels), levels, strict=True)):
+        levels, row, slopes = _levels(codes[order], size), np.arange(n), {}
+        hidden = np.ascontiguousarray(hidden_units(w, batch)[order].T)
+        for number, ((given, branches), level) in enumerate(zip(forward(w, hidden, levels), levels, strict=True)):
             branches -= branches.max(0)
             np.exp(branches, out=branches)
             branches /= branches.sum(0) * np.float32(n)
             branches[level.branch, row] -= np.float32(1 / n)
             if number == 0:
-                hidden = given
                 d_hidden = w["class"] @ branches
                 slopes |= {"class": Slope.whole(hidden @ branches.T, n), "class_bias": Slope.whole(branches.sum(1), n)}
                 continue
@@ -281,9 +353,27 @@ class Trainer:
             d_hidden += d_given
         d_hidden *= 1 - hidden * hidden
         slopes["bias"] = Slope.whole(d_hidden.sum(1), n)
-        slopes["embed"] = Slope.of(w["embed"].shape, around + np.arange(len(_OFFSETS))[:, None] * (size + 1), d_hidden)
+        back = np.empty((n, WIDTH), np.float32)
+        back[order] = d_hidden.T
+        slopes |= self._embedding(batch, back)
         self._move(slopes)
 
+    def _embedding(self, batch: Batch, slope: np.ndarray) -> dict[str, Slope]:
+        """Slopes of the embeddings and of the offsets' weights, from those of the words' sums."""
+        w, n = self.weights, len(batch.codes)
+        rows, outside = np.take(w["embed"], batch.near, axis=0), w["embed"][-1]
+        each, edge, reach = np.zeros((len(batch.near) + 1, WIDTH), np.float32), 0, []
+        for k, offset in enumerate(_OFFSETS):
+            reach.append(np.einsum("ij,ij->j", slope, batch.around(rows, outside, k)))
+            own = slope * w["reach"][k]
+            gaps = batch.gaps[k]
+            if len(gaps):
+                each[-1] += own[gaps].sum(0)
+                own[gaps] = 0
+            each[REACH + offset : REACH + offset + n] += own
+        at = np.append(batch.near, len(w["embed"]) - 1)
+        return {"embed": Slope.of(w["embed"].shape, at, each), "reach": Slope.whole(np.array(reach), n)}
+
     def _move(self, slopes: dict[str, Slope]) -> None:
         for k, slope in slopes.items():
             width, rows = slope.shape[-1], slope.rows.astype(np.float32, copy=False)
@@ -356,25 +446,29 @@ def vocabulary(docs: DataFrame) -> np.ndarray:
 def _train(shared):
     def rows(batches: Iterable[pa.RecordBatch]):
         frequent, raw = shared.value
-        start, places, size_of = unpack_weights(raw), slot_table(frequent), n_codes(frequent)
+        start, places = unpack_weights(raw), slot_table(frequent)
         trainer = None
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
+
+        def learn() -> None:
+            codes = np.concatenate([c for c, _ in held])
+            first = np.concatenate([[0], *(f[1:] + o for (_, f), o in zip(held, np.cumsum([0, *(len(c) for c, _ in held)])[:-1], strict=True))])
+            for batch in Sequence.of(codes, first).batches(BATCH):
+                trainer.step(batch)
+            held.clear()
+
         for batch in slices(batches):
             trainer = trainer or Trainer({k: v.copy() for k, v in start.items()})
             words = Words.of(batch.column(1))
             codes = encode(words, frequent, places)
-            held.append((contexts(codes, words.first, size_of), codes))
+            held.append((codes, words.first))
             size += len(codes)
-            if size < BATCH:
-                continue
-            around, codes = np.concatenate([a for a, _ in held], 1), np.concatenate([c for _, c in held])
-            full = len(codes) // BATCH * BATCH
-            for a in range(0, full, BATCH):
-                trainer.step(around[:, a : a + BATCH], codes[a : a + BATCH])
-            held, size = [(around[:, full:], codes[full:])], len(codes) - full
+            if size >= HELD:
+                learn()
+                size = 0
         if size:
-            trainer.step(np.concatenate([a for a, _ in held], 1), np.concatenate([c for _, c in held]))
+            learn()
         if trainer is None:
             return
         for place, (k, before) in enumerate(start.items()):
@@ -454,7 +548,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, bytes] | None = None) -> Dat
         for batch in slices(batches):
             words = Words.of(batch.column(1))
             codes = encode(words, frequent, places)
-            each = log_probabilities(weights, contexts(codes, words.first, n_codes(frequent)), codes)
+            each = score_words(weights, codes, words.first)
             total = np.diff(np.concatenate(([0.0], np.cumsum(each)))[words.first])
             count = words.count
             mean = np.divide(total, count, out=np.zeros(len(count)), where=count > 0)
