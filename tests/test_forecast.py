@@ -158,3 +158,23 @@ def test_sparse_changes_equal_a_plain_descent(seed):
     left = gram @ got - cross
     assert (np.abs(left) <= penalty + 1e-5).all() and np.allclose(left[got != 0], -penalty * np.sign(got[got != 0]), atol=1e-4)
     assert (sparse_changes(gram, cross, 1e9) == 0).all()
+
+
+def test_the_joint_fit_finds_beta_under_autocorrelated_volume(spark):
+    """Volume steps and residual steps that hang on their past: whitening makes beta sharper."""
+    rng = np.random.default_rng(11)
+    n, runs, errors = 400, 12, {0: [], 3: []}
+    frames = []
+    for run in range(runs):
+        du, dx = np.zeros(n), np.zeros(n)
+        for t in range(n):
+            du[t] = (0.85 * du[t - 1] if t else 0) + rng.standard_normal()
+            dx[t] = (0.6 * dx[t - 1] if t else 0) + rng.standard_normal()
+        frames += [(f"k{run}", START + timedelta(minutes=t), float(p), float(x)) for t, (p, x) in
+                   enumerate(zip(100 + np.cumsum(2.5 * dx + du), np.cumsum(dx)))]
+    frame = spark.createDataFrame(frames, SCHEMA).cache()
+    for rounds in errors:
+        fit = ar_fit(frame, GOLD_SERIES, rounds=rounds).collect()
+        errors[rounds] = [abs(r.beta - 2.5) for r in fit]
+        assert all(abs(r.a[0] - 0.85) < 0.25 for r in fit)
+    assert np.mean(errors[3]) < 0.8 * np.mean(errors[0]) and max(errors[3]) < 0.2

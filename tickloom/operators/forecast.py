@@ -19,6 +19,8 @@ MIN_MODEL_ROWS, MIN_ALIGNED_ROWS = 10, 5
 AR_ORDER = 5
 # residual energy below this share of the step energy counts as a perfect fit
 NOISE_FLOOR = 1e-12
+#: Joint rounds of the regression and the autoregression.
+GLS_ROUNDS = 3
 
 
 def outlook(df: DataFrame, by: Series, size: KeyProfile, whole: bool = False) -> DataFrame:
@@ -132,24 +134,64 @@ def _levinson(r: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(AR_ORDER)), start, extend)["a"]
 
 
-def ar_fit(df: DataFrame, by: Series = GOLD_SERIES, size: KeyProfile | None = None) -> DataFrame:
-    """One row per key: ``beta``, coefficients ``a``, newest value ``y``, newest residual steps ``d``."""
-    size = size or profile(df, by)
-    fit = _step_sums(df, by, size)
-    fit = fit.withColumn("beta", F.coalesce(F.try_divide("xy0", "xx0"), F.lit(0.0)))
-    b = F.col("beta")
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _fit_again(state: Column, lags: dict[str, Column], floor: Column) -> Column:
+    """beta and the autoregressive coefficients in turn, both from the lag sums.
+
+    Given the coefficients, beta is least squares on steps that the autoregression has whitened; given
+    beta, the coefficients solve the Yule-Walker equations of the residual steps.
+    """
+    places = F.sequence(F.lit(0), F.lit(AR_ORDER))
+
+    def whitened(forth: Column, back: Column) -> Column:
+        """The sum of products of two whitened steps, from the sums of products k steps apart."""
+        def row(total: Column, i: Column) -> Column:
+            def cell(part: Column, j: Column) -> Column:
+                apart = F.when(j >= i, F.get(forth, j - i)).otherwise(F.get(back, i - j))
+                return part + F.get(state["filter"], i) * F.get(state["filter"], j) * apart
+
+            return total + F.aggregate(places, F.lit(0.0), cell)
+
+        return F.aggregate(places, F.lit(0.0), row)
+
+    beta = F.coalesce(F.try_divide(whitened(lags["xy"], lags["yx"]), whitened(lags["xx"], lags["xx"])), state["beta"])
+    return _bound(beta, lambda b: _with_coefficients(b, lags, floor))
+
+
+def _with_coefficients(beta: Column, lags: dict[str, Column], floor: Column) -> Column:
+    """The state (beta, a, filter) that follows from beta."""
     covariances = F.array(*[
-        F.col(f"yy{k}") - b * (F.col(f"xy{k}") + F.col(f"yx{k}")) + b * b * F.col(f"xx{k}")
-        for k in range(AR_ORDER + 1)
+        lags["yy"][k] - beta * (lags["xy"][k] + lags["yx"][k]) + beta * beta * lags["xx"][k] for k in range(AR_ORDER + 1)
     ])
-    recent = F.array(*[F.col(f"_last.dy{k}") - b * F.col(f"_last.dx{k}") for k in range(AR_ORDER)])
-    fit = fit.select(
-        by.key, "beta", F.col("_last.y").alias("y"), recent.alias("d"), covariances.alias("_r"),
-        (F.col("yy0") * NOISE_FLOOR).alias("_floor"),
-    )
     perfect = F.array(*[F.lit(0.0)] * (AR_ORDER + 1))
-    r = F.when(F.col("_r")[0] <= F.col("_floor"), perfect).otherwise(F.col("_r"))
-    return fit.withColumn("_r", r).withColumn("a", _levinson(F.col("_r"))).drop("_r", "_floor")
+    a = _bound(covariances, lambda r: _bound(F.when(r[0] <= floor, perfect).otherwise(r), _levinson))
+    return _bound(a, lambda c: F.struct(
+        beta.alias("beta"), c.alias("a"), F.concat(F.array(F.lit(1.0)), F.transform(c, lambda v: -v)).alias("filter")))
+
+
+def ar_fit(df: DataFrame, by: Series = GOLD_SERIES, size: KeyProfile | None = None, rounds: int = GLS_ROUNDS) -> DataFrame:
+    """One row per key: ``beta``, coefficients ``a``, newest value ``y``, newest residual steps ``d``.
+
+    beta starts as least squares on the steps; ``rounds`` times it is fitted again on whitened steps
+    (generalised least squares), and the coefficients after it. No further pass over the rows.
+    """
+    size = size or profile(df, by)
+    sums = _step_sums(df, by, size)
+    fit = sums.select(by.key, "_last", (F.col("yy0") * NOISE_FLOOR).alias("_floor"), *[
+        F.array(*[f"{pair}{k}" for k in range(AR_ORDER + 1)]).alias(f"_{pair}") for pair in ("xx", "xy", "yx", "yy")
+    ])
+    lags, floor = {pair: F.col(f"_{pair}") for pair in ("xx", "xy", "yx", "yy")}, F.col("_floor")
+    first = F.coalesce(F.try_divide(F.col("_xy")[0], F.col("_xx")[0]), F.lit(0.0))
+    start = _bound(first, lambda b: _with_coefficients(b, lags, floor))
+    fit = fit.withColumn("_fit", F.aggregate(
+        F.sequence(F.lit(1), F.lit(rounds)), start, lambda state, _: _fit_again(state, lags, floor)) if rounds else start)
+    b = F.col("_fit.beta")
+    recent = F.array(*[F.col(f"_last.dy{k}") - b * F.col(f"_last.dx{k}") for k in range(AR_ORDER)])
+    return fit.select(by.key, b.alias("beta"), F.col("_last.y").alias("y"), recent.alias("d"), F.col("_fit.a").alias("a"))
 
 
 def _continue(steps: int) -> Column:
@@ -172,8 +214,8 @@ def forecast_ar(
 ) -> DataFrame:
     """value = beta * volume + u, where the steps of u follow an AR(5) process.
 
-    beta is least squares on the steps, the coefficients solve the Yule-Walker equations, and
-    the future volume stays at its last value. This estimator is not the exact maximum
+    beta and the coefficients are fitted in turn, by generalised least squares and the Yule-Walker
+    equations, and the future volume stays at its last value. This estimator is not the exact maximum
     likelihood of a state-space fit; it is consistent, always stationary, and needs only sums.
     Keys with fewer than ten values, or five with a volume, get the linear forecast.
     """

@@ -37,7 +37,7 @@ def gold_partials(ticks: DataFrame, width: str = "10 seconds") -> DataFrame:
     ))
 
 
-def _both(a: Column, b: Column) -> Column:
+def both(a: Column, b: Column) -> Column:
     """Count, mean and squared deviations of two sets of prices together."""
     n = a["n"] + b["n"]
     step = b["mean"] - a["mean"]
@@ -51,7 +51,7 @@ def merge_partials(rows: DataFrame) -> DataFrame:
     """One row for each window of any partial rows. A window has few: one for each stored folder."""
     none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
     merged = rows.groupBy(*WINDOW).agg(
-        F.aggregate(F.array_sort(F.collect_list(F.struct("n", "mean", "m2"))), none, _both).alias("_prices"),
+        F.aggregate(F.array_sort(F.collect_list(F.struct("n", "mean", "m2"))), none, both).alias("_prices"),
         F.min("low").alias("low"), F.max("high").alias("high"),
         *(F.sum(c).alias(c) for c in ("volume_n", "volume_sum", "change_n", "change_sum")),
         F.max(BATCH).alias(BATCH),

@@ -17,7 +17,7 @@ BUFFER_ROWS = 2_000_000
 
 def exact_quantiles(
     df: DataFrame, value: str, probabilities: dict[str, float], key: str = "coin_id",
-    size: KeyProfile | None = None, accuracy: int = ACCURACY, margin: float | None = None,
+    size: KeyProfile | None = None, accuracy: int = ACCURACY, margin: float | None = None, brackets: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key with the named quantiles of the non-null values.
 
@@ -25,21 +25,22 @@ def exact_quantiles(
     key is hot. Then a sketch brackets each quantile (rank error at most n / accuracy), one
     more pass counts the rows outside the brackets and keeps the values inside, and the
     wanted ranks are read off those counts. Equal values are counted before the shuffle. Keys whose
-    rank lies outside its bracket are done again with brackets eight times as wide.
+    rank lies outside its bracket are done again with brackets eight times as wide. ``brackets`` (the
+    key, ``_n`` values, ``_edge``: two values around each quantile in ascending order) come from a stored
+    sketch and save the first pass.
     """
     size = size or profile(df, Series(key=key))
     names = sorted(probabilities, key=probabilities.get)
     wanted = [probabilities[name] for name in names]
     rows = df.where(F.col(value).isNotNull()).select(key, F.col(value).cast("double").alias("_x"))
-    if not size.exceeds(BUFFER_ROWS):
+    if brackets is None and not size.exceeds(BUFFER_ROWS):
         packed = rows.groupBy(key).agg(F.percentile("_x", wanted).alias("_q"))
         return packed.select(key, *[F.col("_q")[i].alias(name) for i, name in enumerate(names)])
 
     margin = 2.0 / accuracy if margin is None else margin
     edges = [e for p in wanted for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    brackets = rows.groupBy(key).agg(
-        F.count("_x").alias("_n"), F.percentile_approx("_x", edges, accuracy).alias("_edge")
-    )
+    if brackets is None:
+        brackets = rows.groupBy(key).agg(F.count("_x").alias("_n"), F.percentile_approx("_x", edges, accuracy).alias("_edge"))
     x = F.col("_x")
     zone, inside = F.lit(0), F.lit(False)
     for i in range(len(wanted)):

@@ -6,6 +6,7 @@ six digits, times as zone-less timestamps in UTC.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -15,14 +16,14 @@ from pyspark.sql import types as T
 
 from tickloom.functions import columns as fn
 from tickloom.operators import (
-    aggregate, alerts, clean, compare, filters, forecast, indicators, seasonal, signals,
+    aggregate, alerts, clean, compare, filters, forecast, indicators, seasonal, signals, sketches,
 )
 from tickloom.plans import medallion, supervise, views
 from tickloom.plans.fixtures import PARTS, Fixtures
 from tickloom.scale import with_ordinal
-from tickloom.schemas import ALERT_RULE, GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SERIES, SILVER
+from tickloom.schemas import ALERT_RULE, GOLD, GOLD_SERIES, KNOWN_COINS, RAW_TEXT, SERIES, SILVER, SILVER_SERIES
 from tickloom.session import scratch_path
-from tickloom.sources import layers, pruned, raw, versions
+from tickloom.sources import bucketed, layers, pruned, raw, versions
 from tickloom.streaming import flows, keyed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -408,6 +409,15 @@ def _(f):
     return aggregate.distribution(f.series(), "value")
 
 
+@query("price_distribution_stored")
+def _(f):
+    """From daily sketches that two batches have stored."""
+    store, ticks = sketches.sketch_store(f.spark, scratch_path(f.spark, "sketches")), f.ticks()
+    for i in range(2):
+        store.write(sketches.daily_sketches(ticks.where(f"seq % 2 = {i}")), i)
+    return sketches.stored_distribution(store, ticks)
+
+
 @query("returns_distribution")
 def _(f):
     return aggregate.returns_distribution(compare.returns(f.series()), SERIES)
@@ -449,6 +459,17 @@ for _window in (10, 20):
     _sma(_window)
 
 
+@query("bucketed_panel")
+def _(f):
+    """Silver in buckets by key: indicators of a table that is not shuffled for them."""
+    table = f"bucketed_{uuid.uuid4().hex}"
+    kept = f.ticks().select("coin_id", "fetched_at", "price_usd", "change_24h_pct", "seq")
+    stored = bucketed.write_bucketed(kept, table, scratch_path(f.spark, "buckets"), 8, order=["fetched_at", "seq"])
+    return indicators.indicators(stored, SILVER_SERIES.but(tiebreak=("seq",))).select(
+        "coin_id", "fetched_at", "seq", "sma_10", "sma_20", "bb_upper", "bb_lower", "rsi_14"
+    )
+
+
 @query("bollinger")
 def _(f):
     return indicators.bollinger(f.series()).select(*_ROW, "bb_middle", "bb_upper", "bb_lower")

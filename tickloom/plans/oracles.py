@@ -185,20 +185,30 @@ def _forecast_ar(source: str, order: str) -> dict[str, str]:
         "moves": f"""SELECT *, {', '.join(d)},
   row_number() OVER (PARTITION BY coin_id ORDER BY {", ".join(c.strip() + " DESC" for c in order.split(","))}) AS back FROM {source}""",
         "sums": f"SELECT coin_id, max(CASE WHEN back = 1 THEN value END) AS y, {', '.join(newest)}, {', '.join(sums)} FROM moves GROUP BY coin_id",
-        "betas": "SELECT *, coalesce(xy0 / nullif(xx0, 0), 0.0) AS beta FROM sums",
-        "raw_r": "SELECT *, " + ", ".join(
-            f"yy{k} - beta * (xy{k} + yx{k}) + beta * beta * xx{k} AS q{k}" for k in range(6)) + " FROM betas",
-        "a0": "SELECT coin_id, y, " + ", ".join(f"ly{k} - beta * lx{k} AS d{k}" for k in range(5)) + ", " + ", ".join(
-            f"CASE WHEN q0 <= yy0 * 1e-12 THEN 0.0 ELSE q{k} END AS r{k}" for k in range(6))
-            + ", CASE WHEN q0 <= yy0 * 1e-12 THEN 0.0 ELSE q0 END AS e0 FROM raw_r",
+        "f0": "SELECT *, coalesce(xy0 / nullif(xx0, 0), 0.0) AS beta FROM sums",
     }
-    previous = "a0"
-    for m in range(1, 6):
-        explained = "".join(f" - a{m - 1}_{j} * r{m - j}" for j in range(1, m))
-        out[f"k{m}"] = f"SELECT *, coalesce((r{m}{explained}) / nullif(e{m - 1}, 0), 0.0) AS k{m} FROM {previous}"
-        updated = "".join(f", a{m - 1}_{j} - k{m} * a{m - 1}_{m - j} AS a{m}_{j}" for j in range(1, m))
-        out[f"a{m}"] = f"SELECT *{updated}, k{m} AS a{m}_{m}, e{m - 1} * (1 - k{m} * k{m}) AS e{m} FROM k{m}"
-        previous = f"a{m}"
+    previous = "f0"
+    for again in range(4):
+        if again:
+            # Least squares on steps that the autoregression of the round before has whitened.
+            f = ["1.0", *(f"-a5_{j}" for j in range(1, 6))]
+            both = {pair: " + ".join(f"({f[i]}) * ({f[j]}) * {(pair if j >= i else back)}{abs(i - j)}" for i in range(6) for j in range(6))
+                    for pair, back in (("xy", "yx"), ("xx", "xx"))}
+            out[f"f{again}"] = f"""SELECT {', '.join(kept)}, coalesce(({both['xy']}) / nullif({both['xx']}, 0), beta) AS beta FROM {previous}"""
+            previous = f"f{again}"
+        kept = ["coin_id", "y", *(f"l{n}{k}" for n in "xy" for k in range(5)), *(f"{p}{q}{k}" for k in range(6) for p in "xy" for q in "xy")]
+        out[f"q_{again}"] = f"SELECT {', '.join(kept)}, beta, " + ", ".join(
+            f"yy{k} - beta * (xy{k} + yx{k}) + beta * beta * xx{k} AS q{k}" for k in range(6)) + f" FROM {previous}"
+        out[f"a_{again}_0"] = f"SELECT {', '.join(kept)}, beta, " + ", ".join(f"ly{k} - beta * lx{k} AS d{k}" for k in range(5)) + ", " + ", ".join(
+            f"CASE WHEN q0 <= yy0 * 1e-12 THEN 0.0 ELSE q{k} END AS r{k}" for k in range(6)
+        ) + f", CASE WHEN q0 <= yy0 * 1e-12 THEN 0.0 ELSE q0 END AS e0 FROM q_{again}"
+        previous = f"a_{again}_0"
+        for m in range(1, 6):
+            explained = "".join(f" - a{m - 1}_{j} * r{m - j}" for j in range(1, m))
+            out[f"k_{again}_{m}"] = f"SELECT *, coalesce((r{m}{explained}) / nullif(e{m - 1}, 0), 0.0) AS k{m} FROM {previous}"
+            updated = "".join(f", a{m - 1}_{j} - k{m} * a{m - 1}_{m - j} AS a{m}_{j}" for j in range(1, m))
+            out[f"a_{again}_{m}"] = f"SELECT *{updated}, k{m} AS a{m}_{m}, e{m - 1} * (1 - k{m} * k{m}) AS e{m} FROM k_{again}_{m}"
+            previous = f"a_{again}_{m}"
     past, level = [f"d{k}" for k in range(5)], "y"
     for h in range(1, 13):
         move = " + ".join(f"a5_{j} * {past[j - 1]}" for j in range(1, 6))
@@ -311,7 +321,7 @@ ORACLES: dict[str, str] = {
                         gold=_gold("ticks", "1 hour")),
     "keys_union": sql("SELECT coin_id FROM gold10 UNION SELECT coin_id FROM silver"),
     "volume_total": sql(f"SELECT coin_id, {r('sum(volume)', 'total_volume')} FROM series GROUP BY coin_id HAVING sum(volume) IS NOT NULL"),
-    "price_distribution": sql(f"{_box('value')} FROM series GROUP BY coin_id"),
+    **{name: sql(f"{_box('value')} FROM series GROUP BY coin_id") for name in ("price_distribution", "price_distribution_stored")},
     "returns_distribution": sql(
         f"{_box('x')} FROM recent GROUP BY coin_id",
         recent="""SELECT * FROM (SELECT coin_id, (value - previous) / nullif(previous, 0) * 100 AS x,
@@ -406,5 +416,6 @@ ORACLES: dict[str, str] = {
  FROM frame, range(1, 13) AS s(step)""", frame=_FRAME),
     "stream_alerts": sql("SELECT id, coin, type, message FROM fired"),
     "stream_dedup_first": sql(f"SELECT coin_id, fetched_at, {rs('price_usd', 'change_24h_pct', 'volume_24h_usd')}, data_quality_flag FROM silver WHERE fetched_at IS NOT NULL"),
+    "bucketed_panel": sql(f"SELECT coin_id, ts AS fetched_at, seq, {rs('sma_10', 'sma_20', 'bb_upper', 'bb_lower', 'rsi_14')} FROM panel", **_BY_SEQ),
     "stream_indicators": sql(f"SELECT coin_id, ts AS fetched_at, {rs('sma_10', 'sma_20', 'bb_upper', 'bb_lower', 'rsi_14')} FROM panel", **_BY_SEQ),
 }
