@@ -114,13 +114,14 @@ def unpack_weights(raw: bytes) -> dict[str, np.ndarray]:
 def encode(words: Words, frequent: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
     """Code of each word; ``frequent`` has the word hashes in the order of their codes, ``places``
     what ``slot_table`` makes of it."""
-    hashes = words.hashes()
-    last = words.data[np.maximum(words.end - 1, 0)].astype(np.int64)
-    before = words.data[np.maximum(words.end - 2, 0)].astype(np.int64) * (words.end - words.start > 1)
-    codes = n_codes(frequent) - SHARED + (last * 31 + before * 7) % SHARED
+    codes = np.full(len(words.start), -1, np.int64)
     if len(frequent):
-        own = find(hashes, frequent, slot_table(frequent) if places is None else places)
-        codes = np.where(own < 0, codes, own)
+        codes[:] = find(words.hashes(), frequent, slot_table(frequent) if places is None else places)
+    rare = np.flatnonzero(codes < 0)
+    end = words.end[rare]
+    last = words.data[end - 1].astype(np.int64)
+    before = words.data[np.maximum(end - 2, 0)].astype(np.int64) * (end - words.start[rare] > 1)
+    codes[rare] = n_codes(frequent) - SHARED + (last * 31 + before * 7) % SHARED
     return codes
 
 
@@ -219,8 +220,11 @@ def hidden_units(weights: dict[str, np.ndarray], batch: Batch) -> np.ndarray:
     """What the words around each word say about it; a row for each word."""
     rows, outside = np.take(weights["embed"], batch.near, axis=0), weights["embed"][-1]
     hidden = np.repeat(weights["bias"][None], len(batch.codes), axis=0)
-    for k in range(len(_OFFSETS)):
-        hidden += batch.around(rows, outside, k) * weights["reach"][k]
+    for k, offset in enumerate(_OFFSETS):
+        reach, gaps = weights["reach"][k], batch.gaps[k]
+        hidden += rows[REACH + offset : REACH + offset + len(batch.codes)] * reach
+        if len(gaps):
+            hidden[gaps] += (outside - rows[REACH + offset + gaps]) * reach
     return np.tanh(hidden, out=hidden)
 
 
@@ -272,7 +276,7 @@ def log_probabilities(weights: dict[str, np.ndarray], hidden: np.ndarray, codes:
     order = _ascending(codes, size)
     out, total, row = np.empty(len(codes), np.float64), 0.0, np.arange(len(codes))
     levels = _levels(codes[order], size)
-    for (_, logits), level in zip(forward(weights, np.ascontiguousarray(hidden[order].T), levels), levels, strict=True):
+    for (_, logits), level in zip(forward(weights, np.ascontiguousarray(np.take(hidden, order, axis=0).T), levels), levels, strict=True):
         logits -= logits.max(0)
         total = total + logits[level.branch, row].astype(np.float64)
         total -= np.log(np.exp(logits, out=logits).sum(0))
@@ -334,7 +338,7 @@ class Trainer:
         # One sort: the nodes of every level are then runs of words.
         order = _ascending(codes, size)
         levels, row, slopes = _levels(codes[order], size), np.arange(n), {}
-        hidden = np.ascontiguousarray(hidden_units(w, batch)[order].T)
+        hidden = np.ascontiguousarray(np.take(hidden_units(w, batch), order, axis=0).T)
         for number, ((given, branches), level) in enumerate(zip(forward(w, hidden, levels), levels, strict=True)):
             branches -= branches.max(0)
             np.exp(branches, out=branches)
@@ -364,9 +368,10 @@ class Trainer:
         rows, outside = np.take(w["embed"], batch.near, axis=0), w["embed"][-1]
         each, edge, reach = np.zeros((len(batch.near) + 1, WIDTH), np.float32), 0, []
         for k, offset in enumerate(_OFFSETS):
-            reach.append(np.einsum("ij,ij->j", slope, batch.around(rows, outside, k)))
-            own = slope * w["reach"][k]
             gaps = batch.gaps[k]
+            seen = np.einsum("ij,ij->j", slope, rows[REACH + offset : REACH + offset + n])
+            reach.append(seen + np.einsum("ij,ij->j", slope[gaps], outside - rows[REACH + offset + gaps]))
+            own = slope * w["reach"][k]
             if len(gaps):
                 each[-1] += own[gaps].sum(0)
                 own[gaps] = 0
