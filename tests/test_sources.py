@@ -2,6 +2,10 @@ import json
 import os
 from datetime import datetime, timedelta, timezone
 
+from pyspark.sql import functions as F
+
+from tickloom.plans.catalog import _slices
+from tickloom.plans.fixtures import Fixtures
 from tickloom.plans.medallion import read_gold, run_cycle
 from tickloom.schemas import ALERT_RULE, GOLD, SILVER
 from tickloom.sources.layers import (
@@ -176,3 +180,52 @@ def test_retention_deletes_or_archives(spark, tmp_path):
     assert os.listdir(tmp_path / "kept")[0] == "older.jsonl" and not os.path.exists(raw / "older.jsonl")
     assert apply_retention(spark, str(raw), 1) == 1
     assert [f for f in os.listdir(raw) if f.endswith("jsonl") and f[0] != "."] == ["new.jsonl"]
+
+
+def counting(spark):
+    """A filter that keeps every row, and how many rows it has seen."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def keep(_):
+        seen.add(1)
+        return True
+
+    return F.udf(keep, "boolean"), seen
+
+
+def test_a_batch_is_computed_once(spark, tmp_path):
+    keep, seen = counting(spark)
+    records = spark.range(100).select(F.col("id").cast("string").alias("coin_id")).where(keep("coin_id")).repartitionByRange(2, "coin_id")
+    write_raw(records, f"{tmp_path}/raw")
+    assert seen.value <= 200  # a look at the keys, and the write
+    assert os.listdir(tmp_path) == ["raw"] and read_raw(spark, f"{tmp_path}/raw").count() == 100
+
+
+def test_slices_take_one_pass_and_hold_every_row_once(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    events = [(i, None if i == 7 else start + timedelta(hours=i), "a", 10.0 + i, '{"k": 1}') for i in range(80)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    keep, seen = counting(spark)
+    f = Fixtures(spark, str(tmp_path))
+    text = f.raw_text()
+    parts = _slices(f, text.where(keep("seq")), 4)
+    for part in parts:
+        write_raw(part, f"{tmp_path}/raw")
+    assert seen.value == text.count()
+    got = [[r.asDict() for r in part.collect()] for part in parts]
+    assert all(got) and all([r["seq"] for r in part] == sorted(r["seq"] for r in part) for part in got)
+    assert sorted((r for part in got for r in part), key=str) == sorted((r.asDict() for r in text.collect()), key=str)
+    assert all(r["fetched_at"] is not None for part in got[1:] for r in part)
+    assert max(r["fetched_at"] or "" for r in got[0]) < min(r["fetched_at"] for r in got[1])
+
+
+def test_records_are_not_shuffled_to_leave_out_broken_files(spark, tmp_path):
+    land(tmp_path, "0.jsonl", line("a", 1), '{"coin_id": "d", "pri')
+    land(tmp_path, "1.jsonl", line("b", 1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large folders
+    try:
+        read = read_raw(spark, str(tmp_path))
+        assert [r.coin_id for r in read.collect()] == ["b"]
+        assert "SortMergeJoin" not in read._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
